@@ -59,3 +59,33 @@ def is_numeric(df: DataFrame, col: str) -> bool:
     from pyspark.sql.types import NumericType
 
     return isinstance(df.schema[col].dataType, NumericType)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``prepframe`` importable in Python workers (once per application).
+
+    Functions run by ``mapInPandas`` are pickled by reference, so executors must be
+    able to import this package: it is zipped on the driver and distributed with
+    ``addPyFile`` (Spark's own mechanism for Python dependencies).
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="prepframe-pyfiles-"), "prepframe.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)

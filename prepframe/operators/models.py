@@ -16,6 +16,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -139,18 +140,25 @@ def fit(
     estimator.setFeaturesCol("_features")
     if hasattr(estimator, "setPredictionCol"):
         estimator.setPredictionCol("_pred")
-    if kind == "regression":
-        estimator.setLabelCol(label)
-        data = data.withColumn(label, F.col(label).cast("double"))
-        model = Pipeline(stages=[assembler, estimator]).fit(data)
-        return FittedModel(model, features, kind)
-    labels, numeric = _label_index(data, label)
-    if kind == "binary" and len(labels) != 2:
-        raise ValueError(f"binary classification needs exactly 2 label values, found {len(labels)}")
-    data = _encode_label(data, label, labels, numeric)
-    estimator.setLabelCol("_label_idx")
-    model = Pipeline(stages=[assembler, estimator]).fit(data)
-    return FittedModel(model, features, kind, labels, numeric)
+    # iterative learners scan the input many times: keep only the needed columns,
+    # computed once (memory and disk; lost blocks are recomputed from lineage)
+    needed = list(dict.fromkeys(features + [label] + ([weight] if weight else [])))
+    data = data.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if kind == "regression":
+            estimator.setLabelCol(label)
+            data2 = data.withColumn(label, F.col(label).cast("double"))
+            model = Pipeline(stages=[assembler, estimator]).fit(data2)
+            return FittedModel(model, features, kind)
+        labels, numeric = _label_index(data, label)
+        if kind == "binary" and len(labels) != 2:
+            raise ValueError(f"binary classification needs exactly 2 label values, found {len(labels)}")
+        data2 = _encode_label(data, label, labels, numeric)
+        estimator.setLabelCol("_label_idx")
+        model = Pipeline(stages=[assembler, estimator]).fit(data2)
+        return FittedModel(model, features, kind, labels, numeric)
+    finally:
+        data.unpersist()
 
 
 def _prob_name(v) -> str:

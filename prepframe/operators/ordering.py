@@ -25,7 +25,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, LongType, DoubleType, StructField, StructType
 
-from prepframe._session import cut_lineage, shuffle_partitions
+from pyspark import StorageLevel
+
+from prepframe._session import broadcast_if_small, cut_lineage, ship_package, shuffle_partitions
+
+
+# Inputs counted at or below this many rows are ordered by one plain window task;
+# larger ones take the distributed path.  The count is the size check.
+SINGLE_TASK_MAX_ROWS = 200_000
 
 
 def _sort_col(o) -> Column:
@@ -91,6 +98,8 @@ def ordered_totals(
     partition_by: Sequence[str] = (),
     sums: Sequence[str] = (),
     nbuckets: int | None = None,
+    small_input_rows: int | None = SINGLE_TASK_MAX_ROWS,
+    group_totals: bool = False,
 ) -> DataFrame:
     """Add ``_rn`` (1-based position inside ``partition_by`` in ``order_by`` order) and
     ``_cum_<c>`` (inclusive running sum) for each column in ``sums``.
@@ -103,12 +112,31 @@ def ordered_totals(
     pcols = list(partition_by)
     sums = list(sums)
     sort_exprs = [F.col(c) for c in pcols] + [_sort_col(o) for o in order_by]
+    # the input is read by the size check, the range sampler and the checkpoint:
+    # keep it for those passes (lost blocks are recomputed from lineage)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if small_input_rows is not None and src.limit(small_input_rows + 1).count() <= small_input_rows:
+        src.unpersist()
+        # proven small (counted): one window task holds at most `small_input_rows` rows
+        w = Window.partitionBy(*pcols).orderBy(*[_sort_col(o) for o in order_by])
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = Window.partitionBy(*pcols).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        out = df.withColumn("_rn", F.row_number().over(w).cast("long"))
+        for c in sums:
+            out = out.withColumn("_cum_" + c, F.sum(F.coalesce(F.col(c), F.lit(0))).over(run))
+        if group_totals:
+            out = out.withColumn("_tot_n", F.count(F.lit(1)).over(whole))
+            for c in sums:
+                out = out.withColumn("_tot_" + c, F.sum(F.coalesce(F.col(c), F.lit(0))).over(whole))
+        return out
+    ship_package(spark)
     laid = (
-        df.repartitionByRange(nb, *sort_exprs)
+        src.repartitionByRange(nb, *sort_exprs)
         .sortWithinPartitions(*sort_exprs)
         .withColumn("_pid", F.spark_partition_id())
     )
     laid = cut_lineage(laid)
+    src.unpersist()
 
     integral = {c: isinstance(laid.schema[c].dataType, IntegralType) for c in sums}
     fields = list(laid.schema.fields) + [StructField("_rn", LongType(), False)]
@@ -136,7 +164,25 @@ def ordered_totals(
     for c in sums:
         out = out.withColumn("_cum_" + c, F.col("_cum_" + c) + F.coalesce(F.col("_off_" + c), F.lit(0)))
     drop = ["_pid", "_o_pid", "_off_n"] + ["_o_" + c for c in pcols] + ["_off_" + c for c in sums]
-    return out.drop(*drop)
+    out = out.drop(*drop)
+    if group_totals:
+        # one row per group, computed from the checkpoint; sized before broadcasting
+        gt = totals.groupBy(*pcols).agg(
+            F.sum("_n").alias("_tot_n"), *[F.sum("_t_" + c).alias("_tot_" + c) for c in sums]
+        )
+        if pcols:
+            gt = gt.select(*[F.col(c).alias("_g_" + c) for c in pcols], "_tot_n", *["_tot_" + c for c in sums])
+            cond = None
+            for c in pcols:
+                e = F.col(c).eqNullSafe(F.col("_g_" + c))
+                cond = e if cond is None else cond & e
+            out = out.join(broadcast_if_small(gt), cond, "left").drop(*["_g_" + c for c in pcols])
+        else:
+            one = gt.collect()[0]
+            out = out.withColumn("_tot_n", F.lit(one["_tot_n"]))
+            for c in sums:
+                out = out.withColumn("_tot_" + c, F.lit(one["_tot_" + c]))
+    return out
 
 
 def ntile_expr(rn: Column, n: Column, k: int) -> Column:
@@ -174,16 +220,8 @@ def exact_percentiles(
         .groupBy(*g, "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranked = ordered_totals(vals, ["_v"], partition_by=g, sums=["_c"])
-    if g:
-        sizes = vals.groupBy(*g).agg(F.sum("_c").alias("_gn"))
-        from prepframe._session import broadcast_if_small
-
-        ranked = ranked.join(broadcast_if_small(sizes), g)
-        n = F.col("_gn")
-    else:
-        total = vals.agg(F.sum("_c")).collect()[0][0] or 0
-        n = F.lit(total)
+    ranked = ordered_totals(vals, ["_v"], partition_by=g, sums=["_c"], group_totals=True)
+    n = F.col("_tot__c")
     start = F.col("_cum__c") - F.col("_c")  # 0-based rank of the first copy
     aggs = []
     for q, name in zip(qs, names):

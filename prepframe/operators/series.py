@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from prepframe._session import cut_lineage, shuffle_partitions
+from prepframe._session import cut_lineage, ship_package, shuffle_partitions
 from prepframe.operators.ordering import ordered_totals
 
 
@@ -98,9 +98,11 @@ def iir_filter(
 
     The recursion is linear, so a long series is cut into the chunks that the range
     layout gives it: each chunk is filtered from a zero state in parallel (recording
-    its final state and its free response), the few chunk boundaries of series that
-    span partitions are chained on the driver (fewer than the number of
-    partitions), and each chunk then adds the response to its true starting state.
+    its final state), the chunk boundaries of series that span partitions are
+    chained on the driver (fewer than the number of partitions; the state is moved
+    across a chunk by a companion-matrix power), and each chunk is then filtered
+    from its true starting state.  Both passes are one ``mapInPandas`` over the
+    sorted, checkpointed partitions - no per-group pandas frames.
     """
     series, order = _as_list(series), _as_list(order)
     b = np.asarray(b, dtype=float)
@@ -108,53 +110,84 @@ def iir_filter(
     p = max(len(a), len(b)) - 1
     spark = df.sparkSession
     nb = shuffle_partitions(spark)
+    ship_package(spark)
     sort_exprs = [F.col(c) for c in series] + [F.col(c) for c in order]
     laid = cut_lineage(
         df.repartitionByRange(nb, *sort_exprs).sortWithinPartitions(*sort_exprs).withColumn("_pid", F.spark_partition_id())
     )
-    # pass 1: per (partition, series) chunk, the zero-state final state and length
+
+    def chunks_of(pdf: pd.DataFrame):
+        """(start, end) row ranges of consecutive equal series keys."""
+        n = len(pdf)
+        if n == 0:
+            return []
+        change = np.zeros(n, dtype=bool)
+        change[0] = True
+        for c in series:
+            s_ = pdf[c]
+            prev = s_.shift(1)
+            change |= ~((s_ == prev) | (s_.isna() & prev.isna())).to_numpy()
+        starts = np.flatnonzero(change)
+        ends = np.append(starts[1:], n)
+        return list(zip(starts, ends))
+
+    def whole_partition(it):
+        parts = [p_ for p_ in it if len(p_)]
+        return pd.concat(parts, ignore_index=True) if parts else None
+
     state_schema = StructType(
         [StructField("_pid", LongType())] + [laid.schema[c] for c in series]
         + [StructField("_len", LongType())] + [StructField(f"_z{j}", DoubleType()) for j in range(p)]
     )
 
-    def chunk_states(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        x = pdf[value].astype(float).fillna(0.0).to_numpy()
-        _, z = _lfilter(b, a, x, np.zeros(p))
-        row = {"_pid": int(pdf["_pid"].iloc[0]), "_len": len(pdf)}
-        for c in series:
-            row[c] = pdf[c].iloc[0]
-        for j in range(p):
-            row[f"_z{j}"] = float(z[j])
-        return pd.DataFrame([row])[[f.name for f in state_schema.fields]]
-
-    chunks = laid.groupBy("_pid", *series).applyInPandas(chunk_states, state_schema)
-    # only series present in more than one partition need chaining: < nb of them
-    multi = chunks.groupBy(*series).agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") > 1)
-    spanning = chunks.join(multi, series, "left_semi").orderBy(*series, "_pid").collect()
-    starts: dict[tuple, np.ndarray] = {}
+    def boundary_states(it):
+        # only the first and last chunk of a partition can continue across partitions
+        pdf = whole_partition(it)
+        if pdf is None:
+            return
+        rows = []
+        ch = chunks_of(pdf)
+        for k in {0, len(ch) - 1}:
+            s0, e0 = ch[k]
+            x = pdf[value].iloc[s0:e0].astype(float).fillna(0.0).to_numpy()
+            _, z = _lfilter(b, a, x, np.zeros(p))
+            row = {"_pid": int(pdf["_pid"].iloc[0]), "_len": int(e0 - s0)}
+            for c in series:
+                row[c] = pdf[c].iloc[s0]
+            for j in range(p):
+                row[f"_z{j}"] = float(z[j])
+            rows.append(row)
+        yield pd.DataFrame(rows)[[f.name for f in state_schema.fields]]
+
+    chunks = laid.select("_pid", *series, value).mapInPandas(boundary_states, state_schema)
+    multi = chunks.groupBy(*series).agg(F.countDistinct("_pid").alias("_k")).where(F.col("_k") > 1)
+    # fewer rows than 2 x partitions: collected to chain the states
+    spanning = chunks.join(multi, series, "left_semi").dropDuplicates(["_pid", *series]).orderBy(*series, "_pid").collect()
+    starts: dict[tuple, list] = {}
     prev_key, state = None, None
     for r in spanning:
         key = tuple(r[c] for c in series)
         if key != prev_key:
             prev_key, state = key, np.zeros(p)
         else:
-            starts[(r["_pid"], key)] = state.copy()
-        # advance the true state through this chunk: free response of `state` + zero-state end
+            starts[(int(r["_pid"]), key)] = state.tolist()
         z0 = np.array([r[f"_z{j}"] for j in range(p)])
         state = _free_state(a, state, int(r["_len"])) + z0
-    starts_b = spark.sparkContext.broadcast({k: v.tolist() for k, v in starts.items()})
+    starts_b = spark.sparkContext.broadcast(starts)
 
     out_schema = StructType(list(laid.schema.fields) + [StructField(out, DoubleType())])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        key = (int(pdf["_pid"].iloc[0]), tuple(pdf[c].iloc[0] for c in series))
-        zi = np.asarray(starts_b.value.get(key, [0.0] * p), dtype=float)
-        x = pdf[value].astype(float).fillna(0.0).to_numpy()
-        y, _ = _lfilter(b, a, x, zi)
-        return pdf.assign(**{out: y})
-
-    res = laid.groupBy("_pid", *series).applyInPandas(run, out_schema)
-    return res.drop("_pid")
+    def run(it):
+        pdf = whole_partition(it)
+        if pdf is None:
+            return
+        y = np.empty(len(pdf))
+        pid = int(pdf["_pid"].iloc[0])
+        x_all = pdf[value].astype(float).fillna(0.0).to_numpy()
+        for s0, e0 in chunks_of(pdf):
+            key = (pid, tuple(pdf[c].iloc[s0] for c in series))
+            zi = np.asarray(starts_b.value.get(key, [0.0] * p), dtype=float)
+            y[s0:e0], _ = _lfilter(b, a, x_all[s0:e0], zi)
+        yield pdf.assign(**{out: y})
+
+    return laid.mapInPandas(run, out_schema).drop("_pid")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from prepframe._session import cut_lineage
 from prepframe.operators import evaluate as E
 from prepframe.operators import features as FE
 from prepframe.operators import models as MO
@@ -35,9 +36,12 @@ def text_features(docs):
 
 
 def _quality(spark, sf):
+    """Labelled documents as a small feature table, written once to the checkpoint
+    folder so the learners' repeated passes never re-read whole texts."""
     lab = load(spark, sf, "labels")
     docs = load(spark, sf, "documents")
-    return text_features(lab.join(docs, "doc_id"))
+    feats = text_features(lab.join(docs, "doc_id")).select("doc_id", "quality", "toxic", *TEXT_FEATURES)
+    return cut_lineage(feats)
 
 
 def _binary_run(spark, sf, kind, algo, **params):
@@ -89,7 +93,8 @@ def mlp(spark, sf):
 def _lang_data(spark, sf):
     docs = text_features(load(spark, sf, "documents"))
     accent = (F.length("text") - F.length(F.regexp_replace("text", r"[^\p{L}&&[^a-zA-Z]]", ""))) / F.greatest(F.length("text"), F.lit(1))
-    return docs.withColumn("accent_share", accent.cast("double"))
+    docs = docs.withColumn("accent_share", accent.cast("double"))
+    return cut_lineage(docs.select("doc_id", "lang", *TEXT_FEATURES, "accent_share"))
 
 
 _LANG_FEATURES = TEXT_FEATURES + ["accent_share"]
