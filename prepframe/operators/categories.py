@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prepframe._session import broadcast_if_small
+from prepframe._session import broadcast_if_small, cut_lineage
 from prepframe.operators.ordering import ordered_totals
 
 _ORDERS = ("frequencyDesc", "frequencyAsc", "alphabetAsc", "alphabetDesc")
@@ -48,7 +48,8 @@ def fit_categories(df: DataFrame, columns: Sequence[str], order: str = "frequenc
         "alphabetDesc": [F.col("label").desc()],
     }[order]
     ranked = ordered_totals(counts, keys, partition_by=["col"])
-    return ranked.select("col", "label", (F.col("_rn") - 1).alias("idx"), "cnt")
+    # the code table is read once per coded column and by size checks: materialise it
+    return cut_lineage(ranked.select("col", "label", (F.col("_rn") - 1).alias("idx"), "cnt"))
 
 
 def apply_categories(

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prepframe._session import broadcast_if_small
+from prepframe._session import broadcast_if_small, cut_lineage
 from prepframe.operators.ordering import exact_percentiles
 
 
@@ -174,7 +174,8 @@ def fit_anomaly_bounds(
         k = 3.0 if k is None else k
         v = F.nanvl(F.col("v"), F.lit(None).cast("double"))
         st = stacked.groupBy(*g, "col").agg(F.avg(v).alias("mu"), F.stddev_samp(v).alias("sd"))
-        return st.select(*g, "col", (F.col("mu") - k * F.col("sd")).alias("lo"), (F.col("mu") + k * F.col("sd")).alias("hi"))
+        st = st.select(*g, "col", (F.col("mu") - k * F.col("sd")).alias("lo"), (F.col("mu") + k * F.col("sd")).alias("hi"))
+        return cut_lineage(st) if g else st
     raise ValueError("method must be 'iqr' or 'zscore'")
 
 

@@ -235,4 +235,5 @@ def exact_percentiles(
     for name in names:
         lo, hi, fr = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_fr_{name}")
         out.append(F.when(fr == 0, lo).otherwise(lo + (hi - lo) * fr).alias(name))
-    return picked.select(*out)
+    # one row per group, read again by size checks and joins: materialise it once
+    return cut_lineage(picked.select(*out)) if g else picked.select(*out)
