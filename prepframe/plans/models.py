@@ -379,3 +379,54 @@ def tune(spark, sf):
     ]
     table, _ = MO.tune(data, TEXT_FEATURES, "quality", "binary", grid, "doc_id", "auc")
     return rounded(table, 4)
+
+
+_KNN_CUT = int(0.8 * 2**32)
+
+
+@query(
+    "knn_vote",
+    f"""
+WITH e AS (SELECT vec_id, label, embedding,
+                  ('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT < {_KNN_CUT} AS is_train FROM embeddings),
+pe AS (SELECT vec_id, is_train, label, i, CAST(embedding[i] AS DOUBLE) AS v FROM e, range(1, 65) r(i)),
+d AS (SELECT q.vec_id AS q, t.vec_id AS r, t.label, sum((q.v - t.v) * (q.v - t.v)) AS dist
+      FROM pe q JOIN pe t ON q.i = t.i AND NOT q.is_train AND t.is_train GROUP BY q.vec_id, t.vec_id, t.label),
+nn AS (SELECT q, label, row_number() OVER (PARTITION BY q ORDER BY dist, r) AS rk FROM d),
+v AS (SELECT q, label, count(*) AS c FROM nn WHERE rk <= 5 GROUP BY q, label)
+SELECT q AS vec_id, arg_min(label, (-c, label)) AS prediction FROM v GROUP BY q
+""",
+)
+def knn_vote(spark, sf):
+    from prepframe.operators.neighbors import knn_classify
+
+    emb = load(spark, sf, "embeddings")
+    train, test = split_hash(emb, "vec_id", 0.8)
+    return knn_classify(train, test, "embedding", "label", k=5, train_id="vec_id")
+
+
+_EPS2 = 1.16 * 1.16
+
+
+@query(
+    "dbscan",
+    f"""
+WITH RECURSIVE pe AS (SELECT vec_id, i, CAST(embedding[i] AS DOUBLE) AS v FROM embeddings, range(1, 65) r(i)),
+d AS (SELECT a.vec_id AS a, b.vec_id AS b, sum((a.v - b.v) * (a.v - b.v)) AS dist FROM pe a JOIN pe b ON a.i = b.i
+      GROUP BY a.vec_id, b.vec_id),
+nb AS (SELECT a, count(*) AS c FROM d WHERE dist <= {_EPS2} GROUP BY a),
+core AS (SELECT a FROM nb WHERE c >= 4),
+e AS (SELECT d.a, d.b FROM d JOIN core ca ON d.a = ca.a JOIN core cb ON d.b = cb.a WHERE dist <= {_EPS2}),
+reach(a, b) AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+lab AS (SELECT a, min(b) AS cl FROM reach GROUP BY a),
+border AS (SELECT d.a, min(lab.cl) AS cl FROM d JOIN lab ON d.b = lab.a
+           WHERE d.dist <= {_EPS2} AND d.a NOT IN (SELECT a FROM core) GROUP BY d.a)
+SELECT e.vec_id, CAST(coalesce(lab.cl, border.cl, -1) AS BIGINT) AS cluster, lab.a IS NOT NULL AS is_core
+FROM embeddings e LEFT JOIN lab ON e.vec_id = lab.a LEFT JOIN border ON e.vec_id = border.a
+""",
+)
+def dbscan(spark, sf):
+    from prepframe.operators.density import dbscan as run
+
+    emb = load(spark, sf, "embeddings")
+    return run(emb, "vec_id", "embedding", eps=1.16, min_points=4)
