@@ -334,11 +334,24 @@ def frequent_itemsets(spark, sf):
     return small.select(F.array_join(F.array_sort("items"), ",").alias("items"), F.col("freq").cast("bigint").alias("freq"))
 
 
-@query("association_rules")
+@query(
+    "association_rules",
+    """
+WITH t AS (SELECT DISTINCT l_orderkey AS o, p_type AS b FROM lineitem JOIN part ON l_partkey = p_partkey),
+nb AS (SELECT CAST(count(DISTINCT o) AS DOUBLE) AS n FROM t),
+single AS (SELECT b, CAST(count(*) AS DOUBLE) AS f FROM t GROUP BY b),
+pairs AS (SELECT x.b AS a, y.b AS c, CAST(count(*) AS DOUBLE) AS f FROM t x JOIN t y ON x.o = y.o AND x.b <> y.b GROUP BY x.b, y.b)
+SELECT a AS antecedent, c AS consequent, round(pairs.f / sa.f, 4) AS confidence,
+       round((pairs.f / sa.f) / (sc.f / n), 4) AS lift, round(pairs.f / n, 4) AS support
+FROM pairs JOIN single sa ON sa.b = a JOIN single sc ON sc.b = c, nb
+WHERE pairs.f >= ceil(0.02 * n) AND pairs.f / sa.f >= 0.05
+""",
+)
 def association_rules(spark, sf):
     li, p = load(spark, sf, "lineitem"), load(spark, sf, "part")
     t = li.join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("o"), F.col("p_type").alias("b"))
     _, rules = MO.frequent_itemsets(t, "o", "b", min_support=0.02, min_confidence=0.05)
+    rules = rules.where(F.size("antecedent") == 1)
     return rounded(rules.select(
         F.array_join(F.array_sort("antecedent"), ",").alias("antecedent"),
         F.array_join(F.array_sort("consequent"), ",").alias("consequent"),

@@ -3,7 +3,9 @@
 All readers are lazy.  CSV is read with an explicit schema where one is given: with
 ``DROPMALFORMED`` Spark's column pruning skips parsing, so ``count()`` and
 ``collect()`` can disagree.  Malformed rows are therefore kept in a corrupt-record
-column under ``PERMISSIVE`` and filtered out by a predicate that every action sees.
+column under ``PERMISSIVE`` (wrong field counts) and every field is read as text and
+validated with ``try_cast`` by a predicate that references all columns - so no
+pruning can skip the check and every action sees the same rows.
 """
 
 from __future__ import annotations
@@ -33,15 +35,27 @@ def read_csv(
         schema = StructType.fromDDL(schema)
     if not drop_malformed:
         return reader.schema(schema).option("mode", "FAILFAST").csv(path)
-    with_bad = StructType(list(schema.fields) + [StructField(_CORRUPT, StringType(), True)])
-    df = (
-        reader.schema(with_bad)
+    # Every field is read as text and validated explicitly: the predicate references
+    # every column, so no pruning can skip the parse and all actions agree.
+    as_text = StructType(
+        [StructField(f.name, StringType(), True) for f in schema.fields] + [StructField(_CORRUPT, StringType(), True)]
+    )
+    raw = (
+        reader.schema(as_text)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(path)
     )
-    # the corrupt column must be evaluated before it can be filtered on
-    return df.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+    ok = F.col(_CORRUPT).isNull()
+    typed = []
+    for f in schema.fields:
+        if isinstance(f.dataType, StringType):
+            typed.append(F.col(f.name))
+            continue
+        cast = F.col(f.name).try_cast(f.dataType)
+        ok = ok & (F.col(f.name).isNull() | cast.isNotNull())
+        typed.append(cast.alias(f.name))
+    return raw.where(ok).select(*typed)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True) -> None:
