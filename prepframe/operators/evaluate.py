@@ -29,11 +29,15 @@ def _indicator(c: Column) -> Column:
 
 
 def join_single_rows(*frames: DataFrame) -> DataFrame:
-    """Put one-row metric frames side by side (each side is a global aggregate)."""
-    out = frames[0].withColumn("_one", F.lit(1))
+    """Put one-row metric frames side by side without a join: stack them (missing
+    columns null) and take each column's single non-null value in one tiny aggregate."""
+    cols: list[str] = []
+    for f in frames:
+        cols += [c for c in f.columns if c not in cols]
+    stacked = frames[0]
     for f in frames[1:]:
-        out = out.join(f.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+        stacked = stacked.unionByName(f, allowMissingColumns=True)
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
 
 
 def binary_counts(df: DataFrame, label: str, prediction: str = "prediction", pos_label=1) -> DataFrame:

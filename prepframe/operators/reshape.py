@@ -168,7 +168,11 @@ def group_by(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, tuple]) -> D
 
 
 def _attach_scalar(res: DataFrame, one_row: DataFrame) -> DataFrame:
-    return res.withColumn("_one", F.lit(1)).join(one_row.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    """Add the columns of a one-row statistics frame to every row of ``res`` as literals
+    (the statistics are collected: one row), so no join is planned."""
+    row = one_row.collect()
+    vals = row[0].asDict() if row else {c: None for c in one_row.columns}
+    return res.withColumns({c: F.lit(v).cast(one_row.schema[c].dataType) for c, v in vals.items()})
 
 
 # ------------------------------------------------------------------ D8-D10 reshape
