@@ -197,43 +197,115 @@ def ntile_expr(rn: Column, n: Column, k: int) -> Column:
     )
 
 
+def _pick_percentiles(ranked, g, qs, names, n_col, below_cols=None, qi_col=None):
+    """From ranked distinct values (``_v``, ``_c``, ``_cum__c``) pick the values at the
+    interpolation ranks of every quantile; ``below_cols[i]`` (rows under the candidate
+    range of quantile i) shifts the ranks when only candidates were ranked."""
+    aggs = []
+    for i, (q, name) in enumerate(zip(qs, names)):
+        below = F.col(below_cols[i]) if below_cols else F.lit(0)
+        mine = (F.col(qi_col) == i) if qi_col else F.lit(True)
+        end = below + F.col("_cum__c")  # ranks [end - _c, end - 1], 0-based
+        start = end - F.col("_c")
+        pos = (F.col(n_col) - 1) * F.lit(float(q))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        aggs.append(F.max(F.when(mine & (start <= lo) & (lo < end), F.col("_v"))).alias(f"_lo_{name}"))
+        aggs.append(F.max(F.when(mine & (start <= hi) & (hi < end), F.col("_v"))).alias(f"_hi_{name}"))
+        aggs.append(F.max(pos - lo).alias(f"_fr_{name}"))
+    picked = ranked.groupBy(*g).agg(*aggs)
+    out = [F.col(c) for c in g]
+    for name in names:
+        lo, hi, fr = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_fr_{name}")
+        out.append(F.when(fr == 0, lo).otherwise(lo + (hi - lo) * fr).alias(name))
+    return picked, picked.select(*out)
+
+
+def _attach_group_table(df: DataFrame, table: DataFrame, g: list[str]) -> DataFrame:
+    """Add per-group columns: literals for the global case, else a size-checked join."""
+    if not g:
+        row = table.collect()
+        vals = row[0].asDict() if row else {}
+        return df.withColumns({c: F.lit(v) for c, v in vals.items()})
+    side = table.select(*[F.col(c).alias("_gk_" + c) for c in g], *[c for c in table.columns if c not in g])
+    cond = None
+    for c in g:
+        e = F.col(c).eqNullSafe(F.col("_gk_" + c))
+        cond = e if cond is None else cond & e
+    return df.join(broadcast_if_small(side), cond).drop(*["_gk_" + c for c in g])
+
+
 def exact_percentiles(
     df: DataFrame,
     value: str,
     qs: Sequence[float],
     group_by: Sequence[str] = (),
     names: Sequence[str] | None = None,
+    accuracy: int = 10_000,
 ) -> DataFrame:
     """Exact continuous percentiles (SQL ``percentile`` / ``quantile_cont``) per group.
 
-    Values are first reduced to (group, distinct value, count) with a partial
-    aggregate, then ranked with ``ordered_totals``; no task ever holds a whole group.
-    Nulls and NaN are skipped.  Returns one row per group: group keys + one column
-    per quantile (``names`` or ``q_<i>``).
+    1. one aggregate: per group the row count and ``percentile_approx`` brackets
+       ``[q - 3/accuracy, q + 3/accuracy]`` around every quantile (its rank error is
+       at most n / accuracy, so each bracket contains the exact interpolation ranks);
+    2. one pass: rows below each bracket are counted, rows inside it are the only
+       candidates kept - about 6 n / accuracy per quantile;
+    3. candidates are reduced to (group, value, count) and ranked with
+       ``ordered_totals``; the picked ranks are shifted by the counts below.
+
+    If a bracket ever misses (it should not), the group falls back to ranking every
+    distinct value; inputs counted at no more than ``SINGLE_TASK_MAX_ROWS`` rows are
+    ranked directly.  Nulls and NaN are skipped.  One row per group: group keys + one
+    column per quantile (``names`` or ``q_<i>``).
     """
     g = list(group_by)
     names = list(names) if names else [f"q_{i}" for i in range(len(qs))]
-    x = F.col(value).cast("double")
+    k = len(qs)
+    base = df.select(*g, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if base.limit(SINGLE_TASK_MAX_ROWS + 1).count() <= SINGLE_TASK_MAX_ROWS:
+        # proven small: ranking every distinct value is one bounded window task
+        return _exact_percentiles_full(df, value, qs, g, names)
+    d = 3.0 / accuracy
+    probs = [max(0.0, q - d) for q in qs] + [min(1.0, q + d) for q in qs]
+    brackets = base.groupBy(*g).agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", probs, accuracy).alias("_pa")
+    )
+    brackets = brackets.select(
+        *g, "_n", *[F.col("_pa")[i].alias(f"_blo{i}") for i in range(k)], *[F.col("_pa")[k + i].alias(f"_bhi{i}") for i in range(k)]
+    )
+    if g:
+        brackets = cut_lineage(brackets)  # one row per group, read twice below
+    rows = _attach_group_table(base, brackets, g)
+    v = F.col("_v")
+    below = rows.groupBy(*g).agg(*[F.sum(F.when(v < F.col(f"_blo{i}"), 1).otherwise(0)).alias(f"_below{i}") for i in range(k)])
+    tag = F.array(*[F.when((v >= F.col(f"_blo{i}")) & (v <= F.col(f"_bhi{i}")), F.lit(i)) for i in range(k)])
+    cand = (
+        rows.select(*g, "_v", F.explode(tag).alias("_qi"))
+        .where(F.col("_qi").isNotNull())
+        .groupBy(*g, "_qi", "_v")
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    ranked = ordered_totals(cand, ["_v"], partition_by=g + ["_qi"], sums=["_c"])
+    per_group = below.join(brackets.select(*g, "_n"), g) if g else _attach_group_table(below, brackets.select("_n"), [])
+    ranked = _attach_group_table(ranked, per_group, g)
+    picked, result = _pick_percentiles(ranked, g, qs, names, "_n", [f"_below{i}" for i in range(k)], "_qi")
+    result = cut_lineage(result)
+    miss = F.lit(False)
+    for nm in names:
+        miss = miss | F.col(nm).isNull()
+    misses = result.where(miss)
+    if misses.limit(1).count() == 0:
+        return result
+    return _exact_percentiles_full(df, value, qs, g, names)
+
+
+def _exact_percentiles_full(df, value, qs, g, names):
+    """Rank every distinct value (the fallback: no bracketing)."""
     vals = (
-        df.select(*g, x.alias("_v"))
+        df.select(*g, F.col(value).cast("double").alias("_v"))
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .groupBy(*g, "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     ranked = ordered_totals(vals, ["_v"], partition_by=g, sums=["_c"], group_totals=True)
-    n = F.col("_tot__c")
-    start = F.col("_cum__c") - F.col("_c")  # 0-based rank of the first copy
-    aggs = []
-    for q, name in zip(qs, names):
-        pos = (n - 1) * F.lit(float(q))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        aggs.append(F.max(F.when((start <= lo) & (lo < F.col("_cum__c")), F.col("_v"))).alias(f"_lo_{name}"))
-        aggs.append(F.max(F.when((start <= hi) & (hi < F.col("_cum__c")), F.col("_v"))).alias(f"_hi_{name}"))
-        aggs.append(F.max(pos - lo).alias(f"_fr_{name}"))
-    picked = ranked.groupBy(*g).agg(*aggs)
-    out = [F.col(c) for c in g]
-    for name in names:
-        lo, hi, fr = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_fr_{name}")
-        out.append(F.when(fr == 0, lo).otherwise(lo + (hi - lo) * fr).alias(name))
-    # one row per group, read again by size checks and joins: materialise it once
-    return cut_lineage(picked.select(*out)) if g else picked.select(*out)
+    _, result = _pick_percentiles(ranked, g, qs, names, "_tot__c")
+    return cut_lineage(result)

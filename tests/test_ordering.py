@@ -68,3 +68,24 @@ def test_exact_percentiles_match_builtin(spark, events):
 def test_exact_percentiles_skip_null_and_nan(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (3.0,)], "x double")
     assert exact_percentiles(df, "x", [0.5]).collect()[0][0] == 2.0
+
+
+def test_bracketed_percentiles_large_n(spark):
+    # n >> accuracy: the candidate brackets are a small slice of each group
+    df = spark.range(60000).select(
+        (F.col("id") % 3).alias("g"), (F.pmod(F.xxhash64("id"), F.lit(100003)) / 7.0).alias("v")
+    )
+    qs = [0.01, 0.25, 0.5, 0.99]
+    ours = exact_percentiles(df, "v", qs, group_by=["g"], accuracy=200).orderBy("g").collect()
+    ref = df.groupBy("g").agg(*[F.percentile("v", q).alias(f"r{i}") for i, q in enumerate(qs)]).orderBy("g").collect()
+    for a, b in zip(ours, ref):
+        for i in range(len(qs)):
+            assert a[f"q_{i}"] == pytest.approx(b[f"r{i}"], rel=1e-12)
+
+
+def test_full_ranking_fallback(spark, events):
+    from prepframe.operators.ordering import _exact_percentiles_full
+
+    ours = _exact_percentiles_full(events, "value", [0.5], ["event_type"], ["m"]).orderBy("event_type").collect()
+    ref = events.groupBy("event_type").agg(F.percentile("value", 0.5).alias("m")).orderBy("event_type").collect()
+    assert [r["m"] for r in ours] == pytest.approx([r["m"] for r in ref])
