@@ -26,7 +26,7 @@ HEADLINE = [
     "categories_freq", "categories_apply", "join_inner", "group_by", "fill_missing", "add_id", "dedupe_first",
     "rfm_scores", "fir_filter", "median_filter", "iir_filter",
     # features and models
-    "pca", "anomaly_iqr", "assign_cluster", "kmeans", "rf_binary", "frequent_itemsets",
+    "pca", "anomaly_iqr", "assign_cluster", "kmeans", "rf_binary", "frequent_itemsets", "knn_vote", "dbscan",
 ]
 
 

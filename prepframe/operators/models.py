@@ -28,6 +28,7 @@ from prepframe.operators import evaluate as E
 from prepframe.operators.split import hash_bucket
 
 KINDS = ("binary", "multiclass", "regression")
+MAX_CLASSES = 10_000
 
 
 def _classification(algo: str, params: dict, seed: int, multiclass: bool):
@@ -117,8 +118,10 @@ def _label_index(df: DataFrame, label: str) -> tuple[list, bool]:
     """Class labels in frequency order (ties by value), counted by one aggregate."""
     numeric = isinstance(df.schema[label].dataType, NumericType)
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    # classes are few: one row each
-    rows = counts.orderBy(F.col("n").desc(), F.col(label)).collect()
+    # one row per class, collected only after the class count is bounded
+    rows = counts.orderBy(F.col("n").desc(), F.col(label)).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label}: more than {MAX_CLASSES} classes; use a regression model or recode the label")
     return [r[label] for r in rows], numeric
 
 

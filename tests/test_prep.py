@@ -121,3 +121,12 @@ def test_scale_invalid_to_null(spark):
     assert got[0] == (None, None) and got[1] == (None, 0.0) and got[2][1] == 2.0
     with pytest.raises(ValueError):
         scale_expr("x", "nope")
+
+
+def test_sample_n_large_path(spark, monkeypatch):
+    monkeypatch.setattr(S, "TOPK_MAX_ROWS", 10)
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    big = S.sample_n(ev, 50, "event_id", seed=2)
+    monkeypatch.setattr(S, "TOPK_MAX_ROWS", 10**6)
+    small = S.sample_n(ev, 50, "event_id", seed=2)
+    assert sorted(r[0] for r in big.select("event_id").collect()) == sorted(r[0] for r in small.select("event_id").collect())
