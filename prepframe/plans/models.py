@@ -133,6 +133,16 @@ def rf_regression(spark, sf):
     return rounded(out.select("r2", "rmse", "mean_ae", "median_ae"), 2)
 
 
+@query("gbdt_regression")
+def gbdt_regression(spark, sf):
+    data = _price_data(spark, sf).withColumn("_k", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    train, test = split_hash(data, "_k", 0.7)
+    feats = ["l_quantity", "p_retailprice", "l_discount"]
+    m = MO.fit(train, feats, "l_extendedprice", MO.make_estimator("regression", "gbdt", maxIter=10, maxDepth=4), "regression")
+    out = E.regression_metrics(MO.score(m, test), "l_extendedprice", "prediction")
+    return rounded(out.select("r2", "rmse", "mean_ae", "median_ae"), 2)
+
+
 @query(
     "linear_regression",
     """
