@@ -259,7 +259,9 @@ def silhouette(df: DataFrame, features: Sequence[str] | str, prediction: str = "
     ``ClusteringEvaluator`` does: O(n * k) from per-cluster sums (E8).
 
     ``features`` is a list of numeric columns or the name of an array column.  The
-    per-cluster table has k rows (the model parameter), injected as literals.
+    per-cluster sums (k x d values, k = number of clusters) are collected and
+    injected as literal arrays; each row computes its k mean squared distances in one
+    higher-order expression.
     """
     if isinstance(features, str):
         vec = F.col(features).cast("array<double>")
@@ -267,34 +269,39 @@ def silhouette(df: DataFrame, features: Sequence[str] | str, prediction: str = "
         vec = F.array(*[F.col(c).cast("double") for c in features])
     pts = df.select(vec.alias("_x"), F.col(prediction).cast("long").alias("_c")).where(F.col("_c").isNotNull())
     pts = pts.withColumn("_sq", F.aggregate("_x", F.lit(0.0), lambda a, v: a + v * v))
-    dim = len(pts.select("_x").first()["_x"]) if not isinstance(features, (list, tuple)) else len(features)
-    stats = pts.groupBy("_c").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("_sq").alias("y"),
-        F.array(*[F.sum(F.col("_x")[j]) for j in range(dim)]).alias("s"),
-    ).collect()  # k rows: bounded by the number of clusters
-    if not stats:
+    sums = pts.select("_c", F.posexplode("_x").alias("_j", "_xj")).groupBy("_c", "_j").agg(F.sum("_xj").alias("s")).collect()
+    sizes = pts.groupBy("_c").agg(F.count(F.lit(1)).alias("n"), F.sum("_sq").alias("y")).collect()
+    if len(sizes) < 2:  # silhouette needs two clusters
         return df.sparkSession.createDataFrame([(None,)], "silhouette double")
-    dists = {}
-    for r in stats:
-        c, n, yv, s = r["_c"], r["n"], r["y"], r["s"]
-        dot = F.aggregate(
-            F.zip_with(F.col("_x"), F.array(*[F.lit(float(v)) for v in s]), lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v
-        )
-        dists[c] = (F.col("_sq") + F.lit(yv / n) - F.lit(2.0 / n) * dot, n)
-    own_n = F.lit(None).cast("long")
-    own_d = F.lit(None).cast("double")
-    for c, (d, n) in dists.items():
-        own_n = F.when(F.col("_c") == c, F.lit(n)).otherwise(own_n)
-        own_d = F.when(F.col("_c") == c, d).otherwise(own_d)
-    others = [F.when(F.col("_c") != c, d) for c, (d, n) in dists.items()]
-    other_min = F.least(*others) if len(others) > 1 else others[0]
-    a = F.when(own_n > 1, own_d * own_n / (own_n - 1)).otherwise(F.lit(0.0))
-    b = other_min
-    s = (
-        F.when(own_n <= 1, F.lit(0.0))
+    ids = sorted(r["_c"] for r in sizes)
+    pos = {c: i for i, c in enumerate(ids)}
+    dim = 1 + max(r["_j"] for r in sums)
+    mat = [[0.0] * dim for _ in ids]
+    for r in sums:
+        mat[pos[r["_c"]]][r["_j"]] = float(r["s"])
+    n = [0] * len(ids)
+    y = [0.0] * len(ids)
+    for r in sizes:
+        n[pos[r["_c"]]], y[pos[r["_c"]]] = int(r["n"]), float(r["y"])
+    lit_arr = lambda xs: F.array(*[F.lit(float(v)) for v in xs])
+    centre_sums = F.array(*[lit_arr(row) for row in mat])
+    y_over_n, two_over_n = lit_arr([y[i] / n[i] for i in range(len(ids))]), lit_arr([2.0 / n[i] for i in range(len(ids))])
+    dots = F.transform(centre_sums, lambda c: F.aggregate(F.zip_with("_x", c, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v))
+    dist = F.zip_with(F.zip_with(dots, y_over_n, lambda d, yn: F.struct(d.alias("d"), yn.alias("yn"))), two_over_n,
+                      lambda st, tn: F.col("_sq") + st["yn"] - tn * st["d"])
+    own = F.array_position(F.array(*[F.lit(int(c)) for c in ids]), F.col("_c")).cast("int")  # 1-based
+    own_n = F.element_at(F.array(*[F.lit(v) for v in n]), own)
+    own_d = F.element_at(F.col("_dist"), own)
+    others = F.array_min(F.transform("_dist", lambda d, i: F.when(i + 1 == own, F.lit(float("inf"))).otherwise(d)))
+    scored = pts.select(dist.alias("_dist"), "_c").select(
+        own_n.alias("_on"), own_d.alias("_od"), others.alias("_b")
+    )
+    a = F.when(F.col("_on") > 1, F.col("_od") * F.col("_on") / (F.col("_on") - 1)).otherwise(F.lit(0.0))
+    b = F.col("_b")
+    s_ = (
+        F.when(F.col("_on") <= 1, F.lit(0.0))
         .when(a < b, 1 - a / b)
         .when(a > b, b / a - 1)
         .otherwise(F.lit(0.0))
     )
-    return pts.agg(F.avg(s).alias("silhouette"))
+    return scored.agg(F.avg(s_).alias("silhouette"))

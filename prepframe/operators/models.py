@@ -235,19 +235,20 @@ def centres_table(model: FittedModel, spark) -> DataFrame:
 
 def assign_to_centres(df: DataFrame, features: Sequence[str] | str, centres: DataFrame, out: str = "prediction") -> DataFrame:
     """Nearest centre from a centre TABLE ``(cluster, centre array<double>)`` (M10).  The
-    table has k rows (a model parameter) and becomes literals; the argmin is an
-    ``array_min`` over (distance, id) structs - one narrow projection."""
+    table has k rows (a model parameter) and becomes one literal array of arrays; each
+    row computes its k squared distances in one higher-order expression and takes the
+    first minimum (ties -> smaller cluster id)."""
     rows = centres.orderBy("cluster").collect()
     if isinstance(features, str):
         x = F.col(features).cast("array<double>")
     else:
         x = F.array(*[F.col(c).cast("double") for c in features])
-    cands = []
-    for r in rows:
-        c = F.array(*[F.lit(float(v)) for v in r["centre"]])
-        d = F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
-        cands.append(F.struct(d.alias("d"), F.lit(int(r["cluster"])).alias("id")))
-    return df.withColumn(out, F.array_min(F.array(*cands))["id"])
+    cents = F.array(*[F.array(*[F.lit(float(v)) for v in r["centre"]]) for r in rows])
+    ids = F.array(*[F.lit(int(r["cluster"])) for r in rows])
+    d = F.transform(cents, lambda c: F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v))
+    return df.withColumn("_d", d).withColumn(
+        out, F.element_at(ids, F.array_position(F.col("_d"), F.array_min(F.col("_d"))).cast("int"))
+    ).drop("_d")
 
 
 # ------------------------------------------------------------------ evaluation of a model
