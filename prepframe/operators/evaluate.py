@@ -40,9 +40,11 @@ def join_single_rows(*frames: DataFrame) -> DataFrame:
     return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
 
 
-def binary_counts(df: DataFrame, label: str, prediction: str = "prediction", pos_label=1) -> DataFrame:
+def binary_counts(
+    df: DataFrame, label: str, prediction: str = "prediction", pos_label=1, extra: Sequence[Column] = ()
+) -> DataFrame:
     """One row ``tn, fp, fn, tp`` (bigint) from a single aggregate; rows with a null
-    label or prediction are counted nowhere."""
+    label or prediction are counted nowhere.  ``extra`` aggregates ride the same pass."""
     y, p = _is_pos(df, label, pos_label), _is_pos(df, prediction, pos_label)
 
     def cnt(c: Column) -> Column:
@@ -53,10 +55,11 @@ def binary_counts(df: DataFrame, label: str, prediction: str = "prediction", pos
         cnt(~y & p).alias("fp"),
         cnt(y & ~p).alias("fn"),
         cnt(y & p).alias("tp"),
+        *extra,
     )
 
 
-def _ratio_metrics(counts: DataFrame) -> DataFrame:
+def _ratio_metrics(counts: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     tp, tn, fp, fn = (F.col(c).cast("double") for c in ("tp", "tn", "fp", "fn"))
     precision = F.try_divide(tp, tp + fp)
     recall = F.try_divide(tp, tp + fn)
@@ -65,6 +68,7 @@ def _ratio_metrics(counts: DataFrame) -> DataFrame:
         precision.alias("precision"),
         recall.alias("recall"),
         F.try_divide(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        *extra,
         "tn", "fp", "fn", "tp",
     )
 
@@ -93,20 +97,28 @@ def binary_auc(df: DataFrame, label: str, score: str, pos_label=1) -> DataFrame:
     )
 
 
-def binary_logloss(df: DataFrame, label: str, score: str, pos_label=1, eps: float = 1e-15) -> DataFrame:
+def _logloss_agg(df: DataFrame, label: str, score: str, pos_label, eps: float) -> Column:
     y = _indicator(_is_pos(df, label, pos_label)).cast("double")
     p = F.least(F.greatest(F.col(score).cast("double"), F.lit(eps)), F.lit(1 - eps))
-    return df.agg(F.avg(-(y * F.ln(p) + (1 - y) * F.ln(1 - p))).alias("logloss"))
+    return F.avg(-(y * F.ln(p) + (1 - y) * F.ln(1 - p))).alias("logloss")
+
+
+def binary_logloss(df: DataFrame, label: str, score: str, pos_label=1, eps: float = 1e-15) -> DataFrame:
+    return df.agg(_logloss_agg(df, label, score, pos_label, eps))
 
 
 def binary_metrics(
     df: DataFrame, label: str, prediction: str = "prediction", pos_label=1, score: str | None = None
 ) -> DataFrame:
     """accuracy, precision, recall, f1 [, auc, logloss], tn, fp, fn, tp."""
-    base = _ratio_metrics(binary_counts(df, label, prediction, pos_label))
     if score is None:
-        return base
-    return join_single_rows(base, binary_auc(df, label, score, pos_label), binary_logloss(df, label, score, pos_label))
+        return _ratio_metrics(binary_counts(df, label, prediction, pos_label))
+    # counts and log-loss in one pass; AUC needs its own ordering pass
+    base = _ratio_metrics(
+        binary_counts(df, label, prediction, pos_label, [_logloss_agg(df, label, score, pos_label, 1e-15)]), ["logloss"]
+    )
+    out = join_single_rows(base, binary_auc(df, label, score, pos_label))
+    return out.select("accuracy", "precision", "recall", "f1", "auc", "logloss", "tn", "fp", "fn", "tp")
 
 
 def _grid_bucket(s: Column, steps: int) -> Column:
