@@ -266,6 +266,9 @@ def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction"
 
 # ------------------------------------------------------------------ clustering
 
+MAX_CLUSTERS = 10_000
+
+
 def silhouette(df: DataFrame, features: Sequence[str] | str, prediction: str = "prediction") -> DataFrame:
     """Mean silhouette with squared Euclidean distance, computed as Spark ML's
     ``ClusteringEvaluator`` does: O(n * k) from per-cluster sums (E8).
@@ -281,8 +284,11 @@ def silhouette(df: DataFrame, features: Sequence[str] | str, prediction: str = "
         vec = F.array(*[F.col(c).cast("double") for c in features])
     pts = df.select(vec.alias("_x"), F.col(prediction).cast("long").alias("_c")).where(F.col("_c").isNotNull())
     pts = pts.withColumn("_sq", F.aggregate("_x", F.lit(0.0), lambda a, v: a + v * v))
+    sizes = pts.groupBy("_c").agg(F.count(F.lit(1)).alias("n"), F.sum("_sq").alias("y")).limit(MAX_CLUSTERS + 1).collect()
+    if len(sizes) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters in {prediction}")
+    # k x d sums, k bounded above
     sums = pts.select("_c", F.posexplode("_x").alias("_j", "_xj")).groupBy("_c", "_j").agg(F.sum("_xj").alias("s")).collect()
-    sizes = pts.groupBy("_c").agg(F.count(F.lit(1)).alias("n"), F.sum("_sq").alias("y")).collect()
     if len(sizes) < 2:  # silhouette needs two clusters
         return df.sparkSession.createDataFrame([(None,)], "silhouette double")
     ids = sorted(r["_c"] for r in sizes)

@@ -18,6 +18,10 @@ from prepframe._session import broadcast_if_small, cut_lineage
 from prepframe.operators.ordering import exact_percentiles
 
 
+# classes whose moments are collected for FLDA (one row of d + d(d+1)/2 sums each)
+MAX_GROUPS = 10_000
+
+
 def _moments(df: DataFrame, columns: Sequence[str], group: str | None = None):
     """Counts, sums and cross-product sums of ``columns`` (rows with any null skipped)."""
     d = len(columns)
@@ -28,7 +32,13 @@ def _moments(df: DataFrame, columns: Sequence[str], group: str | None = None):
     base = df.where(ok)
     aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)]
     aggs += [F.sum(xs[i] * xs[j]).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
-    rows = (base.groupBy(group).agg(*aggs) if group else base.agg(*aggs)).collect()
+    if group:
+        grouped = base.groupBy(group).agg(*aggs).limit(MAX_GROUPS + 1).collect()
+        if len(grouped) > MAX_GROUPS:
+            raise ValueError(f"{group}: more than {MAX_GROUPS} classes")
+        rows = grouped
+    else:
+        rows = base.agg(*aggs).collect()
     out = {}
     for r in rows:
         n = r["n"]

@@ -238,7 +238,9 @@ def assign_to_centres(df: DataFrame, features: Sequence[str] | str, centres: Dat
     table has k rows (a model parameter) and becomes one literal array of arrays; each
     row computes its k squared distances in one higher-order expression and takes the
     first minimum (ties -> smaller cluster id)."""
-    rows = centres.orderBy("cluster").collect()
+    rows = centres.orderBy("cluster").limit(MAX_CLASSES + 1).collect()  # k rows, bounded
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} centres")
     if isinstance(features, str):
         x = F.col(features).cast("array<double>")
     else:

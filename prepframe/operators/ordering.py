@@ -276,16 +276,29 @@ def exact_percentiles(
         brackets = cut_lineage(brackets)  # one row per group, read twice below
     rows = _attach_group_table(base, brackets, g)
     v = F.col("_v")
-    below = rows.groupBy(*g).agg(*[F.sum(F.when(v < F.col(f"_blo{i}"), 1).otherwise(0)).alias(f"_below{i}") for i in range(k)])
-    tag = F.array(*[F.when((v >= F.col(f"_blo{i}")) & (v <= F.col(f"_bhi{i}")), F.lit(i)) for i in range(k)])
-    cand = (
-        rows.select(*g, "_v", F.explode(tag).alias("_qi"))
-        .where(F.col("_qi").isNotNull())
-        .groupBy(*g, "_qi", "_v")
+    # one pass: every row is "below bracket i" (value null) or "candidate of bracket i"
+    tags = F.array(*[
+        F.when(v < F.col(f"_blo{i}"), F.struct(F.lit(i).alias("qi"), F.lit(None).cast("double").alias("v")))
+        .when(v <= F.col(f"_bhi{i}"), F.struct(F.lit(i).alias("qi"), v.alias("v")))
+        for i in range(k)
+    ])
+    tagged = (
+        rows.select(*g, F.explode(tags).alias("_t"))
+        .where(F.col("_t").isNotNull())
+        .groupBy(*g, F.col("_t.qi").alias("_qi"), F.col("_t.v").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
+    tagged = cut_lineage(tagged)  # candidates + one "below" row per (group, quantile): small
+    below = tagged.where(F.col("_v").isNull()).groupBy(*g).agg(
+        *[F.coalesce(F.sum(F.when(F.col("_qi") == i, F.col("_c"))), F.lit(0)).alias(f"_below{i}") for i in range(k)]
+    )
+    cand = tagged.where(F.col("_v").isNotNull())
     ranked = ordered_totals(cand, ["_v"], partition_by=g + ["_qi"], sums=["_c"])
-    per_group = below.join(brackets.select(*g, "_n"), g) if g else _attach_group_table(below, brackets.select("_n"), [])
+    sizes = brackets.select(*g, "_n")
+    if g:
+        per_group = sizes.join(below, g, "left").fillna(0, [f"_below{i}" for i in range(k)])
+    else:
+        per_group = _attach_group_table(sizes, below, [])  # a global aggregate always has one row
     ranked = _attach_group_table(ranked, per_group, g)
     picked, result = _pick_percentiles(ranked, g, qs, names, "_n", [f"_below{i}" for i in range(k)], "_qi")
     result = cut_lineage(result)
