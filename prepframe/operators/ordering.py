@@ -17,6 +17,7 @@ Used by dense ids, ntile scores, exact percentiles, AUC and the series filters.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 import numpy as np
@@ -31,8 +32,9 @@ from prepframe._session import broadcast_if_small, cut_lineage, ship_package, sh
 
 
 # Inputs counted at or below this many rows are ordered by one plain window task;
-# larger ones take the distributed path.  The count is the size check.
-SINGLE_TASK_MAX_ROWS = 200_000
+# larger ones take the distributed path.  The count is the size check.  The
+# environment variable lets tests force the distributed path on small data.
+SINGLE_TASK_MAX_ROWS = int(os.environ.get("PREPFRAME_SINGLE_TASK_MAX_ROWS", "200000"))
 
 
 def _sort_col(o) -> Column:
@@ -98,7 +100,7 @@ def ordered_totals(
     partition_by: Sequence[str] = (),
     sums: Sequence[str] = (),
     nbuckets: int | None = None,
-    small_input_rows: int | None = SINGLE_TASK_MAX_ROWS,
+    small_input_rows: int | None | str = "auto",
     group_totals: bool = False,
 ) -> DataFrame:
     """Add ``_rn`` (1-based position inside ``partition_by`` in ``order_by`` order) and
@@ -112,6 +114,8 @@ def ordered_totals(
     pcols = list(partition_by)
     sums = list(sums)
     sort_exprs = [F.col(c) for c in pcols] + [_sort_col(o) for o in order_by]
+    if small_input_rows == "auto":
+        small_input_rows = SINGLE_TASK_MAX_ROWS
     # the input is read by the size check, the range sampler and the checkpoint:
     # keep it for those passes (lost blocks are recomputed from lineage)
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
