@@ -255,7 +255,7 @@ def bins_width(spark, sf):
 @query(
     "bins_quantile",
     """
-WITH r AS (SELECT ntile(4) OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS o_totalprice_bin, o_totalprice FROM orders)
+WITH r AS (SELECT CAST(ntile(4) OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS INTEGER) AS o_totalprice_bin, o_totalprice FROM orders)
 SELECT o_totalprice_bin, count(*) AS n, round(min(o_totalprice), 6) AS lo, round(max(o_totalprice), 6) AS hi
 FROM r GROUP BY 1
 """,
