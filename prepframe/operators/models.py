@@ -27,6 +27,10 @@ from pyspark.sql.types import NumericType
 from prepframe.operators import evaluate as E
 from prepframe.operators.split import hash_bucket
 
+# Parameter names of the original components, accepted unchanged so
+# their parameter dictionaries keep working.
+#   forests and trees: treeNum, criterion, maxDepth, minSamplesSplit, minSamplesLeaf
+#   k-means:           K, init, n_init, max_iter, tol
 KINDS = ("binary", "multiclass", "regression")
 MAX_CLASSES = 10_000
 

@@ -67,3 +67,19 @@ def run_to_memory(stream: DataFrame, name: str, output_mode: str = "append", che
     )
     q.awaitTermination()
     return spark.table(name)
+
+
+def run_to_files(
+    stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", output_mode: str = "append",
+    partition_by: Sequence[str] | None = None, available_now: bool = True,
+):
+    """Production sink: files (or a table format) with a checkpoint location on shared
+    storage, so a restarted query resumes exactly where it stopped.  Returns the
+    started ``StreamingQuery`` (already finished when ``available_now``)."""
+    w = stream.writeStream.format(fmt).outputMode(output_mode).option("checkpointLocation", checkpoint).option("path", path)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    q = w.trigger(availableNow=True).start() if available_now else w.start()
+    if available_now:
+        q.awaitTermination()
+    return q

@@ -92,3 +92,16 @@ def test_logloss_clamped(spark):
     df = spark.createDataFrame([(1, 1.0), (0, 0.0), (1, 0.0)], "y int, s double")
     v = E.binary_logloss(df, "y", "s").collect()[0][0]
     assert v == pytest.approx(-math.log(1e-15) / 3, rel=1e-6)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.sampled_from("abcd")), min_size=1, max_size=40))
+def test_confusion_counts_sum_to_n(spark, rows):
+    df = spark.createDataFrame(rows, "y string, p string")
+    assert sum(r["n"] for r in E.confusion_counts(df, "y", "p").collect()) == len(rows)
+    m = E.multiclass_metrics(df, "y", "p").collect()[0]
+    assert m["accuracy"] == pytest.approx(sum(1 for y, p in rows if y == p) / len(rows))

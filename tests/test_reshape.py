@@ -125,3 +125,16 @@ def test_transpose_small(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0), ("b", 3.0, 4.0)], "k string, x double, y double")
     t = R.transpose(df, "k")
     assert t.columns == ["key", "a", "b"] and t.count() == 2
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.floats(-100, 100, allow_nan=False), st.floats(-100, 100, allow_nan=False)),
+                min_size=1, max_size=12, unique_by=lambda t: t[0]))
+def test_kv_roundtrip_property(spark, rows):
+    df = spark.createDataFrame(rows, "id int, a double, b double")
+    back = R.kv_to_table(R.table_to_kv(df, ["id"], ["a", "b"]), ["id"], "k", "v", ["a", "b"])
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
