@@ -267,6 +267,17 @@ def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction"
 # ------------------------------------------------------------------ clustering
 
 MAX_CLUSTERS = 10_000
+# cluster sums inlined as literals at most; beyond, the Spark ML evaluator runs
+MAX_LITERAL_VALUES = 100_000
+
+
+def _silhouette_spark_ml(pts: DataFrame) -> DataFrame:
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    v = pts.select(array_to_vector("_x").alias("_f"), F.col("_c").cast("double").alias("_c"))
+    value = ClusteringEvaluator(featuresCol="_f", predictionCol="_c", distanceMeasure="squaredEuclidean").evaluate(v)
+    return pts.sparkSession.createDataFrame([(float(value),)], "silhouette double")
 
 
 def silhouette(df: DataFrame, features: Sequence[str] | str, prediction: str = "prediction") -> DataFrame:
@@ -285,8 +296,10 @@ def silhouette(df: DataFrame, features: Sequence[str] | str, prediction: str = "
     pts = df.select(vec.alias("_x"), F.col(prediction).cast("long").alias("_c")).where(F.col("_c").isNotNull())
     pts = pts.withColumn("_sq", F.aggregate("_x", F.lit(0.0), lambda a, v: a + v * v))
     sizes = pts.groupBy("_c").agg(F.count(F.lit(1)).alias("n"), F.sum("_sq").alias("y")).limit(MAX_CLUSTERS + 1).collect()
-    if len(sizes) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters in {prediction}")
+    dim_probe = pts.select(F.max(F.size("_x"))).collect()[0][0] or 0
+    if len(sizes) > MAX_CLUSTERS or len(sizes) * dim_probe > MAX_LITERAL_VALUES:
+        # too many cluster sums to inline: Spark ML's evaluator broadcasts them instead
+        return _silhouette_spark_ml(pts)
     # k x d sums, k bounded above
     sums = pts.select("_c", F.posexplode("_x").alias("_j", "_xj")).groupBy("_c", "_j").agg(F.sum("_xj").alias("s")).collect()
     if len(sizes) < 2:  # silhouette needs two clusters

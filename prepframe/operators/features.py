@@ -22,6 +22,25 @@ from prepframe.operators.ordering import exact_percentiles
 MAX_GROUPS = 10_000
 
 
+# Up to this many columns the d(d+1)/2 cross-product sums are one SQL aggregate;
+# wider inputs use Spark ML's RowMatrix-based Correlation + Summarizer.
+MAX_SUM_COLUMNS = 64
+
+
+def _moments_wide(base: DataFrame, columns: Sequence[str]):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Correlation, Summarizer
+
+    v = base.select(array_to_vector(F.array(*[F.col(c).cast("double") for c in columns])).alias("_f"))
+    summ = v.select(Summarizer.metrics("count", "mean", "variance").summary(F.col("_f")).alias("s")).collect()[0]["s"]
+    n = int(summ["count"])
+    mean = summ["mean"].toArray()
+    sd = np.sqrt(np.clip(summ["variance"].toArray(), 0, None))
+    corr = np.nan_to_num(Correlation.corr(v, "_f").collect()[0][0].toArray())
+    cov = corr * np.outer(sd, sd)
+    return n, n * mean, (n - 1) * cov + n * np.outer(mean, mean)
+
+
 def _moments(df: DataFrame, columns: Sequence[str], group: str | None = None):
     """Counts, sums and cross-product sums of ``columns`` (rows with any null skipped)."""
     d = len(columns)
@@ -30,6 +49,8 @@ def _moments(df: DataFrame, columns: Sequence[str], group: str | None = None):
     for x in xs:
         ok = x.isNotNull() & ~F.isnan(x) if ok is None else ok & x.isNotNull() & ~F.isnan(x)
     base = df.where(ok)
+    if group is None and d > MAX_SUM_COLUMNS:
+        return {None: _moments_wide(base, columns)}
     aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)]
     aggs += [F.sum(xs[i] * xs[j]).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
     if group:

@@ -237,6 +237,42 @@ def centres_table(model: FittedModel, spark) -> DataFrame:
     return spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centres)], "cluster int, centre array<double>")
 
 
+MAX_LITERAL_VALUES = 100_000
+
+
+def _assign_vectorised(df: DataFrame, x, rows, out: str) -> DataFrame:
+    """Many / wide centres: broadcast them once as a numpy matrix and take the argmin
+    per Arrow batch (``mapInPandas``), instead of inlining k x d literals."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    from prepframe._session import ship_package
+
+    spark = df.sparkSession
+    ship_package(spark)
+    ids = np.array([int(r["cluster"]) for r in rows], dtype=np.int64)
+    mat = np.array([r["centre"] for r in rows], dtype=np.float64)
+    bc = spark.sparkContext.broadcast((ids, mat))
+
+    def run(batches):
+        cid, m = bc.value
+        mn2 = np.einsum("ij,ij->i", m, m)
+        for pdf in batches:
+            res = pd.array([None] * len(pdf), dtype="Int32")
+            ok = pdf["_x"].notna().to_numpy()
+            if ok.any():
+                q = np.vstack(pdf.loc[ok, "_x"].to_numpy()).astype(np.float64)
+                d2 = np.einsum("ij,ij->i", q, q)[:, None] + mn2[None, :] - 2.0 * (q @ m.T)
+                res[ok] = cid[np.argmin(d2, axis=1)].astype(np.int32)
+            yield pdf.drop(columns=["_x"]).assign(**{out: res})
+
+    # whole rows pass through the batch kernel: no join back, no row ids
+    schema = StructType(list(df.drop(out).schema.fields) + [StructField(out, IntegerType())]) if out in df.columns else \
+        StructType(list(df.schema.fields) + [StructField(out, IntegerType())])
+    return df.drop(out).withColumn("_x", x).mapInPandas(run, schema)
+
+
 def assign_to_centres(df: DataFrame, features: Sequence[str] | str, centres: DataFrame, out: str = "prediction") -> DataFrame:
     """Nearest centre from a centre TABLE ``(cluster, centre array<double>)`` (M10).  The
     table has k rows (a model parameter) and becomes one literal array of arrays; each
@@ -249,6 +285,8 @@ def assign_to_centres(df: DataFrame, features: Sequence[str] | str, centres: Dat
         x = F.col(features).cast("array<double>")
     else:
         x = F.array(*[F.col(c).cast("double") for c in features])
+    if sum(len(r["centre"]) for r in rows) > MAX_LITERAL_VALUES:
+        return _assign_vectorised(df, x, rows, out)
     cents = F.array(*[F.array(*[F.lit(float(v)) for v in r["centre"]]) for r in rows])
     ids = F.array(*[F.lit(int(r["cluster"])) for r in rows])
     d = F.transform(cents, lambda c: F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v))

@@ -107,3 +107,28 @@ def test_svd_and_flda_shapes(spark):
     assert s.values[0] == pytest.approx(np.linalg.svd(x, compute_uv=False)[0], rel=1e-9)
     lda = FE.fit_flda(li, ["l_quantity", "l_extendedprice", "l_discount"], "l_returnflag")
     assert lda.components.shape == (3, 2)
+
+
+def test_wide_fallbacks_match_literal_paths(spark, blobs, monkeypatch):
+    from prepframe.operators import evaluate as E
+
+    m = MO.fit_kmeans(blobs, ["x", "y"], K=3, seed=3)
+    cents = MO.centres_table(m, spark)
+    lit = {r["id"]: r["prediction"] for r in MO.assign_to_centres(blobs, ["x", "y"], cents).collect()}
+    monkeypatch.setattr(MO, "MAX_LITERAL_VALUES", 0)
+    vec = {r["id"]: r["prediction"] for r in MO.assign_to_centres(blobs, ["x", "y"], cents).collect()}
+    assert lit == vec
+    scored = MO.assign_clusters(m, blobs)
+    a = E.silhouette(scored, ["x", "y"]).collect()[0][0]
+    monkeypatch.setattr(E, "MAX_LITERAL_VALUES", 0)
+    b = E.silhouette(scored, ["x", "y"]).collect()[0][0]
+    assert a == pytest.approx(b, abs=1e-9)
+
+
+def test_wide_moments_path_matches(spark, monkeypatch):
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    a = FE.fit_pca(li, cols, 2)
+    monkeypatch.setattr(FE, "MAX_SUM_COLUMNS", 1)
+    b = FE.fit_pca(li, cols, 2)
+    assert np.allclose(a.components, b.components, atol=1e-6) and np.allclose(a.centre, b.centre)
