@@ -191,8 +191,9 @@ def table_to_kv(df: DataFrame, ids: Sequence[str], values: Sequence[str] | None
 
 def kv_to_table(df: DataFrame, ids: Sequence[str], key: str, value: str, keys: Sequence) -> DataFrame:
     """Long -> wide, one column per key in ``keys`` (explicit: no distinct pass);
-    absent (id, key) pairs are null (D10)."""
-    return df.groupBy(*ids).pivot(key, list(keys)).agg(F.first(value, ignorenulls=True))
+    absent (id, key) pairs are null; a repeated pair keeps its largest value, so the
+    result does not depend on row order (D10)."""
+    return df.groupBy(*ids).pivot(key, list(keys)).agg(F.max(value))
 
 
 # ------------------------------------------------------------------ D11 missing values
