@@ -120,12 +120,14 @@ def ordered_totals(
     # keep it for those passes (lost blocks are recomputed from lineage)
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     if small_input_rows is not None and src.limit(small_input_rows + 1).count() <= small_input_rows:
+        # proven small (counted): one window task holds at most `small_input_rows` rows;
+        # the counted copy is kept (checkpointed) so the input is not computed again
+        small = cut_lineage(src)
         src.unpersist()
-        # proven small (counted): one window task holds at most `small_input_rows` rows
         w = Window.partitionBy(*pcols).orderBy(*[_sort_col(o) for o in order_by])
         run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         whole = Window.partitionBy(*pcols).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        out = df.withColumn("_rn", F.row_number().over(w).cast("long"))
+        out = small.withColumn("_rn", F.row_number().over(w).cast("long"))
         for c in sums:
             out = out.withColumn("_cum_" + c, F.sum(F.coalesce(F.col(c), F.lit(0))).over(run))
         if group_totals:
