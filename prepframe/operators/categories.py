@@ -60,6 +60,7 @@ def apply_categories(
     Unseen labels and nulls get ``unseen`` (default -1); ``unseen="keep"`` gives
     both the code ``numLabels`` of that column, as StringIndexer(handleInvalid="keep").
     """
+    # names of the coded columns: one row per column
     cols = list(columns) if columns is not None else [r["col"] for r in codes.select("col").distinct().collect()]
     out = df
     for c in cols:

@@ -250,6 +250,7 @@ def rank_features(df: DataFrame, features: Sequence[str], target: str | None = N
 
 
 def select_top(df: DataFrame, ranking: DataFrame, keep: Sequence[str], n: int) -> DataFrame:
+    # at most n feature names (n rows)
     best = [r["feature"] for r in ranking.where(F.col("rank") <= n).orderBy("rank").collect()]
     return df.select(*keep, *best)
 

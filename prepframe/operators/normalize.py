@@ -124,6 +124,7 @@ def clip(df: DataFrame, bounds: DataFrame | dict) -> DataFrame:
     """Clip columns into ``[lo, hi]``; ``bounds`` is a frame from ``fit_clip_bounds``
     or a dict ``{col: (lo, hi)}`` of given bounds."""
     if isinstance(bounds, DataFrame):
+        # bounds table: one row per column
         bounds = {r["col"]: (r["lo"], r["hi"]) for r in bounds.collect()}
     exprs = {}
     for c, (lo, hi) in bounds.items():

@@ -318,6 +318,7 @@ FROM customer, b GROUP BY c_mktsegment
 )
 def clip_sigma(spark, sf):
     c = load(spark, sf, "customer")
+    # bounds table: one row per column
     b = {r["col"]: (r["lo"], r["hi"]) for r in N.fit_clip_bounds(c, ["c_acctbal"], "sigma", k=1.5).collect()}
     lo, hi = b["c_acctbal"]
     out = N.clip(c.withColumn("_orig", F.col("c_acctbal")), b)

@@ -24,3 +24,14 @@ def stream_window_confusion(spark, sf):
     scored = score_stream(stream, [lambda d: d.withColumn("prediction", F.when(F.col("value") > 50, "click").otherwise("view"))])
     agg = windowed_confusion(scored, "ts", "event_type", "prediction", "1 day", watermark=None)
     return run_to_memory(agg, "confusion_" + uuid.uuid4().hex[:8], output_mode="complete")
+
+
+@query("stream_window_confusion_append")
+def stream_window_confusion_append(spark, sf):
+    # event-time windows closed by a one-hour watermark are emitted once (append mode);
+    # state for older windows is dropped, so the state stays bounded on an endless stream
+    schema = load(spark, sf, "events").schema
+    stream = read_stream(spark, f"{sf.rstrip('/')}/events*.parquet", schema)
+    scored = score_stream(stream, [lambda d: d.withColumn("prediction", F.when(F.col("value") > 50, "click").otherwise("view"))])
+    agg = windowed_confusion(scored, "ts", "event_type", "prediction", "1 day", watermark="1 hour")
+    return run_to_memory(agg, "confusion_append_" + uuid.uuid4().hex[:8], output_mode="append")
