@@ -138,3 +138,19 @@ def test_kv_roundtrip_property(spark, rows):
     df = spark.createDataFrame(rows, "id int, a double, b double")
     back = R.kv_to_table(R.table_to_kv(df, ["id"], ["a", "b"]), ["id"], "k", "v", ["a", "b"])
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+@pytest.mark.parametrize("bound", [5_000, 0])
+def test_encodings_apply_map_and_join_paths(spark, monkeypatch, bound):
+    monkeypatch.setattr(C, "MAX_MAP_ENTRIES", bound)
+    df = spark.createDataFrame([("x", 1.0), ("y", 0.0), ("x", 0.0), (None, 1.0)], "s string, t double")
+    key = lambda v: (v[0] is not None, v[0] or "", v[1])
+    freq = sorted(((r["s"], r["s_freq"]) for r in C.frequency_encode(df, "s").collect()), key=key)
+    assert freq == sorted([("x", 2), ("y", 1), ("x", 2), (None, 1)], key=key)
+    enc = C.fit_target_encoding(df.where("s IS NOT NULL"), "s", "t", smoothing=0.0)
+    new = spark.createDataFrame([("x",), ("z",)], "s string")
+    got = {r["s"]: r["s_te"] for r in C.apply_target_encoding(new, "s", enc).collect()}
+    assert got == {"x": 0.5, "z": pytest.approx(1 / 3)}
+    codes = C.fit_categories(df, ["s"])
+    coded = sorted(r[0] for r in C.apply_categories(new, codes).collect())
+    assert coded == [-1, 0]
