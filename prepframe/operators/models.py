@@ -301,7 +301,12 @@ def evaluate(model: FittedModel, scored: DataFrame, label: str, pos_label=None)
     if model.kind == "regression":
         return E.regression_metrics(scored, label, "prediction")
     if model.kind == "binary":
-        pos = pos_label if pos_label is not None else model.labels[-1]
+        if pos_label is not None:
+            pos = pos_label
+        elif model.label_numeric and {float(v) for v in model.labels} == {0.0, 1.0}:
+            pos = next(v for v in model.labels if float(v) == 1.0)  # 0/1 labels: 1 is positive
+        else:
+            pos = model.labels[-1]  # otherwise the less frequent class
         return E.binary_metrics(scored, label, "prediction", pos, score=_prob_name(pos))
     return E.multiclass_metrics(scored, label, "prediction")
 
