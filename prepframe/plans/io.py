@@ -137,3 +137,23 @@ def type_transform(spark, sf):
     return out.groupBy("event_type").agg(
         F.sum("k").cast("bigint").alias("k"), F.round(F.sum("v"), 4).alias("v"), F.count(F.lit(1)).alias("n")
     )
+
+
+@query(
+    "add_id_fast",
+    """
+SELECT count(*) AS n, count(*) AS n_distinct FROM orders
+""",
+)
+def add_id_fast(spark, sf):
+    from prepframe.operators.reshape import add_id
+
+    # unique (not dense) ids without any ordering work: distinct count equals row count
+    ids = add_id(load(spark, sf, "orders"), "id")
+    return ids.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_distinct"))
+
+
+@query("sample_fraction")
+def sample_fraction(spark, sf):
+    s = S.sample_fraction(load(spark, sf, "lineitem"), 0.1, seed=5)
+    return s.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
