@@ -154,3 +154,22 @@ def test_encodings_apply_map_and_join_paths(spark, monkeypatch, bound):
     codes = C.fit_categories(df, ["s"])
     coded = sorted(r[0] for r in C.apply_categories(new, codes).collect())
     assert coded == [-1, 0]
+
+
+def test_rfm_scores_balanced_and_segmented(spark):
+    from prepframe.operators import rfm as RF
+
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    r = RF.rfm_process(o, "o_custkey", "o_orderdate", "o_totalprice", as_of="2001-09-01")
+    s = RF.rfm_scores(r, "o_custkey").collect()
+    n = len(s)
+    for col in ("r_score", "f_score", "m_score"):
+        counts = {}
+        for row in s:
+            counts[row[col]] = counts.get(row[col], 0) + 1
+        assert set(counts) == {1, 2, 3, 4, 5} and max(counts.values()) - min(counts.values()) <= 1 and sum(counts.values()) == n
+    for row in s:
+        rr, ff = row["r_score"], row["f_score"]
+        want = ("champion" if rr >= 4 and ff >= 4 else "new" if rr >= 4 and ff <= 2 else
+                "at_risk" if rr <= 2 and ff >= 4 else "lost" if rr <= 2 and ff <= 2 else "regular")
+        assert row["segment"] == want and row["rfm_code"] == f"{rr}{ff}{row['m_score']}"
