@@ -175,6 +175,5 @@ def bucketize(df: DataFrame, column: str, edges: Sequence[float], out: str | Non
 
 def equal_frequency_bins(df: DataFrame, column: str, n: int, tie_key: str, out: str | None = None) -> DataFrame:
     """SQL ``ntile(n) over (order by column, tie_key)`` - 1, without a global window."""
-    ranked = ordered_totals(df, [column, tie_key])
-    total = df.count()
-    return ranked.withColumn(out or column + "_bin", ntile_expr(F.col("_rn"), F.lit(total), n) - 1).drop("_rn")
+    ranked = ordered_totals(df, [column, tie_key], group_totals=True)
+    return ranked.withColumn(out or column + "_bin", ntile_expr(F.col("_rn"), F.col("_tot_n"), n) - 1).drop("_rn", "_tot_n")
