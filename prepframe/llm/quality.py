@@ -48,60 +48,72 @@ RULES = [
 ]
 
 
-def base_measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed (and `words`)."""
-    squeezed = F.translate("text", SPACE, "")
-    out = docs.drop("words", "base_failed", *BASE_COLUMNS).withColumn("text", F.coalesce(F.col(text), F.lit("")))
-    out = out.withColumn(
-        "words",
-        F.when(F.length(squeezed) == 0, F.array().cast("array<string>")).otherwise(
-            F.split(F.btrim(F.col("text"), F.lit(SPACE)), "[ \\t\\n\\x0B\\f\\r]+")
-        ),
+def _let(value: Column, body) -> Column:
+    """``body`` over ``value`` computed once (a lambda variable is never inlined)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _repeat_words(words: Column) -> Column:
+    """Words inside 3-word windows found twice or more in the text, the first included.
+
+    A 64-bit hash stands for each window; it is compared within one text only.  Sorting is
+    paid only by texts that do repeat a window.
+    """
+    windows = F.transform(
+        F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
+        lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)),
     )
-    n = F.size("words")
-    lines = F.filter(F.split("text", "\n"), lambda l: F.length(F.translate(l, SPACE, "")) > 0)
-    out = (
-        out.withColumn("n_words", n.cast("long"))
-        .withColumn("word_chars", F.length(squeezed).cast("long"))
-        .withColumn("n_symbols", (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long"))
-        # A 64-bit hash stands for each 3-word window; it is compared within one text only.
-        .withColumn(
-            "_windows",
-            F.when(
-                n >= 3,
-                F.transform(
-                    F.slice("words", 1, F.greatest(n - 2, F.lit(0))),
-                    lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)),
-                ),
-            ),
+
+    def positions(ranked: Column) -> Column:
+        marked = F.transform(
+            ranked,
+            lambda e, k: F.when(
+                F.coalesce(e["h"] == F.get(ranked, k - 1)["h"], F.lit(False))
+                | F.coalesce(e["h"] == F.get(ranked, k + 1)["h"], F.lit(False)),
+                e["i"],
+            ).otherwise(F.lit(-1)),
         )
-        .withColumn("_lines", lines)
-    )
-    out = out.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-    # Sorting is paid only by texts that do repeat a window.
-    out = out.withColumn(
-        "_sorted",
-        F.when(
-            F.size(F.array_distinct("_windows")) < F.size("_windows"),
-            F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
-        ),
+        return F.sort_array(F.filter(marked, lambda i: i >= 0))
+
+    def covered(h: Column) -> Column:
+        ranked = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return F.aggregate(
+            _let(ranked, positions),
+            F.struct(F.lit(0).alias("to"), F.lit(0).alias("n")),
+            lambda s, i: F.struct((i + 3).alias("to"), (s["n"] + i + 3 - F.greatest(s["to"], i)).alias("n")),
+            lambda s: s["n"],
+        )
+
+    return _let(windows, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(F.lit(0)))
+
+
+def base_measures(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed (and `words`).
+
+    The measures leave through ``inline``: a later filter on them cannot be moved below
+    the generator, so they are computed once per text.
+    """
+    squeezed = F.translate("text", SPACE, "")
+    words = F.when(F.length(squeezed) == 0, F.array().cast("array<string>")).otherwise(
+        F.split(F.btrim(F.col("text"), F.lit(SPACE)), "[ \\t\\n\\x0B\\f\\r]+")
     )
-    out = out.withColumn(
-        "_again",
-        F.expr(
-            "sort_array(transform(filter(transform(_sorted, (e, k) -> named_struct('i', e.i, 'd', "
-            "coalesce(e.h = get(_sorted, k - 1).h, false) OR coalesce(e.h = get(_sorted, k + 1).h, false))), "
-            "x -> x.d), x -> x.i))"
+    lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, SPACE, "")) > 0)
+    measures = _let(
+        words,
+        lambda w: F.struct(
+            w.alias("words"),
+            F.size(w).cast("long").alias("n_words"),
+            F.length(squeezed).cast("long").alias("word_chars"),
+            (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            _repeat_words(w).cast("long").alias("n_repeat_words"),
         ),
     )
-    covered = F.expr(
-        "aggregate(_again, named_struct('to', 0, 'n', 0), "
-        "(s, i) -> named_struct('to', i + 3, 'n', s.n + i + 3 - greatest(s.to, i)), s -> s.n)"
-    )
-    out = out.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
+    out = docs.drop("words", "base_failed", *BASE_COLUMNS).withColumn("text", F.coalesce(F.col(text), F.lit("")))
+    out = out.select("*", F.inline(F.array(measures)))
     return out.withColumn(
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    ).drop("_windows", "_lines", "_sorted", "_again")
+    )
 
 
 def plan_cascade(measured: DataFrame, rules: list[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
@@ -109,13 +121,13 @@ def plan_cascade(measured: DataFrame, rules: list[Rule] = RULES, sample_rows: in
 
     The sample only fixes the order in which the rules run, never a verdict.
     """
-    sample = measured.where(~F.col("base_failed")).limit(sample_rows).persist()
+    sample = measured.limit(sample_rows).persist()
     try:
         n = max(sample.count(), 1)
 
         def run(rule: Rule) -> tuple[float, int]:
             t0 = time.perf_counter()
-            got = sample.agg(F.count_if(F.expr(rule.reject)).alias("n")).collect()  # one row
+            got = sample.agg(F.count_if(F.expr(f"NOT base_failed AND ({rule.reject})")).alias("n")).collect()  # one row
             return time.perf_counter() - t0, got[0]["n"]
 
         ranked = []
