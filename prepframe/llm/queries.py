@@ -60,4 +60,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.apply_cascade(docs).select("doc_id", *Q.BASE_COLUMNS, "base_failed", "kept")
 
 
+@query("op4_ngram_jaccard_join")
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepframe.llm.jaccard import similarity_components
+
+    return similarity_components(load(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 __all__ = ["ORACLE", "QUERIES", "load", "prepare", "query"]
