@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from prepframe.llm.common import load, prepare
 
@@ -67,4 +68,23 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_components(load(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def _fold(n: int, k: int):
+    """Rows whose crc32(doc_id as text) leaves the remainder k."""
+    return F.crc32(F.col("doc_id").cast("string")) % n == k
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepframe.llm.toxicity import score_toxicity
+
+    return score_toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), _fold(3, 1))
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepframe.llm.pu import positive_unlabelled
+
+    return positive_unlabelled(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), _fold(5, 0))
+
+
 __all__ = ["ORACLE", "QUERIES", "load", "prepare", "query"]
