@@ -115,31 +115,39 @@ def features(word: str) -> list[str]:
 
 @dataclass
 class Scorer:
+    """Weights of words and word beginnings, and a logistic curve over a text's evidence."""
+
     lm: LanguageModel
     weight: dict[str, float] = field(default_factory=dict)
-    slope: float = 0.0
+    slope: tuple[float, ...] = (0.0, 0.0)
     shift: float = -30.0
     cache: dict = field(default_factory=dict)
 
     def token(self, t: str) -> tuple:
+        """Largest weight and known features of a white-space token's restored words."""
         got = self.cache.get(t)
         if got is None:
             if len(self.cache) > CACHE:
                 self.cache.clear()
-            got = self.cache[t] = tuple({f for w in restore(t, self.lm) for f in features(w) if f in self.weight})
+            known = {f for w in restore(t, self.lm) for f in features(w) if f in self.weight}
+            got = self.cache[t] = (max((self.weight[f] for f in known), default=0.0), known)
         return got
 
-    def raw(self, text: str) -> float:
+    def evidence(self, text: str) -> tuple[float, float]:
+        """Summed weight of the distinct features, and weight per hundred words."""
         low = text.lower()
-        found = set()
-        for t in set(low.split()):
-            found.update(self.cache.get(t) or self.token(t))
-        for t in spaced_out(low):
-            found.update(self.token(t))
-        return math.log1p(sum(self.weight[f] for f in found))
+        words = low.split()
+        found: set = set()
+        dense = 0.0
+        for t, n in Counter([*words, *spaced_out(low)]).items():
+            w, known = self.cache.get(t) or self.token(t)
+            if known:
+                dense += w * n
+                found |= known
+        return math.log1p(sum(self.weight[f] for f in found)), math.log1p(100 * dense / max(1, len(words)))
 
     def score(self, text: str) -> float:
-        z = self.slope * self.raw(text) + self.shift
+        z = sum(a * x for a, x in zip(self.slope, self.evidence(text))) + self.shift
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
@@ -213,18 +221,21 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
     table.unpersist()
     scorer.weight = {r["f"]: r["w"] for r in rows}
 
-    def raw(b: pa.RecordBatch):
-        return pa.RecordBatch.from_arrays([pa.array([scorer.raw(t) for t in b.column(0).to_pylist()]), b.column(1)], names=["x", "y"])
-
-    got = map_batches(texts, raw, "x double, y int").collect()  # at most 2 * max_rows rows of two numbers
-    x, y = np.array([r["x"] for r in got]), np.array([r["y"] for r in got])
-    w = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))  # classes weigh the same
-    a, b = 1.0, -1.0
-    for _ in range(2000):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g = w * (p - y)
-        a, b = a - 2.0 * float(g @ x), b - 2.0 * float(g.sum())
-    scorer.slope, scorer.shift, scorer.cache = a, b, {}
+    def evidence(b: pa.RecordBatch):
+        rows = [scorer.evidence(t) for t in b.column(0).to_pylist()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), b.column(1)], names=["x1", "x2", "y"]
+        )
+
+    got = map_batches(texts, evidence, "x1 double, x2 double, y int").collect()  # at most 2 * max_rows rows of numbers
+    x, y = np.array([[r["x1"], r["x2"], 1.0] for r in got]), np.array([r["y"] for r in got])
+    weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))  # classes weigh the same
+    w = np.zeros(3)
+    for _ in range(25):  # Newton steps with a little ridge
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(3)
+        w = w - np.linalg.solve(hess, x.T @ (weight * (p - y)) + 1e-4 * w)
+    scorer.slope, scorer.shift, scorer.cache = (float(w[0]), float(w[1])), float(w[2]), {}
     return scorer
 
 
