@@ -87,4 +87,27 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positive_unlabelled(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), _fold(5, 0))
 
 
+@query("op5_bpe_encode_decode")
+def op5_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepframe.llm.bpe import decode, encode
+    from prepframe.llm.tokens import tokenizer_path
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    both = decode(encode(load(spark, sf_dir, "documents"), path), path)
+    return both.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op3_best_fit_packing")
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepframe.llm.packing import pack
+    from prepframe.llm.tokens import tokenizer_path
+
+    return pack(load(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 __all__ = ["ORACLE", "QUERIES", "load", "prepare", "query"]
