@@ -110,4 +110,15 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(load(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+@query("op9_bit_planes")
+def op9_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepframe.llm.common import scratch_path
+    from prepframe.llm.planes import read_documents, write_store
+    from prepframe.llm.tokens import tokenizer_path
+
+    out = scratch_path(spark, "token-planes")
+    write_store(load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), out)
+    return read_documents(spark, out).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 __all__ = ["ORACLE", "QUERIES", "load", "prepare", "query"]
