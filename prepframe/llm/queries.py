@@ -121,4 +121,11 @@ def op9_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, out).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query("op10_html_consensus")
+def op10_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepframe.llm.html import extract_pages
+
+    return extract_pages(load(spark, sf_dir, "pages"))
+
+
 __all__ = ["ORACLE", "QUERIES", "load", "prepare", "query"]
