@@ -128,4 +128,11 @@ def op10_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(load(spark, sf_dir, "pages"))
 
 
+@query("op7_e8_lattice")
+def op7_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepframe.llm.lattice import near_duplicates
+
+    return near_duplicates(load(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 __all__ = ["ORACLE", "QUERIES", "load", "prepare", "query"]
