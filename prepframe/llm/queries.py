@@ -135,4 +135,12 @@ def op7_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+@query("op1_pii_pseudonyms")
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepframe.llm.pii import pseudonymise
+
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs).select("doc_id", "text", "n_pii")
+
+
 __all__ = ["ORACLE", "QUERIES", "load", "prepare", "query"]
