@@ -30,7 +30,7 @@ def text_of(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema) -> DataFrame:
     """``mapInArrow`` with one output batch (or None) per non-empty input batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -143,4 +143,11 @@ def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(docs).select("doc_id", "text", "n_pii")
 
 
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 __all__ = ["ORACLE", "QUERIES", "load", "prepare", "query"]

@@ -253,3 +253,16 @@ def score_toxicity(
 
     scored = map_batches(docs, fn, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.7, max_rows: int = MAX_FIT_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below the threshold."""
+    prepare(docs.sparkSession)
+    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    scorer = fit(texts, labels.select("doc_id", label), F.lit(False), label, max_rows)
+    at = docs.columns.index("text")
+
+    def fn(b: pa.RecordBatch) -> pa.RecordBatch:
+        return b.filter(pa.array([scorer.score(t or "") < threshold for t in b.column(at).to_pylist()], pa.bool_()))
+
+    return map_batches(docs, fn, docs.schema)
