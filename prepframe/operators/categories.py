@@ -42,10 +42,10 @@ def fit_categories(df: DataFrame, columns: Sequence[str], order: str = "frequenc
         raise ValueError(f"order must be one of {_ORDERS}")
     counts = category_counts(df, columns)
     keys = {
-        "frequencyDesc": [F.col("cnt").desc(), F.col("label").asc()],
-        "frequencyAsc": [F.col("cnt").asc(), F.col("label").asc()],
-        "alphabetAsc": [F.col("label").asc()],
-        "alphabetDesc": [F.col("label").desc()],
+        "frequencyDesc": [("cnt", False), "label"],
+        "frequencyAsc": ["cnt", "label"],
+        "alphabetAsc": ["label"],
+        "alphabetDesc": [("label", False)],
     }[order]
     ranked = ordered_totals(counts, keys, partition_by=["col"])
     # the code table is read once per coded column and by size checks: materialise it

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from prepframe._session import cut_lineage
 from prepframe.operators.ordering import exact_percentiles, ordered_totals
 
 
@@ -87,7 +88,8 @@ def binary_auc(df: DataFrame, label: str, score: str, pos_label=1) -> DataFrame:
         .groupBy("_s")
         .agg(F.sum("_y").cast("bigint").alias("_pos"), F.sum(1 - F.col("_y")).cast("bigint").alias("_neg"))
     )
-    ranked = ordered_totals(per_score, ["_s"], sums=["_neg"])
+    # distinct scores only: the scored rows are computed once
+    ranked = ordered_totals(cut_lineage(per_score), ["_s"], sums=["_neg"])
     below = F.col("_cum__neg") - F.col("_neg")
     return ranked.agg(
         F.try_divide(

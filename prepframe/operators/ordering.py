@@ -1,97 +1,93 @@
 """Distributed total order: running row numbers / running sums without a global window.
 
 A ``Window`` with no ``partitionBy`` (or one whose partition key is hot) pulls a whole
-group into one task.  ``ordered_totals`` instead
-
-1. range-partitions on (group keys, order keys) - Spark's range partitioner splits a
-   hot group over many partitions - and sorts inside each partition;
-2. cuts lineage with a reliable checkpoint so partition ids are fixed;
-3. takes local running numbers/sums per partition in one vectorised pass
-   (``mapInPandas``: per-partition state, no shuffle);
-4. adds per-(partition, group) offsets.  Only the first group of a partition can have
-   begun in an earlier partition, so the non-zero offset table has fewer rows than
-   there are partitions: a broadcast with a proven bound.
-
-Used by dense ids, ntile scores, exact percentiles, AUC and the series filters.
+group into one task.  ``ordered_totals`` instead, for inputs of any size,
+
+1. takes the rows with the smallest key hashes as a sample (one pass, at most
+   ``SAMPLE_PER_BUCKET`` rows per bucket) and reads bucket boundaries over the *whole* sort
+   tuple from it, so a heavily tied leading key is still split by the keys behind it;
+2. names every row's bucket with an expression over literal boundaries (no layout to keep,
+   no copy of the rows);
+3. takes running numbers/sums inside (bucket, group) with a plain window;
+4. adds per-(bucket, group) offsets.  Only the first group of a bucket can have begun in
+   an earlier bucket, so the non-zero offset table has fewer rows than there are
+   buckets: a broadcast with a proven bound.
+
+Everything is a JVM expression; values never pass through Python.  Used by dense ids,
+ntile scores, exact percentiles, AUC and the series filters.
 """
 
 from __future__ import annotations
 
-import os
+import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, LongType, DoubleType, StructField, StructType
-
-from pyspark import StorageLevel
-
-from prepframe._session import broadcast_if_small, cut_lineage, ship_package, shuffle_partitions
-
-
-# Inputs counted at or below this many rows are ordered by one plain window task;
-# larger ones take the distributed path.  The count is the size check.  The
-# environment variable lets tests force the distributed path on small data.
-SINGLE_TASK_MAX_ROWS = int(os.environ.get("PREPFRAME_SINGLE_TASK_MAX_ROWS", "200000"))
-
-
-def _sort_col(o) -> Column:
-    return F.col(o) if isinstance(o, str) else o
-
-
-def _same_key(a, b) -> bool:
-    if a is None or b is None:
-        return False
-    for x, y in zip(a, b):
-        xn = x is None or (isinstance(x, float) and np.isnan(x))
-        yn = y is None or (isinstance(y, float) and np.isnan(y))
-        if xn and yn:
-            continue
-        if xn != yn or x != y:
-            return False
-    return True
-
-
-def _local_running(pcols: list[str], sums: list[str], integral: dict[str, bool]):
-    def run(batches):
-        last_key = None
-        carry_rn = 0
-        carry = {c: 0 for c in sums}
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                out = pdf.assign(_rn=pd.Series([], dtype="int64"))
-                for c in sums:
-                    out["_cum_" + c] = pd.Series([], dtype="int64" if integral[c] else "float64")
-                yield out
-                continue
-            same = np.ones(n, dtype=bool)
-            for c in pcols:
-                s = pdf[c]
-                prev = s.shift(1)
-                same &= ((s == prev) | (s.isna() & prev.isna())).to_numpy()
-            first_key = tuple(pdf[c].iloc[0] for c in pcols)
-            same[0] = _same_key(last_key, first_key) if pcols else last_key is not None
-            gid = np.cumsum(~same)
-            cont = gid == 0
-            rn = pdf.groupby(gid).cumcount().to_numpy().astype("int64") + 1
-            rn[cont] += carry_rn
-            out = pdf.assign(_rn=rn)
-            for c in sums:
-                v = pdf[c].fillna(0)
-                v = v.astype("int64") if integral[c] else v.astype("float64")
-                cs = v.groupby(gid).cumsum().to_numpy()
-                cs[cont] += carry[c]
-                out["_cum_" + c] = cs
-            carry_rn = int(rn[-1])
-            for c in sums:
-                carry[c] = out["_cum_" + c].iloc[-1]
-            last_key = tuple(pdf[c].iloc[-1] for c in pcols) if pcols else ()
-            yield out
-
-    return run
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+
+from prepframe._session import cut_lineage, shuffle_partitions
+
+SAMPLE_PER_BUCKET = 20
+
+
+def _item(o) -> tuple[str, bool]:
+    """``"name"`` or ``("name", ascending)``; nulls sort first ascending, last descending."""
+    return (o, True) if isinstance(o, str) else (o[0], bool(o[1]))
+
+
+def _plain_key(df: DataFrame, name: str) -> Column:
+    """An order-preserving stand-in whose literals do not depend on calendars or time zones."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(name)
+    if isinstance(kind, TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{name}`)")
+    if isinstance(kind, DateType):
+        return F.unix_date(name)
+    return F.col(name)
+
+
+def _not_after(bound: Column, row: list[Column], ascending: list[bool]) -> Column:
+    """Whether the boundary tuple comes before or together with the row's tuple."""
+    out = F.lit(True)
+    for i in reversed(range(len(row))):
+        b, r = bound[f"k{i}"], row[i]
+        lo, hi = (b, r) if ascending[i] else (r, b)
+        before = (lo.isNull() & hi.isNotNull()) | F.coalesce(lo < hi, F.lit(False))
+        out = before | (b.eqNullSafe(r) & out)
+    return out
+
+
+def _bucket(df: DataFrame, items: list[tuple[str, bool]], buckets: int) -> Column:
+    """Bucket number of a row among at most ``buckets`` ranges of the sort tuple."""
+    keys = [_plain_key(df, c) for c, _ in items]
+    up = [a for _, a in items]
+    named = df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    names = named.columns
+    # bounded sample: the rows with the smallest key hashes
+    sample = named.orderBy(F.xxhash64(F.lit("order"), *names)).limit(SAMPLE_PER_BUCKET * buckets)
+    rows = sample.orderBy(*[F.col(c).asc() if a else F.col(c).desc() for c, a in zip(names, up)]).collect()
+    picked = [rows[len(rows) * j // buckets] for j in range(1, buckets)] if rows else []
+    bounds = [r for i, r in enumerate(picked) if i == 0 or r != picked[i - 1]]
+    if not bounds:
+        return F.lit(0)
+    kinds = [f.dataType for f in named.schema.fields]
+
+    def literal(r) -> Column:
+        return F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(r, kinds, names)])
+
+    # Two levels of about sqrt(n) boundaries each.
+    width = max(1, math.isqrt(len(bounds)))
+    groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]
+    coarse = F.array(*[literal(g[0]) for g in groups])
+    fine = F.array(*[F.array(*[literal(r) for r in g]) for g in groups])
+
+    def passed(array: Column) -> Column:
+        return F.size(F.filter(array, lambda b: _not_after(b, keys, up)))
+
+    first = passed(coarse)
+    return F.when(first == 0, F.lit(0)).otherwise((first - 1) * width + passed(F.element_at(fine, F.greatest(first, F.lit(1)))))
 
 
 def ordered_totals(
@@ -100,94 +96,46 @@ def ordered_totals(
     partition_by: Sequence[str] = (),
     sums: Sequence[str] = (),
     nbuckets: int | None = None,
-    small_input_rows: int | None | str = "auto",
     group_totals: bool = False,
 ) -> DataFrame:
     """Add ``_rn`` (1-based position inside ``partition_by`` in ``order_by`` order) and
-    ``_cum_<c>`` (inclusive running sum) for each column in ``sums``.
+    ``_cum_<c>`` (inclusive running sum) for each column in ``sums``; with ``group_totals``
+    also ``_tot_n`` and ``_tot_<c>``.
 
-    ``order_by`` should make the order total (add a unique key last) when the caller
-    needs row numbers that do not depend on the physical layout.
+    ``order_by`` holds names or ``(name, ascending)`` pairs and should make the order total
+    (a unique key last) when row numbers must not depend on the physical layout.
     """
-    spark = df.sparkSession
-    nb = nbuckets or shuffle_partitions(spark)
-    pcols = list(partition_by)
-    sums = list(sums)
-    sort_exprs = [F.col(c) for c in pcols] + [_sort_col(o) for o in order_by]
-    if small_input_rows == "auto":
-        small_input_rows = SINGLE_TASK_MAX_ROWS
-    # the input is read by the size check, the range sampler and the checkpoint:
-    # keep it for those passes (lost blocks are recomputed from lineage)
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if small_input_rows is not None and src.limit(small_input_rows + 1).count() <= small_input_rows:
-        # proven small (counted): one window task holds at most `small_input_rows` rows;
-        # the counted copy is kept (checkpointed) so the input is not computed again
-        small = cut_lineage(src)
-        src.unpersist()
-        w = Window.partitionBy(*pcols).orderBy(*[_sort_col(o) for o in order_by])
-        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        whole = Window.partitionBy(*pcols).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        out = small.withColumn("_rn", F.row_number().over(w).cast("long"))
-        for c in sums:
-            out = out.withColumn("_cum_" + c, F.sum(F.coalesce(F.col(c), F.lit(0))).over(run))
-        if group_totals:
-            out = out.withColumn("_tot_n", F.count(F.lit(1)).over(whole))
-            for c in sums:
-                out = out.withColumn("_tot_" + c, F.sum(F.coalesce(F.col(c), F.lit(0))).over(whole))
-        return out
-    ship_package(spark)
-    laid = (
-        src.repartitionByRange(nb, *sort_exprs)
-        .sortWithinPartitions(*sort_exprs)
-        .withColumn("_pid", F.spark_partition_id())
-    )
-    laid = cut_lineage(laid)
-    src.unpersist()
-
-    integral = {c: isinstance(laid.schema[c].dataType, IntegralType) for c in sums}
-    fields = list(laid.schema.fields) + [StructField("_rn", LongType(), False)]
-    fields += [
-        StructField("_cum_" + c, LongType() if integral[c] else DoubleType(), True) for c in sums
-    ]
-    local = laid.mapInPandas(_local_running(pcols, sums, integral), StructType(fields))
-
-    totals = laid.groupBy("_pid", *pcols).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias("_t_" + c) for c in sums]
-    )
-    before = Window.partitionBy(*pcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    pcols, sums = list(partition_by), list(sums)
+    items = [_item(o) for o in order_by]
+    buckets = nbuckets or shuffle_partitions(df.sparkSession)
+    marked = df.withColumn("_b", _bucket(df, [(c, True) for c in pcols] + items, buckets).cast("int"))
+    order = [F.col(c).asc() if a else F.col(c).desc() for c, a in items]
+    w = Window.partitionBy("_b", *pcols).orderBy(*order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = marked.withColumn("_rn", F.row_number().over(w).cast("long"))
+    for c in sums:
+        local = local.withColumn("_cum_" + c, F.sum(F.coalesce(F.col(c), F.lit(0))).over(run))
+
+    totals = marked.groupBy("_b", *pcols).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias("_t_" + c) for c in sums])
+    before = Window.partitionBy(*pcols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        F.col("_pid").alias("_o_pid"),
+        F.col("_b").alias("_o_b"),
         *[F.col(c).alias("_o_" + c) for c in pcols],
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_n"),
         *[F.coalesce(F.sum("_t_" + c).over(before), F.lit(0)).alias("_off_" + c) for c in sums],
     ).filter(F.col("_off_n") > 0)
-    # fewer rows than partitions (see module doc): bounded broadcast
-    cond = F.col("_pid") == F.col("_o_pid")
+    cond = F.col("_b") == F.col("_o_b")
     for c in pcols:
         cond = cond & F.col(c).eqNullSafe(F.col("_o_" + c))
-    joined = local.join(F.broadcast(offsets), cond, "left")
-    out = joined.withColumn("_rn", F.col("_rn") + F.coalesce(F.col("_off_n"), F.lit(0)))
+    # fewer rows than buckets (see module doc): bounded broadcast
+    out = local.join(F.broadcast(offsets), cond, "left")
+    out = out.withColumn("_rn", F.col("_rn") + F.coalesce(F.col("_off_n"), F.lit(0)))
     for c in sums:
         out = out.withColumn("_cum_" + c, F.col("_cum_" + c) + F.coalesce(F.col("_off_" + c), F.lit(0)))
-    drop = ["_pid", "_o_pid", "_off_n"] + ["_o_" + c for c in pcols] + ["_off_" + c for c in sums]
-    out = out.drop(*drop)
+    out = out.drop("_b", "_o_b", "_off_n", *["_o_" + c for c in pcols], *["_off_" + c for c in sums])
     if group_totals:
-        # one row per group, computed from the checkpoint; sized before broadcasting
-        gt = totals.groupBy(*pcols).agg(
-            F.sum("_n").alias("_tot_n"), *[F.sum("_t_" + c).alias("_tot_" + c) for c in sums]
-        )
-        if pcols:
-            gt = gt.select(*[F.col(c).alias("_g_" + c) for c in pcols], "_tot_n", *["_tot_" + c for c in sums])
-            cond = None
-            for c in pcols:
-                e = F.col(c).eqNullSafe(F.col("_g_" + c))
-                cond = e if cond is None else cond & e
-            out = out.join(broadcast_if_small(gt), cond, "left").drop(*["_g_" + c for c in pcols])
-        else:
-            one = gt.collect()[0]
-            out = out.withColumn("_tot_n", F.lit(one["_tot_n"]))
-            for c in sums:
-                out = out.withColumn("_tot_" + c, F.lit(one["_tot_" + c]))
+        gt = totals.groupBy(*pcols).agg(F.sum("_n").alias("_tot_n"), *[F.sum("_t_" + c).alias("_tot_" + c) for c in sums])
+        out = _attach_group_table(out, gt, pcols, "left")
     return out
 
 
@@ -226,8 +174,8 @@ def _pick_percentiles(ranked, g, qs, names, n_col, below_cols=None, qi_col=None)
     return picked, picked.select(*out)
 
 
-def _attach_group_table(df: DataFrame, table: DataFrame, g: list[str]) -> DataFrame:
-    """Add per-group columns: literals for the global case, else a size-checked join."""
+def _attach_group_table(df: DataFrame, table: DataFrame, g: list[str], how: str = "inner") -> DataFrame:
+    """Add per-group columns: literals for the global case (one row), else a null-safe join."""
     if not g:
         row = table.collect()
         vals = row[0].asDict() if row else {}
@@ -237,7 +185,7 @@ def _attach_group_table(df: DataFrame, table: DataFrame, g: list[str]) -> DataFr
     for c in g:
         e = F.col(c).eqNullSafe(F.col("_gk_" + c))
         cond = e if cond is None else cond & e
-    return df.join(broadcast_if_small(side), cond).drop(*["_gk_" + c for c in g])
+    return df.join(side, cond, how).drop(*["_gk_" + c for c in g])
 
 
 def exact_percentiles(
@@ -258,18 +206,13 @@ def exact_percentiles(
     3. candidates are reduced to (group, value, count) and ranked with
        ``ordered_totals``; the picked ranks are shifted by the counts below.
 
-    If a bracket ever misses (it should not), the group falls back to ranking every
-    distinct value; inputs counted at no more than ``SINGLE_TASK_MAX_ROWS`` rows are
-    ranked directly.  Nulls and NaN are skipped.  One row per group: group keys + one
+    If a bracket ever misses (it should not), every distinct value is ranked.  Nulls and NaN are skipped.  One row per group: group keys + one
     column per quantile (``names`` or ``q_<i>``).
     """
     g = list(group_by)
     names = list(names) if names else [f"q_{i}" for i in range(len(qs))]
     k = len(qs)
     base = df.select(*g, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if base.limit(SINGLE_TASK_MAX_ROWS + 1).count() <= SINGLE_TASK_MAX_ROWS:
-        # proven small: ranking every distinct value is one bounded window task
-        return _exact_percentiles_full(df, value, qs, g, names)
     d = 3.0 / accuracy
     probs = [max(0.0, q - d) for q in qs] + [min(1.0, q + d) for q in qs]
     brackets = base.groupBy(*g).agg(

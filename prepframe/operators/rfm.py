@@ -29,8 +29,7 @@ def rfm_process(df: DataFrame, customer: str, date: str, amount: str, as_of=None
 
 
 def _score(df: DataFrame, column: str, key: str, ascending: bool, bins: int, out: str, n: int) -> DataFrame:
-    order = [F.col(column).asc() if ascending else F.col(column).desc(), F.col(key).asc()]
-    ranked = ordered_totals(df, order)
+    ranked = ordered_totals(df, [(column, ascending), key])
     return ranked.withColumn(out, ntile_expr(F.col("_rn"), F.lit(n), bins)).drop("_rn")
 
 

@@ -62,18 +62,10 @@ def sample_hash(df: DataFrame, key: str, fraction: float, seed: int | None = Non
     return df.where(hash_bucket(key, seed) < int(fraction * HASH_SPACE))
 
 
-TOPK_MAX_ROWS = 100_000
-
-
 def sample_n(df: DataFrame, n: int, key: str, seed: int | None = None) -> DataFrame:
-    """Exactly ``min(n, count)`` rows: the ``n`` smallest key hashes (ties by key).
-
-    Up to ``TOPK_MAX_ROWS`` this is a top-k (each task keeps n rows, then one merge);
-    a larger n would make that merge hold n rows in one task, so rows are ranked by the
-    distributed ordering helper and filtered instead."""
+    """Exactly ``min(n, count)`` rows: the ``n`` smallest key hashes (ties by key), ranked by
+    the distributed ordering helper, so no task holds n rows."""
     hashed = df.withColumn("_h", hash_bucket(key, seed))
-    if n <= TOPK_MAX_ROWS:
-        return hashed.orderBy("_h", key).limit(n).drop("_h")
     from prepframe.operators.ordering import ordered_totals
 
     return ordered_totals(hashed, ["_h", key]).where(F.col("_rn") <= n).drop("_h", "_rn")

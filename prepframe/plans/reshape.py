@@ -424,7 +424,7 @@ SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS
 )
 def add_id(spark, sf):
     o = load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return R.add_id(o, "id", [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()]).select("o_orderkey", "id")
+    return R.add_id(o, "id", [("o_totalprice", False), "o_orderkey"]).select("o_orderkey", "id")
 
 
 @query(

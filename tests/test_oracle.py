@@ -6,7 +6,6 @@ import sys
 import pytest
 
 import __spark_entry__ as entry_mod
-import prepframe.operators.ordering as ordering
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from check_oracle import TABLES, canon  # noqa: E402
@@ -41,11 +40,5 @@ def _compare(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", ORDERED)
-def test_single_task_path(spark, duck, name):
-    _compare(spark, duck, name)
-
-
-@pytest.mark.parametrize("name", ORDERED)
-def test_distributed_path(spark, duck, name, monkeypatch):
-    monkeypatch.setattr(ordering, "SINGLE_TASK_MAX_ROWS", 0)
+def test_ordering_queries(spark, duck, name):
     _compare(spark, duck, name)

@@ -1,4 +1,4 @@
-"""Distributed ordering helper vs Spark windows (both the distributed and the small path)."""
+"""Distributed ordering helper vs Spark windows (one path for every size)."""
 
 import pytest
 from pyspark.sql import Window
@@ -14,10 +14,10 @@ def events(spark):
     return spark.read.parquet(f"{SF}/events.parquet").select("event_id", "user_id", "event_type", "value")
 
 
-@pytest.mark.parametrize("small", [None, 10**9])
-def test_grouped_running_totals_match_window(spark, events, small):
+@pytest.mark.parametrize("buckets", [1, 7, 40])
+def test_grouped_running_totals_match_window(spark, events, buckets):
     r = ordered_totals(events, ["value", "event_id"], partition_by=["user_id"], sums=["value"],
-                       small_input_rows=small, group_totals=True, nbuckets=7)
+                       group_totals=True, nbuckets=buckets)
     w = Window.partitionBy("user_id").orderBy("value", "event_id")
     ref = events.select(
         "event_id",
@@ -35,14 +35,14 @@ def test_grouped_running_totals_match_window(spark, events, small):
 def test_global_row_numbers_with_hot_key(spark):
     # one key holds a third of the rows: the range layout still splits it
     df = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("g"))
-    r = ordered_totals(df, ["id"], partition_by=["g"], small_input_rows=None, nbuckets=8)
+    r = ordered_totals(df, ["id"], partition_by=["g"], nbuckets=8)
     hot = r.where("g = 0").orderBy("id").select("_rn").collect()
     assert [x[0] for x in hot] == list(range(1, 1001))
 
 
 def test_null_group_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 4), (None, 5)], "g string, v int")
-    r = ordered_totals(df, ["v"], partition_by=["g"], small_input_rows=None, nbuckets=3)
+    r = ordered_totals(df, ["v"], partition_by=["g"], nbuckets=3)
     got = {(row["g"], row["v"]): row["_rn"] for row in r.collect()}
     assert got == {(None, 1): 1, (None, 2): 2, (None, 5): 3, ("a", 3): 1, ("a", 4): 2}
 
@@ -89,3 +89,26 @@ def test_full_ranking_fallback(spark, events):
     ours = _exact_percentiles_full(events, "value", [0.5], ["event_type"], ["m"]).orderBy("event_type").collect()
     ref = events.groupBy("event_type").agg(F.percentile("value", 0.5).alias("m")).orderBy("event_type").collect()
     assert [r["m"] for r in ours] == pytest.approx([r["m"] for r in ref])
+
+
+def test_values_survive_unchanged(spark):
+    # numbers above 2**53 beside nulls, years 1500 and 9999, a map column, tied leading keys
+    df = spark.sql(
+        "SELECT * FROM VALUES (9007199254740993L, TIMESTAMP '1500-03-01 00:00:00', 1), (NULL, TIMESTAMP '9999-12-31 23:59:59', 1),"
+        "(9007199254740992L, NULL, 1) AS t(x, ts, tie)"
+    ).withColumn("m", F.create_map(F.lit("a"), F.col("x")))
+    from prepframe.operators.reshape import add_id
+
+    out = add_id(df, order_by=["tie", "x"], start=1)
+    got = {r["id"]: (r["x"], r["ts"] is None) for r in out.select("id", "x", F.col("ts").cast("string").alias("ts")).collect()}
+    assert got == {1: (None, False), 2: (9007199254740992, True), 3: (9007199254740993, False)}
+    years = add_id(df, order_by=[("ts", False), "x"]).select("id", F.year("ts").alias("y"), F.col("m")["a"].alias("a")).orderBy("id").collect()
+    assert [r["y"] for r in years] == [9999, 1500, None] and years[1]["a"] == 9007199254740993
+
+
+def test_no_python_and_no_single_task_over_rows(spark):
+    df = spark.range(0, 5000, 1, 8).select(F.lit(1).alias("tie"), F.col("id"))
+    r = ordered_totals(df, ["tie", "id"], nbuckets=16)
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "Python" not in plan
+    assert [x[0] for x in r.orderBy("id").select("_rn").collect()] == list(range(1, 5001))
