@@ -107,7 +107,14 @@ def one_hot(df: DataFrame, column: str, labels: Sequence[str] | DataFrame, drop:
     if len(labels) > max_labels:
         raise ValueError(f"{column}: more than {max_labels} categories for one-hot columns")
     x = F.col(column).cast("string")
-    out = df.withColumns({f"{column}_{_safe_name(str(v))}": F.when(x == str(v), 1).otherwise(0) for v in labels})
+    # labels that clean to one name get _2, _3, ... in label order
+    names: dict[str, str] = {}
+    for v in labels:
+        name, i = f"{column}_{_safe_name(str(v))}", 1
+        while (name if i == 1 else f"{name}_{i}") in names:
+            i += 1
+        names[name if i == 1 else f"{name}_{i}"] = str(v)
+    out = df.withColumns({name: F.when(x == v, 1).otherwise(0) for name, v in names.items()})
     return out.drop(column) if drop else out
 
 

@@ -42,7 +42,8 @@ def _moments_wide(base: DataFrame, columns: Sequence[str]):
 
 
 def _moments(df: DataFrame, columns: Sequence[str], group: str | None = None):
-    """Counts, sums and cross-product sums of ``columns`` (rows with any null skipped)."""
+    """Counts, sums and cross-product sums of ``columns`` less their overall means, and
+    those means (rows with any null skipped)."""
     d = len(columns)
     xs = [F.col(c).cast("double") for c in columns]
     ok = None
@@ -50,7 +51,11 @@ def _moments(df: DataFrame, columns: Sequence[str], group: str | None = None):
         ok = x.isNotNull() & ~F.isnan(x) if ok is None else ok & x.isNotNull() & ~F.isnan(x)
     base = df.where(ok)
     if group is None and d > MAX_SUM_COLUMNS:
-        return {None: _moments_wide(base, columns)}
+        return {None: _moments_wide(base, columns)}, np.zeros(d)
+    # sums of squares are taken around the overall mean, so large offsets do not cancel
+    centre = base.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]).collect()[0]  # one row
+    shift = np.array([centre[f"m{i}"] or 0.0 for i in range(d)])
+    xs = [x - F.lit(float(m)) for x, m in zip(xs, shift)]
     aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)]
     aggs += [F.sum(xs[i] * xs[j]).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
     if group:
@@ -69,7 +74,7 @@ def _moments(df: DataFrame, columns: Sequence[str], group: str | None = None):
             for j in range(i, d):
                 p[i, j] = p[j, i] = r[f"p{i}_{j}"] or 0.0
         out[r[group] if group else None] = (n, s, p)
-    return out
+    return out, shift
 
 
 def _fix_signs(vecs: np.ndarray) -> np.ndarray:
@@ -114,9 +119,10 @@ def fit_pca(df: DataFrame, columns: Sequence[str], k: int, scale: bool = False)
     d = len(columns)
     if not 1 <= k <= d:
         raise ValueError(f"k must be in 1..{d}")
-    n, s, p = _moments(df, columns)[None]
-    mean = s / n
-    cov = (p - n * np.outer(mean, mean)) / (n - 1)
+    stats, shift = _moments(df, columns)
+    n, s, p = stats[None]
+    mean = shift + s / n
+    cov = (p - np.outer(s, s) / n) / (n - 1)
     if scale:
         sd = np.sqrt(np.diag(cov))
         sd[sd == 0] = 1.0
@@ -156,7 +162,9 @@ def fit_svd(df: DataFrame, columns: Sequence[str], k: int) -> LinearProjection:
     d = len(columns)
     if not 1 <= k <= d:
         raise ValueError(f"k must be in 1..{d}")
-    _, _, gram = _moments(df, columns)[None]
+    stats, shift = _moments(df, columns)
+    n, s, p = stats[None]
+    gram = p + np.outer(s, shift) + np.outer(shift, s) + n * np.outer(shift, shift)
     vals, vecs = np.linalg.eigh(gram)
     order = np.argsort(vals)[::-1][:k]
     return LinearProjection(columns, np.zeros(d), _fix_signs(vecs[:, order]), np.sqrt(np.clip(vals[order], 0, None)), "svd_")
@@ -165,7 +173,7 @@ def fit_svd(df: DataFrame, columns: Sequence[str], k: int) -> LinearProjection:
 def fit_flda(df: DataFrame, columns: Sequence[str], label: str, k: int | None = None, ridge: float = 1e-9) -> LinearProjection:
     """Fisher discriminant directions (D35): per-class sums and cross products in one
     grouped aggregate, then ``Sw^-1 Sb`` on the driver.  At most classes - 1 directions."""
-    stats = _moments(df, columns, group=label)
+    stats, shift = _moments(df, columns, group=label)
     d = len(columns)
     n_all = sum(v[0] for v in stats.values())
     mean_all = sum(v[1] for v in stats.values()) / n_all
@@ -182,7 +190,7 @@ def fit_flda(df: DataFrame, columns: Sequence[str], label: str, k: int | None =
     order = np.argsort(vals)[::-1][:k]
     comps = vecs[:, order]
     comps = comps / np.linalg.norm(comps, axis=0)
-    return LinearProjection(columns, mean_all, _fix_signs(comps), vals[order], "lda_")
+    return LinearProjection(columns, shift + mean_all, _fix_signs(comps), vals[order], "lda_")
 
 
 # ------------------------------------------------------------------ anomalies
@@ -232,13 +240,18 @@ def flag_anomalies(df: DataFrame, bounds: DataFrame, columns: Sequence[str], gro
 
 # ------------------------------------------------------------------ selection
 
+def _value(c: str) -> Column:
+    """The column as a double; NaN counts as missing."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def rank_features(df: DataFrame, features: Sequence[str], target: str | None = None, method: str = "pearson") -> DataFrame:
     """Score every feature in ONE aggregate and rank: ``pearson`` (|corr| with target) or
     ``variance`` (sample variance).  Returns ``(feature, score, rank)``, rank 1 = best."""
     if method == "pearson":
-        aggs = [F.abs(F.corr(F.col(f).cast("double"), F.col(target).cast("double"))).alias(f) for f in features]
+        aggs = [F.nanvl(F.abs(F.corr(_value(f), _value(target))), F.lit(None).cast("double")).alias(f) for f in features]
     elif method == "variance":
-        aggs = [F.var_samp(F.col(f).cast("double")).alias(f) for f in features]
+        aggs = [F.nanvl(F.var_samp(_value(f)), F.lit(None).cast("double")).alias(f) for f in features]
     else:
         raise ValueError("method must be 'pearson' or 'variance' (chi2: select_chi2)")
     wide = df.agg(*aggs)
@@ -276,9 +289,11 @@ def linear_importance(df: DataFrame, features: Sequence[str], label: str, kind:
 
     v = VectorAssembler(inputCols=list(features), outputCol="_f", handleInvalid="skip").transform(df)
     est = LinearRegression(featuresCol="_f", labelCol=label) if kind == "regression" else LogisticRegression(featuresCol="_f", labelCol=label)
+    v = v.where(F.col(label).isNotNull())  # the rows that the fit sees
     model = est.fit(v)
-    coef = model.coefficients.toArray() if kind == "regression" else model.coefficientMatrix.toArray()[0]
-    sds = df.agg(*[F.stddev_samp(F.col(f).cast("double")).alias(f) for f in features]).collect()[0]
+    # several classes: root mean square of a feature's coefficients over the classes
+    coef = model.coefficients.toArray() if kind == "regression" else np.sqrt((model.coefficientMatrix.toArray() ** 2).mean(0))
+    sds = v.agg(*[F.stddev_samp(F.col(f).cast("double")).alias(f) for f in features]).collect()[0]  # one row
     rows = [(f, float(abs(c * (sds[f] or 0.0)))) for f, c in zip(features, coef)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 

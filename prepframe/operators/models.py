@@ -20,9 +20,9 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DoubleType, NumericType, StructField, StructType
 
 from prepframe.operators import evaluate as E
 from prepframe.operators.split import hash_bucket
@@ -115,7 +115,25 @@ class FittedModel:
     extra: dict = field(default_factory=dict)
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(path)
+        """The pipeline and, beside it, what scoring needs (labels, kind, features)."""
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        spark = SparkSession.getActiveSession()
+        labels = None if self.labels is None else [str(v) for v in self.labels]
+        kinds = {bool: "boolean", int: "bigint", float: "double"}
+        kind_of_label = kinds.get(type(self.labels[0]), "string") if self.labels else "string"
+        features = [self.features] if isinstance(self.features, str) else list(self.features)
+        row = (features, isinstance(self.features, str), self.kind, labels, kind_of_label, self.label_numeric)
+        schema = "features array<string>, one_array boolean, kind string, labels array<string>, label_type string, label_numeric boolean"
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "FittedModel":
+        schema = "features array<string>, one_array boolean, kind string, labels array<string>, label_type string, label_numeric boolean"
+        r = spark.read.schema(schema).json(f"{path}/meta").collect()[0]  # one row
+        cast = {"boolean": lambda v: v == "True", "bigint": int, "double": float, "string": str}[r["label_type"]]
+        labels = None if r["labels"] is None else [cast(v) for v in r["labels"]]
+        features = r["features"][0] if r["one_array"] else list(r["features"])
+        return cls(PipelineModel.load(f"{path}/pipeline"), features, r["kind"], labels, bool(r["label_numeric"]))
 
 
 def _label_index(df: DataFrame, label: str) -> tuple[list, bool]:
@@ -130,10 +148,10 @@ def _label_index(df: DataFrame, label: str) -> tuple[list, bool]:
 
 
 def _encode_label(df: DataFrame, label: str, labels: list, numeric: bool, out: str = "_label_idx") -> DataFrame:
-    e = F.lit(None).cast("double")
-    for i, v in enumerate(labels):
-        e = F.when(F.col(label) == F.lit(v), F.lit(float(i))).otherwise(e)
-    return df.withColumn(out, e)
+    kind = df.schema[label].dataType
+    schema = StructType([StructField("_lab", kind), StructField(out, DoubleType())])
+    table = df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(labels)], schema)
+    return df.join(table, F.col(label) == F.col("_lab"), "left").drop("_lab")
 
 
 def fit(
@@ -172,35 +190,77 @@ def _prob_name(v) -> str:
     return "p_" + re.sub(r"[^0-9A-Za-z_]", "_", str(v))
 
 
+def prob_names(labels: Sequence) -> list[str]:
+    """Probability column per label; labels that clean to one name get _2, _3, ... in label order."""
+    seen: dict[str, int] = {}
+    out = []
+    for v in labels:
+        name = _prob_name(v)
+        seen[name] = seen.get(name, 0) + 1
+        while seen[name] > 1 and f"{name}_{seen[name]}" in out:
+            seen[name] += 1
+        out.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+    return out
+
+
+def _complete(df: DataFrame, features: Sequence[str]) -> Column:
+    ok = F.lit(True)
+    for c in features:
+        x = F.col(c).cast("double")
+        ok = ok & x.isNotNull() & ~F.isnan(x)
+    return ok
+
+
 def score(model: FittedModel, df: DataFrame, keep_probability: bool = True) -> DataFrame:
     """Apply a fitted model (M8, M9): input columns + ``prediction`` (decoded to the
-    original label) + ``p_<label>`` per class where the model gives probabilities."""
-    out = model.pipeline.transform(df)
-    if model.kind == "regression":
-        return out.withColumnRenamed("_pred", "prediction").drop("_features")
-    lab = F.array(*[F.lit(v) for v in model.labels])
-    out = out.withColumn("prediction", F.element_at(lab, F.col("_pred").cast("int") + 1))
+    original label) + ``p_<label>`` per class where the model gives probabilities.
+
+    Every input row is kept: where a feature is missing (null or NaN) the prediction and
+    the probabilities are null.  Margin models without probabilities (SVM) give ``margin``."""
+    feats = list(model.features)
+    saved = {c: f"_in_{i}" for i, c in enumerate(feats)}
+    filled = df.withColumn("_ok", _complete(df, feats)).withColumns({saved[c]: F.col(c) for c in feats})
+    filled = filled.withColumns({c: F.when(F.col("_ok"), F.col(c).cast("double")).otherwise(0.0) for c in feats})
+    out = model.pipeline.transform(filled)
+    out = out.withColumns({c: F.col(saved[c]) for c in feats})
     cols = set(out.columns)
-    if keep_probability and "probability" in cols:
-        arr = vector_to_array(F.col("probability"))
-        out = out.withColumns({_prob_name(v): arr[i] for i, v in enumerate(model.labels)})
-    drop = [c for c in ("_features", "_pred", "rawPrediction", "probability") if c in cols]
-    return out.drop(*drop)
+
+    def known(x: Column) -> Column:
+        return F.when(F.col("_ok"), x)
+
+    if model.kind == "regression":
+        out = out.withColumn("prediction", known(F.col("_pred")))
+    else:
+        lab = F.array(*[F.lit(v) for v in model.labels])
+        new = {"prediction": known(F.element_at(lab, F.col("_pred").cast("int") + 1))}
+        if keep_probability and "probability" in cols:
+            arr = vector_to_array(F.col("probability"))
+            new |= {name: known(arr[i]) for i, name in enumerate(prob_names(model.labels))}
+        elif keep_probability and "rawPrediction" in cols and model.kind == "binary":
+            new["margin"] = known(vector_to_array(F.col("rawPrediction"))[1])
+        out = out.withColumns(new)
+    drop = [c for c in ("_features", "_pred", "rawPrediction", "probability", "_ok", *saved.values()) if c in cols]
+    return out.drop(*drop).select(*df.columns, *[c for c in out.columns if c not in df.columns and c not in drop])
 
 
 # ------------------------------------------------------------------ clustering
 
+def _feature_array(features: Sequence[str] | str) -> tuple[Column, Column]:
+    """The features as one array, and whether none of them is missing."""
+    if isinstance(features, str):
+        arr = F.col(features).cast("array<double>")
+    else:
+        arr = F.array(*[F.col(c).cast("double") for c in features])
+    return arr, arr.isNotNull() & F.forall(arr, lambda v: v.isNotNull() & ~F.isnan(v))
+
+
 def with_features(df: DataFrame, features: Sequence[str] | str, out: str = "_features") -> DataFrame:
     """Add a vector column from numeric columns or one array column (JVM-side
     ``array_to_vector``); rows with a missing value are skipped, as VectorAssembler's
     ``handleInvalid="skip"`` does."""
     from pyspark.ml.functions import array_to_vector
 
-    if isinstance(features, str):
-        arr = F.col(features).cast("array<double>")
-    else:
-        arr = F.array(*[F.col(c).cast("double") for c in features])
-    ok = arr.isNotNull() & F.forall(arr, lambda v: v.isNotNull() & ~F.isnan(v))
+    arr, ok = _feature_array(features)
     return df.where(ok).withColumn(out, array_to_vector(arr))
 
 
@@ -228,8 +288,14 @@ def fit_kmeans(
 
 
 def assign_clusters(model: FittedModel, df: DataFrame) -> DataFrame:
-    """Cluster id as ``prediction``."""
-    return model.pipeline.transform(with_features(df, model.features)).drop("_features")
+    """Cluster id as ``prediction`` (M10); null where a feature is missing, no row is dropped."""
+    from pyspark.ml.functions import array_to_vector
+
+    arr, ok = _feature_array(model.features)
+    zeros = F.array(*[F.lit(0.0)] * len(model.pipeline.stages[-1].clusterCenters()[0]))
+    ready = df.withColumn("_ok", F.coalesce(ok, F.lit(False))).withColumn("_features", array_to_vector(F.when(F.col("_ok"), arr).otherwise(zeros)))
+    out = model.pipeline.transform(ready)
+    return out.withColumn("prediction", F.when(F.col("_ok"), F.col("prediction"))).drop("_features", "_ok")
 
 
 def centres_table(model: FittedModel, spark) -> DataFrame:
@@ -297,17 +363,27 @@ def assign_to_centres(df: DataFrame, features: Sequence[str] | str, centres: Dat
 
 # ------------------------------------------------------------------ evaluation of a model
 
+def positive_class(labels: list, numeric: bool):
+    """1 of 0/1 labels, otherwise the less frequent class."""
+    if numeric and {float(v) for v in labels} == {0.0, 1.0}:
+        return next(v for v in labels if float(v) == 1.0)
+    return labels[-1]
+
+
 def evaluate(model: FittedModel, scored: DataFrame, label: str, pos_label=None) -> DataFrame:
     if model.kind == "regression":
         return E.regression_metrics(scored, label, "prediction")
     if model.kind == "binary":
-        if pos_label is not None:
-            pos = pos_label
-        elif model.label_numeric and {float(v) for v in model.labels} == {0.0, 1.0}:
-            pos = next(v for v in model.labels if float(v) == 1.0)  # 0/1 labels: 1 is positive
-        else:
-            pos = model.labels[-1]  # otherwise the less frequent class
-        return E.binary_metrics(scored, label, "prediction", pos, score=_prob_name(pos))
+        pos = pos_label if pos_label is not None else positive_class(model.labels, model.label_numeric)
+        name = prob_names(model.labels)[model.labels.index(pos)]
+        if name in scored.columns:
+            return E.binary_metrics(scored, label, "prediction", pos, score=name)
+        if "margin" in scored.columns:  # margin model: AUC by margin, no log-loss
+            sign = 1.0 if model.labels.index(pos) == 1 else -1.0
+            base = E.binary_metrics(scored, label, "prediction", pos)
+            auc = E.binary_auc(scored.withColumn("_m", F.lit(sign) * F.col("margin")), label, "_m", pos).collect()[0][0]  # one row
+            return base.withColumn("auc", F.lit(auc).cast("double"))
+        return E.binary_metrics(scored, label, "prediction", pos)
     return E.multiclass_metrics(scored, label, "prediction")
 
 
@@ -315,15 +391,19 @@ def evaluate(model: FittedModel, scored: DataFrame, label: str, pos_label=None)
 
 def cross_validate(
     df: DataFrame, features: Sequence[str], label: str, make, kind: str, key: str, k: int = 3, seed: int | None = None,
+    pos_label=None,
 ) -> DataFrame:
     """k-fold metrics table (D47): folds by a hash of ``key`` (reproducible, disjoint);
-    ``make()`` returns a fresh estimator.  One metric row per fold plus ``fold``."""
+    ``make()`` returns a fresh estimator.  One metric row per fold plus ``fold``.  The
+    positive class is ``pos_label``, or chosen once from the whole table."""
+    if kind == "binary" and pos_label is None:
+        pos_label = positive_class(*_label_index(df, label))
     folded = df.withColumn("_fold", (hash_bucket(key, seed) % k).cast("int"))
     rows = None
     for i in range(k):
         train, test = folded.where(F.col("_fold") != i), folded.where(F.col("_fold") == i)
         m = fit(train, features, label, make(), kind)
-        met = evaluate(m, score(m, test), label).withColumn("fold", F.lit(i))
+        met = evaluate(m, score(m, test), label, pos_label).withColumn("fold", F.lit(i))
         rows = met if rows is None else rows.unionByName(met)
     return rows
 

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import MapType, NumericType
 
 from prepframe._session import broadcast_if_small
 from prepframe.operators.ordering import exact_percentiles, ordered_totals
@@ -198,6 +198,14 @@ def kv_to_table(df: DataFrame, ids: Sequence[str], key: str, value: str, keys: S
 
 # ------------------------------------------------------------------ D11 missing values
 
+def _join_groups(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full join of two per-group tables; null keys are one group."""
+    right = b.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+    both = a.join(right, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys], "full")
+    # a key missing on the left side comes from the right one (null on both: the null group)
+    return both.withColumns({k: F.coalesce(F.col(k), F.col(f"_r_{k}")) for k in keys}).drop(*[f"_r_{k}" for k in keys])
+
+
 def handle_missing(
     df: DataFrame,
     columns: Sequence[str],
@@ -232,18 +240,18 @@ def handle_missing(
         stats = None
         for c in cols:
             m = exact_percentiles(df.select(*g, clean[c].alias(c)), c, [0.5], group_by=g, names=[f"_fill_{c}"])
-            stats = m if stats is None else (stats.join(m, g, "full") if g else _attach_scalar(stats, m))
+            stats = m if stats is None else (_join_groups(stats, m, g) if g else _attach_scalar(stats, m))
     elif strategy == "mode":
         stats = None
         for c in cols:
             cnt = df.where(~missing(c)).groupBy(*g, c).agg(F.count(F.lit(1)).alias("_n"))
             # most frequent, ties to the smallest value: max_by over (count, -rank of value)
             m = cnt.groupBy(*g).agg(F.min_by(F.col(c), F.struct(-F.col("_n"), F.col(c))).alias(f"_fill_{c}"))
-            stats = m if stats is None else (stats.join(m, g, "full") if g else _attach_scalar(stats, m))
+            stats = m if stats is None else (_join_groups(stats, m, g) if g else _attach_scalar(stats, m))
     else:
         raise ValueError("strategy must be drop, constant, mean, median or mode")
     if g:
-        joined = df.join(broadcast_if_small(stats), [df[k].eqNullSafe(stats[k]) for k in g], "left").drop(*[stats[k] for k in g])
+        joined = df.join(stats, [df[k].eqNullSafe(stats[k]) for k in g], "left").drop(*[stats[k] for k in g])
     else:
         joined = _attach_scalar(df, stats)
     filled = joined.withColumns(
@@ -279,7 +287,14 @@ def drop_duplicates(df: DataFrame, keys: Sequence[str] | None = None, order_by:
     if not order_by:
         return df.dropDuplicates(keys)
     order_by = list(order_by)
-    others = [c for c in rest if c not in order_by]
+    # maps cannot be compared: they ride along behind the comparable columns
+    others = [c for c in rest if c not in order_by and not isinstance(df.schema[c].dataType, MapType)]
+    maps = [c for c in rest if isinstance(df.schema[c].dataType, MapType)]
+    if maps:
+        pick = F.min_by if keep == "first" else F.max_by
+        order = F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in others])
+        red = df.groupBy(*keys).agg(pick(F.struct(*[F.col(c) for c in rest]), order).alias("_row"))
+        return red.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
     packed = F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in others]).alias("_row")
     pick = F.min if keep == "first" else F.max
     red = df.groupBy(*keys).agg(pick(packed).alias("_row"))

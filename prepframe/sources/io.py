@@ -30,7 +30,8 @@ def read_csv(
     for k, v in options.items():
         reader = reader.option(k, v)
     if schema is None:
-        return reader.option("inferSchema", True).option("mode", "DROPMALFORMED").csv(path)
+        # infer first, then take the validated path: every action sees the same rows
+        schema = reader.option("inferSchema", True).csv(path).schema
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     if not drop_malformed:
