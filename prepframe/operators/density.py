@@ -1,20 +1,14 @@
 """Exact density clustering (DBSCAN, M5).
 
-Same bounded-chunk pattern as the k-NN search: points are cut into hash chunks of
-at most ``chunk_rows`` rows (counted); each chunk is broadcast as numpy arrays and
-every partition of points answers, per Arrow batch, an aggregate question about
-that chunk - never emitting (point, neighbour) pair rows:
-
-1. neighbour counts within ``eps`` (self included), summed over chunks -> core points;
-2. connected components of the core points: min-label propagation (each core point
-   takes the smallest label among core points within ``eps``) followed by a pointer
-   jump (``label <- label[label]``, an equi-join), checkpointed every round, until no
-   label changes;
-3. border points take the smallest cluster label among their core neighbours; the
-   rest is noise (-1).
-
-Cluster ids are the smallest core point id of each cluster.  Work per round is
-|points| x |core points| distance evaluations with memory bounded by the chunk.
+Three distance passes in bounded blocks (see `blocks`), whatever the shape of the clusters:
+
+1. neighbours within ``eps`` (self included) are counted per point -> core points;
+2. every block of core points reports its own connected pieces as stars (each point and
+   the smallest id of its piece), and the pieces are joined by connected components;
+3. border points take the smallest cluster among their core neighbours; the rest is noise.
+
+No pair of points leaves a block.  Cluster ids are the smallest core point id of each
+cluster.  Points with a missing feature are kept: cluster null, not core.
 """
 
 from __future__ import annotations
@@ -25,105 +19,74 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from prepframe._session import cut_lineage, ship_package
+from prepframe._session import cut_lineage
+from prepframe.operators import blocks as B
+from prepframe.operators.components import connected_components
 
 _BIG = np.iinfo(np.int64).max
 
 
-def _vector(features):
-    if isinstance(features, str):
-        return F.col(features).cast("array<double>")
-    return F.array(*[F.col(c).cast("double") for c in features])
-
-
-def _chunks(ref: DataFrame, chunk_rows: int):
-    """Yield (ids, matrix, values) numpy chunks of the reference frame (_id, _v, _val)."""
-    n = ref.count()
-    n_chunks = max(1, -(-n // chunk_rows))
-    keyed = ref.withColumn("_chunk", F.pmod(F.xxhash64("_id"), F.lit(n_chunks)))
-    for c in range(n_chunks):
-        rows = keyed.where(F.col("_chunk") == c).select("_id", "_v", "_val").collect()  # ~chunk_rows rows
-        if not rows:
-            continue
-        yield (
-            np.array([r["_id"] for r in rows], dtype=np.int64),
-            np.array([r["_v"] for r in rows], dtype=np.float64),
-            np.array([r["_val"] for r in rows], dtype=np.int64),
-        )
-
-
-def _per_chunk(points: DataFrame, ref: DataFrame, eps2: float, how: str, chunk_rows: int) -> DataFrame:
-    """For every point: ``count`` of, or ``min`` value over, reference rows within eps."""
-    spark = points.sparkSession
-    schema = StructType([StructField("_id", LongType()), StructField("_r", LongType())])
-    outs = []
-    for ids, mat, vals in _chunks(ref, chunk_rows):
-        bc = spark.sparkContext.broadcast((mat, vals))
-
-        def run(batches, bc=bc):
-            m, v = bc.value
-            mn2 = np.einsum("ij,ij->i", m, m)
-            for pdf in batches:
-                if len(pdf) == 0:
-                    continue
-                q = np.vstack(pdf["_v"].to_numpy()).astype(np.float64)
-                d2 = np.einsum("ij,ij->i", q, q)[:, None] + mn2[None, :] - 2.0 * (q @ m.T)
-                close = d2 <= eps2
-                if how == "count":
-                    r = close.sum(axis=1).astype(np.int64)
-                else:
-                    r = np.where(close, v[None, :], _BIG).min(axis=1)
-                yield pd.DataFrame({"_id": pdf["_id"].to_numpy(), "_r": r})
-
-        outs.append(points.select("_id", "_v").mapInPandas(run, schema))
-    if not outs:
-        return points.select("_id", F.lit(None).cast("long").alias("_r"))
-    u = outs[0]
-    for o in outs[1:]:
-        u = u.unionByName(o)
-    agg = F.sum("_r") if how == "count" else F.min("_r")
-    # one row per point per chunk: partial aggregation, bounded groups
-    return u.groupBy("_id").agg(agg.alias("_r"))
+def _count(eps2: float):
+    def kernel(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        close = B.squared_distances(B.matrix(a["_v"]), B.matrix(b["_v"])) <= eps2
+        return pd.DataFrame({"_id": a["_id"], "_k": close.sum(1).astype("int64")})
+
+    return kernel
+
+
+def _pieces(eps2: float):
+    def kernel(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        close = B.squared_distances(B.matrix(a["_v"]), B.matrix(b["_v"])) <= eps2
+        left, right = a["_id"].to_numpy(np.int64), b["_rid"].to_numpy(np.int64)
+        la, lb = left.copy(), right.copy()
+        while True:  # smallest id of each connected piece of the block
+            nb = np.minimum(lb, np.where(close, la[:, None], _BIG).min(0))
+            na = np.minimum(la, np.where(close, nb[None, :], _BIG).min(1))
+            if (na == la).all() and (nb == lb).all():
+                break
+            la, lb = na, nb
+        out = pd.DataFrame({"_a": np.concatenate([left, right]), "_b": np.concatenate([la, lb])})
+        return out[out["_a"] != out["_b"]]
+
+    return kernel
+
+
+def _lowest(eps2: float):
+    def kernel(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        close = B.squared_distances(B.matrix(a["_v"]), B.matrix(b["_v"])) <= eps2
+        low = np.where(close, b["_lab"].to_numpy(np.int64)[None, :], _BIG).min(1)
+        return pd.DataFrame({"_id": a["_id"].to_numpy()[low < _BIG], "_lab": low[low < _BIG]})
+
+    return kernel
 
 
 def dbscan(
-    df: DataFrame, id_col: str, features: Sequence[str] | str, eps: float, min_points: int = 5,
-    chunk_rows: int = 20_000, max_rounds: int = 100,
+    df: DataFrame, id_col: str, features: Sequence[str] | str, eps: float, min_points: int = 5, chunk_rows: int = B.CHUNK_ROWS,
 ) -> DataFrame:
-    """``(id, cluster, is_core)``; noise has cluster -1."""
-    ship_package(df.sparkSession)
+    """``(id, cluster, is_core)`` of every row; noise has cluster -1."""
     eps2 = float(eps) ** 2
-    v = _vector(features)
-    pts = df.select(F.col(id_col).cast("long").alias("_id"), v.alias("_v")).where(
-        F.col("_v").isNotNull() & F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x))
-    )
-    pts = cut_lineage(pts)
-    counts = _per_chunk(pts, pts.withColumn("_val", F.lit(1).cast("long")), eps2, "count", chunk_rows)
-    pts = cut_lineage(pts.join(counts, "_id").withColumn("_core", F.col("_r") >= min_points).drop("_r"))
-    core = pts.where("_core").select("_id", "_v", F.col("_id").alias("_lab"))
-    core = cut_lineage(core)
-    for _ in range(max_rounds):
-        ref = core.select("_id", "_v", F.col("_lab").alias("_val"))
-        m = _per_chunk(core, ref, eps2, "min", chunk_rows).withColumnRenamed("_r", "_m")
-        step = core.join(m, "_id").withColumn("_new", F.least("_lab", "_m"))
-        # pointer jump: adopt the label of your label's point
-        look = step.select(F.col("_id").alias("_lid"), F.col("_new").alias("_via"))
-        jumped = step.join(look, step["_new"] == look["_lid"], "left").withColumn(
-            "_new", F.least("_new", F.coalesce("_via", "_new"))
-        )
-        nxt = cut_lineage(jumped.select("_id", "_v", F.col("_new").alias("_lab"), (F.col("_new") != F.col("_lab")).alias("_chg")))
-        changed = nxt.where("_chg").limit(1).count()
-        core = nxt.drop("_chg")
-        if changed == 0:
-            break
-    labels = core.select("_id", "_lab")
-    border_ref = core.select("_id", "_v", F.col("_lab").alias("_val"))
-    non_core = pts.where(~F.col("_core")).select("_id", "_v")
-    border = _per_chunk(non_core, border_ref, eps2, "min", chunk_rows)
-    border = border.select("_id", F.when(F.col("_r") < F.lit(int(_BIG)), F.col("_r")).alias("_lab"))
-    out = labels.withColumn("is_core", F.lit(True)).unionByName(border.withColumn("is_core", F.lit(False)))
-    return out.select(
-        F.col("_id").alias(id_col), F.coalesce(F.col("_lab"), F.lit(-1)).cast("long").alias("cluster"), "is_core"
-    )
+    rows = df.select(F.col(id_col).cast("long").alias("_id"), B.vector(features).alias("_v"))
+    points = cut_lineage(rows.where(B.complete(F.col("_v"))))
+    axes = B.widest(points)
+
+    def grid(p: DataFrame, neighbours: bool) -> DataFrame:
+        return B.cells(p, axes, float(eps), neighbours)
+
+    refs = grid(points.withColumnRenamed("_id", "_rid"), True)
+    counts = B.block_pass(grid(points, False), refs, _count(eps2), "_id long, _k long", chunk_rows).groupBy("_id").agg(F.sum("_k").alias("_k"))
+    points = cut_lineage(points.join(counts, "_id").select("_id", "_v", (F.col("_k") >= min_points).alias("_core")))
+
+    core = points.where("_core").select("_id", "_v")
+    core_refs = grid(core.withColumnRenamed("_id", "_rid"), True)
+    stars = B.block_pass(grid(core, False), core_refs, _pieces(eps2), "_a long, _b long", chunk_rows)
+    comp = connected_components(stars, "_a", "_b").withColumnRenamed("node", "_id")
+    labels = cut_lineage(core.join(comp, "_id", "left").select("_id", "_v", F.coalesce("comp", "_id").alias("_lab")))
+
+    border = points.where("NOT _core").select("_id", "_v")
+    label_refs = grid(labels.withColumnRenamed("_id", "_rid"), True)
+    near = B.block_pass(grid(border, False), label_refs, _lowest(eps2), "_id long, _lab long", chunk_rows).groupBy("_id").agg(F.min("_lab").alias("_lab"))
+    edge = border.join(near, "_id", "left").select("_id", F.coalesce("_lab", F.lit(-1)).alias("_lab"), F.lit(False).alias("is_core"))
+    lost = rows.where(~B.complete(F.col("_v"))).select("_id", F.lit(None).cast("long").alias("_lab"), F.lit(False).alias("is_core"))
+    out = labels.select("_id", "_lab", F.lit(True).alias("is_core")).union(edge).union(lost)
+    return out.select(F.col("_id").alias(id_col), F.col("_lab").cast("long").alias("cluster"), "is_core")

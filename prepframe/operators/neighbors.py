@@ -1,15 +1,13 @@
 """Exact k-nearest-neighbour classification.
 
-The labelled table is the model.  It is cut into chunks of at most ``chunk_rows``
-rows (sizes are counted before anything is broadcast); each chunk is broadcast as
-numpy arrays and every query partition computes, in one vectorised pass per Arrow
-batch, its k best candidates in that chunk.  No (query, reference) pair row is ever
-emitted: each query keeps k candidates per chunk, and the final top-k runs over
-k x chunks rows per query.  Votes go to the most frequent label, ties to the
-smaller label; distance ties go to the smaller reference id.
-
-Work is |queries| x |references| distance evaluations - what an exact search in
-high dimension costs - with memory bounded by the chunk size.
+Queries and labelled rows are cut into bounded chunks; every pair of chunks is one group of
+a cogrouped pass (see `blocks`) that keeps each query's k best rows of that chunk, and the k
+best of all chunks are ranked per query.  Nothing passes through the driver and no pair row
+is emitted.  Votes go to the most frequent label, ties to the smaller label; distance ties
+go to the smaller reference id.
+
+The work is |queries| x |references| distance evaluations: an exact search cannot prune
+in high dimension.  Queries with a missing feature are kept with a null prediction.
 """
 
 from __future__ import annotations
@@ -20,91 +18,47 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-
-from prepframe._session import ship_package
 
+from prepframe.operators import blocks as B
 
-def _vector(features: Sequence[str] | str):
-    if isinstance(features, str):
-        return F.col(features).cast("array<double>")
-    return F.array(*[F.col(c).cast("double") for c in features])
 
+def _best(k: int):
+    def kernel(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("_rid", kind="stable")
+        d2 = B.squared_distances(B.matrix(a["_v"]), B.matrix(b["_v"]))
+        first = np.argsort(d2, axis=1, kind="stable")[:, :k]  # ties by reference id
+        take = first.ravel()
+        return pd.DataFrame({
+            "_id": np.repeat(a["_id"].to_numpy(), first.shape[1]), "_rid": b["_rid"].to_numpy()[take],
+            "dist2": np.take_along_axis(d2, first, 1).ravel(), "_lab": b["_lab"].to_numpy()[take],
+        })
 
-def _complete(v):
-    return v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x))
+    return kernel
 
 
 def knn_neighbours(
     train: DataFrame, test: DataFrame, features: Sequence[str] | str, label: str, k: int,
-    train_id: str, test_id: str, chunk_rows: int = 20_000,
+    train_id: str, test_id: str, chunk_rows: int = B.CHUNK_ROWS,
 ) -> DataFrame:
     """``(test_id, rank, ref_id, dist2, label)`` for the k nearest labelled rows."""
-    spark = train.sparkSession
-    ship_package(spark)
-    ref = train.select(F.col(train_id).cast("long").alias("_rid"), _vector(features).alias("_v"), F.col(label).alias("_lab"))
-    ref = ref.where(_complete(F.col("_v")) & F.col("_lab").isNotNull())
-    n_ref = ref.count()
-    n_chunks = max(1, -(-n_ref // chunk_rows))
-    ref = ref.withColumn("_chunk", F.pmod(F.xxhash64("_rid"), F.lit(n_chunks)))
-    sizes = {r["_chunk"]: r["n"] for r in ref.groupBy("_chunk").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if sizes and max(sizes.values()) > 2 * chunk_rows:  # hash chunks are near-even; refuse a skewed cut
-        raise ValueError("reference chunks unexpectedly uneven; lower chunk_rows")
-    lab_type = train.schema[label].dataType
-    queries = test.select(F.col(test_id).cast("long").alias("_qid"), _vector(features).alias("_v")).where(_complete(F.col("_v")))
-    out_schema = StructType([
-        StructField("_qid", LongType()), StructField("_rid", LongType()), StructField("dist2", DoubleType()),
-        StructField("_lab", lab_type),
-    ])
-    parts = []
-    for c in sorted(sizes):
-        rows = ref.where(F.col("_chunk") == c).select("_rid", "_v", "_lab").collect()  # <= 2 x chunk_rows rows
-        rid = np.array([r["_rid"] for r in rows], dtype=np.int64)
-        mat = np.array([r["_v"] for r in rows], dtype=np.float64)
-        labs = [r["_lab"] for r in rows]
-        bc = spark.sparkContext.broadcast((rid, mat, labs))
-        parts.append(queries.mapInPandas(_best_in_chunk(bc, k), out_schema))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    # at most k x chunks candidates per query: a bounded window partition
-    w = Window.partitionBy("_qid").orderBy("dist2", "_rid")
-    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(F.col("_qid").alias(test_id), "rank", F.col("_rid").alias("ref_id"), "dist2", F.col("_lab").alias(label))
-
-
-def _best_in_chunk(bc, k: int):
-    def run(batches):
-        rid, mat, labs = bc.value
-        labs = np.asarray(labs, dtype=object)
-        rn2 = np.einsum("ij,ij->i", mat, mat)
-        kk = min(k, len(rid))
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            q = np.vstack(pdf["_v"].to_numpy()).astype(np.float64)
-            d2 = np.einsum("ij,ij->i", q, q)[:, None] + rn2[None, :] - 2.0 * (q @ mat.T)
-            np.maximum(d2, 0.0, out=d2)
-            # smallest kk per row, ties by reference id: lexsort inside the partitioned slice
-            part = np.argpartition(d2, kk - 1, axis=1)[:, :kk] if kk < len(rid) else np.tile(np.arange(len(rid)), (len(q), 1))
-            qids = pdf["_qid"].to_numpy()
-            dd = np.take_along_axis(d2, part, axis=1)
-            # exact tie handling at the k-th distance: include every reference tied with it
-            kth = dd.max(axis=1)
-            rows_q, rows_r = np.nonzero(d2 <= kth[:, None])
-            yield pd.DataFrame({
-                "_qid": qids[rows_q], "_rid": rid[rows_r], "dist2": d2[rows_q, rows_r], "_lab": labs[rows_r],
-            })
-
-    return run
+    refs = train.select(F.col(train_id).cast("long").alias("_rid"), B.vector(features).alias("_v"), F.col(label).alias("_lab"))
+    refs = refs.where(B.complete(F.col("_v")) & F.col("_lab").isNotNull())
+    queries = test.select(F.col(test_id).cast("long").alias("_id"), B.vector(features).alias("_v")).where(B.complete(F.col("_v")))
+    kind = train.schema[label].dataType.simpleString()
+    best = B.block_pass(B.cells(queries, [], 0.0, False), B.cells(refs, [], 0.0, False), _best(k), f"_id long, _rid long, dist2 double, _lab {kind}", chunk_rows)
+    # at most k rows per query and reference chunk
+    w = Window.partitionBy("_id").orderBy("dist2", "_rid")
+    top = best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top.select(F.col("_id").alias(test_id), "rank", F.col("_rid").alias("ref_id"), "dist2", F.col("_lab").alias(label))
 
 
 def knn_classify(
     train: DataFrame, test: DataFrame, features: Sequence[str] | str, label: str, k: int = 5,
-    train_id: str = "id", test_id: str | None = None, chunk_rows: int = 20_000,
+    train_id: str = "id", test_id: str | None = None, chunk_rows: int = B.CHUNK_ROWS,
 ) -> DataFrame:
-    """``(test_id, prediction)``: majority label of the k nearest rows (ties: smaller label)."""
+    """``(test_id, prediction)`` of every query: majority label of the k nearest rows (ties: smaller label)."""
     test_id = test_id or train_id
-    nn = knn_neighbours(train, test, features, label, k, train_id, test_id, chunk_rows)
-    votes = nn.groupBy(test_id, label).agg(F.count(F.lit(1)).alias("_n"))
-    return votes.groupBy(test_id).agg(F.min_by(F.col(label), F.struct(-F.col("_n"), F.col(label))).alias("prediction"))
+    near = knn_neighbours(train, test, features, label, k, train_id, test_id, chunk_rows)
+    votes = near.groupBy(test_id, label).agg(F.count(F.lit(1)).alias("_n"))
+    said = votes.groupBy(test_id).agg(F.min_by(F.col(label), F.struct(-F.col("_n"), F.col(label))).alias("prediction"))
+    return test.select(F.col(test_id)).join(said, test_id, "left")

@@ -40,3 +40,16 @@ def test_dbscan_two_blobs(spark, two_blobs):
     assert len({out[i] for i in range(40)}) == 1 and len({out[i] for i in range(40, 80)}) == 1
     assert out[0] != out[40] and out[80] == -1 and out[81] == -1
     assert out[0] == min(i for i in range(40) if out[i] == out[0])
+
+
+def test_far_from_the_origin_and_missing_features(spark):
+    # offsets of 1e8 must not cancel; a chain of 300 points is one cluster; nothing is dropped
+    rows = [(i, 1e8 + 0.9 * i, -1e8) for i in range(300)] + [(400 + i, 1e8 + 0.9 * i, -1e8 + 5.0) for i in range(5)] + [(900, None, 1.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    out = {r["id"]: (r["cluster"], r["is_core"]) for r in dbscan(df, "id", ["a", "b"], eps=1.0, min_points=2, chunk_rows=40).collect()}
+    assert len(out) == 306 and {out[i][0] for i in range(300)} == {0} and {out[400 + i][0] for i in range(5)} == {400}
+    assert out[900] == (None, False)
+    train = spark.createDataFrame([(1, 1e8, 0.0, "x"), (6, 1e8 + 3, 0.0, "y")], "id long, a double, b double, y string")
+    test = spark.createDataFrame([(10, 1e8 + 2.0, 0.0), (11, None, 0.0)], "id long, a double, b double")
+    got = {r["id"]: r["prediction"] for r in knn_classify(train, test, ["a", "b"], "y", k=1).collect()}
+    assert got == {10: "y", 11: None}
