@@ -164,7 +164,8 @@ def glm_poisson(spark, sf):
     # orders per customer as a count response of the customer's balance and segment size
     o, c = load(spark, sf, "orders"), load(spark, sf, "customer")
     per = o.groupBy("o_custkey").agg(F.count(F.lit(1)).cast("double").alias("n_orders"))
-    data = c.join(per, F.col("c_custkey") == F.col("o_custkey")).withColumn("bal_k", F.col("c_acctbal") / 1000.0)
+    data = c.join(per, F.col("c_custkey") == F.col("o_custkey"), "left").fillna(0.0, ["n_orders"])  # no order: count 0
+    data = data.withColumn("bal_k", F.col("c_acctbal") / 1000.0)
     m = MO.fit(data, ["bal_k"], "n_orders", MO.make_estimator("regression", "glm", family="poisson", link="log"), "regression")
     scored = MO.score(m, data)
     return rounded(E.regression_metrics(scored, "n_orders", "prediction").select("rmse", "mean_ae"), 4)
@@ -323,45 +324,43 @@ def rf_importance(spark, sf):
 
 # ------------------------------------------------------------------ recommendation, validation, tuning
 
-_BASKETS = "SELECT DISTINCT l_orderkey AS o, p_brand AS b FROM lineitem JOIN part ON l_partkey = p_partkey"
+def _subsets(item: str) -> str:
+    """All non-empty item sets of every basket, items in ascending order (baskets are small)."""
+    return f"""
+WITH RECURSIVE t AS (SELECT DISTINCT l_orderkey AS o, {item} AS b FROM lineitem JOIN part ON l_partkey = p_partkey),
+nb AS (SELECT CAST(count(DISTINCT o) AS DOUBLE) AS n FROM t),
+sub(o, items, last) AS (SELECT o, [b], b FROM t UNION ALL
+  SELECT sub.o, list_append(items, t.b), t.b FROM sub JOIN t ON t.o = sub.o AND t.b > last),
+s AS (SELECT items, count(*) AS f FROM sub GROUP BY items)"""
 
 
 @query(
     "frequent_itemsets",
-    f"""
-WITH t AS ({_BASKETS}),
-nb AS (SELECT count(DISTINCT o) AS n FROM t),
-single AS (SELECT b AS items, count(*) AS freq FROM t GROUP BY b),
-pairs AS (SELECT x.b || ',' || y.b AS items, count(*) AS freq FROM t x JOIN t y ON x.o = y.o AND x.b < y.b GROUP BY x.b, y.b)
-SELECT items, freq FROM (SELECT * FROM single UNION ALL SELECT * FROM pairs) u, nb WHERE freq >= ceil(0.01 * n)
-""",
+    _subsets("p_brand") + "SELECT array_to_string(items, ',') AS items, f AS freq FROM s, nb WHERE f >= ceil(0.01 * n)",
 )
 def frequent_itemsets(spark, sf):
     li, p = load(spark, sf, "lineitem"), load(spark, sf, "part")
     t = li.join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("o"), F.col("p_brand").alias("b"))
     items, _ = MO.frequent_itemsets(t, "o", "b", min_support=0.01, min_confidence=0.5)
-    small = items.where(F.size("items") <= 2)
-    return small.select(F.array_join(F.array_sort("items"), ",").alias("items"), F.col("freq").cast("bigint").alias("freq"))
+    return items.select(F.array_join(F.array_sort("items"), ",").alias("items"), F.col("freq").cast("bigint").alias("freq"))
 
 
 @query(
     "association_rules",
-    """
-WITH t AS (SELECT DISTINCT l_orderkey AS o, p_type AS b FROM lineitem JOIN part ON l_partkey = p_partkey),
-nb AS (SELECT CAST(count(DISTINCT o) AS DOUBLE) AS n FROM t),
-single AS (SELECT b, CAST(count(*) AS DOUBLE) AS f FROM t GROUP BY b),
-pairs AS (SELECT x.b AS a, y.b AS c, CAST(count(*) AS DOUBLE) AS f FROM t x JOIN t y ON x.o = y.o AND x.b <> y.b GROUP BY x.b, y.b)
-SELECT a AS antecedent, c AS consequent, round(pairs.f / sa.f, 4) AS confidence,
-       round((pairs.f / sa.f) / (sc.f / n), 4) AS lift, round(pairs.f / n, 4) AS support
-FROM pairs JOIN single sa ON sa.b = a JOIN single sc ON sc.b = c, nb
-WHERE pairs.f >= ceil(0.02 * n) AND pairs.f / sa.f >= 0.05
+    _subsets("p_type")
+    + """,
+z AS (SELECT items, f, unnest(items) AS c FROM s, nb WHERE len(items) > 1 AND f >= ceil(0.02 * n)),
+r AS (SELECT [x FOR x IN items IF x <> c] AS a, c, f FROM z)
+SELECT array_to_string(a, ',') AS antecedent, c AS consequent, round(r.f / sa.f, 4) AS confidence,
+       round((r.f / sa.f) / (sc.f / n), 4) AS lift, round(r.f / n, 4) AS support
+FROM r JOIN s sa ON sa.items = a JOIN s sc ON sc.items = [c], nb
+WHERE r.f / sa.f >= 0.05
 """,
 )
 def association_rules(spark, sf):
     li, p = load(spark, sf, "lineitem"), load(spark, sf, "part")
     t = li.join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("o"), F.col("p_type").alias("b"))
     _, rules = MO.frequent_itemsets(t, "o", "b", min_support=0.02, min_confidence=0.05)
-    rules = rules.where(F.size("antecedent") == 1)
     return rounded(rules.select(
         F.array_join(F.array_sort("antecedent"), ",").alias("antecedent"),
         F.array_join(F.array_sort("consequent"), ",").alias("consequent"),
