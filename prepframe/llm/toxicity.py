@@ -44,9 +44,10 @@ LOOKS_LIKE = {
 }
 SWAP, DROP, FOLD = math.log(0.2), math.log(0.05), math.log(0.3)
 
+EDGES = ".,;:?\"'’()[]{}<>#%&*~^=/\\-_"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_][ .*_-]){3,}[^\W_](?![^\s.,;:!?])")
-_WRITTEN_OVER = re.compile(r"[^\W\d_][^\w\s'’,.;:]*[0-9@$!|+(<€£¡*._-]+[^\W\d_]|[0-9@$!|¡€£][^\W\d_]|[^\W\d_][0-9@$€£](?![@$€£])|(.)\1\1")
+_WRITTEN_OVER = re.compile(r"[^\W\d_][^\w\s'’,.;:]*[0-9@$!|+(<€£¡*._-]+[^\W\d_]|[0-9@$!|¡€£][^\W\d_]|[^\W\d_][0-9@$€£](?![@$€£])|([^\W\d_])\1\1")
 
 
 class LanguageModel:
@@ -96,12 +97,10 @@ def decode(token: str, lm: LanguageModel) -> str:
 
 def restore(token: str, lm: LanguageModel) -> list[str]:
     """The words behind one white-space token, lower case."""
-    if token.isalpha() and not re.search(r"(.)\1\1", token):
-        return [token]
-    if not _WRITTEN_OVER.search(token):
-        return _LETTERS.findall(token)
-    core = token.strip(".,;:?\"'’()[]{}<>#%&*~^=/\\-_").rstrip("!|")
-    return [decode(core, lm), *_LETTERS.findall(token)]
+    core = token.strip(EDGES).rstrip("!|")
+    if not _WRITTEN_OVER.search(core):
+        return [core] if core.isalpha() else _LETTERS.findall(core)
+    return [decode(core, lm), *_LETTERS.findall(core)]
 
 
 def spaced_out(text: str) -> list[str]:
