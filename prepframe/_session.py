@@ -1,17 +1,10 @@
-"""Session-level helpers: checkpoint folder, lineage cuts, size-checked broadcast."""
+"""Session-level helpers: checkpoint folder, lineage cuts, shipping the package."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Row bound under which a derived side table (categories, group statistics) may be
-# broadcast. Parameter tables with one row per *column* are always broadcast; tables
-# whose size depends on the data go through `broadcast_if_small`.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, configuring it only where it is unset.
@@ -45,22 +38,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the side: the size check is explicit.
-
-    Beyond the bound the frame is returned unhinted and Catalyst/AQE plan a
-    shuffle join (AQE can still switch to broadcast from runtime statistics).
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def is_numeric(df: DataFrame, col: str) -> bool:
-    from pyspark.sql.types import NumericType
-
-    return isinstance(df.schema[col].dataType, NumericType)
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -51,7 +51,3 @@ def scale_expr(c, fn: str) -> Column:
     if fn not in _SCALERS:
         raise ValueError(f"unknown scaling {fn!r}; expected one of {sorted(_SCALERS)}")
     return _SCALERS[fn](_c(c).cast("double"))
-
-
-def numeric_columns(df) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]

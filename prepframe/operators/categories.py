@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prepframe._session import broadcast_if_small, cut_lineage
+from prepframe._session import cut_lineage
 from prepframe.operators.ordering import ordered_totals
 
 _ORDERS = ("frequencyDesc", "frequencyAsc", "alphabetAsc", "alphabetDesc")
@@ -52,21 +52,6 @@ def fit_categories(df: DataFrame, columns: Sequence[str], order: str = "frequenc
     return cut_lineage(ranked.select("col", "label", (F.col("_rn") - 1).alias("idx"), "cnt"))
 
 
-# Side tables up to this many entries are applied as a literal map lookup (a pure
-# projection); larger ones are joined (broadcast after a count, else shuffled).
-MAX_MAP_ENTRIES = 5_000
-
-
-def _small_map(table: DataFrame, key: str, value: str):
-    """The table as a literal ``map`` when it has at most MAX_MAP_ENTRIES rows, else None."""
-    rows = table.select(key, value).limit(MAX_MAP_ENTRIES + 1).collect()
-    if len(rows) > MAX_MAP_ENTRIES:
-        return None
-    if not rows:
-        return F.create_map().cast(f"map<string,{table.schema[value].dataType.simpleString()}>")
-    return F.create_map(*[x for r in rows for x in (F.lit(r[key]), F.lit(r[value]))])
-
-
 def apply_categories(
     df: DataFrame, codes: DataFrame, columns: Sequence[str] | None = None, unseen: int | str = -1
 ) -> DataFrame:
@@ -84,11 +69,7 @@ def apply_categories(
             fallback = F.lit(mine.count()).cast("bigint")
         else:
             fallback = F.lit(int(unseen)).cast("bigint")
-        lookup = _small_map(mine, "label", "idx")
-        if lookup is not None:  # few categories: no join at all
-            out = out.withColumn(c, F.coalesce(F.try_element_at(lookup, F.col(c).cast("string")), fallback))
-            continue
-        side = broadcast_if_small(mine.select(F.col("label").alias(f"_lbl_{c}"), F.col("idx").alias(f"_idx_{c}")))
+        side = mine.select(F.col("label").alias(f"_lbl_{c}"), F.col("idx").alias(f"_idx_{c}"))
         out = out.join(side, F.col(c).cast("string") == F.col(f"_lbl_{c}"), "left")
         out = out.withColumn(c, F.coalesce(F.col(f"_idx_{c}"), fallback)).drop(f"_lbl_{c}", f"_idx_{c}")
     return out
@@ -125,12 +106,7 @@ def frequency_encode(df: DataFrame, column: str, out: str | None = None, normali
         total = df.count()
         counts = counts.withColumn("_freq", F.col("_freq") / F.lit(float(total)))
     name = out or f"{column}_freq"
-    lookup = _small_map(counts.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("k"), "_freq"), "k", "_freq")
-    if lookup is not None:
-        null_freq = counts.where(F.col(column).isNull()).select("_freq").collect()  # zero or one row
-        nf = F.lit(null_freq[0][0]) if null_freq else F.lit(None)
-        return df.withColumn(name, F.when(F.col(column).isNull(), nf).otherwise(F.try_element_at(lookup, F.col(column).cast("string"))))
-    res = df.join(broadcast_if_small(counts), df[column].eqNullSafe(counts[column]), "left").drop(counts[column])
+    res = df.join(counts, df[column].eqNullSafe(counts[column]), "left").drop(counts[column])
     return res.withColumnRenamed("_freq", name)
 
 
@@ -150,10 +126,6 @@ def fit_target_encoding(df: DataFrame, column: str, target: str, smoothing: floa
 def apply_target_encoding(df: DataFrame, column: str, enc: DataFrame, out: str | None = None) -> DataFrame:
     prior = enc.select("prior").first()
     prior = prior[0] if prior else None
-    lookup = _small_map(enc.where(F.col("label").isNotNull()).select(F.col("label").cast("string").alias("k"), "enc"), "k", "enc")
-    if lookup is not None:
-        val = F.try_element_at(lookup, F.col(column).cast("string"))
-        return df.withColumn(out or f"{column}_te", F.coalesce(val, F.lit(prior)))
-    side = broadcast_if_small(enc.select(F.col("label").alias("_te_l"), F.col("enc").alias("_te")))
+    side = enc.select(F.col("label").alias("_te_l"), F.col("enc").alias("_te"))
     res = df.join(side, F.col(column).eqNullSafe(F.col("_te_l")), "left")
     return res.withColumn(out or f"{column}_te", F.coalesce(F.col("_te"), F.lit(prior))).drop("_te_l", "_te")

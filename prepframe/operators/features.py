@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prepframe._session import broadcast_if_small, cut_lineage
+from prepframe._session import cut_lineage
 from prepframe.operators.ordering import exact_percentiles
 
 
@@ -140,21 +140,6 @@ def pca(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
     return fit_pca(df, columns, k).transform(df)
 
 
-def pca_spark_ml(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
-    """The same projection through ``pyspark.ml.feature.PCA`` (centred first, as
-    Spark's PCAModel does not centre): Assembler -> StandardScaler(withMean) -> PCA."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=list(columns), outputCol="_v", handleInvalid="skip"),
-        StandardScaler(inputCol="_v", outputCol="_c", withMean=True, withStd=False),
-        PCA(k=k, inputCol="_c", outputCol="_p"),
-    ])
-    out = pipe.fit(df).transform(df).withColumn("_a", vector_to_array("_p"))
-    return out.withColumns({f"pca_{j}": F.col("_a")[j] for j in range(k)}).drop("_v", "_c", "_p", "_a")
-
 
 def fit_svd(df: DataFrame, columns: Sequence[str], k: int) -> LinearProjection:
     """Top-k right singular vectors of the (uncentred) matrix from its Gram matrix
@@ -223,7 +208,7 @@ def flag_anomalies(df: DataFrame, bounds: DataFrame, columns: Sequence[str], gro
     g = list(group_by)
     wide = bounds.groupBy(*g).pivot("col", list(columns)).agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"))
     if g:
-        side = broadcast_if_small(wide.select(*[F.col(c).alias(f"_g_{c}") for c in g], *[c for c in wide.columns if c not in g]))
+        side = wide.select(*[F.col(c).alias(f"_g_{c}") for c in g], *[c for c in wide.columns if c not in g])
         cond = None
         for c in g:
             e = F.col(c).eqNullSafe(F.col(f"_g_{c}"))
@@ -262,11 +247,6 @@ def rank_features(df: DataFrame, features: Sequence[str], target: str | None = N
     return long.withColumn("rank", F.row_number().over(Window.orderBy(F.col("score").desc_nulls_last(), F.col("feature"))))
 
 
-def select_top(df: DataFrame, ranking: DataFrame, keep: Sequence[str], n: int) -> DataFrame:
-    # at most n feature names (n rows)
-    best = [r["feature"] for r in ranking.where(F.col("rank") <= n).orderBy("rank").collect()]
-    return df.select(*keep, *best)
-
 
 def select_chi2(df: DataFrame, features: Sequence[str], label: str, n: int) -> list[str]:
     """Top-n categorical features by chi-squared test with the label (Spark ML selector)."""

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, NumericType
 
-from prepframe._session import broadcast_if_small
 from prepframe.operators.ordering import exact_percentiles, ordered_totals
 
 _HOWS = {
@@ -32,14 +31,12 @@ def join(
     on: str | Sequence[str] | Mapping[str, str],
     how: str = "inner",
     suffixes: tuple[str, str] = ("", "_right"),
-    broadcast_right: bool | None = None,
 ) -> DataFrame:
     """Equi-join on key columns.
 
     ``on`` is a column name, a list (same names both sides) or ``{left: right}``.
-    Non-key columns present on both sides get ``suffixes``.  Join strategy is left
-    to Catalyst/AQE; ``broadcast_right=True`` broadcasts the right side after a
-    counted size check.  Pair-producing joins without keys are not offered.
+    Non-key columns present on both sides get ``suffixes``.  The join strategy is left
+    to Catalyst/AQE, which goes by bytes.  Pair-producing joins without keys are not offered.
     """
     if how not in _HOWS:
         raise ValueError(f"how must be one of {sorted(_HOWS)}")
@@ -48,8 +45,6 @@ def join(
     if not pairs:
         raise ValueError("join needs at least one key")
     lkeys, rkeys = [p[0] for p in pairs], [p[1] for p in pairs]
-    if broadcast_right:
-        right = broadcast_if_small(right)
     if jt in ("left_semi", "left_anti"):
         cond = [left[l] == right[r] for l, r in pairs]
         return left.join(right, cond, jt)

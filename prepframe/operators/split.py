@@ -82,15 +82,3 @@ def sample_stratified(
     for v, f in fractions.items():
         cut = F.when(F.col(column) == F.lit(v), F.lit(int(f * HASH_SPACE))).otherwise(cut)
     return df.where(hash_bucket(key, seed) < cut)
-
-
-def k_folds(df: DataFrame, key: str, k: int, seed: int | None = None, out: str = "fold") -> DataFrame:
-    """Fold id ``0..k-1`` from the key hash (for cross-validation)."""
-    return df.withColumn(out, (hash_bucket(key, seed) % k).cast("int"))
-
-
-def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

@@ -1,4 +1,4 @@
 """Registered queries over the driver tables, each with its DuckDB SQL twin."""
 
 from prepframe.plans.registry import ORACLE, QUERIES, load  # noqa: F401
-from prepframe.plans import prep, metrics, reshape, models, streams, io  # noqa: F401,E402
+from prepframe.plans import prep, metrics, reshape, models, streams, io, checks  # noqa: F401,E402

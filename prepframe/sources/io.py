@@ -98,7 +98,7 @@ def write_table(
     """Catalog sink.
 
     Overwriting a table that ``df`` itself reads fails in Spark, so an overwrite goes
-    through ``<name>__stage`` followed by drop + rename.  ``bucket_by=(n, cols)``
+    through ``<name>__stage`` followed by two renames and a drop.  ``bucket_by=(n, cols)``
     writes a bucketed table so later joins on ``cols`` need no shuffle.
     """
     spark = df.sparkSession
@@ -112,8 +112,16 @@ def write_table(
         w = w.bucketBy(n, *cols).sortBy(*cols)
     w.saveAsTable(target)
     if target != name:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"ALTER TABLE {target} RENAME TO {name}")
+        # the old table keeps existing under another name until the new one has its place
+        old = f"{name}__old"
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {target} RENAME TO {name}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            raise
+        spark.sql(f"DROP TABLE {old}")
 
 
 _READERS = {
@@ -138,11 +146,8 @@ def save_model(model, path: str) -> None:
 
 
 def load_model(path: str):
-    """Load a fitted ``PipelineModel`` saved by ``save_model``."""
-    from pyspark.ml import PipelineModel
+    """Load what ``save_model`` wrote: a fitted model or pipeline, or an unfitted estimator."""
+    from pyspark import SparkContext
+    from pyspark.ml.util import DefaultParamsReader
 
-    return PipelineModel.load(path)
-
-
-def load_tables(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    return DefaultParamsReader.loadParamsInstance(path, SparkContext.getOrCreate())

@@ -132,3 +132,30 @@ def test_wide_moments_path_matches(spark, monkeypatch):
     monkeypatch.setattr(FE, "MAX_SUM_COLUMNS", 1)
     b = FE.fit_pca(li, cols, 2)
     assert np.allclose(a.components, b.components, atol=1e-6) and np.allclose(a.centre, b.centre)
+
+
+def test_moments_with_large_offsets(spark):
+    import numpy as np
+
+    from prepframe.operators import features as FE
+
+    r = np.random.default_rng(3)
+    x = np.stack([1e9 + r.normal(0, 1.3, 500), -1e9 + r.normal(0, 0.07, 500)], 1)
+    df = spark.createDataFrame([tuple(map(float, v)) for v in x], "a double, b double")
+    got = FE.fit_pca(df, ["a", "b"], 2).values
+    assert np.allclose(sorted(got), sorted(np.linalg.eigvalsh(np.cov((x - x.mean(0)).T))), rtol=1e-3)
+
+
+def test_many_classes_margins_and_missing_features(spark):
+    from prepframe.operators import models as M
+
+    df = spark.range(3000).select(F.col("id").cast("string").alias("lab"), F.col("id").cast("double").alias("x"))
+    labels, numeric = M._label_index(df, "lab")
+    assert M._encode_label(df, "lab", labels, numeric).where("_label_idx IS NULL").count() == 0
+    two = spark.createDataFrame([(float(i), "p" if i > 20 else "q") for i in range(60)] + [(None, "p")], "x double, lab string")
+    table, best = M.tune(two, ["x"], "lab", "binary", [("svm", {"maxIter": 5}), ("logistic_regression", {"maxIter": 5})], "x", "auc")
+    assert table.count() == 2 and best is not None
+    m = M.fit(two, ["x"], "lab", M.make_estimator("binary", "svm", maxIter=10), "binary")
+    assert M.score(m, two).count() == 61
+    km = M.fit_kmeans(two, ["x"], K=2)
+    assert M.assign_clusters(km, two).where("prediction IS NULL").count() == 1

@@ -173,3 +173,16 @@ def test_rfm_scores_balanced_and_segmented(spark):
         want = ("champion" if rr >= 4 and ff >= 4 else "new" if rr >= 4 and ff <= 2 else
                 "at_risk" if rr <= 2 and ff >= 4 else "lost" if rr <= 2 and ff <= 2 else "regular")
         assert row["segment"] == want and row["rfm_code"] == f"{rr}{ff}{row['m_score']}"
+
+
+def test_null_group_is_one_group(spark):
+    df = spark.createDataFrame([(None, 1.0, 5.0), (None, None, None), ("g", 3.0, None)], "g string, x double, y double")
+    for strategy in ("median", "mode", "mean"):
+        out = R.handle_missing(df, ["x", "y"], strategy, group_by=["g"]).collect()
+        assert len(out) == 3 and sum(r["g"] is None and r["x"] == 1.0 and r["y"] == 5.0 for r in out) == 2
+
+
+def test_keep_first_with_a_map_column(spark):
+    df = spark.sql("SELECT k, o, map('a', o) AS m FROM VALUES (1, 2), (1, 1), (2, 7) AS t(k, o)")
+    got = {r["k"]: r["m"]["a"] for r in R.drop_duplicates(df, ["k"], order_by=["o"]).collect()}
+    assert got == {1: 1, 2: 7}
