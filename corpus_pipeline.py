@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepframe.llm.common import load, scratch_path
+from prepframe.llm.common import bitmap_flag, cut_lineage, load, scratch_path
 from prepframe.llm.jaccard import similarity_components
 from prepframe.llm.packing import pack
 from prepframe.llm.pii import pseudonymise
@@ -37,10 +37,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every near-duplicate group; repeated rows once."""
-    groups = similarity_components(docs, width=SHINGLE_WORDS, percent=SIMILARITY)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, docs.doc_id.eqNullSafe(first["_first"]), "left_semi")
-    return kept.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
+    groups = cut_lineage(similarity_components(docs, width=SHINGLE_WORDS, percent=SIMILARITY))
+    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
+    twice = groups.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("_id")
+    # Only rows that a bitmap of these ids lets through are shuffled; all others stay where they are.
+    marked = bitmap_flag(docs, "doc_id", cut_lineage(gone.union(twice)))
+    some = marked.where("_maybe").drop("_maybe").join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    some = some.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
+    return marked.where("NOT _maybe").drop("_maybe").union(some)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
