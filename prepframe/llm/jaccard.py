@@ -2,18 +2,20 @@
 
 A document's set holds its distinct word shingles (64-bit hashes; a document with fewer
 words has its whole word sequence as the only shingle).  Two sets with Jaccard >= t must
-share a token within the first |s| - ceil(t |s|) + 1 tokens of each under *any* global
-order of all tokens.  The join asks for that under several orders at once:
+share k tokens within the first |s| - ceil(t |s|) + k tokens of each under *any* global
+order of all tokens, as long as ceil(t |s|) >= k.  The join asks for that under several
+orders at once, for k = 2 under the first and k = 1 under the further ones (different sets
+of a single token have nothing in common):
 
 1. Equal sets become one class (``set_id``); classes, not copies, are joined.
 2. Order 0 is (frequent, hash): the share of low-hash tokens of every class is counted over
    all documents, and the most frequent of them are moved behind all others.  Only the
    bounded list of moved tokens is sent to the tasks; any such list gives an exact filter.
 3. The further orders are other permutations of the hash.  Their prefixes travel with the
-   class as 32-bit hashes; a candidate from order 0 must have a common one under each of
+   class as 16-bit hashes; a candidate from order 0 must have a common one under each of
    them and sizes within the threshold before it is verified on the whole sets.
-4. Candidates inside a token's group first go to one representative only (a star).  Links
-   found merge classes into components; groups whose classes are one component are done.
+4. Every class is first verified against one representative only, of the token groups that
+   name the same one most often (a star).  Links found merge classes into components; groups whose classes are one component are done.
    Only pairs of *different* components are enumerated in the end, and verified.
 
 No pair is dropped: a pair that is never verified lies within one component already.
@@ -30,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prepframe.llm.common import cut_lineage, map_batches, prepare
+from prepframe.llm.common import cut_lineage, map_batches, prepare, probably_in, release
 from prepframe.llm.components import connected_components
 
 # Tokens moved behind all others in order 0: at most this many hashes are broadcast (8 bytes each).
 MAX_MOVED = 50_000
 # A token is moved only if it is in the counted part of more classes than this.
 MOVE_ABOVE = 24
+# Tokens that two sets must share within their prefixes under order 0.
+SHARED = 2
 ORDERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 _TABLE = np.random.RandomState(20240607).randint(0, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -115,14 +119,14 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _other_prefixes(s: np.ndarray, percent: int) -> bytes:
-    """The prefixes under the further orders, 32 bits of each token's place, one after another."""
+    """The prefixes under the further orders, 16 bits of each token's place, one after another."""
     out = []
     with np.errstate(over="ignore"):
         p = prefix_length(len(s), percent)
         for k in ORDERS:
             o = _mix(s * np.uint64(k))
             low = np.partition(o, p - 1)[:p] if p < len(o) else o
-            out.append((low & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes())
+            out.append((low & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
     return b"".join(out)
 
 
@@ -145,22 +149,28 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
     return map_batches(src, fn, "doc_id long, set_id binary, n long")
 
 
-def _prefixes(docs: DataFrame, width: int, percent: int, moved=None) -> DataFrame:
-    """(set_id, n, prefix, other) of every class: order 0 and the further orders.
+def _prefix_tokens(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Plain hash-order prefix tokens of all documents, equal sets of a task once (for the counts)."""
+
+    def fn(b: pa.RecordBatch) -> pa.RecordBatch | None:
+        parts = {s.tobytes(): s[: prefix_length(len(s), percent)] for s in shingle_sets(b.column(0), width) if len(s)}
+        if not parts:
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(list(parts.values())).view(np.int64))], names=["token"])
+
+    return map_batches(_texts(docs), fn, "token long")
 
-    Without ``moved`` (the counting pass) `prefix` is twice as long and `other` is empty.
-    """
+
+def _prefixes(docs: DataFrame, width: int, percent: int, moved) -> DataFrame:
+    """(set_id, n, prefix, other) of every class: order 0 and the further orders."""
 
     def one(s: np.ndarray) -> tuple[np.ndarray, bytes]:
-        p = prefix_length(len(s), percent)
-        part = s[: 2 * p]
-        if moved is None:
-            return part, b""
-        late = moved.value
+        late, p = moved.value, prefix_length(len(s), percent) + SHARED - 1
 
         def is_late(x: np.ndarray) -> np.ndarray:
             return late[np.minimum(np.searchsorted(late, x), len(late) - 1)] == x if len(late) else np.zeros(len(x), bool)
 
+        part = s[: 2 * p]
         slow = is_late(part)
         if (~slow).sum() < p and 2 * p < len(s):
             part, slow = s, is_late(s)
@@ -183,20 +193,21 @@ def _prefixes(docs: DataFrame, width: int, percent: int, moved=None) -> DataFram
     return rows.groupBy("set_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("other").alias("other"))
 
 
-def _meet_in_all_orders(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidates (a, b) whose prefixes meet under every further order."""
+def _meet_in_all_orders(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Candidates (a, b) of fitting sizes whose prefixes meet under every further order."""
 
     def fn(b: pa.RecordBatch) -> pa.RecordBatch | None:
         keep = []
         for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-            u, v = (np.frombuffer(z, np.uint32).reshape(len(ORDERS), -1) for z in (x, y))
+            u, v = (np.frombuffer(z, np.uint16).reshape(len(ORDERS), -1) for z in (x, y))
             if all(np.isin(u[k], v[k]).any() for k in range(len(ORDERS))):
                 keep.append(i)
         return b.select(["a", "b"]).take(pa.array(keep, pa.int64())) if keep else None
 
-    left = classes.select(F.col("rep").alias("a"), F.col("other").alias("oa"))
-    right = classes.select(F.col("rep").alias("b"), F.col("other").alias("ob"))
-    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "oa", "ob"), fn, "a long, b long")
+    left = classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("other").alias("oa"))
+    right = classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("other").alias("ob"))
+    sized = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    return map_batches(sized.select("a", "b", "oa", "ob"), fn, "a long, b long")
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -208,7 +219,8 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             [b.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "tokens"]
         )
 
-    src = docs.join(wanted, docs.doc_id == wanted.rep, "left_semi").select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    # The few others that pass the bitmap meet no pair in the join that follows.
+    src = probably_in(docs, "doc_id", wanted).select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     return map_batches(src, fn, "rep long, tokens binary").groupBy("rep").agg(F.first("tokens").alias("tokens"))
 
 
@@ -226,52 +238,76 @@ def _verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
         return b.select(["a", "b"]).take(pa.array(keep, pa.int64())) if keep else None
 
     pairs = cut_lineage(pairs)
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
+    release(docs.sparkSession)
+    wanted = cut_lineage(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct())
     sets = _whole_sets(docs, wanted, width)
     left = sets.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("rep").alias("b"), F.col("tokens").alias("tb"))
     return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), fn, "a long, b long")
 
 
+def _moved_tokens(docs: DataFrame, width: int, percent: int, move_above: int, max_moved: int) -> np.ndarray:
+    """The most frequent prefix tokens over all documents, sorted (at most ``max_moved``)."""
+    counted = _prefix_tokens(docs, width, percent).groupBy("token")
+    counted = counted.agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > move_above)
+    rows = counted.orderBy(F.desc("df"), "token").limit(max_moved).collect()  # limit: max_moved rows
+    return np.sort(np.array([r["token"] for r in rows], np.int64).view(np.uint64))
+
+
+def _groups(classes: DataFrame) -> DataFrame:
+    """(token, rep, n, s) of the classes that share a prefix token; s is the group's first class."""
+    tokens = classes.select(F.explode("prefix").alias("token"), "rep", "n")
+    sizes = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("g"), F.min("rep").alias("s")).where("g > 1").select("token", "s")
+    return cut_lineage(tokens.join(sizes, "token"))
+
+
+def _best_stars(groups: DataFrame) -> DataFrame:
+    """(a, b): every class and the one star that it shares most tokens with."""
+    shared = groups.where("rep != s").groupBy("s", "rep").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= SHARED)
+    return shared.groupBy("rep").agg(F.max_by("s", F.struct("k", -F.col("s"))).alias("a")).select("a", F.col("rep").alias("b"))
+
+
+def _open_pairs(groups: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components that share enough prefix tokens and fit in size."""
+    named = groups.join(comp, "rep", "left").select("token", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
+    open_tokens = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("token")
+    rest = cut_lineage(named.join(open_tokens, "token"))
+    left = rest.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
+    right = rest.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
+    met = left.join(right, "token").where(
+        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    )
+    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= SHARED).select("a", "b")
+
+
 def similarity_components(
     docs: DataFrame, width: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text",
     move_above: int = MOVE_ABOVE, max_moved: int = MAX_MOVED,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every input row."""
+    """(doc_id, n_shingles, component_id) of every input row; ``percent`` must be over 50."""
+    if percent <= 50:
+        raise ValueError("two shared prefix tokens are only certain for a similarity over one half")
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     table = cut_lineage(set_table(docs, width))
     reps = table.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("rep"))
 
-    counted = _prefixes(docs, width, percent).select(F.explode("prefix").alias("token"))
-    counted = counted.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > move_above)
-    frequent = counted.orderBy(F.desc("df"), "token").limit(max_moved).collect()  # limit: max_moved rows
-    moved = spark.sparkContext.broadcast(np.sort(np.array([r["token"] for r in frequent], np.int64).view(np.uint64)))
+    moved = spark.sparkContext.broadcast(_moved_tokens(docs, width, percent, move_above, max_moved))
     classes = cut_lineage(_prefixes(docs, width, percent, moved).join(reps, "set_id").drop("set_id"))
-
-    tokens = classes.select(F.explode("prefix").alias("token"), "rep", "n")
-    # A token of a single class makes no pair; the smallest set of a group is its star.
-    sizes = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("g"), F.min(F.struct("n", "rep")).alias("star")).where("g > 1")
-    groups = cut_lineage(tokens.join(sizes, "token").select("token", "rep", "n", F.col("star.rep").alias("s"), F.col("star.n").alias("sn")))
-
-    def near(x: str, y: str):
-        return F.least(x, y) * 100 >= F.greatest(x, y) * percent
-
-    stars = groups.where((F.col("rep") != F.col("s")) & near("n", "sn"))
-    stars = stars.select(F.least("rep", "s").alias("a"), F.greatest("rep", "s").alias("b")).distinct()
-    links = cut_lineage(_verify(_meet_in_all_orders(stars, classes), docs, width, percent))
+    release(spark)
+    groups = _groups(classes)
+    release(spark)
+    links = cut_lineage(_verify(_meet_in_all_orders(_best_stars(groups), classes, percent), docs, width, percent))
+    release(spark)
     comp = connected_components(links, "a", "b").withColumnRenamed("node", "rep")
 
-    # Cross-component pairs that share a prefix token; one-component groups are finished.
-    named = groups.join(comp, "rep", "left").select("token", "rep", "n", "s", F.coalesce("comp", "rep").alias("comp"))
-    open_tokens = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("token")
-    rest = cut_lineage(named.join(open_tokens, "token").where("rep != s"))  # pairs with the star are verified
-    left = rest.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    right = rest.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    pairs = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near("na", "nb"))
-    more = _verify(_meet_in_all_orders(pairs.select("a", "b").distinct(), classes), docs, width, percent)
-    comp = connected_components(links.union(more), "a", "b").withColumnRenamed("node", "rep")
+    # Cross-component pairs only; groups whose classes are one component are finished.
+    more = _verify(_meet_in_all_orders(_open_pairs(groups, comp, percent), classes, percent), docs, width, percent)
+    links = cut_lineage(links.union(more))
+    del more, groups, classes
+    release(spark)
+    comp = connected_components(links, "a", "b").withColumnRenamed("node", "rep")
 
     # Classes go by their smallest doc_id, so the smallest class is the smallest document.
     of_class = reps.join(comp, "rep", "left").select("set_id", F.coalesce("comp", "rep").alias("component_id"))
