@@ -2,10 +2,12 @@
 
 1. A character trigram model is counted from the words of all texts (a shuffle over the
    corpus vocabulary, whose size follows the input).
-2. Tokens that look written over (digits or signs among letters, repeated letters, single
-   letters spaced out) become a lattice: every sign may stand for the letters it resembles
-   or be a separator to drop, and a repeated letter may be one letter.  Viterbi finds the
-   most probable word under channel and language model.
+2. Tokens that look written over (digits or signs among letters, repeated letters) become a
+   lattice: every sign may stand for the letters it resembles or be a separator to drop, and
+   a repeated letter may be one letter.  Viterbi finds the most probable word under channel
+   and language model.  A run of single letters with any white space or signs between is one
+   lattice, too, in which every gap may also end a word; all words on segmentations close to
+   the best one count.
 3. Weights of restored words and word beginnings come from labelled training texts; a
    logistic curve over a text's summed weights gives the score.
 
@@ -43,11 +45,15 @@ LOOKS_LIKE = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
 SWAP, DROP, FOLD = math.log(0.2), math.log(0.05), math.log(0.3)
+NEAR = math.log(1000)  # segmentations of a spaced run at most so much less probable than the best one count
 
 EDGES = ".,;:?\"'’()[]{}<>#%&*~^=/\\-_"
 _LETTERS = re.compile(r"[^\W\d_]+")
-_SPACED = re.compile(r"(?<!\S)(?:[^\W_][ .*_-]){3,}[^\W_](?![^\s.,;:!?])")
-_WRITTEN_OVER = re.compile(r"[^\W\d_][^\w\s'’,.;:]*[0-9@$!|+(<€£¡*._-]+[^\W\d_]|[0-9@$!|¡€£][^\W\d_]|[^\W\d_][0-9@$€£](?![@$€£])|([^\W\d_])\1\1")
+_SIGN = "[" + re.escape("".join(c for c in LOOKS_LIKE if not c.isalnum())) + "]"
+# Three or more single (or repeated) letters or digits, white space or signs between them.
+_SPACED = re.compile(rf"(?:(?<!\S){_SIGN}\s+)*(?<![^\W_])([^\W_])\1*(?:[\W_]+([^\W_])\2*(?![^\W_])){{2,}}(?:\s+{_SIGN}(?!\S))*")
+_GAP = re.compile(r"\s+|[^\w\s]|_")
+_WRITTEN_OVER = re.compile(r"[^\W\d_][^\w\s'’,.;:]*[0-9@$!|+(<€£¡*._-]+[^\W\d_]|[0-9@$!|¡€£][^\W\d_]|[^\W\d_][0-9@$€£](?![@$€£])|([^\W\d_])\1")
 
 
 class LanguageModel:
@@ -103,9 +109,77 @@ def restore(token: str, lm: LanguageModel) -> list[str]:
     return [decode(core, lm), *_LETTERS.findall(core)]
 
 
-def spaced_out(text: str) -> list[str]:
-    """Runs of four or more single letters, joined."""
-    return [re.sub(r"[ .*_-]", "", m[0]) for m in _SPACED.finditer(text)]
+def split_run(run: str, lm: LanguageModel) -> list[str]:
+    """Words of all segmentations of a spaced run that come close to the most probable one.
+
+    Forward and backward Viterbi over (place, last two letters) give the best score through
+    every word border; words are then spelt from the likely borders only.
+    """
+    steps: list[tuple[list[tuple[str, float]], float | None]] = []  # letters and the cost of none; no letters: a gap
+    last = ""
+    for m in re.finditer(r"\s+|.", run, re.S):
+        ch = m[0]
+        if ch.isspace() or (not ch.isalnum() and ch not in LOOKS_LIKE):
+            steps.append(([], None))
+            continue
+        letters = [(ch, 0.0)] if ch.isalpha() else [(x, SWAP) for x in LOOKS_LIKE.get(ch, "")]
+        steps.append((letters, (FOLD if ch == last else None) if ch.isalpha() else DROP))
+        last = ch
+
+    def moves(step, state):
+        letters, skip = step
+        if not letters and skip is None:  # a gap is dropped, or ends a word
+            yield state, "", 0.0
+            if state != "^^":
+                yield "^^", " ", lm.logp(state, "$")
+            return
+        for x, cost in letters:
+            yield state[1] + x, x, cost + lm.logp(state, x)
+        if skip is not None:
+            yield state, "", skip
+
+    ahead = [{"^^": 0.0}]
+    for step in steps:
+        nxt: dict[str, float] = {}
+        for state, score in ahead[-1].items():
+            for to, _, cost in moves(step, state):
+                nxt[to] = max(nxt.get(to, -math.inf), score + cost)
+        ahead.append(nxt)
+    rest = [{s: 0.0 if s == "^^" else lm.logp(s, "$") for s in ahead[-1]}]
+    for step, states in zip(reversed(steps), reversed(ahead[:-1])):
+        rest.append({s: max((cost + rest[-1][to] for to, _, cost in moves(step, s)), default=-math.inf) for s in states})
+    rest.reverse()
+    least = rest[0]["^^"] - NEAR
+    words = []
+    for start, states in enumerate(ahead[:-1]):
+        # A word starts at the run's start and after a gap.
+        if (start and steps[start - 1] != ([], None)) or states.get("^^", -math.inf) + rest[start].get("^^", -math.inf) < least:
+            continue
+        live, found = {"^^": (states["^^"], "")}, set()
+        for at in range(start, len(steps)):
+            nxt_words: dict[str, tuple[float, str]] = {}
+            for state, (score, word) in live.items():
+                for to, x, cost in moves(steps[at], state):
+                    if score + cost + rest[at + 1][to] < least:
+                        continue
+                    if x == " ":
+                        found.add(word)
+                    elif to not in nxt_words or score + cost > nxt_words[to][0]:
+                        nxt_words[to] = (score + cost, word + x)
+            live = nxt_words
+            if not live:
+                break
+        found.update(word for _, word in live.values() if word)
+        words += sorted(found)
+    return words
+
+
+def spaced_out(text: str, lm: LanguageModel | None = None) -> list[str]:
+    """Words of the runs of three or more single letters; without a model each run in one piece."""
+    runs = (m[0] for m in _SPACED.finditer(text) if any(c.isspace() for c in m[0]) and any(c.isalpha() for c in m[0]))
+    if lm is None:
+        return [_GAP.sub("", r) for r in runs]
+    return [w for r in runs for w in split_run(r, lm)]
 
 
 def features(word: str) -> list[str]:
@@ -138,7 +212,7 @@ class Scorer:
         words = low.split()
         found: set = set()
         dense = 0.0
-        for t, n in Counter([*words, *spaced_out(low)]).items():
+        for t, n in Counter([*words, *spaced_out(low, self.lm)]).items():
             w, known = self.cache.get(t) or self.token(t)
             if known:
                 dense += w * n
@@ -193,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
         out: Counter = Counter()
         for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             low = t.lower()
-            words = {w for x in set(low.split()) for w in restore(x, lm)} | {w for x in spaced_out(low) for w in restore(x, lm)}
+            words = {w for x in set(low.split()) for w in restore(x, lm)} | {w for x in spaced_out(low, lm) for w in restore(x, lm)}
             out.update((f, y) for f in {f for w in words if w for f in features(w)})
             out[("", y)] += 1
         return pa.RecordBatch.from_arrays(

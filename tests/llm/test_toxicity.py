@@ -36,6 +36,31 @@ def test_decoding():
     assert T.restore("9" * 5000, lm) == [] and len(T.decode("a1" * 3000, lm)) > 0
 
 
+def small_model(words):
+    counts = {}
+    for w in words:
+        s = f"^^{w}$"
+        for i in range(len(s) - 2):
+            counts[s[i : i + 3]] = counts.get(s[i : i + 3], 0) + 5
+    return T.LanguageModel(counts)
+
+
+def test_spaced_runs_are_split_into_words():
+    lm = small_model(BAD + ["plain", "hello", "looker", "banana", "a", "y", "zob", "idiot", "scum", "you", "asset", "are"])
+    for text, want in (
+        ("a b l a r g", "blarg"), ("he is a b l a r g today", "blarg"), ("y s c u m", "scum"), ("i d i o t s c u m", "idiot"), ("i d i o t s c u m", "scum"),
+        ("b  l  a  r  g", "blarg"), ("b\tl\ta\tr\tg", "blarg"), ("b\nl\na\nr\ng", "blarg"), ("say (b l a r g) now", "blarg"), ('"b l a r g"', "blarg"),
+        ("a z o b", "zob"), ("z o b", "zob"), ("s n o t l i i n g", "snotling"), ("bb l a rr g", "blarg"), ("b l @ r g", "blarg"), ("$ c u m", "scum"),
+        ("b. l. a. r. g", "blarg"), ("s c u m a b l a r g y", "blarg"),
+    ):
+        assert want in T.spaced_out(text, lm), (text, T.spaced_out(text, lm))
+    assert T.spaced_out("you are a person", lm) == [] and T.spaced_out("1 2 3 4 5", lm) == []
+    assert "set" not in T.spaced_out("a s s e t", lm)
+    assert len(T.spaced_out("b l a r g " * 3000, lm)) >= 3000
+    for token, want in (("blaarg", "blarg"), ("iddiot", "idiot"), ("sccum", "scum")):
+        assert want in T.restore(token, lm), token
+
+
 def test_held_out_accuracy_and_obfuscation(spark):
     r = random.Random(3)
     rows, vocab = corpus(r, 600)
