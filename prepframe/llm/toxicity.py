@@ -1,7 +1,8 @@
 """Operator 2: toxicity after noisy-channel deobfuscation.
 
-1. A character trigram model is counted from the words of all texts (a shuffle over the
-   corpus vocabulary, whose size follows the input).
+1. A character trigram model is counted from the letter runs of all texts (a shuffle over
+   the corpus vocabulary, whose size follows the input).  All trigrams are kept, as sorted
+   arrays of 16 bytes an entry; their number is bounded by the alphabets, not by the rows.
 2. Tokens that look written over (digits or signs among letters, repeated letters) become a
    lattice: every sign may stand for the letters it resembles or be a separator to drop, and
    a repeated letter may be one letter.  Viterbi finds the most probable word under channel
@@ -34,7 +35,6 @@ from pyspark.sql import functions as F
 from prepframe.llm.common import map_batches, prepare
 
 MAX_FIT_ROWS = 8_000
-MAX_TRIGRAMS = 200_000
 MAX_FEATURES = 5_000
 MIN_SURPRISE = 30.0  # about one chance in 10 million
 CACHE = 300_000
@@ -56,28 +56,62 @@ _GAP = re.compile(r"\s+|[^\w\s]|_")
 _WRITTEN_OVER = re.compile(r"[^\W\d_][^\w\s'’,.;:]*[0-9@$!|+(<€£¡*._-]+[^\W\d_]|[0-9@$!|¡€£][^\W\d_]|[^\W\d_][0-9@$€£](?![@$€£])|([^\W\d_])\1")
 
 
+PLACE = 21  # bits of a code point
+
+
+def _key(text: str) -> int:
+    """Up to three letters as one number."""
+    out = 0
+    for c in text:
+        out = out << PLACE | ord(c)
+    return out
+
+
+def _total(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and their summed counts."""
+    keys, at = np.unique(keys, return_inverse=True)
+    out = np.zeros(len(keys), np.int64)
+    np.add.at(out, at, n)
+    return keys, out
+
+
 class LanguageModel:
-    """Interpolated character trigrams with word borders."""
-
-    def __init__(self, counts: dict[str, int]):
-        self.tri = counts
-        self.bi, self.uni = Counter(), Counter()
-        for k, n in counts.items():
-            self.bi[k[:2]] += n
-            self.uni[k[2]] += n
-        self.mid = Counter()
-        for k, n in counts.items():
-            self.mid[k[1:]] += n
-        self.one = Counter()
-        for k, n in self.mid.items():
-            self.one[k[0]] += n
-        self.total = sum(self.uni.values()) or 1
+    """Interpolated character trigrams with word borders.
+
+    ``counts`` is a dict of trigrams, or the tables (sorted keys, counts) of whole trigrams,
+    their first two letters, last two letters, middle letter and last letter.
+    """
+
+    def __init__(self, counts: dict[str, int] | list[tuple[np.ndarray, np.ndarray]]):
+        if isinstance(counts, dict):
+            keys = np.array([_key(k) for k in counts], np.int64)
+            n = np.array(list(counts.values()), np.int64)
+            low = (1 << PLACE) - 1
+            parts = (keys, keys >> PLACE, keys & (low << PLACE | low), keys >> PLACE & low, keys & low)
+            counts = [_total(k, n) for k in parts]
+        self.tables = counts
+        self.total = int(counts[4][1].sum()) or 1
+        self.known: dict = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"known": {}}
+
+    def count(self, table: int, text: str) -> int:
+        keys, n = self.tables[table]
+        k = _key(text)
+        at = keys.searchsorted(k)
+        return int(n[at]) if at < len(keys) and keys[at] == k else 0
 
     def logp(self, before: str, c: str) -> float:
-        a = self.tri.get(before + c, 0) / max(1, self.bi.get(before, 0))
-        b = self.mid.get(before[1] + c, 0) / max(1, self.one.get(before[1], 0))
-        u = (self.uni.get(c, 0) + 0.5) / (self.total + 50)
-        return math.log(0.7 * a + 0.25 * b + 0.05 * u)
+        got = self.known.get(before + c)
+        if got is None:
+            a = self.count(0, before + c) / max(1, self.count(1, before))
+            b = self.count(2, before[1] + c) / max(1, self.count(3, before[1]))
+            u = (self.count(4, c) + 0.5) / (self.total + 50)
+            if len(self.known) > CACHE:
+                self.known.clear()
+            got = self.known[before + c] = math.log(0.7 * a + 0.25 * b + 0.05 * u)
+        return got
 
 
 def decode(token: str, lm: LanguageModel) -> str:
@@ -224,39 +258,54 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def trigram_counts(docs: DataFrame) -> dict[str, int]:
-    """Character trigrams over the words of all texts, weighted by word frequency (damped)."""
+def trigram_tables(docs: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Character trigrams over the letter runs of all texts, weighted by run frequency
+    (damped), and the sums a ``LanguageModel`` takes from them."""
 
     def words(batches):
+        def runs():
+            out: Counter = Counter()
+            for t, n in seen.items():
+                if t.isalpha():
+                    out[t] += n
+                else:
+                    for w in _LETTERS.findall(t):
+                        out[w] += n
+            seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(out), pa.string()), pa.array(list(out.values()), pa.int64())], names=["w", "n"])
+
         seen: Counter = Counter()
         for b in batches:
             for t in b.column(0).to_pylist():
                 seen.update(t.lower().split())
             if len(seen) > CACHE:
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
-                seen.clear()
+                yield runs()
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
+            yield runs()
 
     def grams(b: pa.RecordBatch):
         out: Counter = Counter()
         for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            if w.isalpha():
-                k, s = 1 + int(math.log2(n)), f"^^{w}$"
-                for i in range(len(s) - 2):
-                    out[s[i : i + 3]] += k
-        if not out:
-            return None
-        return pa.RecordBatch.from_arrays([pa.array(list(out)), pa.array(list(out.values()), pa.int64())], names=["g", "n"])
+            k, s = 1 + int(math.log2(n)), f"^^{w}$"
+            for i in range(len(s) - 2):
+                out[s[i : i + 3]] += k
+        return pa.RecordBatch.from_arrays([pa.array([_key(g) for g in out], pa.int64()), pa.array(list(out.values()), pa.int64())], names=["g", "n"])
 
     vocabulary = docs.select("text").mapInArrow(words, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    table = map_batches(vocabulary, grams, "g string, n long").groupBy("g").agg(F.sum("n").alias("n"))
-    return {r["g"]: r["n"] for r in table.orderBy(F.desc("n"), "g").limit(MAX_TRIGRAMS).collect()}  # limit: MAX_TRIGRAMS rows
+    table = map_batches(vocabulary, grams, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+    g, low = F.col("g"), (1 << PLACE) - 1
+    middle = F.shiftright("g", PLACE)
+    parts = (g, middle, g.bitwiseAND(F.lit(low << PLACE | low)), middle.bitwiseAND(F.lit(low)), g.bitwiseAND(F.lit(low)))
+    every = table.select(F.explode(F.array(*(F.struct(F.lit(i).alias("t"), p.cast("long").alias("k")) for i, p in enumerate(parts)))).alias("p"), "n")
+    # All distinct trigrams: numbers in Arrow batches, bounded by the alphabets of the texts.
+    got = every.groupBy("p.t", "p.k").agg(F.sum("n").alias("n")).toArrow()
+    t, k, n = (got.column(i).to_numpy() for i in range(3))
+    return [_total(k[t == i], n[t == i]) for i in range(5)]
 
 
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic", max_rows: int = MAX_FIT_ROWS) -> Scorer:
     """Scorer learnt from (doc_id, text) and the labels outside ``held_out``."""
-    scorer = Scorer(LanguageModel(trigram_counts(docs)))
+    scorer = Scorer(LanguageModel(trigram_tables(docs)))
     usable = labels.where(F.col(label).isin(0, 1) & ~held_out).groupBy("doc_id").agg(F.max(label).alias("y"))
     chosen = [usable.where(F.col("y") == y).orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(max_rows) for y in (0, 1)]
     picked = chosen[0].union(chosen[1])  # at most 2 * max_rows rows of (id, label)

@@ -61,6 +61,23 @@ def test_spaced_runs_are_split_into_words():
         assert want in T.restore(token, lm), token
 
 
+def test_trigrams_of_every_token_are_kept_whole(spark):
+    texts = ['"alpha," beta!! (gam-ma)', "alpha. \u4f60\u597d\u5417, \U00020000\U00020001!", "", "12 -- 3x"]
+    lm = T.LanguageModel(T.trigram_tables(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)))
+    want = {}
+    for w, k in (("alpha", 2), ("beta", 1), ("gam", 1), ("ma", 1), ("\u4f60\u597d\u5417", 1), ("\U00020000\U00020001", 1), ("x", 1)):
+        s = f"^^{w}$"
+        for i in range(len(s) - 2):
+            want[s[i : i + 3]] = want.get(s[i : i + 3], 0) + k
+    same = T.LanguageModel(want)
+    for (k, n), (k2, n2) in zip(lm.tables, same.tables):
+        assert k.tolist() == k2.tolist() and n.tolist() == n2.tolist()
+    assert lm.count(0, "alp") == 2 and lm.count(1, "^^") == sum(n for g, n in want.items() if g[:2] == "^^") and lm.total == sum(want.values())
+    # More distinct trigrams than the 200,000 that were kept once.
+    many = spark.createDataFrame([(chr(0x4E00 + i % 300) + chr(0x5E00 + i // 300) + chr(0x6E00 + i % 299) + "!",) for i in range(89_700)], "text string")
+    assert len(T.trigram_tables(many)[0][0]) > 250_000
+
+
 def test_held_out_accuracy_and_obfuscation(spark):
     r = random.Random(3)
     rows, vocab = corpus(r, 600)
