@@ -51,8 +51,10 @@ EDGES = ".,;:?\"'’()[]{}<>#%&*~^=/\\-_"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SIGN = "[" + re.escape("".join(c for c in LOOKS_LIKE if not c.isalnum())) + "]"
 # Three or more single (or repeated) letters or digits, white space or signs between them.
-_SPACED = re.compile(rf"(?:(?<!\S){_SIGN}\s+)*(?<![^\W_])([^\W_])\1*(?:[\W_]+([^\W_])\2*(?![^\W_])){{2,}}(?:\s+{_SIGN}(?!\S))*")
+_SPACED = re.compile(rf"(?<![^\W_])([^\W_])\1*[\W_]+([^\W_])\2*[\W_]+([^\W_])\3*(?![^\W_])(?:[\W_]+([^\W_])\4*(?![^\W_]))*(?:\s+{_SIGN}(?!\S))*")
+_SIGNS_BEFORE = re.compile(rf"(?:(?<!\S){_SIGN}\s+)+\Z")
 _GAP = re.compile(r"\s+|[^\w\s]|_")
+_DOUBLED = re.compile(r"([^\W\d_])\1")
 _WRITTEN_OVER = re.compile(r"[^\W\d_][^\w\s'’,.;:]*[0-9@$!|+(<€£¡*._-]+[^\W\d_]|[0-9@$!|¡€£][^\W\d_]|[^\W\d_][0-9@$€£](?![@$€£])|([^\W\d_])\1")
 
 
@@ -124,6 +126,10 @@ def decode(token: str, lm: LanguageModel) -> str:
         skip = None if ch.isalpha() else DROP
         if ch == last and ch.isalpha():
             skip = FOLD
+        if skip is None and len(best) == 1:  # one way only
+            ((state, (score, word)),) = best.items()
+            best, last = {state[1] + ch: (score + lm.logp(state, ch), word + ch)}, ch
+            continue
         for state, (score, word) in best.items():
             for x, cost in letters:
                 s, key = score + cost + lm.logp(state, x), state[1] + x
@@ -137,6 +143,8 @@ def decode(token: str, lm: LanguageModel) -> str:
 
 def restore(token: str, lm: LanguageModel) -> list[str]:
     """The words behind one white-space token, lower case."""
+    if token.isalpha():
+        return [decode(token, lm), token] if _DOUBLED.search(token) else [token]
     core = token.strip(EDGES).rstrip("!|")
     if not _WRITTEN_OVER.search(core):
         return [core] if core.isalpha() else _LETTERS.findall(core)
@@ -210,7 +218,12 @@ def split_run(run: str, lm: LanguageModel) -> list[str]:
 
 def spaced_out(text: str, lm: LanguageModel | None = None) -> list[str]:
     """Words of the runs of three or more single letters; without a model each run in one piece."""
-    runs = (m[0] for m in _SPACED.finditer(text) if any(c.isspace() for c in m[0]) and any(c.isalpha() for c in m[0]))
+    runs, end = [], 0
+    for m in _SPACED.finditer(text):
+        signs = _SIGNS_BEFORE.search(text, end, m.start()) if text[m.start() - 1 : m.start()].isspace() else None
+        run, end = text[signs.start() if signs else m.start() : m.end()], m.end()
+        if any(c.isspace() for c in run) and any(c.isalpha() for c in run):
+            runs.append(run)
     if lm is None:
         return [_GAP.sub("", r) for r in runs]
     return [w for r in runs for w in split_run(r, lm)]
@@ -220,6 +233,14 @@ def features(word: str) -> list[str]:
     return [word] + [word[:k] + "~" for k in (4, 5, 6) if len(word) > k]
 
 
+def head(word: str) -> str:
+    """The first two letters that differ: folding repeated letters leaves them alike."""
+    i = 1
+    while word[i : i + 1] == word[0]:
+        i += 1
+    return word[0] + word[i : i + 1]
+
+
 @dataclass
 class Scorer:
     """Weights of words and word beginnings, and a logistic curve over a text's evidence."""
@@ -229,11 +250,18 @@ class Scorer:
     slope: tuple[float, ...] = (0.0, 0.0)
     shift: float = -30.0
     cache: dict = field(default_factory=dict)
+    heads: set[str] | None = None  # heads of all features; a token of letters with another one has none of them
+
+    def learn(self, weight: dict[str, float]) -> None:
+        heads = {head(f.rstrip("~")) for f in weight}
+        self.weight, self.heads, self.cache = weight, None if any(len(h) < 2 for h in heads) else heads, {}
 
     def token(self, t: str) -> tuple:
         """Largest weight and known features of a white-space token's restored words."""
         got = self.cache.get(t)
         if got is None:
+            if self.heads is not None and t.isalpha() and head(t) not in self.heads:
+                return 0.0, ()
             if len(self.cache) > CACHE:
                 self.cache.clear()
             known = {f for w in restore(t, self.lm) for f in features(w) if f in self.weight}
@@ -341,7 +369,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
     best = best.where((F.col("w") > 1.5) & (F.col("g") > MIN_SURPRISE))
     rows = best.orderBy(F.desc("g"), "f").limit(MAX_FEATURES).collect()  # limit: MAX_FEATURES rows
     table.unpersist()
-    scorer.weight = {r["f"]: r["w"] for r in rows}
+    scorer.learn({r["f"]: r["w"] for r in rows})
 
     def evidence(b: pa.RecordBatch):
         rows = [scorer.evidence(t) for t in b.column(0).to_pylist()]

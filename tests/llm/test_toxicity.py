@@ -61,6 +61,14 @@ def test_spaced_runs_are_split_into_words():
         assert want in T.restore(token, lm), token
 
 
+def test_heads_leave_out_no_feature():
+    words = BAD + ["idiot", "asset", "aab", "plain", "iddiott", "bblarg", "blaargs", "aabc", "snnotling", "b", "aa"]
+    a = T.Scorer(small_model(words[:6]), {f: 1.0 for w in (*BAD, "idiot", "aab") for f in T.features(w)})
+    b = T.Scorer(a.lm)
+    b.learn(a.weight)
+    assert b.heads is not None and all(set(a.token(w)[1]) == set(b.token(w)[1]) for w in words) and a.token("iddiott")[1]
+
+
 def test_trigrams_of_every_token_are_kept_whole(spark):
     texts = ['"alpha," beta!! (gam-ma)', "alpha. \u4f60\u597d\u5417, \U00020000\U00020001!", "", "12 -- 3x"]
     lm = T.LanguageModel(T.trigram_tables(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)))
