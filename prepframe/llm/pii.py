@@ -1,14 +1,20 @@
 """Operator 1: format-preserving pseudonyms by keyed Feistel networks (DataFrame functions only).
 
-Emails, secrets after a name (password=..., token: ...), access keys, card and other long
-numbers, social security numbers, phone numbers, IPv4 addresses and dates are found by one
-regular expression, validated, and permuted within their format under a key:
+Emails, secrets after a name (password=..., token: ...), access keys, IBANs, card and other
+long numbers, social security numbers, phone numbers (national ones with signs between their
+digits, too), IPv4 addresses and dates are found by one regular expression, validated, and
+permuted within their format under a key:
 
 * letters and digits move within their own class (digit, a-z, A-Z) through an eight-round
   Feistel network over the two halves of the value; signs between them stay in place;
 * a card number with a valid Luhn digit keeps its first digit and gets the right check digit;
 * an IPv4 address is a network on its two 16-bit halves, so every result is a valid address;
-* a valid date of 1900-2099 is a network on its day number, so every result is a real date.
+* a valid date of 1900-2099 is a network on its day number, walked until it is back in
+  1900-2099, so every result is a real date that is found again;
+* a secret is the whole value up to its closing quote or white space; without quotes after a
+  colon it needs a digit, a sign inside or a capital after a small letter (``token: words`` is
+  prose), and at least four characters;
+* an IBAN keeps its country and gets the right check digits.
 
 Equal values get equal pseudonyms in every document whatever signs stand between their
 digits, different values different ones, and ``inverse=True`` with the key undoes it.
@@ -26,18 +32,40 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 DAYS = (271, 270)  # days from 1900-01-01 on, as the product of two halves
+LAST_DAY = 73_048  # 2099-12-31
 DEFAULT_KEY = "change-this-key"
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 ACCESS_KEY = r"(?<![A-Za-z0-9])A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9])"
-SECRET_NAME = r"(?<![A-Za-z])(?:[Pp]assword|PASSWORD|[Pp]asswd|[Pp]wd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API[_-]?KEY) {0,3}[=:] {0,3}[\"']?"
-SECRET = SECRET_NAME + r"(?=[A-Za-z+/_-]{0,128}[0-9])[A-Za-z0-9+/_-]{6,128}"
+SECRET_NAME = r"(?<![A-Za-z])(?:[Pp]assword|PASSWORD|[Pp]asswd|[Pp]wd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API[_-]?KEY)[\"']?\s{0,8}[=:]\s{0,8}[\"']?"
+# After the name: the rest of a quoted value, a value after =, a value after : that does not look like a word.
+SECRET_VALUE = (
+    r"(?:(?<=\")[^\"\n](?:[^\n]*?[^\\\n])??(?=\")|(?<=')[^'\n](?:[^\n]*?[^\\\n])??(?='(?![A-Za-z0-9]))"
+    r"|(?<=[=\"']|=\s{1,8})[^\s\"']{4,}|(?=[^\s\"']*[0-9]|[^\s\"']*[@#$%^&*+=~!?_][A-Za-z]|[^\s\"']*[a-z][A-Z])[^\s\"']{4,})"
+)
+SECRET = SECRET_NAME + SECRET_VALUE
+# Countries by the length of their IBAN.
+IBAN_LENGTH = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN = (
+    r"(?<![0-9A-Za-z])(?:"
+    + "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:[ -]?[0-9A-Z]){{{n - 4}}}" for n, c in IBAN_LENGTH.items())
+    + r")(?![0-9A-Za-z])"
+)
 DATE = r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}([-/.])(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12][0-9]|3[01])|(?:0[1-9]|[12][0-9]|3[01])([-/.])(?:0[1-9]|[12][0-9]|3[01])\2(?:19|20)[0-9]{2})(?![0-9]|[./-][0-9])"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"
+# National numbers: a trunk 0 and 9 to 12 digits in groups, or nine digits in groups as in Spain.
+NATIONAL = (
+    r"(?<![0-9A-Za-z./-])(?:(?=(?:[0-9][ ./-]?){9,12}(?![0-9]|[ ./-][0-9]))0[1-9][0-9]{0,4}(?:[ ./-][0-9]{2,8}){1,5}"
+    r"|[6-9][0-9]{2} [0-9]{3} [0-9]{3}|[6-9][0-9]{2}(?: [0-9]{2}){3}|[89][0-9] [0-9]{3} [0-9]{2} [0-9]{2})(?![0-9A-Za-z]|[ ./-][0-9])"
+)
 NUMBER = r"(?<![0-9A-Za-z.])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|\.[0-9])"
-ANY = "|".join((EMAIL, ACCESS_KEY, SECRET, DATE, IPV4, SSN, PHONE, NUMBER))
+ANY = "|".join((EMAIL, ACCESS_KEY, SECRET, IBAN, DATE, IPV4, SSN, PHONE, NATIONAL, NUMBER))
 PLAIN = "[^0-9A-Za-z]"
 
 
@@ -57,8 +85,8 @@ def _digest(key: str, kind: str, r: Column, other: Column) -> Column:
 def _shift(text: Column, digest: Column, sign: int) -> Column:
     """Every letter or digit moved within its class by the digest's byte at its place."""
 
-    def move(i: Column) -> Column:
-        code = F.ascii(F.substring(text, i + 1, F.lit(1)))
+    def move(c: Column, i: Column) -> Column:
+        code = F.ascii(c)
         by = sign * F.conv(F.substring(digest, 2 * F.pmod(i, F.lit(64)) + 1, F.lit(2)), 16, 10).cast("int")
 
         def within(low: int, size: int) -> Column:
@@ -66,8 +94,7 @@ def _shift(text: Column, digest: Column, sign: int) -> Column:
 
         return F.when(code < 58, within(48, 10)).when(code < 91, within(65, 26)).otherwise(within(97, 26))
 
-    places = F.when(F.length(text) > 0, F.sequence(F.lit(0), F.length(text) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_join(F.transform(places, move), "")
+    return F.when(F.length(text) > 0, F.array_join(F.transform(F.split(text, ""), move), "")).otherwise(text)
 
 
 def permute_text(core: Column, key: str, kind: str, inverse: bool = False) -> Column:
@@ -110,14 +137,7 @@ def permute_pair(a: Column, b: Column, sizes: tuple[int, int], key: str, kind: s
 def _fill(shape: Column, core: Column) -> Column:
     """``shape`` with its letters and digits replaced, in order, by those of ``core``."""
     return F.array_join(
-        F.transform(
-            F.sequence(F.lit(1), F.length(shape)),
-            lambda i: F.when(
-                F.substring(shape, i, F.lit(1)).rlike("[0-9A-Za-z]"),
-                F.substring(core, F.length(F.regexp_replace(F.substring(shape, F.lit(1), i), PLAIN, "")), F.lit(1)),
-            ).otherwise(F.substring(shape, i, F.lit(1))),
-        ),
-        "",
+        F.zip_with(F.split(shape, "[0-9A-Za-z]"), F.split(core, ""), lambda sign, c: F.concat(F.coalesce(sign, F.lit("")), F.coalesce(c, F.lit("")))), ""
     )
 
 
@@ -175,13 +195,55 @@ def _date(value: Column, key: str, inverse: bool) -> Column:
             # A month-first value stays month-first only while its day shows that it is.
             return F.when(year_first, F.concat_ws("-", y, m, d)).otherwise(F.concat_ws("-", d, m, y))
 
-        pair = permute_pair(F.floor(number / DAYS[1]), number % DAYS[1], DAYS, key, "date", inverse)
-        return F.coalesce(F.translate(_let(pair, back), "-", "\x01"), value)
+        def network(p: Column) -> Column:
+            return permute_pair(p["a"], p["b"], DAYS, key, "date", inverse)
+
+        def outside(p: Column) -> Column:
+            return p["a"] * DAYS[1] + p["b"] > LAST_DAY
+
+        def walked(p: Column) -> Column:
+            # Fewer than DAYS[0] * DAYS[1] - LAST_DAY steps lead back: no day is passed twice.
+            steps = F.when(outside(p), F.sequence(F.lit(1), F.lit(DAYS[0] * DAYS[1] - LAST_DAY))).otherwise(F.array().cast("array<int>"))
+            return F.aggregate(steps, p, lambda s, _: F.when(outside(s), network(s)).otherwise(s))
+
+        start = F.struct(F.floor(number / DAYS[1]).cast("long").alias("a"), (number % DAYS[1]).cast("long").alias("b"))
+        return F.coalesce(F.translate(_let(_let(network(start), walked), back), "-", "\x01"), value)
 
     moved = _let(F.date_diff(day, base), permuted)
     return F.when(day.isNotNull(), F.replace(moved, F.lit("\x01"), sep)).otherwise(value)
 
 
+def _iban_check(country: Column, inner: Column) -> Column:
+    """The right check digits as a number of 2 to 98."""
+
+    def add(acc: Column, c: Column) -> Column:
+        code = F.ascii(c)
+        return F.when(code < 58, (acc * 10 + code - 48) % 97).otherwise((acc * 100 + code - 55) % 97)
+
+    return F.lit(98) - F.aggregate(F.split(F.concat(inner, country, F.lit("00")), ""), F.lit(0), add)
+
+
+def _iban(value: Column, key: str, inverse: bool) -> Column:
+    """Country kept, the rest permuted, the check digits made right.
+
+    A value that fails the check is no IBAN: in one piece it is left alone, in groups (it holds
+    a long number) its rest is permuted and its check stays as wrong as it was.
+    """
+
+    def permuted(core: Column) -> Column:
+        country, given, inner = F.substring(core, 1, 2), F.substring(core, 3, 2).cast("int"), F.substring(core, F.lit(5), F.length(core))
+
+        def checked(new: Column) -> Column:
+            off = given - _iban_check(country, inner)
+            check = F.when(given.between(2, 98), F.pmod(_iban_check(country, new) - 2 + off, F.lit(97)) + 2).otherwise(given)
+            moved = _fill(value, F.concat(country, F.lpad(check.cast("string"), 2, "0"), new))
+            return F.when((off != 0) & (F.length(value) == F.length(core)), value).otherwise(moved)
+
+        return _let(permute_text(inner, key, "iban", inverse), checked)
+
+    return _let(F.regexp_replace(value, PLAIN, ""), permuted)
+
+
 def pseudonym(value: Column, key: str, inverse: bool = False) -> Column:
     """Replacement of one found value, by its kind."""
 
@@ -195,14 +257,18 @@ def pseudonym(value: Column, key: str, inverse: bool = False) -> Column:
     access = F.concat(F.substring(value, 1, 4), plain(F.substring(value, F.lit(5), F.length(value)), "access"))
     country = F.regexp_extract(value, r"^(\+[0-9]{1,3}(?=[ .(-]))", 1)
     phone = F.concat(country, plain(F.substring(value, F.length(country) + 1, F.length(value)), "phone"))
+    kept = F.when(value.startswith("0"), 2).otherwise(1)  # what makes it a national number stays
+    national = F.concat(F.substring(value, F.lit(1), kept), plain(F.substring(value, kept + 1, F.length(value)), "phone"))
     return (
-        F.when(value.contains("@"), email)
+        F.when(value.rlike("^" + SECRET_NAME), secret)
+        .when(value.contains("@"), email)
         .when(value.rlike("^" + ACCESS_KEY + "$"), access)
-        .when(value.rlike("^" + SECRET_NAME), secret)
+        .when(value.rlike("^" + IBAN + "$"), _iban(value, key, inverse))
         .when(value.rlike("^(?:" + DATE + ")$"), _date(value, key, inverse))
         .when(value.rlike("^" + IPV4 + "$"), _ipv4(value, key, inverse))
         .when(value.rlike("^" + SSN + "$"), plain(value, "ssn"))
         .when(value.rlike("^" + PHONE + "$"), phone)
+        .when(value.rlike("^" + NATIONAL + "$"), national)
         .otherwise(_number(value, key, inverse))
     )
 
@@ -219,6 +285,6 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
         return F.struct(F.when(F.size(values) > 0, joined).otherwise(text).alias("text"), F.size(values).alias("n"))
 
     untouched = F.struct(text.alias("text"), F.lit(0).alias("n"))
-    result = F.when(text.rlike("[0-9@]"), _let(found, rebuilt)).otherwise(untouched)
+    result = F.when(text.rlike("[0-9@=:]"), _let(found, rebuilt)).otherwise(untouched)
     out = docs.drop("n_pii").withColumn("_pii", F.explode(F.array(result)))
     return out.withColumn(text_col, F.col("_pii.text")).withColumn("n_pii", F.col("_pii.n").cast("long")).drop("_pii")

@@ -80,6 +80,44 @@ def test_inverse_and_key(spark):
     assert run(spark, texts * 2)[0] == hidden * 2
 
 
+JWT = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+MORE = [
+    "token = " + "aB3" * 67, "token: " + JWT + " end", '{"password": "hunter22abc", "n": 1}', "password\t=\tabc123xyz", "password: Pa$$w0rd!9 ok",
+    "password=hunter", "secret = 'two words' x", "IBAN DE89370400440532013000.", "iban GB29 NWBK 6016 1331 9268 19 EUR", "FR1420041010050500013M02606 x",
+    "DE88370400440532013000 no", "tel 06 12 34 56 78.", "tel 0171 2345678 und 030/12345678", "tel 612 345 678, 912 34 56 78", "token: words, secret: Garden",
+    "card 0412 3456 7890 1233", '"password": "p@x.org"', "DE88 3704 0044 0532 0130 00 bad",
+]
+
+
+def test_whole_secrets_ibans_and_national_phones(spark):
+    got, n = run(spark, MORE)
+    assert n == [1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 2, 2, 0, 1, 1, 1]
+    assert got[0] == "token = " + plain("aB3" * 67, "secret") and got[1] == "token: " + plain(JWT, "secret") + " end"
+    assert got[2] == '{"password": "' + plain("hunter22abc", "secret") + '", "n": 1}' and got[3] == "password\t=\t" + plain("abc123xyz", "secret")
+    assert got[4] == "password: " + plain("Pa$$w0rd!9", "secret") + " ok" and got[5] == "password=" + plain("hunter", "secret")
+    assert got[6] == "secret = '" + plain("two words", "secret") + "' x" and got[16] == '"password": "' + plain("p@x.org", "secret") + '"'
+    for i in (7, 8, 9):
+        old, new = (re.search("[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{2,4})+(?![0-9A-Z])", t.replace(" EUR", ""))[0].replace(" ", "") for t in (MORE[i], got[i]))
+        assert new[:2] == old[:2] and new[4:] == feistel(old[4:], "iban") and int("".join(str(int(c, 36)) for c in new[4:] + new[:4])) % 97 == 1
+    assert got[10] == MORE[10] and got[14] == MORE[14] and got[17] != MORE[17]
+    assert got[11] == "tel 06" + plain(" 12 34 56 78", "phone") + "."
+    assert got[12] == "tel 01" + plain("71 2345678", "phone") + " und 03" + plain("0/12345678", "phone")
+    assert got[13] == "tel 6" + plain("12 345 678", "phone") + ", 9" + plain("12 34 56 78", "phone")
+    assert run(spark, got, inverse=True)[0] == MORE
+    long = "password=" + "x1Y." * 20_000
+    assert run(spark, [long])[0][0] != long and run(spark, run(spark, [long])[0], inverse=True)[0] == [long]
+
+
+def test_every_date_stays_a_date_found_again(spark):
+    days = spark.range(73_049).selectExpr("id AS doc_id", "cast(date_add(DATE'1900-01-01', cast(id AS int)) AS string) AS text")
+    new = pii.pseudonymise(days, KEY)
+    from pyspark.sql import functions as F
+
+    got = new.agg(F.min("text"), F.max("text"), F.countDistinct("text")).first()
+    assert got[0] == "1900-01-01" and got[1] == "2099-12-31" and got[2] == 73_049
+    assert pii.pseudonymise(new, KEY, inverse=True).join(days, ["doc_id", "text"]).count() == 73_049
+
+
 def test_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, "a@b.com")], "doc_id long, text string")
     plan = pii.pseudonymise(df)._jdf.queryExecution().executedPlan().toString()
