@@ -3,7 +3,10 @@
 1. Every page is read into a tree of blocks; each container gets the text it holds outside
    boilerplate (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
    styles, comments), discounted by link text, and a generalised path: tags with their
-   class words, digits removed, wrappers without class and repeated siblings folded.
+   class words, digits removed, wrappers without class and repeated siblings folded.  A
+   container is boilerplate by name if all its class and id words say so; one with other
+   words besides (``content has-sidebar``), or a form, only if all of its kind hold a minor
+   part of the page's unlinked text, else its score is lowered.
 2. In Spark every page votes for its best path with its share of the text; votes are summed
    per host and path (partial aggregation), and the strongest path of each host wins.
 3. Every page is read again and its main text is taken from the containers on the host's
@@ -36,7 +39,7 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong "
     "sub sup time tt u var wbr img".split()
 )
-SKIP_TAGS = set("nav header footer aside form button select menu dialog head".split()) | RAW
+SKIP_TAGS = set("nav header footer aside button select menu dialog head".split()) | RAW
 SKIP_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 # Whole words of class and id that mark boilerplate.
 SKIP_WORDS = set(
@@ -63,13 +66,15 @@ class Node:
     path: str
     skip: bool
     parent: "Node | None"
+    named: int = 0  # boilerplate by 1: some of its words (or a form), 2: all of its words
+    kind: tuple = ()  # tag and words of class and id
     items: list = field(default_factory=list)  # text pieces and child nodes in page order
     size: int = 0  # characters of own and inner text outside boilerplate
     linked: int = 0  # of these, inside links
 
 
 def parse(page: str) -> Node:
-    """Tree of the page; skipped subtrees keep no text."""
+    """Tree of the page; subtrees skipped by tag or role keep no text, names are settled by ``settle``."""
     root = cur = Node("", "", False, None)
     at, end = 0, len(page)
     cut = _CUT_OFF.search(page, max(0, end - 4096))
@@ -115,9 +120,10 @@ def parse(page: str) -> Node:
                 cur = node.parent
         attrs = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(m[3])} if m[3] else {}
         names = [w.lower() for k in ("class", "id") for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", attrs.get(k, "")))]
-        skip = cur.skip or tag in SKIP_TAGS or attrs.get("role", "").lower() in SKIP_ROLES or (
-            tag not in ("html", "body", "article", "main") and not SKIP_WORDS.isdisjoint(names)
-        )
+        skip = cur.skip or tag in SKIP_TAGS or attrs.get("role", "").lower() in SKIP_ROLES
+        named = 1 if tag == "form" else 0
+        if tag not in ("html", "body", "article", "main") and not SKIP_WORDS.isdisjoint(names):
+            named = 2 if SKIP_WORDS.issuperset(names) else 1
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at, stop)
             at = close.end() if close else stop
@@ -126,12 +132,57 @@ def parse(page: str) -> Node:
         path = cur.path
         if tag not in INLINE and label not in ("html", "body", "div", "p", "br") and path.rpartition("/")[2] != label:
             path = f"{path}/{label}"
-        node = Node(tag, path, skip, cur)
+        node = Node(tag, path, skip, cur, named, (tag, *names) if named else ())
         cur.items.append(node)
         if tag not in VOID and not (m[3] or "").rstrip().endswith("/"):
             cur = node
 
 
+MINOR = 0.3  # share of a page's unlinked text below which a container with a boilerplate word is skipped
+PENALTY = 0.8  # weight of a container with a boilerplate word that is not
+
+
+def _unlinked(root: Node) -> dict[int, int]:
+    """Unlinked characters inside every node outside boilerplate, by the node's identity."""
+    order, stack = [], [root]
+    while stack:
+        n = stack.pop()
+        order.append(n)
+        stack += [x for x in n.items if isinstance(x, Node) and not x.skip and x.tag != "a"]
+    size: dict[int, int] = {}
+    for n in reversed(order):
+        size[id(n)] = sum(len(x.strip()) if isinstance(x, str) else size.get(id(x), 0) for x in n.items)
+    return size
+
+
+def settle(root: Node, path: str | None = None) -> Node:
+    """Skip what is boilerplate by name; containers on the way to ``path`` only if all their words say so."""
+    named, stack = [], [root]
+    while stack:
+        n = stack.pop()
+        if n.named:
+            named.append(n)
+        stack += [x for x in n.items if isinstance(x, Node) and not x.skip]
+    if not named:
+        return root
+    for n in named:
+        n.skip = n.named == 2
+    size = _unlinked(root)
+    if not size[id(root)]:  # nothing else: the names wrap the page
+        for n in named:
+            n.skip = False
+        size = _unlinked(root)
+    kinds: dict[tuple, int] = {}
+    for n in named:
+        if n.named == 1:
+            kinds[n.kind] = kinds.get(n.kind, 0) + size.get(id(n), 0)
+    for n in named:
+        if n.named == 1 and kinds[n.kind] < MINOR * size[id(root)]:
+            way = path is not None and n.path != n.parent.path and (path + "/").startswith(n.path + "/")
+            n.skip = not way
+    return root
+
+
 def measure(root: Node) -> list[Node]:
     """Sizes from the leaves up; the containers that hold text."""
     order, stack = [], [root]
@@ -156,15 +207,15 @@ MAIN = {"article": 1.5, "main": 1.3}
 
 def best_path(page: str) -> tuple[str, float] | None:
     """Path of the page's best container and its share of the page's text."""
-    nodes = measure(parse(page))
+    root = settle(parse(page))
+    nodes = measure(root)
     if not nodes:
         return None
     total = max(n.size for n in nodes)
     score: dict[str, float] = {}
     depth: dict[str, int] = {}
     for n in nodes:
-        # A child that holds nearly all of its parent's text is the better container.
-        good = (n.size - 2 * n.linked) / total * MAIN.get(n.tag, 1.0)
+        good = (n.size - 2 * n.linked) / total * MAIN.get(n.tag, 1.0) * (PENALTY if n.named else 1.0)
         if n.parent is None or n.parent.path != n.path:
             score[n.path] = score.get(n.path, 0.0) + good
             depth[n.path] = n.path.count("/")
@@ -201,7 +252,7 @@ def text_of(node: Node) -> str:
 
 def extract(page: str, path: str | None) -> str:
     """Main text of a page from the containers on ``path``, else from its own best one."""
-    root = parse(page)
+    root = settle(parse(page), path)
 
     def on(p: str) -> list[Node]:
         found, stack = [], [root]

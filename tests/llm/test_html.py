@@ -40,3 +40,25 @@ def test_host_consensus_overrules_a_page(spark):
     assert got[50]["text"] == "short main" and got[50]["n_chars"] == 10
     assert got[60]["text"] == "" and got[61]["text"] == "alone" and got[62]["n_chars"] == 0
     assert extract_pages(df.limit(0)).collect() == []
+
+
+LONG = "A sentence of the article itself, which is long enough. " * 12
+
+
+def test_compound_names_do_not_lose_the_page():
+    for wrap in (
+        "<div class='content has-sidebar'>{}</div>", "<div id='page' class='no-sidebar'>{}</div>", "<section class='post comments-open'>{}</section>",
+        "<form id=aspnetForm action=x>{}</form>", "<div class='layout side-by-side'><div class=body>{}</div></div>", "<div class=widget>{}</div>",
+    ):
+        page = "<body><nav>Menu</nav><div class='related box'><p>Other news</p></div>" + wrap.format(f"<h1>Title</h1><p>{LONG}</p>") + "</body>"
+        if "widget" in wrap:
+            page = f"<body><div class=widget><h1>Title</h1><p>{LONG}</p></div></body>"
+        path, _ = best_path(page)
+        for p in (path, None, "/no/such"):
+            assert extract(page, p) == "Title " + LONG.strip(), (wrap, p)
+    # All words are boilerplate words: skipped however long.
+    page = f"<body><div class=story><p>Short story.</p></div><div id=comments class=comments><p>{LONG}</p></div></body>"
+    assert extract(page, best_path(page)[0]) == "Short story."
+    # Minor on this page, but on the way to the host's path.
+    page = f"<body><div class='post comments-open'><p>Short.</p></div><div class=extra><p>{LONG}</p></div></body>"
+    assert extract(page, "/section.x") == LONG.strip() and extract(page, "/div.comments.open.post") == "Short."
