@@ -55,6 +55,7 @@ CLOSES_P = set(
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)|<[A-Za-z][^>]*>", re.S)
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"[A-Za-z]+")
 _CUT_OFF = re.compile(r"<[A-Za-z/!?][^>]*\Z")
 _SPACE = re.compile(r"\s+")
@@ -205,6 +206,28 @@ def measure(root: Node) -> list[Node]:
 MAIN = {"article": 1.5, "main": 1.3}
 
 
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+PARAGRAPHS = HEADINGS | set("p pre blockquote li dt dd td th figcaption address".split())
+
+
+def prose_beside(root: Node, outer: str, inner: str) -> bool:
+    """Do containers on ``outer`` hold headings or unlinked paragraphs outside those on ``inner``?
+
+    Paragraphs inside another container with a class of its own are that container's.
+    """
+    stack = [(root, outer == root.path, False, False)]
+    while stack:
+        n, inside, boxed, heading = stack.pop()
+        for x in n.items:
+            if isinstance(x, str):
+                if inside and (heading or not boxed) and _LETTER.search(html.unescape(x)):
+                    return True
+            elif not x.skip and x.path != inner and (x.tag != "a" or n.tag == "h1"):
+                own = x.path != n.path and "." in x.path.rpartition("/")[2] and x.tag not in PARAGRAPHS and x.path != outer
+                stack.append((x, inside or x.path == outer, boxed or (inside and own), heading or x.tag in HEADINGS))
+    return False
+
+
 def best_path(page: str) -> tuple[str, float] | None:
     """Path of the page's best container and its share of the page's text."""
     root = settle(parse(page))
@@ -220,7 +243,12 @@ def best_path(page: str) -> tuple[str, float] | None:
             score[n.path] = score.get(n.path, 0.0) + good
             depth[n.path] = n.path.count("/")
     top = max(score.values())
-    path = max((p for p in score if score[p] >= 0.9 * top), key=lambda p: (depth[p], score[p], p))
+    # A deeper container that holds nearly all of the text is the better one, if no prose is left beside it.
+    near = sorted((p for p in score if score[p] >= 0.9 * top), key=lambda p: (depth[p], score[p], p))
+    path = near[0]
+    for p in near[1:]:
+        if not prose_beside(root, path, p):
+            path = p
     return path, max(0.0, score[path])
 
 

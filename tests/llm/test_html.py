@@ -62,3 +62,16 @@ def test_compound_names_do_not_lose_the_page():
     # Minor on this page, but on the way to the host's path.
     page = f"<body><div class='post comments-open'><p>Short.</p></div><div class=extra><p>{LONG}</p></div></body>"
     assert extract(page, "/section.x") == LONG.strip() and extract(page, "/div.comments.open.post") == "Short."
+
+
+def test_title_and_lead_beside_the_body():
+    for inner, want in (
+        (f"<h1>Title</h1><p>Lead</p><div class=body><p>{LONG}</p></div>", "Title Lead " + LONG.strip()),
+        (f"<div class=top><h1>Title</h1></div><div class=body><p>{LONG}</p></div>", "Title " + LONG.strip()),
+        (f"<p>Lead</p><ul><li>{LONG}</li></ul><p>End</p>", "Lead " + LONG.strip() + " End"),
+        (f"<h2>One</h2><section class=part><p>{LONG}</p></section><h2>Two</h2><section class=part><p>{LONG}</p></section>", f"One {LONG.strip()} Two {LONG.strip()}"),
+    ):
+        page = f"<body><nav>Menu</nav><div class=post>{inner}</div><div class=crumbs><a href=/>Home</a></div></body>"
+        assert extract(page, best_path(page)[0]) == want, inner
+    page = f"<body><div class=post><div class=links><a href=/>Home</a> <a href=/x>X</a></div><div class=body><p>{LONG}</p></div></div></body>"
+    assert best_path(page)[0].endswith("div.body")
