@@ -44,7 +44,7 @@ RULES = [
     Rule("shouting", f"10 * (length(text) - length(translate(text, '{UPPER}', ''))) > 4 * word_chars"),
     Rule("exclaiming", "2 * (length(text) - length(translate(text, '!', ''))) > n_words"),
     Rule("echo", "10 * size(filter(slice(words, 2, greatest(size(words) - 1, 0)), (w, i) -> w = words[i])) > 3 * n_words"),
-    Rule("no_letters", "10 * size(filter(words, w -> w rlike '[A-Za-z\\\\u00C0-\\\\u024F]')) < 4 * n_words"),
+    Rule("no_letters", "10 * size(filter(words, w -> w rlike '\\\\p{L}')) < 4 * n_words"),
 ]
 
 

@@ -31,6 +31,14 @@ def test_measures_and_verdicts(spark):
     assert {got[i]["rejected_by"] for i in (9, 11, 12, 13, 14)} <= {"symbols", "shouting", "exclaiming", "no_letters", "echo"}
 
 
+def test_letters_of_all_scripts(spark):
+    stems = ["λόγος", "слово", "كلمة", "מילה", "शब्द", "단어는", "բառեր", "คำพูด"]
+    texts = [" ".join(f"{w}{i} {w}" for i in range(40)) for w in stems]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, " ".join(f"{i * 7919}" for i in range(60)))], "doc_id long, text string")
+    got = {r["doc_id"]: r["rejected_by"] for r in Q.apply_cascade(df).collect()}
+    assert got[99] == "no_letters" and all(got[i] is None for i in range(len(texts))), got
+
+
 def test_order_does_not_change_verdicts(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS + TEXTS)], "doc_id long, text string")
     m = Q.base_measures(df)
