@@ -289,23 +289,28 @@ def silhouette(df: DataFrame, features: Sequence[str] | str, prediction: str = "
     ``features`` is a list of numeric columns or the name of an array column.  The
     per-cluster sums (k x d values, k = number of clusters) are collected and
     injected as literal arrays; each row computes its k mean squared distances in one
-    higher-order expression.
+    higher-order expression.  Features are taken less their means, so large offsets do not
+    cancel; rows with a missing, NaN or infinite feature do not count.
     """
     if isinstance(features, str):
         vec = F.col(features).cast("array<double>")
     else:
         vec = F.array(*[F.col(c).cast("double") for c in features])
     pts = df.select(vec.alias("_x"), F.col(prediction).cast("long").alias("_c")).where(F.col("_c").isNotNull())
+    pts = pts.where(F.forall("_x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))))
+    means = pts.select(F.posexplode("_x").alias("_j", "_v")).groupBy("_j").agg(F.avg("_v").alias("m")).orderBy("_j").collect()  # d rows
+    shift = F.array(*[F.lit(float(r["m"])) for r in means]).cast("array<double>")
+    pts = pts.withColumn("_x", F.zip_with("_x", shift, lambda v, m: v - m))
     pts = pts.withColumn("_sq", F.aggregate("_x", F.lit(0.0), lambda a, v: a + v * v))
     sizes = pts.groupBy("_c").agg(F.count(F.lit(1)).alias("n"), F.sum("_sq").alias("y")).limit(MAX_CLUSTERS + 1).collect()
     dim_probe = pts.select(F.max(F.size("_x"))).collect()[0][0] or 0
+    if len(sizes) < 2:  # silhouette needs two clusters
+        return df.sparkSession.createDataFrame([(None,)], "silhouette double")
     if len(sizes) > MAX_CLUSTERS or len(sizes) * dim_probe > MAX_LITERAL_VALUES:
         # too many cluster sums to inline: Spark ML's evaluator broadcasts them instead
         return _silhouette_spark_ml(pts)
     # k x d sums, k bounded above
     sums = pts.select("_c", F.posexplode("_x").alias("_j", "_xj")).groupBy("_c", "_j").agg(F.sum("_xj").alias("s")).collect()
-    if len(sizes) < 2:  # silhouette needs two clusters
-        return df.sparkSession.createDataFrame([(None,)], "silhouette double")
     ids = sorted(r["_c"] for r in sizes)
     pos = {c: i for i, c in enumerate(ids)}
     dim = 1 + max(r["_j"] for r in sums)

@@ -38,7 +38,7 @@ def _moments_wide(base: DataFrame, columns: Sequence[str]):
     sd = np.sqrt(np.clip(summ["variance"].toArray(), 0, None))
     corr = np.nan_to_num(Correlation.corr(v, "_f").collect()[0][0].toArray())
     cov = corr * np.outer(sd, sd)
-    return n, n * mean, (n - 1) * cov + n * np.outer(mean, mean)
+    return (n, np.zeros(len(columns)), (n - 1) * cov), mean  # around the mean, as the sums are
 
 
 def _moments(df: DataFrame, columns: Sequence[str], group: str | None = None):
@@ -51,7 +51,8 @@ def _moments(df: DataFrame, columns: Sequence[str], group: str | None = None):
         ok = x.isNotNull() & ~F.isnan(x) if ok is None else ok & x.isNotNull() & ~F.isnan(x)
     base = df.where(ok)
     if group is None and d > MAX_SUM_COLUMNS:
-        return {None: _moments_wide(base, columns)}, np.zeros(d)
+        moments, shift = _moments_wide(base, columns)
+        return {None: moments}, shift
     # sums of squares are taken around the overall mean, so large offsets do not cancel
     centre = base.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]).collect()[0]  # one row
     shift = np.array([centre[f"m{i}"] or 0.0 for i in range(d)])

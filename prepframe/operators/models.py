@@ -308,7 +308,8 @@ MAX_LITERAL_VALUES = 100_000
 
 def _assign_vectorised(df: DataFrame, x, rows, out: str) -> DataFrame:
     """Many / wide centres: broadcast them once as a numpy matrix and take the argmin
-    per Arrow batch (``mapInPandas``), instead of inlining k x d literals."""
+    per Arrow batch (``mapInPandas``), instead of inlining k x d literals.  Squared
+    differences are added up in the order of the features, as the literals do."""
     import numpy as np
     import pandas as pd
     from pyspark.sql.types import IntegerType, StructField, StructType
@@ -323,14 +324,19 @@ def _assign_vectorised(df: DataFrame, x, rows, out: str) -> DataFrame:
 
     def run(batches):
         cid, m = bc.value
-        mn2 = np.einsum("ij,ij->i", m, m)
+        part = max(1, 2_000_000 // len(m))  # rows whose distances are held at once
         for pdf in batches:
             res = pd.array([None] * len(pdf), dtype="Int32")
             ok = pdf["_x"].notna().to_numpy()
             if ok.any():
                 q = np.vstack(pdf.loc[ok, "_x"].to_numpy()).astype(np.float64)
-                d2 = np.einsum("ij,ij->i", q, q)[:, None] + mn2[None, :] - 2.0 * (q @ m.T)
-                res[ok] = cid[np.argmin(d2, axis=1)].astype(np.int32)
+                best = []
+                for at in range(0, len(q), part):
+                    d2 = np.zeros((len(q[at : at + part]), len(m)))
+                    for j in range(m.shape[1]):
+                        d2 += (q[at : at + part, j, None] - m[None, :, j]) ** 2
+                    best.append(np.argmin(d2, axis=1))
+                res[ok] = cid[np.concatenate(best)].astype(np.int32)
             yield pdf.drop(columns=["_x"]).assign(**{out: res})
 
     # whole rows pass through the batch kernel: no join back, no row ids
@@ -343,7 +349,9 @@ def assign_to_centres(df: DataFrame, features: Sequence[str] | str, centres: Dat
     """Nearest centre from a centre TABLE ``(cluster, centre array<double>)`` (M10).  The
     table has k rows (a model parameter) and becomes one literal array of arrays; each
     row computes its k squared distances in one higher-order expression and takes the
-    first minimum (ties -> smaller cluster id)."""
+    first minimum (ties -> smaller cluster id).  A row with a missing, NaN or infinite
+    feature has no cluster.  Above MAX_LITERAL_VALUES values the same distances are
+    computed per Arrow batch."""
     rows = centres.orderBy("cluster").limit(MAX_CLASSES + 1).collect()  # k rows, bounded
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} centres")
@@ -351,13 +359,17 @@ def assign_to_centres(df: DataFrame, features: Sequence[str] | str, centres: Dat
         x = F.col(features).cast("array<double>")
     else:
         x = F.array(*[F.col(c).cast("double") for c in features])
+    usable = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
+    if rows:
+        usable = usable & (F.size(x) == len(rows[0]["centre"]))
+    x = F.when(usable, x)
     if sum(len(r["centre"]) for r in rows) > MAX_LITERAL_VALUES:
         return _assign_vectorised(df, x, rows, out)
     cents = F.array(*[F.array(*[F.lit(float(v)) for v in r["centre"]]) for r in rows])
     ids = F.array(*[F.lit(int(r["cluster"])) for r in rows])
     d = F.transform(cents, lambda c: F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v))
     return df.withColumn("_d", d).withColumn(
-        out, F.element_at(ids, F.array_position(F.col("_d"), F.array_min(F.col("_d"))).cast("int"))
+        out, F.when(F.array_min("_d").isNotNull(), F.element_at(ids, F.array_position(F.col("_d"), F.array_min(F.col("_d"))).cast("int")))
     ).drop("_d")
 
 

@@ -125,6 +125,42 @@ def test_wide_fallbacks_match_literal_paths(spark, blobs, monkeypatch):
     assert a == pytest.approx(b, abs=1e-9)
 
 
+def test_both_forms_agree_on_offsets_and_missing_values(spark, monkeypatch):
+    from prepframe.operators import evaluate as E
+
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [1e8 + (i % 3) + 0.01 * (i % 7), -1e8 + 0.02 * (i % 5)], i % 3) for i in range(60)]
+    rows += [(100, [None, 1.0], 0), (101, None, 0), (102, [nan, 1.0], 1), (103, [1e8, inf], 1), (104, [1.0], 2)]
+    df = spark.createDataFrame([r for r in rows], "id int, v array<double>, c int")
+    cents = spark.createDataFrame([(i, [1e8 + i + 0.03, -1e8 + 0.04]) for i in range(3)], "cluster int, centre array<double>")
+    full = df.where("id < 60")
+
+    def both():
+        got = {r["id"]: r["prediction"] for r in MO.assign_to_centres(df, "v", cents).collect()}
+        return got, E.silhouette(full.union(df.where("id IN (100, 101, 102, 103)")), "v", "c").collect()[0][0]
+
+    a, sa = both()
+    monkeypatch.setattr(MO, "MAX_LITERAL_VALUES", 0)
+    monkeypatch.setattr(E, "MAX_LITERAL_VALUES", 0)
+    b, sb = both()
+    assert a == b and all(a[i] == (i % 3 if i < 60 else None) for i in a)
+    x = np.array([r[1] for r in rows[:60]])
+    lab = np.array([r[2] for r in rows[:60]])
+    x = x - x.mean(0)
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    one = []
+    for i in range(60):
+        own = d[i][lab == lab[i]].sum() / ((lab == lab[i]).sum() - 1)
+        other = min(d[i][lab == k].mean() for k in range(3) if k != lab[i])
+        one.append((other - own) / max(own, other))
+    assert sa == pytest.approx(np.mean(one), abs=1e-6) and sb == pytest.approx(sa, abs=1e-9)
+    r = np.random.default_rng(5)
+    z = np.stack([1e8 + r.normal(0, 1.3, 300), -1e8 + r.normal(0, 0.5, 300)], 1)
+    monkeypatch.setattr(FE, "MAX_SUM_COLUMNS", 1)
+    vals = FE.fit_pca(spark.createDataFrame([tuple(map(float, t)) for t in z], "a double, b double"), ["a", "b"], 2).values
+    assert np.allclose(sorted(vals), sorted(np.linalg.eigvalsh(np.cov((z - z.mean(0)).T))), rtol=1e-3)
+
+
 def test_wide_moments_path_matches(spark, monkeypatch):
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     li = spark.read.parquet(f"{SF}/lineitem.parquet")
