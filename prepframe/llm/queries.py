@@ -143,6 +143,27 @@ def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(docs).select("doc_id", "text", "n_pii")
 
 
+@query(
+    "op11_warc_chunks",
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS n, sha256(h) AS d FROM p),
+m AS (SELECT d, min(page_id) AS low FROM q WHERE n >= 100 GROUP BY d)
+SELECT page_id, n AS payload_bytes, q.d AS payload_digest,
+  CASE WHEN n >= 100 AND low IS NOT NULL AND page_id IS DISTINCT FROM low THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id IS DISTINCT FROM low THEN low END AS refers_to
+FROM q LEFT JOIN m ON q.d = m.d
+""",
+)
+def op11_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepframe.llm.common import scratch_path
+    from prepframe.llm.warc import read_records, write_archives
+
+    out = scratch_path(spark, "warc")
+    write_archives(load(spark, sf_dir, "pages"), out)
+    return read_records(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
