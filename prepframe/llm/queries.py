@@ -164,6 +164,34 @@ def op11_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query(
+    "op12_segment_negatives",
+    """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS al, v.vec_id, v.label, CAST(list_dot_product(a.q, v.q) AS BIGINT) AS score
+  FROM (SELECT * FROM v WHERE vec_id % 100 = 0) a, v),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = al AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND label <> al
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+""",
+)
+def op12_segment_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepframe.llm.common import scratch_path
+    from prepframe.llm.negatives import build_store, mine
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    store = scratch_path(spark, "segments")
+    build_store(load(spark, sf_dir, "embeddings"), store, label=label)
+    return mine(spark, store, F.col("vec_id") % 100 == 0)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
