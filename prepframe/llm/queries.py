@@ -192,6 +192,13 @@ def op12_segment_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(spark, store, F.col("vec_id") % 100 == 0)
 
 
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepframe.llm.repair import damage, repair
+
+    return repair(damage(load(spark, sf_dir, "conversations")))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
