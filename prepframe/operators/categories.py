@@ -99,6 +99,25 @@ def one_hot(df: DataFrame, column: str, labels: Sequence[str] | DataFrame, drop:
     return out.drop(column) if drop else out
 
 
+def one_hot_vector(df: DataFrame, column: str, codes: DataFrame, out: str | None = None, drop: bool = True) -> DataFrame:
+    """One sparse vector column (default ``<column>_vec``) with a 1 at the category's code.
+
+    The code table is joined, so the number of categories bounds neither the columns nor the
+    plan; nulls and categories that the table does not have give the zero vector."""
+    from pyspark.ml.feature import OneHotEncoder
+
+    name = out or f"{column}_vec"
+    mine = codes.where(F.col("col") == column).select(F.col("label").alias("_hot_label"), F.col("idx").alias("_hot_idx"))
+    size = int(mine.agg(F.coalesce(F.max("_hot_idx"), F.lit(-1)) + 1).collect()[0][0])  # one row
+    place = F.coalesce(F.col("_hot_idx"), F.lit(size)).cast("double")
+    joined = df.join(mine, F.col(column).cast("string") == F.col("_hot_label"), "left")
+    placed = joined.withColumn("_hot_place", place).drop("_hot_label", "_hot_idx")
+    # The place behind the last category is the one that the encoder drops: a zero vector.
+    known = df.sparkSession.createDataFrame([(float(size),)], "_hot_place double")
+    made = OneHotEncoder(inputCol="_hot_place", outputCol=name, dropLast=True).fit(known).transform(placed).drop("_hot_place")
+    return made.drop(column) if drop else made
+
+
 def frequency_encode(df: DataFrame, column: str, out: str | None = None, normalize: bool = False) -> DataFrame:
     """Category -> its row count (or share) in ``df``."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_freq"))

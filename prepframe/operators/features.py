@@ -249,15 +249,64 @@ def rank_features(df: DataFrame, features: Sequence[str], target: str | None = N
 
 
 
-def select_chi2(df: DataFrame, features: Sequence[str], label: str, n: int) -> list[str]:
-    """Top-n categorical features by chi-squared test with the label (Spark ML selector)."""
-    from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
+def _chi2_tail(x: float, dof: int) -> float:
+    """P(chi-squared with ``dof`` degrees > x): the regularised upper incomplete gamma function."""
+    import math
+
+    if dof <= 0 or x <= 0:
+        return 1.0
+    s, y = dof / 2.0, x / 2.0
+    scale = math.exp(s * math.log(y) - y - math.lgamma(s))
+    if y < s + 1:  # power series of the lower function
+        term = total = 1.0 / s
+        k = s
+        while term > total * 1e-17:
+            k += 1
+            term *= y / k
+            total += term
+        return min(1.0, max(0.0, 1.0 - scale * total))
+    # continued fraction, evaluated from behind
+    f = 0.0
+    for k in range(int(200 + 4 * math.sqrt(y) + s), 0, -1):
+        f = k * (s - k) / (y + 2 * k + 1 - s + f)
+    return min(1.0, scale / (y + 1 - s + f))
+
+
+def rank_chi2(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """Chi-squared test of independence of every feature and the label.
+
+    ``(feature, statistic, dof, p_value, rank)`` from one contingency aggregate of all
+    features (values of any type, compared as text; rows with a missing value or label are
+    left out of that feature's table).  Rank 1 has the smallest p-value, then the largest
+    statistic, then the first name."""
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("v")) for f in features])
+    cells = df.select(F.col(label).cast("string").alias("y"), F.inline(pairs)).where("v IS NOT NULL AND y IS NOT NULL")
+    cells = cut_lineage(cells.groupBy("feature", "v", "y").agg(F.count(F.lit(1)).cast("double").alias("o")))
+    rows = cells.groupBy("feature", "v").agg(F.sum("o").alias("r"))
+    cols = cells.groupBy("feature", "y").agg(F.sum("o").alias("c"))
+    # sum over cells of o^2 / (r c); empty cells add nothing
+    share = cells.join(rows, ["feature", "v"]).join(cols, ["feature", "y"]).groupBy("feature").agg(
+        F.sum(F.col("o") * F.col("o") / (F.col("r") * F.col("c"))).alias("q"), F.sum("o").alias("n"),
+    )
+    sizes = rows.groupBy("feature").agg(F.count(F.lit(1)).alias("nr")).join(cols.groupBy("feature").agg(F.count(F.lit(1)).alias("nc")), "feature")
+    got = {r["feature"]: r for r in share.join(sizes, "feature").collect()}  # one row per feature
+    out = []
+    for f in features:
+        if f in got:
+            r = got[f]
+            stat, dof = max(0.0, r["n"] * (r["q"] - 1.0)), (r["nr"] - 1) * (r["nc"] - 1)
+            out.append((f, stat, dof, _chi2_tail(stat, dof)))
+        else:
+            out.append((f, None, None, None))
+    out.sort(key=lambda r: (r[3] is None, r[3] or 0.0, -(r[1] or 0.0), r[0]))
+    return df.sparkSession.createDataFrame(
+        [(*r, i + 1) for i, r in enumerate(out)], "feature string, statistic double, dof long, p_value double, rank int"
+    )
 
-    v = VectorAssembler(inputCols=list(features), outputCol="_f", handleInvalid="skip").transform(df)
-    sel = UnivariateFeatureSelector(featuresCol="_f", labelCol=label, outputCol="_s", selectionMode="numTopFeatures")
-    sel.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(n)
-    m = sel.fit(v)
-    return [features[i] for i in sorted(m.selectedFeatures)]
+
+def select_chi2(df: DataFrame, features: Sequence[str], label: str, n: int) -> list[str]:
+    """The ``n`` features that depend most on the label by `rank_chi2`, best first."""
+    return [r["feature"] for r in rank_chi2(df, features, label).orderBy("rank").limit(n).collect()]
 
 
 # ------------------------------------------------------------------ importance

@@ -22,10 +22,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, NumericType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, NumericType, StructField, StructType
 
 from prepframe.operators import evaluate as E
-from prepframe.operators.split import hash_bucket
+from prepframe.operators.split import HASH_SPACE, hash_bucket
 
 # Parameter names of the original components, accepted unchanged so
 # their parameter dictionaries keep working.
@@ -401,45 +401,115 @@ def evaluate(model: FittedModel, scored: DataFrame, label: str, pos_label=None)
 
 # ------------------------------------------------------------------ cross-validation / tuning
 
+POOLS = 4
+
+
+def _concurrently(spark: SparkSession, jobs: Sequence, parallelism: int) -> list:
+    """Results of ``jobs`` in their order, at most ``parallelism`` at a time, each in a scheduler pool of its own.
+
+    Spark shares its executors among the pools (``spark.scheduler.mode`` FAIR) or fills one
+    job's idle cores with the next job's tasks (FIFO)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
+    def run(numbered):
+        i, job = numbered
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fits-{i % parallelism}")
+        return job()
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(run), (i, j)) for i, j in enumerate(jobs)]]
+
+
 def cross_validate(
     df: DataFrame, features: Sequence[str], label: str, make, kind: str, key: str, k: int = 3, seed: int | None = None,
-    pos_label=None,
+    pos_label=None, parallelism: int = POOLS,
 ) -> DataFrame:
     """k-fold metrics table (D47): folds by a hash of ``key`` (reproducible, disjoint);
     ``make()`` returns a fresh estimator.  One metric row per fold plus ``fold``.  The
-    positive class is ``pos_label``, or chosen once from the whole table."""
+    positive class is ``pos_label``, or chosen once from the whole table.  The folds are
+    columns of one persisted projection; their fits are submitted together."""
+    from pyspark import StorageLevel
+
     if kind == "binary" and pos_label is None:
         pos_label = positive_class(*_label_index(df, label))
-    folded = df.withColumn("_fold", (hash_bucket(key, seed) % k).cast("int"))
-    rows = None
-    for i in range(k):
-        train, test = folded.where(F.col("_fold") != i), folded.where(F.col("_fold") == i)
-        m = fit(train, features, label, make(), kind)
-        met = evaluate(m, score(m, test), label, pos_label).withColumn("fold", F.lit(i))
-        rows = met if rows is None else rows.unionByName(met)
-    return rows
+    names = [features] if isinstance(features, str) else list(features)
+    folded = df.select(*dict.fromkeys([*names, label]), (hash_bucket(key, seed) % k).cast("int").alias("_fold"))
+    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def one(i: int):
+        def job():
+            m = fit(folded.where(F.col("_fold") != i), features, label, make(), kind)
+            met = evaluate(m, score(m, folded.where(F.col("_fold") == i)), label, pos_label)
+            return met.schema, met.withColumn("fold", F.lit(i)).collect()  # one row
+
+        return job
+
+    try:
+        got = _concurrently(df.sparkSession, [one(i) for i in range(k)], parallelism)
+    finally:
+        folded.unpersist()
+    schema = StructType([*got[0][0].fields, StructField("fold", IntegerType())])
+    return df.sparkSession.createDataFrame([tuple(r) for _, rows in got for r in rows], schema)
 
 
 def tune(
     df: DataFrame, features: Sequence[str], label: str, kind: str, grid: Sequence[tuple[str, dict]], key: str,
     metric: str, ratio: float = 0.75, seed: int | None = None, higher_is_better: bool = True,
+    halving: int | None = None, parallelism: int = POOLS,
 ):
-    """Grid over ``(algo, params)`` pairs - several estimators allowed (D48).  Train on
-    a hash split, score the rest; returns ``(metrics table, best FittedModel)``."""
-    from prepframe.operators.split import split_hash
+    """Grid over ``(algo, params)`` pairs - several estimators allowed.
+
+    Train on a hash split, score the rest; returns ``(metrics table, best FittedModel)``, the
+    model with ``extra["algo"]`` and ``extra["params"]``.  Both parts are one persisted
+    projection and fits are submitted together.  With ``halving`` = e the grid shrinks by
+    successive halving: in each rung the best 1/e of the candidates go on to e times the
+    training rows (nested hash samples), the last rung trains on all of them; ``rung`` in the
+    table is the last one that a candidate reached."""
+    import math
+
+    from pyspark import StorageLevel
+
+    if halving is not None and halving < 2:
+        raise ValueError("halving must be at least 2")
+    spark, grid = df.sparkSession, list(grid)
+    names = [features] if isinstance(features, str) else list(features)
+    cut = int(ratio * HASH_SPACE)
+    kept = df.select(*dict.fromkeys([*names, label]), hash_bucket(key, seed).alias("_h")).persist(StorageLevel.MEMORY_AND_DISK)
+    test = kept.where(F.col("_h") >= cut)
+    rungs = 1 if halving is None or len(grid) < 2 else math.ceil(math.log(len(grid), halving) - 1e-9)
+    alive, last = list(range(len(grid))), {}
+
+    def one(i: int, rows: DataFrame):
+        def job():
+            algo, params = grid[i]
+            m = fit(rows, features, label, make_estimator(kind, algo, **params), kind)
+            m.extra |= {"algo": algo, "params": repr(sorted(params.items()))}
+            value = evaluate(m, score(m, test), label).select(metric).first()[0]
+            return m, None if value is None else float(value)
+
+        return job
+
+    def place(i: int):
+        v = last[i][1]
+        return (v is None, 0.0 if v is None else -v if higher_is_better else v, i)
 
-    train, test = split_hash(df, key, ratio, seed)
-    spark = df.sparkSession
-    results, best = [], None
-    for algo, params in grid:
-        m = fit(train, features, label, make_estimator(kind, algo, **params), kind)
-        value = evaluate(m, score(m, test), label).select(metric).first()[0]
-        results.append((algo, repr(sorted(params.items())), float(value) if value is not None else None))
-        better = value is not None and (best is None or (value > best[0] if higher_is_better else value < best[0]))
-        if better:
-            best = (value, m)
-    table = spark.createDataFrame(results, f"algo string, params string, {metric} double")
-    return table, (best[1] if best else None)
+    try:
+        for rung in range(1, rungs + 1):
+            share = 1.0 if rung == rungs else halving ** (rung - rungs)
+            rows = kept.where(F.col("_h") < int(cut * share))
+            for i, (m, value) in zip(alive, _concurrently(spark, [one(i, rows) for i in alive], parallelism)):
+                last[i] = (m, value, rung)
+            alive.sort(key=place)
+            if rung < rungs:
+                alive = alive[: max(1, math.ceil(len(alive) / halving))]
+    finally:
+        kept.unpersist()
+    rows = [(grid[i][0], repr(sorted(grid[i][1].items())), last[i][1], last[i][2]) for i in range(len(grid))]
+    table = spark.createDataFrame(rows, f"algo string, params string, {metric} double, rung int")
+    best = last[alive[0]] if alive else None
+    return table, best[0] if best and best[1] is not None else None
 
 
 # ------------------------------------------------------------------ recommendation

@@ -3,11 +3,11 @@
 A ``Window`` with no ``partitionBy`` (or one whose partition key is hot) pulls a whole
 group into one task.  ``ordered_totals`` instead, for inputs of any size,
 
-1. takes the rows with the smallest key hashes as a sample (one pass, at most
-   ``SAMPLE_PER_BUCKET`` rows per bucket) and reads bucket boundaries over the *whole* sort
-   tuple from it, so a heavily tied leading key is still split by the keys behind it;
-2. names every row's bucket with an expression over literal boundaries (no layout to keep,
-   no copy of the rows);
+1. draws a sample of rows (about ``SAMPLE_PER_BUCKET`` per bucket) and reads bucket
+   boundaries over the *whole* sort tuple from it, so a heavily tied leading key is still
+   split by the keys behind it;
+2. names every row's bucket with a binary search over literal boundaries (no layout to
+   keep, no copy of the rows);
 3. takes running numbers/sums inside (bucket, group) with a plain window;
 4. adds per-(bucket, group) offsets.  Only the first group of a bucket can have begun in
    an earlier bucket, so the non-zero offset table has fewer rows than there are
@@ -19,7 +19,6 @@ ntile scores, exact percentiles, AUC and the series filters.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -59,35 +58,124 @@ def _not_after(bound: Column, row: list[Column], ascending: list[bool]) -> Colum
     return out
 
 
-def _bucket(df: DataFrame, items: list[tuple[str, bool]], buckets: int) -> Column:
-    """Bucket number of a row among at most ``buckets`` ranges of the sort tuple."""
-    keys = [_plain_key(df, c) for c, _ in items]
+def _keys(df: DataFrame, items: list[tuple[str, bool]]) -> list[Column]:
+    return [_plain_key(df, c) for c, _ in items]
+
+
+def _bounds(df: DataFrame, items: list[tuple[str, bool]], ranges: int) -> tuple[list, list]:
+    """At most ``ranges - 1`` distinct boundary tuples in order, and the types of their fields.
+
+    They come from a Bernoulli sample of rows (not of key values: a repeated tuple counts as
+    often as it occurs) of about SAMPLE_PER_BUCKET rows a range."""
     up = [a for _, a in items]
-    named = df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
-    names = named.columns
-    # bounded sample: the rows with the smallest key hashes
-    sample = named.orderBy(F.xxhash64(F.lit("order"), *names)).limit(SAMPLE_PER_BUCKET * buckets)
-    rows = sample.orderBy(*[F.col(c).asc() if a else F.col(c).desc() for c, a in zip(names, up)]).collect()
-    picked = [rows[len(rows) * j // buckets] for j in range(1, buckets)] if rows else []
-    bounds = [r for i, r in enumerate(picked) if i == 0 or r != picked[i - 1]]
+    named = df.select(*[k.alias(f"k{i}") for i, k in enumerate(_keys(df, items))])
+    n, wanted = named.count(), SAMPLE_PER_BUCKET * ranges
+    drawn = named if n <= wanted else named.sample(fraction=wanted / n, seed=17)
+    order = [F.col(c).asc() if a else F.col(c).desc() for c, a in zip(named.columns, up)]
+    rows = drawn.repartition(1).sortWithinPartitions(*order).collect()  # bounded: about SAMPLE_PER_BUCKET * ranges rows
+    picked = [rows[len(rows) * j // ranges] for j in range(1, ranges)] if rows else []
+    return [r for i, r in enumerate(picked) if i == 0 or r != picked[i - 1]], [f.dataType for f in named.schema.fields]
+
+
+def _number(df: DataFrame, items: list[tuple[str, bool]], bounds: list, kinds: list) -> Column:
+    """How many of the boundary tuples do not come after the row: a binary search over one literal array."""
     if not bounds:
         return F.lit(0)
-    kinds = [f.dataType for f in named.schema.fields]
+    keys, up = _keys(df, items), [a for _, a in items]
+    literals = F.array(*[F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(r, kinds))]) for r in bounds])
+    steps = [1 << j for j in reversed(range(len(bounds).bit_length()))]
+
+    def step(at: Column, s: Column) -> Column:
+        fits = (at + s <= len(bounds)) & _not_after(F.get(literals, at + s - 1), keys, up)
+        return F.when(fits, at + s).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(j) for j in steps]), F.lit(0), step)
 
-    def literal(r) -> Column:
-        return F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(r, kinds, names)])
 
-    # Two levels of about sqrt(n) boundaries each.
-    width = max(1, math.isqrt(len(bounds)))
-    groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-    coarse = F.array(*[literal(g[0]) for g in groups])
-    fine = F.array(*[F.array(*[literal(r) for r in g]) for g in groups])
+def _bucket(df: DataFrame, items: list[tuple[str, bool]], buckets: int) -> Column:
+    """Bucket number of a row among at most ``buckets`` ranges of the sort tuple."""
+    return _number(df, items, *_bounds(df, items, buckets))
+
 
-    def passed(array: Column) -> Column:
-        return F.size(F.filter(array, lambda b: _not_after(b, keys, up)))
+# Parts of a bucket that a border's neighbourhood is made of.
+PARTS_PER_BUCKET = 10
 
-    first = passed(coarse)
-    return F.when(first == 0, F.lit(0)).otherwise((first - 1) * width + passed(F.element_at(fine, F.greatest(first, F.lit(1)))))
+
+def with_halo(
+    df: DataFrame, order_by: Sequence, partition_by: Sequence[str], before: int, after: int, bucket: str, own: str,
+    nbuckets: int | None = None,
+) -> DataFrame:
+    """Rows by ranges of (partition, order) tuples, each range with the rows around it.
+
+    Adds ``bucket`` and ``own``: every row once in its own range (``own`` true) and again in
+    each range that begins at most ``before`` rows after it or ends at most ``after`` rows
+    before it (``own`` false).  Whole parts of a range are copied, so a range has at least the
+    rows asked for; ranges hold at least four times ``before + after`` rows, so copies stay a
+    bounded share.  A window over (bucket, partition) that looks so far back and ahead then
+    sees what it would see in the whole partition.  One pass counts the parts; no row is
+    numbered, sorted or joined, and all columns are only carried along."""
+    items = [(c, True) for c in partition_by] + [_item(o) for o in order_by]
+    buckets = nbuckets or shuffle_partitions(df.sparkSession)
+    bounds, kinds = _bounds(df, items, PARTS_PER_BUCKET * buckets)
+    part = _number(df, items, bounds, kinds)
+    counted = dict(df.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())  # one row per part: bounded
+    sizes = [counted.get(p, 0) for p in range(len(bounds) + 1)]
+    least = max(sum(sizes) / buckets, 4 * (before + after))
+    home, first, held = [], [0], 0
+    for p, n in enumerate(sizes):
+        home.append(len(first) - 1)
+        held += n
+        if held >= least and p + 1 < len(sizes):
+            first.append(p + 1)
+            held = 0
+    ends = [x - 1 for x in first[1:]] + [len(sizes) - 1]
+    targets = [[h] for h in home]
+    for r, (x, y) in enumerate(zip(first, ends)):
+        for start, step, wanted in ((x - 1, -1, before), (y + 1, 1, after)):
+            p = start
+            while 0 <= p < len(sizes) and wanted > 0:
+                targets[p].append(r)
+                wanted -= sizes[p]
+                p += step
+    places = F.array(*[F.array(*[F.struct(F.lit(t).alias("b"), F.lit(t == home[p]).alias("o")) for t in ts]) for p, ts in enumerate(targets)])
+    copies = df.withColumn(bucket, F.explode(F.get(places, part)))
+    return copies.withColumn(own, F.col(bucket)["o"]).withColumn(bucket, F.col(bucket)["b"])
+
+
+# Rows among which the last of the first k are found by numbering instead of another histogram.
+SETTLED_ROWS = 100_000
+
+
+def first_rows(df: DataFrame, order_by: Sequence, k: int, nbuckets: int | None = None) -> DataFrame:
+    """The ``min(k, count)`` first rows in ``order_by`` order (unsorted).
+
+    The k-th tuple is found by histogram refinement: ranges are counted, the one that holds
+    the k-th row is split again until it is small or does not shrink (equal tuples).  What lies
+    before it is a filter on the rows where they are; only the rows of that last range are
+    numbered.  No task merges k rows and the table is not sorted."""
+    items = [_item(o) for o in order_by]
+    buckets = nbuckets or shuffle_partitions(df.sparkSession)
+    before, inside, need = F.lit(False), F.lit(True), int(k)
+    if need <= 0:
+        return df.limit(0)
+    while True:
+        rest = df.where(inside)
+        number = _number(df, items, *_bounds(rest, items, buckets))
+        counts = sorted(map(tuple, rest.groupBy(number.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()))  # one row per range: bounded
+        total = sum(n for _, n in counts)
+        if total <= need:
+            return df.where(before | inside)
+        for p, n in counts:
+            if n >= need:
+                break
+            need -= n
+        before, inside = before | (inside & (number < p)), inside & (number == p)
+        if n == need:
+            return df.where(before | inside)
+        if n <= SETTLED_ROWS or 2 * n > total:
+            break
+    last = ordered_totals(df.where(inside), order_by, nbuckets=buckets).where(F.col("_rn") <= need).drop("_rn")
+    return df.where(before).union(last.select(*df.columns))
 
 
 def ordered_totals(

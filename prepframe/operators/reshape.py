@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, NumericType
 
-from prepframe.operators.ordering import exact_percentiles, ordered_totals
+from prepframe.operators.ordering import first_rows, exact_percentiles, ordered_totals
 
 _HOWS = {
     "inner": "inner", "left": "left", "right": "right", "full": "full", "outer": "full",
@@ -305,16 +305,22 @@ def sort_values(
     nulls_last: bool | Sequence[bool] = False,
     top_k: int | None = None,
 ) -> DataFrame:
-    """Multi-key sort with per-key direction and null placement; with ``top_k`` a
-    top-k (TakeOrderedAndProject: per-task partial top-k, no full sort) (D15)."""
+    """Multi-key sort with per-key direction and null placement (D15).  With ``top_k`` the
+    first rows are selected by histogram refinement (`ordering.first_rows`) and only they are
+    sorted: no task merges ``top_k`` rows, whatever its size."""
     by = list(by)
     asc = [ascending] * len(by) if isinstance(ascending, bool) else list(ascending)
     nl = [nulls_last] * len(by) if isinstance(nulls_last, bool) else list(nulls_last)
-    exprs = []
-    for c, a, n in zip(by, asc, nl):
+    exprs, items, flags = [], [], {}
+    for i, (c, a, n) in enumerate(zip(by, asc, nl)):
         col = F.col(c)
         exprs.append(
             (col.asc_nulls_last() if n else col.asc_nulls_first()) if a else (col.desc_nulls_last() if n else col.desc_nulls_first())
         )
-    out = df.orderBy(*exprs)
-    return out.limit(top_k) if top_k is not None else out
+        if a == n:  # not Spark's own null placement: a key of its own before the value
+            flags[f"_null_{i}"] = col.isNull()
+            items.append((f"_null_{i}", n))
+        items.append((c, a))
+    if top_k is None:
+        return df.orderBy(*exprs)
+    return first_rows(df.withColumns(flags) if flags else df, items, top_k).drop(*flags).orderBy(*exprs)

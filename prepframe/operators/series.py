@@ -1,193 +1,220 @@
 """Per-series filters (D20 FIR, D21 IIR, D22 moving median).
 
 A window ``partitionBy(series)`` sends a whole series to one task - a series
-holding a third of the rows would be one straggler.  Here rows are numbered inside
-each series by the distributed ordering helper, then every row sends its value to
-the (few) output positions that need it; the regroup key is (series, position), so
-no group is larger than the filter length.
+holding a third of the rows would be one straggler.  The FIR filter and the moving median
+cut the rows into ranges of (series, order) and hand each range the few rows around it
+(`ordering.with_halo`): a plain window inside the range then sees what it needs, and all
+other columns are only carried along.  The IIR filter is a parallel prefix over the affine
+maps of the range layout's partitions, streamed batch by batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from prepframe._session import cut_lineage, ship_package, shuffle_partitions
-from prepframe.operators.ordering import ordered_totals
+from prepframe.operators.ordering import with_halo
 
 
 def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _spread(df, series, order, value, offsets_weights, out, combine):
+def _around(df: DataFrame, series, order, before: int, after: int, x: Column, out: str, combine, nbuckets: int | None) -> DataFrame:
+    """``combine(values of the rows n - before .. n + after of the series, in order)``."""
     series, order = _as_list(series), _as_list(order)
-    cols = df.columns
-    r = ordered_totals(df, order, partition_by=series)
-    spread = F.array(*[F.struct(F.lit(int(o)).alias("o"), F.lit(float(w)).alias("w")) for o, w in offsets_weights])
-    e = r.select(
-        *series, "_rn", F.struct(*[F.col(c) for c in cols]).alias("_row"), F.col(value).cast("double").alias("_x"),
-        F.explode(spread).alias("_s"),
-    )
-    e = e.select(
-        *series,
-        (F.col("_rn") + F.col("_s.o")).alias("_t"),
-        F.when(F.col("_s.o") == 0, F.col("_row")).alias("_row"),
-        (F.col("_x") * F.col("_s.w")).alias("_v"),
-    )
-    g = e.groupBy(*series, "_t").agg(F.max("_row").alias("_row"), combine(F.col("_v")).alias(out))
-    return g.where(F.col("_row").isNotNull()).select(*[F.col(f"_row.{c}").alias(c) for c in cols], out)
+    near = with_halo(df, order, series, before, after, "_halo_bucket", "_halo_own", nbuckets)
+    w = Window.partitionBy("_halo_bucket", *series).orderBy(*order).rowsBetween(-before, after)
+    seen = near.withColumn(out, F.collect_list(x).over(w)).where("_halo_own")
+    return seen.withColumn(out, combine(F.col(out))).drop("_halo_bucket", "_halo_own")
 
 
 def fir_filter(
-    df: DataFrame, series, order, value: str, taps: Sequence[float], out: str = "fir"
+    df: DataFrame, series, order, value: str, taps: Sequence[float], out: str = "fir", nbuckets: int | None = None
 ) -> DataFrame:
     """``y[n] = sum_i taps[i] * x[n - i]`` inside each series in ``order`` (make the order
     total); values before the series start count as 0, null values as 0."""
-    return _spread(df, series, order, value, [(i, h) for i, h in enumerate(taps)], out, F.sum)
+    h = F.array(*[F.lit(float(t)) for t in taps])
+    x = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
 
+    def combine(seen: Column) -> Column:
+        # Newest first; at the start of a series fewer values than taps
+        products = F.zip_with(F.reverse(seen), h, lambda v, t: F.coalesce(v, F.lit(0.0)) * t)
+        return F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v)
 
-def median_filter(df: DataFrame, series, order, value: str, half_width: int, out: str = "median") -> DataFrame:
-    """Centred median of rows ``n - w .. n + w`` that exist in the series (exact)."""
+    return _around(df, series, order, len(taps) - 1, 0, x, out, combine, nbuckets)
+
+
+def median_filter(df: DataFrame, series, order, value: str, half_width: int, out: str = "median", nbuckets: int | None = None) -> DataFrame:
+    """Centred median of rows ``n - w .. n + w`` that exist in the series (exact; nulls are skipped)."""
     w = int(half_width)
-    return _spread(df, series, order, value, [(-j, 1.0) for j in range(-w, w + 1)], out, F.median)
+
+    def combine(seen: Column) -> Column:
+        a, n = F.array_sort(seen), F.size(seen)
+        low, high = F.get(a, F.floor((n - 1) / 2).cast("int")), F.get(a, F.floor(n / 2).cast("int"))
+        return F.when(n > 0, low + (high - low) / 2)
+
+    return _around(df, series, order, w, w, F.col(value).cast("double"), out, combine, nbuckets)
 
 
 # ------------------------------------------------------------------ IIR
 
-def _lfilter(b: np.ndarray, a: np.ndarray, x: np.ndarray, zi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Direct form II transposed; returns outputs and the final state (len = order)."""
-    n = max(len(a), len(b))
-    b = np.pad(b, (0, n - len(b))) / a[0]
-    a = np.pad(a, (0, n - len(a))) / a[0]
-    z = zi.astype(float).copy()
-    y = np.empty(len(x))
-    for k, xv in enumerate(x):
-        yk = b[0] * xv + (z[0] if n > 1 else 0.0)
-        for j in range(n - 2):
-            z[j] = b[j + 1] * xv + z[j + 1] - a[j + 1] * yk
-        if n > 1:
-            z[n - 2] = b[n - 1] * xv - a[n - 1] * yk
-        y[k] = yk
-    return y, z
-
-
-def _free_state(a: np.ndarray, z: np.ndarray, steps: int) -> np.ndarray:
-    """State after ``steps`` zero-input samples from state ``z`` (companion matrix power)."""
-    p = len(z)
-    if p == 0:
-        return z
-    a = a / a[0]
-    m = np.zeros((p, p))
-    m[:, 0] = -a[1 : p + 1] if len(a) > p else -np.pad(a[1:], (0, p + 1 - len(a)))
-    for j in range(p - 1):
-        m[j, j + 1] = 1.0
-    return np.linalg.matrix_power(m, int(steps)) @ z
+# Samples that one product of matrices filters at once.
+BLOCK = 64
+
+
+class Recursion:
+    """An IIR filter as an affine map of its state: direct form II transposed, in blocks.
+
+    A block of samples x from state z gives ``response @ x + free @ z`` and the new state
+    ``gain @ x + power @ z``."""
+
+    def __init__(self, b: Sequence[float], a: Sequence[float], block: int = BLOCK):
+        n = max(len(a), len(b))
+        b, a = (np.pad(np.asarray(c, dtype=float), (0, n - len(c))) / float(a[0]) for c in (b, a))
+        self.order, self.block = n - 1, block
+        p = self.order
+        self.b, self.a = b, a
+        self.step = np.zeros((p, p))  # state without input
+        self.step[:, :1] = -a[1:, None]
+        self.step[np.arange(p - 1), np.arange(1, p)] = 1.0
+        self.enter = (b[1:] - a[1:] * b[0])[:, None]  # one sample into the state
+        look = np.eye(1, p)
+        # State and output after each of the block's samples
+        powers = [np.eye(p)]
+        for _ in range(block):
+            powers.append(self.step @ powers[-1])
+        self.free = np.vstack([look @ m for m in powers[:block]]).reshape(block, p)
+        impulse = np.array([b[0], *[(look @ m @ self.enter)[0, 0] if p else 0.0 for m in powers[: block - 1]]])
+        lag = np.arange(block)[:, None] - np.arange(block)
+        self.response = np.where(lag >= 0, impulse[np.maximum(lag, 0)], 0.0)
+        self.gain = np.hstack([powers[block - 1 - j] @ self.enter for j in range(block)]).reshape(p, block)
+        self.power = powers[block]
+
+    def run(self, x: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Outputs of ``x`` from state ``z``, and the state behind them."""
+        n, size = len(x) // self.block, self.block
+        y = np.empty(len(x))
+        if n:
+            blocks = x[: n * size].reshape(n, size)
+            drive, states = blocks @ self.gain.T, np.empty((n, self.order))
+            for k in range(n):
+                states[k] = z
+                z = drive[k] + self.power @ z
+            y[: n * size] = (blocks @ self.response.T + states @ self.free.T).ravel()
+        z = z.copy()
+        for k in range(n * size, len(x)):
+            y[k] = self.b[0] * x[k] + (z[0] if self.order else 0.0)
+            z = self.step @ z + self.enter[:, 0] * x[k]
+        return y, z
+
+    def after(self, z: np.ndarray, samples: int) -> np.ndarray:
+        """The state after so many zero samples."""
+        return np.linalg.matrix_power(self.step, int(samples)) @ z if self.order else z
+
+
+def _runs(keys: pa.Array) -> list[tuple[str, int, int]]:
+    """(key, start, end) of the runs of equal keys of a batch."""
+    n = len(keys)
+    if n == 0:
+        return []
+    change = np.ones(n, bool)
+    if n > 1:
+        change[1:] = pc.not_equal(keys.slice(1), keys.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+    starts = np.flatnonzero(change)
+    return [(keys[int(a)].as_py(), int(a), int(b)) for a, b in zip(starts, [*starts[1:], n])]
+
+
+def _samples(values: pa.Array) -> np.ndarray:
+    return np.asarray(pc.fill_null(values.cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False), dtype=float)
 
 
 def iir_filter(
-    df: DataFrame, series, order, value: str, b: Sequence[float], a: Sequence[float], out: str = "iir"
+    df: DataFrame, series, order, value: str, b: Sequence[float], a: Sequence[float], out: str = "iir", nbuckets: int | None = None
 ) -> DataFrame:
     """Recursive filter ``a[0] y[n] = sum b[i] x[n-i] - sum_{j>=1} a[j] y[n-j]`` per series
-    (zero initial state, null -> 0).
-
-    The recursion is linear, so a long series is cut into the chunks that the range
-    layout gives it: each chunk is filtered from a zero state in parallel (recording
-    its final state), the chunk boundaries of series that span partitions are
-    chained on the driver (fewer than the number of partitions; the state is moved
-    across a chunk by a companion-matrix power), and each chunk is then filtered
-    from its true starting state.  Both passes are one ``mapInPandas`` over the
-    sorted, checkpointed partitions - no per-group pandas frames.
-    """
+    (zero initial state, null -> 0; null series are one series).
+
+    The rows are laid out once in ranges of (series, order).  A range of samples maps the
+    filter's state by an affine map, so the ranges are filtered in parallel: a first pass
+    streams key and value and reports, for the first and last series of each range, its
+    length and the state that it leaves from zero; these at most two rows a range are chained
+    (the state crosses a range by a power of the state matrix); a second pass streams the
+    rows again from their true states.  A batch is filtered block by block as matrix
+    products; only the state and the key are carried from batch to batch, and the other
+    columns pass as Arrow columns that nothing looks into."""
     series, order = _as_list(series), _as_list(order)
-    b = np.asarray(b, dtype=float)
-    a = np.asarray(a, dtype=float)
-    p = max(len(a), len(b)) - 1
     spark = df.sparkSession
-    nb = shuffle_partitions(spark)
     ship_package(spark)
-    sort_exprs = [F.col(c) for c in series] + [F.col(c) for c in order]
-    laid = cut_lineage(
-        df.repartitionByRange(nb, *sort_exprs).sortWithinPartitions(*sort_exprs).withColumn("_pid", F.spark_partition_id())
-    )
-
-    def chunks_of(pdf: pd.DataFrame):
-        """(start, end) row ranges of consecutive equal series keys."""
-        n = len(pdf)
-        if n == 0:
-            return []
-        change = np.zeros(n, dtype=bool)
-        change[0] = True
-        for c in series:
-            s_ = pdf[c]
-            prev = s_.shift(1)
-            change |= ~((s_ == prev) | (s_.isna() & prev.isna())).to_numpy()
-        starts = np.flatnonzero(change)
-        ends = np.append(starts[1:], n)
-        return list(zip(starts, ends))
-
-    def whole_partition(it):
-        parts = [p_ for p_ in it if len(p_)]
-        return pd.concat(parts, ignore_index=True) if parts else None
-
-    state_schema = StructType(
-        [StructField("_pid", LongType())] + [laid.schema[c] for c in series]
-        + [StructField("_len", LongType())] + [StructField(f"_z{j}", DoubleType()) for j in range(p)]
-    )
-
-    def boundary_states(it):
-        # only the first and last chunk of a partition can continue across partitions
-        pdf = whole_partition(it)
-        if pdf is None:
-            return
-        rows = []
-        ch = chunks_of(pdf)
-        for k in {0, len(ch) - 1}:
-            s0, e0 = ch[k]
-            x = pdf[value].iloc[s0:e0].astype(float).fillna(0.0).to_numpy()
-            _, z = _lfilter(b, a, x, np.zeros(p))
-            row = {"_pid": int(pdf["_pid"].iloc[0]), "_len": int(e0 - s0)}
-            for c in series:
-                row[c] = pdf[c].iloc[s0]
-            for j in range(p):
-                row[f"_z{j}"] = float(z[j])
-            rows.append(row)
-        yield pd.DataFrame(rows)[[f.name for f in state_schema.fields]]
-
-    chunks = laid.select("_pid", *series, value).mapInPandas(boundary_states, state_schema)
-    multi = chunks.groupBy(*series).agg(F.countDistinct("_pid").alias("_k")).where(F.col("_k") > 1)
-    # fewer rows than 2 x partitions: collected to chain the states
-    spanning = chunks.join(multi, series, "left_semi").dropDuplicates(["_pid", *series]).orderBy(*series, "_pid").collect()
-    starts: dict[tuple, list] = {}
-    prev_key, state = None, None
-    for r in spanning:
-        key = tuple(r[c] for c in series)
-        if key != prev_key:
-            prev_key, state = key, np.zeros(p)
+    filt = Recursion(b, a)
+    p, cols = filt.order, df.columns
+    sort = [F.col(c) for c in [*series, *order]]
+    # The key as text: null, NaN and dates of any year compare as they group
+    key = F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(series)]))
+    laid = df.withColumns({"_iir_key": key, "_iir_x": F.col(value).cast("double")})
+    laid = laid.repartitionByRange(nbuckets or shuffle_partitions(spark), *sort).sortWithinPartitions(*sort)
+    laid = cut_lineage(laid.withColumn("_iir_range", F.spark_partition_id()))
+
+    def report(rows: list[tuple]) -> pa.RecordBatch:
+        r, i, k, n, z = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(r, pa.int32()), pa.array(i, pa.int32()), pa.array(k, pa.string()), pa.array(n, pa.int64()), pa.array([x.tolist() for x in z], pa.list_(pa.float64()))],
+            names=["range", "place", "key", "n", "z"],
+        )
+
+    def left_behind(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n, z, first, at = None, 0, np.zeros(p), None, None
+        for batch in batches:
+            x = _samples(batch.column(1))
+            for k, s, e in _runs(batch.column(0)):
+                if k != key:
+                    if key is not None and first is None:
+                        first = (at, 0, key, n, z)
+                    key, n, z = k, 0, np.zeros(p)
+                at = batch.column(2)[s].as_py()
+                _, z = filt.run(x[s:e], z)
+                n += e - s
+        if first is not None:
+            yield report([first])
+        if key is not None:
+            yield report([(at, 1, key, n, z)])
+
+    found = laid.select("_iir_key", "_iir_x", "_iir_range").mapInArrow(left_behind, "range int, place int, key string, n long, z array<double>")
+    # at most two rows per range; a range's first series can only have begun in ranges before it
+    starts: dict[int, tuple[str, list[float]]] = {}
+    carried, state = None, np.zeros(p)
+    for r in sorted(found.collect(), key=lambda r: (r["range"], r["place"])):
+        if r["key"] == carried:
+            starts[r["range"]] = (carried, state.tolist())
         else:
-            starts[(int(r["_pid"]), key)] = state.tolist()
-        z0 = np.array([r[f"_z{j}"] for j in range(p)])
-        state = _free_state(a, state, int(r["_len"])) + z0
-    starts_b = spark.sparkContext.broadcast(starts)
-
-    out_schema = StructType(list(laid.schema.fields) + [StructField(out, DoubleType())])
-
-    def run(it):
-        pdf = whole_partition(it)
-        if pdf is None:
-            return
-        y = np.empty(len(pdf))
-        pid = int(pdf["_pid"].iloc[0])
-        x_all = pdf[value].astype(float).fillna(0.0).to_numpy()
-        for s0, e0 in chunks_of(pdf):
-            key = (pid, tuple(pdf[c].iloc[s0] for c in series))
-            zi = np.asarray(starts_b.value.get(key, [0.0] * p), dtype=float)
-            y[s0:e0], _ = _lfilter(b, a, x_all[s0:e0], zi)
-        yield pdf.assign(**{out: y})
-
-    return laid.mapInPandas(run, out_schema).drop("_pid")
+            carried, state = r["key"], np.zeros(p)
+        state = filt.after(state, r["n"]) + np.array(r["z"], dtype=float)
+    begun = spark.sparkContext.broadcast(starts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, z = None, np.zeros(p)
+        for batch in batches:
+            keys = batch.column("_iir_key")
+            x, y = _samples(batch.column("_iir_x")), np.empty(batch.num_rows)
+            for k, s, e in _runs(keys):
+                if k != key:
+                    z = np.zeros(p)
+                    if key is None:
+                        known = begun.value.get(batch.column("_iir_range")[s].as_py())
+                        z = np.array(known[1], dtype=float) if known and known[0] == k else z
+                    key = k
+                y[s:e], z = filt.run(x[s:e], z)
+            kept = [batch.column(c) for c in cols]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(y)], names=[*cols, out])
+
+    kept = [f for f in df.schema.fields]
+    if out in cols:
+        raise ValueError(f"the result column {out!r} is there already")
+    return laid.mapInArrow(run, StructType([*kept, StructField(out, DoubleType())]))

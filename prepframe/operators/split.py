@@ -63,12 +63,11 @@ def sample_hash(df: DataFrame, key: str, fraction: float, seed: int | None = Non
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int | None = None) -> DataFrame:
-    """Exactly ``min(n, count)`` rows: the ``n`` smallest key hashes (ties by key), ranked by
-    the distributed ordering helper, so no task holds n rows."""
-    hashed = df.withColumn("_h", hash_bucket(key, seed))
-    from prepframe.operators.ordering import ordered_totals
+    """Exactly ``min(n, count)`` rows: the ``n`` smallest key hashes (ties by key), found by
+    histogram refinement and kept by a filter: the table is neither sorted nor shuffled."""
+    from prepframe.operators.ordering import first_rows
 
-    return ordered_totals(hashed, ["_h", key]).where(F.col("_rn") <= n).drop("_h", "_rn")
+    return first_rows(df.withColumn("_h", hash_bucket(key, seed)), ["_h", key], n).drop("_h")
 
 
 def sample_stratified(

@@ -184,10 +184,37 @@ def classifier_invariants(spark, sf):
         s = MO.score(m, data)
         both = [c for c in MO.prob_names(m.labels) if c in s.columns]
         off = F.abs(sum((F.col(c) for c in both), F.lit(0.0)) - 1.0) > 1e-6 if both else F.lit(False)
-        hit = F.avg((F.col("prediction") == F.col("quality")).cast("double"))
-        share = F.avg((F.col("quality") == F.lit(m.labels[0])).cast("double"))
-        # as good as always answering the most frequent class, or nearly (Gaussian naive Bayes)
-        one = s.agg(F.lit(algo).alias("algo"), F.count(F.lit(1)).alias("n"), F.count_if(off).alias("bad_probability"), (hit >= share - 0.1).alias("useful"))
+        hit = (F.col("prediction") == F.col("quality")).cast("double")
+        # the mean of both classes' recalls: a constant answer has one half
+        recalls = [F.avg(F.when(F.col("quality") == F.lit(v), hit)) for v in m.labels]
+        one = s.agg(F.lit(algo).alias("algo"), F.count(F.lit(1)).alias("n"), F.count_if(off).alias("bad_probability"), (sum(recalls, F.lit(0.0)) / len(recalls) > 0.75).alias("useful"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
+_SIZES = "CASE WHEN l_quantity <= 16 THEN 'low' WHEN l_quantity <= 33 THEN 'mid' ELSE 'top' END"
+
+
+@query(
+    "multiclass_invariants",
+    f"""
+WITH c AS (SELECT count(*) AS n, count(DISTINCT {_SIZES}) AS classes FROM lineitem)
+SELECT algo, n, classes, CAST(0 AS BIGINT) AS bad_probability, true AS learnt FROM c, (VALUES ('random_forest'), ('decision_tree'), ('gbdt')) a(algo)
+""",
+)
+def multiclass_invariants(spark, sf):
+    # three classes cut out of one feature: trees learn them but for the rows at the bin borders
+    data = cut_lineage(load(spark, sf, "lineitem").select("l_quantity", "l_tax", F.expr(_SIZES).alias("size")))
+    rows = None
+    for algo, params in (("random_forest", dict(treeNum=5, maxDepth=4)), ("decision_tree", dict(maxDepth=4)), ("gbdt", dict(maxIter=3, maxDepth=3))):
+        m = MO.fit(data, ["l_quantity", "l_tax"], "size", MO.make_estimator("multiclass", algo, **params), "multiclass")
+        s = MO.score(m, data)
+        shares = [F.col(c) for c in MO.prob_names(m.labels) if c in s.columns]
+        off = F.abs(sum(shares, F.lit(0.0)) - 1.0) > 1e-6 if shares else F.lit(False)
+        one = s.agg(
+            F.lit(algo).alias("algo"), F.count(F.lit(1)).alias("n"), F.count_distinct("prediction").alias("classes"),
+            F.count_if(off).alias("bad_probability"), (F.avg((F.col("prediction") == F.col("size")).cast("double")) > 0.95).alias("learnt"),
+        )
         rows = one if rows is None else rows.unionByName(one)
     return rows
 
@@ -198,17 +225,48 @@ def classifier_invariants(spark, sf):
     "SELECT 'random_forest' AS algo, n, true AS useful FROM n UNION ALL SELECT 'gbdt', n, true FROM n",
 )
 def regressor_invariants(spark, sf):
-    feats, y = ["l_quantity", "p_retailprice", "l_discount"], "l_extendedprice"
-    data = cut_lineage(_price_data(spark, sf).select(*feats, y))
+    # the price of a line at list price is the product of two of the three features
+    feats, y = ["l_quantity", "p_retailprice", "l_discount"], "list_price"
+    data = cut_lineage(_price_data(spark, sf).select(*feats, (F.col("l_quantity") * F.col("p_retailprice")).alias(y)))
     rows = None
     for algo, params in (("random_forest", dict(treeNum=5, maxDepth=5)), ("gbdt", dict(maxIter=5, maxDepth=4))):
         s = MO.score(MO.fit(data, feats, y, MO.make_estimator("regression", algo, **params), "regression"), data)
         sse = F.sum((F.col(y) - F.col("prediction")) * (F.col(y) - F.col("prediction")))
-        one = s.agg(F.lit(algo).alias("algo"), F.count("prediction").alias("n"), (sse < 0.5 * F.var_pop(y) * F.count(F.lit(1))).alias("useful"))
+        one = s.agg(F.lit(algo).alias("algo"), F.count("prediction").alias("n"), (sse < 0.2 * F.var_pop(y) * F.count(F.lit(1))).alias("useful"))
         rows = one if rows is None else rows.unionByName(one)
     return rows
 
 
+@query(
+    "forest_importance_split",
+    "SELECT 'l_quantity' AS feature, 1.0::DOUBLE AS importance UNION ALL SELECT 'l_tax', 0.0::DOUBLE",
+)
+def forest_importance_split(spark, sf):
+    # a forest of single splits whose label hangs on one feature: all importance lies there
+    data = cut_lineage(load(spark, sf, "lineitem").select("l_quantity", "l_tax", (F.col("l_quantity") > 25).cast("int").alias("y")))
+    m = MO.fit(data, ["l_quantity", "l_tax"], "y", MO.make_estimator("binary", "random_forest", treeNum=7, maxDepth=1), "binary")
+    return FE.forest_importance(m.pipeline, ["l_quantity", "l_tax"], spark).withColumn("importance", F.round("importance", 6))
+
+
+@query(
+    "tune_least_squares",
+    """
+SELECT 'linear_regression' AS algo, p AS params, r AS rung, b AS chosen, b AS exact
+FROM (VALUES ('[(''regParam'', 0.0)]', 2, true), ('[(''regParam'', 0.5)]', 2, false), ('[(''regParam'', 5.0)]', 1, false), ('[(''regParam'', 50.0)]', 1, false)) t(p, r, b)
+""",
+)
+def tune_least_squares(spark, sf):
+    # least squares of an exact linear target: no shrinkage wins, more of it loses earlier
+    data = load(spark, sf, "lineitem").select(
+        "l_quantity", "l_tax", (3 * F.col("l_quantity") - 200 * F.col("l_tax") + 7).alias("y"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("k"),
+    )
+    grid = [("linear_regression", dict(regParam=r)) for r in (50.0, 0.0, 5.0, 0.5)]
+    table, best = MO.tune(data, ["l_quantity", "l_tax"], "y", "regression", grid, "k", "rmse", higher_is_better=False, halving=2)
+    chosen = F.col("params") == F.lit(best.extra["params"])
+    return table.select("algo", "params", "rung", chosen.alias("chosen"), (F.col("rmse") < 1e-6).alias("exact"))
+
+
 @query(
     "kmeans_invariants",
     "SELECT count(*) AS n, CAST(0 AS BIGINT) AS not_nearest, CAST(6 AS BIGINT) AS clusters FROM embeddings",

@@ -299,15 +299,31 @@ def select_variance(spark, sf):
     return r.select("feature", F.round("score", 2).alias("score"), F.col("rank").cast("int"))
 
 
-@query("select_chi2")
+_CHI2_TABLE = {
+    "nation": "CAST(c_nationkey AS VARCHAR)", "balance_band": "CAST(CAST(floor(c_acctbal / 2000) AS BIGINT) AS VARCHAR)",
+    "segment_initial": "CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE substr(c_mktsegment, 1, 1) END",
+}
+
+
+@query(
+    "select_chi2",
+    "WITH t AS ("
+    + " UNION ALL ".join(f"SELECT '{f}' AS feature, {e} AS v, c_mktsegment = 'BUILDING' AS y FROM customer" for f, e in _CHI2_TABLE.items())
+    + """),
+c AS (SELECT feature, v, y, count(*)::DOUBLE AS o FROM t WHERE v IS NOT NULL GROUP BY ALL),
+m AS (SELECT *, sum(o) OVER (PARTITION BY feature, v) AS r, sum(o) OVER (PARTITION BY feature, y) AS k, sum(o) OVER (PARTITION BY feature) AS n FROM c),
+e AS (SELECT feature, max(n) * (sum(o * o / (r * k)) - 1) AS statistic, (count(DISTINCT v) - 1) * (count(DISTINCT y) - 1) AS dof FROM m GROUP BY feature)
+SELECT feature, round(statistic, 6) AS statistic, dof, feature = 'segment_initial' AS best FROM e
+""",
+)
 def select_chi2(spark, sf):
     c = load(spark, sf, "customer").select(
-        F.col("c_nationkey").cast("double").alias("nation"),
-        F.floor(F.col("c_acctbal") / 2000).cast("double").alias("bal_band"),
-        F.when(F.col("c_mktsegment") == "BUILDING", 1.0).otherwise(0.0).alias("label"),
+        F.col("c_nationkey").alias("nation"), F.floor(F.col("c_acctbal") / 2000).alias("balance_band"),
+        F.expr("CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE substr(c_mktsegment, 1, 1) END").alias("segment_initial"),
+        (F.col("c_mktsegment") == "BUILDING").alias("label"),
     )
-    best = FE.select_chi2(c, ["nation", "bal_band"], "label", 1)
-    return spark.createDataFrame([(b,) for b in best], "feature string")
+    r = FE.rank_chi2(c, list(_CHI2_TABLE), "label")
+    return r.select("feature", F.round("statistic", 6).alias("statistic"), "dof", (F.col("rank") == 1).alias("best"))
 
 
 @query("linear_importance")

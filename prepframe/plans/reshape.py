@@ -60,6 +60,24 @@ def categories_apply(spark, sf):
 _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
+@query(
+    "one_hot_vector",
+    """
+WITH c AS (SELECT CAST(l_partkey AS VARCHAR) AS label, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS INTEGER) AS place, CAST(n AS DOUBLE) AS n FROM c
+""",
+)
+def one_hot_vector(spark, sf):
+    # a sparse vector per line with a place for every part; their sum has the count of each part at its code
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    li = load(spark, sf, "lineitem").select("l_partkey")
+    v = C.one_hot_vector(li, "l_partkey", C.fit_categories(li, ["l_partkey"]))
+    total = v.agg(Summarizer.sum(F.col("l_partkey_vec")).alias("s"))
+    return total.select(F.posexplode(vector_to_array("s")).alias("place", "n"))
+
+
 @query(
     "one_hot",
     f"""

@@ -83,10 +83,22 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """Catalog table (S3); lazy, so later filters and projections reach the scan."""
+    """Catalog table (S3); lazy, so later filters and projections reach the scan.
+
+    A writer that stopped between the two renames of an overwrite leaves the table under
+    ``<name>__old``: readers go on with that whole version until the next write mends it."""
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(f"{name}__old"):
+        return spark.table(f"{name}__old")
     return spark.table(name)
 
 
+def recover_table(spark: SparkSession, name: str) -> None:
+    """Finish an overwrite that stopped half-way: the old version gets its name back."""
+    old = f"{name}__old"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(old):
+        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -102,7 +114,12 @@ def write_table(
     writes a bucketed table so later joins on ``cols`` need no shuffle.
     """
     spark = df.sparkSession
-    exists = spark.catalog.tableExists(name)
+    old = f"{name}__old"
+    # After a stop between the renames ``df`` may read the old version: it stays until the end.
+    stopped = not spark.catalog.tableExists(name) and spark.catalog.tableExists(old)
+    exists = stopped or spark.catalog.tableExists(name)
+    if stopped and mode != "overwrite":
+        recover_table(spark, name)
     target = f"{name}__stage" if (exists and mode == "overwrite") else name
     w = df.write.mode("overwrite" if target != name else mode).format(fmt)
     if partition_by:
@@ -113,13 +130,13 @@ def write_table(
     w.saveAsTable(target)
     if target != name:
         # the old table keeps existing under another name until the new one has its place
-        old = f"{name}__old"
-        spark.sql(f"DROP TABLE IF EXISTS {old}")
-        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        if not stopped:
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
+            spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
         try:
             spark.sql(f"ALTER TABLE {target} RENAME TO {name}")
         except Exception:
-            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            recover_table(spark, name)
             raise
         spark.sql(f"DROP TABLE {old}")
 

@@ -195,3 +195,65 @@ def test_many_classes_margins_and_missing_features(spark):
     assert M.score(m, two).count() == 61
     km = M.fit_kmeans(two, ["x"], K=2)
     assert M.assign_clusters(km, two).where("prediction IS NULL").count() == 1
+
+
+def test_successive_halving_trains_few_on_all(spark):
+    import threading
+
+    from prepframe.operators import models as M
+
+    df = spark.range(4000).select("id", (F.col("id") % 97).cast("double").alias("x"), (F.col("id") % 97 * 2.0 + 1).alias("y"))
+    grid = [("linear_regression", {"regParam": float(r)}) for r in (8, 4, 0, 2, 1, 16, 32, 64)]
+    seen, real, lock, threads = [], M.fit, threading.Lock(), set()
+
+    def counted(rows, *a, **k):
+        with lock:
+            seen.append(rows.count())
+            threads.add(threading.get_ident())
+        return real(rows, *a, **k)
+
+    M.fit = counted
+    try:
+        table, best = M.tune(df, ["x"], "y", "regression", grid, "id", "rmse", higher_is_better=False, halving=2, parallelism=3)
+    finally:
+        M.fit = real
+    rungs = {eval(r["params"])[0][1]: r["rung"] for r in table.collect()}
+    assert best.extra["params"] == "[('regParam', 0.0)]" and rungs[0.0] == 3 and sorted(rungs.values()) == [1, 1, 1, 1, 2, 2, 3, 3]
+    assert len(seen) == 8 + 4 + 2 and len(threads) > 1
+    assert max(seen[:8]) < 0.35 * max(seen) and seen[-1] == max(seen)
+
+
+def test_chi2_against_spark(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import ChiSquareTest
+
+    from prepframe.operators import features as FE
+
+    df = spark.range(3000).select(
+        (F.col("id") % 2).cast("double").alias("y"), (F.col("id") % 7).cast("double").alias("a"), (F.col("id") * F.col("id") % 13).cast("double").alias("b"),
+        F.when(F.col("id") % 10 < 8, F.col("id") % 2).otherwise(F.col("id") % 3).cast("double").alias("c"), F.lit(1.0).alias("one"),
+        F.floor(F.col("id") / 6).cast("double").alias("many"),
+    )
+    names = ["a", "b", "c", "one", "many"]
+    got = {r["feature"]: r for r in FE.rank_chi2(df, names, "y").collect()}
+    ref = ChiSquareTest.test(VectorAssembler(inputCols=names, outputCol="v").transform(df), "v", "y", flatten=True).collect()
+    for r in ref:
+        mine = got[names[r["featureIndex"]]]
+        assert mine["statistic"] == pytest.approx(r["statistic"], abs=1e-6) and mine["dof"] == r["degreesOfFreedom"]
+        assert mine["p_value"] == pytest.approx(r["pValue"], abs=1e-9)
+    assert got["c"]["rank"] == 1 and FE.select_chi2(df, names, "y", 1) == ["c"]
+    empty = FE.rank_chi2(df.withColumn("gone", F.lit(None).cast("string")), ["gone", "a"], "y").collect()
+    assert [r["feature"] for r in empty] == ["a", "gone"] and empty[1]["p_value"] is None
+
+
+def test_one_hot_vector_of_many_labels(spark):
+    from pyspark.ml.linalg import SparseVector
+
+    from prepframe.operators import categories as C
+
+    df = spark.range(100_000).select(F.concat(F.lit("v"), "id").alias("s"))
+    codes = C.fit_categories(df, ["s"], "alphabetAsc")
+    new = spark.createDataFrame([("v0",), ("v99999",), ("zz",), (None,)], "s string")
+    got = {r["s"]: r["s_vec"] for r in C.one_hot_vector(new, "s", codes, drop=False).collect()}
+    assert got["v0"] == SparseVector(100_000, [0], [1.0]) and got["v99999"] == SparseVector(100_000, [99_999], [1.0])
+    assert got["zz"] == got[None] == SparseVector(100_000, [], [])

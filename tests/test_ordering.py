@@ -112,3 +112,48 @@ def test_no_python_and_no_single_task_over_rows(spark):
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" not in plan and "Python" not in plan
     assert [x[0] for x in r.orderBy("id").select("_rn").collect()] == list(range(1, 5001))
+
+
+def test_first_rows_by_refinement(spark):
+    from prepframe.operators import ordering as O
+
+    df = spark.range(5000).select("id", (F.col("id") * 7919 % 50).alias("g"), F.when(F.col("id") % 9 == 0, None).otherwise(F.col("id") % 11).alias("v"))
+    rows = [tuple(r) for r in df.collect()]
+    for order, key in (
+        (["g", "id"], lambda r: (r[1], r[0])),
+        ([("v", False), "id"], lambda r: (r[2] is None, -(r[2] or 0), r[0])),
+        (["v", ("id", False)], lambda r: (r[2] is not None, r[2] or 0, -r[0])),
+    ):
+        for k in (0, 1, 37, 556, 2500, 4999, 5000, 10**9):
+            for settled in (10, 100_000):
+                old, O.SETTLED_ROWS = O.SETTLED_ROWS, settled
+                try:
+                    got = sorted(tuple(r) for r in O.first_rows(df, order, k, nbuckets=6).collect())
+                finally:
+                    O.SETTLED_ROWS = old
+                assert got == sorted(sorted(rows, key=key)[:k]), (order, k)
+    same = spark.range(300).select(F.lit(1).alias("a"))
+    assert O.first_rows(same, ["a"], 7).count() == 7  # equal tuples only
+
+
+def test_top_k_is_not_merged_in_one_task(spark):
+    from prepframe.operators.reshape import sort_values
+
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else i % 6) for i in range(400)], "id int, v int")
+    for asc in (True, False):
+        for last in (True, False):
+            top = sort_values(df, ["v", "id"], [asc, True], [last, False], top_k=150)
+            plan = top._jdf.queryExecution().executedPlan().toString()
+            assert "TakeOrdered" not in plan and "GlobalLimit" not in plan
+            want = sorted(((r["v"], r["id"]) for r in df.collect()), key=lambda t: ((t[0] is None) == last, (t[0] or 0) * (1 if asc else -1), t[1]))
+            assert [(r["v"], r["id"]) for r in top.collect()] == want[:150]
+
+
+@pytest.mark.parametrize("hot", range(6))
+def test_buckets_survive_a_hot_tuple(spark, hot):
+    # a third of the rows share one sort tuple: the rest is still cut into many ranges
+    from prepframe.operators.ordering import _bucket
+
+    df = spark.range(44_000).select(F.when(F.col("id") % 3 == 0, F.lit(hot * 7919)).otherwise(F.col("id")).alias("k"))
+    sizes = [r["count"] for r in df.groupBy(_bucket(df, [("k", True)], 16).alias("b")).count().collect()]
+    assert len(sizes) >= 10 and sum(n > 4 * 44_000 / 16 for n in sizes) <= 1

@@ -123,10 +123,9 @@ def test_scale_invalid_to_null(spark):
         scale_expr("x", "nope")
 
 
-def test_sample_n_large_path(spark, monkeypatch):
-    monkeypatch.setattr(S, "TOPK_MAX_ROWS", 10)
-    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    big = S.sample_n(ev, 50, "event_id", seed=2)
-    monkeypatch.setattr(S, "TOPK_MAX_ROWS", 10**6)
-    small = S.sample_n(ev, 50, "event_id", seed=2)
-    assert sorted(r[0] for r in big.select("event_id").collect()) == sorted(r[0] for r in small.select("event_id").collect())
+@pytest.mark.parametrize("n", [0, 50, 600, 10**6])
+def test_sample_n_takes_the_smallest_hashes(spark, n):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id")
+    got = sorted(r[0] for r in S.sample_n(ev, n, "event_id", seed=2).collect())
+    all_ids = [(r["h"], r["event_id"]) for r in ev.select(S.hash_bucket("event_id", 2).alias("h"), "event_id").collect()]
+    assert got == sorted(i for _, i in sorted(all_ids)[:n])

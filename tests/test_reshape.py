@@ -140,9 +140,7 @@ def test_kv_roundtrip_property(spark, rows):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
-@pytest.mark.parametrize("bound", [5_000, 0])
-def test_encodings_apply_map_and_join_paths(spark, monkeypatch, bound):
-    monkeypatch.setattr(C, "MAX_MAP_ENTRIES", bound)
+def test_encodings_apply(spark):
     df = spark.createDataFrame([("x", 1.0), ("y", 0.0), ("x", 0.0), (None, 1.0)], "s string, t double")
     key = lambda v: (v[0] is not None, v[0] or "", v[1])
     freq = sorted(((r["s"], r["s_freq"]) for r in C.frequency_encode(df, "s").collect()), key=key)

@@ -81,3 +81,18 @@ def test_csv_without_schema_is_consistent(spark, tmp_path):
     path.write_text("a,b\n1,2\n3,4,5\n6\n7,8\n")
     df = read_csv(spark, str(path))
     assert df.count() == len(df.collect()) == df.select("a").count()
+
+
+def test_a_stop_between_the_renames_leaves_a_whole_table(spark, db):
+    t = f"{db}.swap"
+    IO.write_table(spark.range(5), t)
+    # what a writer leaves that stops after the first rename
+    spark.range(9).write.saveAsTable(f"{t}__stage")
+    spark.sql(f"ALTER TABLE {t} RENAME TO {t}__old")
+    assert IO.read_table(spark, t).count() == 5
+    IO.write_table(IO.read_table(spark, t).where("id > 0"), t)  # reads the old version and replaces it
+    assert IO.read_table(spark, t).count() == 4
+    assert not spark.catalog.tableExists(f"{t}__old") and not spark.catalog.tableExists(f"{t}__stage")
+    spark.sql(f"ALTER TABLE {t} RENAME TO {t}__old")
+    IO.write_table(spark.range(3), t, mode="append")
+    assert IO.read_table(spark, t).count() == 7
