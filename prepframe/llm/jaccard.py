@@ -15,10 +15,19 @@ of a single token have nothing in common):
    class as 16-bit hashes; a candidate from order 0 must have a common one under each of
    them and sizes within the threshold before it is verified on the whole sets.
 4. Every class is first verified against one representative only, of the token groups that
-   name the same one most often (a star).  Links found merge classes into components; groups whose classes are one component are done.
-   Only pairs of *different* components are enumerated in the end, and verified.
-
-No pair is dropped: a pair that is never verified lies within one component already.
+   name the same one most often (a star).  Links found merge classes into components; groups
+   whose classes are one component are done.
+5. Small groups left are enumerated; the classes of large ones are ordered anew: the tokens of their *whole* sets are
+   counted, and the frequent ones (again a bounded list) go behind all others.  A class with
+   f of them shares at most f with any class that shares no other token with it.  So a pair
+   meets only in a token outside the list, or if both classes have at least as many listed
+   tokens as the threshold asks of their sizes: members of a large family that differ in a
+   few tokens of their own never meet.  A second star of each class, now the member of its
+   groups with the fewest tokens outside the list (the text that the others were copied
+   from), joins most of the family before pairs of *different* components are verified.
+
+No pair is dropped: a pair that is never verified lies within one component already, or
+cannot share enough tokens.
 
 A class goes by the smallest doc_id of its copies.  Edge cases: null, empty or blank texts have an empty set, size 0, and link with nothing
 (each is its own component); repeated rows are returned once per input row and share a
@@ -33,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prepframe.llm.common import cut_lineage, map_batches, prepare, probably_in, release
-from prepframe.llm.components import connected_components
+from prepframe.operators.components import connected_components
 
 # Tokens moved behind all others in order 0: at most this many hashes are broadcast (8 bytes each).
 MAX_MOVED = 50_000
@@ -161,26 +170,29 @@ def _prefix_tokens(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return map_batches(_texts(docs), fn, "token long")
 
 
-def _prefixes(docs: DataFrame, width: int, percent: int, moved) -> DataFrame:
-    """(set_id, n, prefix, other) of every class: order 0 and the further orders."""
+def _one_prefix(s: np.ndarray, late: np.ndarray, percent: int, whole: bool) -> tuple[np.ndarray, int, int]:
+    """The prefix under order 0 for the moved tokens ``late``, how many of its tokens are not
+    moved, and how many of the set's are moved (counted over the whole set if ``whole``)."""
+    p = prefix_length(len(s), percent) + SHARED - 1
 
-    def one(s: np.ndarray) -> tuple[np.ndarray, bytes]:
-        late, p = moved.value, prefix_length(len(s), percent) + SHARED - 1
+    def is_late(x: np.ndarray) -> np.ndarray:
+        return late[np.minimum(np.searchsorted(late, x), len(late) - 1)] == x if len(late) else np.zeros(len(x), bool)
 
-        def is_late(x: np.ndarray) -> np.ndarray:
-            return late[np.minimum(np.searchsorted(late, x), len(late) - 1)] == x if len(late) else np.zeros(len(x), bool)
+    part = s if whole else s[: 2 * p]
+    slow = is_late(part)
+    if (~slow).sum() < p and len(part) < len(s):
+        part, slow = s, is_late(s)
+    return np.concatenate([part[~slow], part[slow]])[:p], int(min(p, (~slow).sum())), int(slow.sum())
 
-        part = s[: 2 * p]
-        slow = is_late(part)
-        if (~slow).sum() < p and 2 * p < len(s):
-            part, slow = s, is_late(s)
-        return np.concatenate([part[~slow], part[slow]])[:p], _other_prefixes(s, percent)
+
+def _prefixes(docs: DataFrame, width: int, percent: int, moved) -> DataFrame:
+    """(set_id, n, prefix, other) of every class: order 0 and the further orders."""
 
     def fn(b: pa.RecordBatch) -> pa.RecordBatch | None:
         got = {}
         for s in shingle_sets(b.column(0), width):
             if len(s) and (key := _set_id(s)) not in got:
-                got[key] = (len(s), *one(s))
+                got[key] = (len(s), _one_prefix(s, moved.value, percent, False)[0], _other_prefixes(s, percent))
         if not got:
             return None
         return pa.RecordBatch.from_arrays(
@@ -246,18 +258,17 @@ def _verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), fn, "a long, b long")
 
 
-def _moved_tokens(docs: DataFrame, width: int, percent: int, move_above: int, max_moved: int) -> np.ndarray:
-    """The most frequent prefix tokens over all documents, sorted (at most ``max_moved``)."""
-    counted = _prefix_tokens(docs, width, percent).groupBy("token")
-    counted = counted.agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > move_above)
+def _most_frequent(tokens: DataFrame, move_above: int, max_moved: int) -> np.ndarray:
+    """The most frequent tokens, sorted (at most ``max_moved``)."""
+    counted = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > move_above)
     rows = counted.orderBy(F.desc("df"), "token").limit(max_moved).collect()  # limit: max_moved rows
     return np.sort(np.array([r["token"] for r in rows], np.int64).view(np.uint64))
 
 
 def _groups(classes: DataFrame) -> DataFrame:
-    """(token, rep, n, s) of the classes that share a prefix token; s is the group's first class."""
+    """(token, rep, n, s, g) of the classes that share a prefix token; s is the group's first class, g its size."""
     tokens = classes.select(F.explode("prefix").alias("token"), "rep", "n")
-    sizes = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("g"), F.min("rep").alias("s")).where("g > 1").select("token", "s")
+    sizes = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("g"), F.min("rep").alias("s")).where("g > 1").select("token", "s", "g")
     return cut_lineage(tokens.join(sizes, "token"))
 
 
@@ -267,17 +278,62 @@ def _best_stars(groups: DataFrame) -> DataFrame:
     return shared.groupBy("rep").agg(F.max_by("s", F.struct("k", -F.col("s"))).alias("a")).select("a", F.col("rep").alias("b"))
 
 
+def _open_groups(groups: DataFrame, comp: DataFrame) -> DataFrame:
+    """The groups, with ``comp``, that hold more than one component."""
+    named = groups.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    left = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("token")
+    return named.join(left, "token", "left_semi")
+
+
+def _all_tokens(sets: DataFrame) -> DataFrame:
+    """(token) of whole sets, a row for every set that has it."""
+
+    def fn(b: pa.RecordBatch) -> pa.RecordBatch | None:
+        parts = [np.frombuffer(x, np.int64) for x in b.column(0).to_pylist()]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts))], names=["token"]) if parts else None
+
+    return map_batches(sets.select("tokens"), fn, "token long")
+
+
+def _second_groups(sets: DataFrame, percent: int, moved) -> DataFrame:
+    """(token, own, rep, n, f, s) under the second order 0: ``own`` for tokens outside the
+    list, f listed tokens of the class; s is the group's class with the fewest others."""
+
+    def fn(b: pa.RecordBatch) -> pa.RecordBatch | None:
+        tokens, own, rep, n, f = [], [], [], [], []
+        for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            s = np.frombuffer(raw, np.uint64)
+            prefix, free, listed = _one_prefix(s, moved.value, percent, True)
+            tokens.append(prefix.view(np.int64))
+            own.append(np.arange(len(prefix)) < free)
+            rep += [i] * len(prefix)
+            n += [len(s)] * len(prefix)
+            f += [listed] * len(prefix)
+        if not tokens:
+            return None
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(own)), pa.array(rep, pa.int64()), pa.array(n, pa.int64()), pa.array(f, pa.int64())],
+            names=["token", "own", "rep", "n", "f"],
+        )
+
+    tokens = map_batches(sets.select("rep", "tokens"), fn, "token long, own boolean, rep long, n long, f long")
+    sizes = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("g"), F.min(F.struct(F.expr("n - f"), "rep")).alias("s")).where("g > 1")
+    return tokens.join(sizes.select("token", F.col("s.rep").alias("s")), "token")
+
+
 def _open_pairs(groups: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of different components that share enough prefix tokens and fit in size."""
-    named = groups.join(comp, "rep", "left").select("token", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
-    open_tokens = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("token")
-    rest = cut_lineage(named.join(open_tokens, "token"))
-    left = rest.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    right = rest.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
+    """(a, b) of different components that share enough prefix tokens, fit in size, and share a
+    token outside the list or have enough listed ones."""
+    rest = cut_lineage(_open_groups(groups, comp).select("token", "own", "rep", "n", "f", "comp"))
+    left = rest.select("token", "own", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("f").alias("fa"), F.col("comp").alias("ca"))
+    right = rest.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("f").alias("fb"), F.col("comp").alias("cb"))
+    # |x and y| >= percent / (100 + percent) * (|x| + |y|) for a link
+    enough = F.least("fa", "fb") * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
     met = left.join(right, "token").where(
         (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+        & (F.col("own") | enough)
     )
-    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= SHARED).select("a", "b")
+    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"), F.max("own").alias("own")).where(F.col("own") | (F.col("k") >= SHARED)).select("a", "b")
 
 
 def similarity_components(
@@ -293,19 +349,36 @@ def similarity_components(
     table = cut_lineage(set_table(docs, width))
     reps = table.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("rep"))
 
-    moved = spark.sparkContext.broadcast(_moved_tokens(docs, width, percent, move_above, max_moved))
+    first = _most_frequent(_prefix_tokens(docs, width, percent), move_above, max_moved)
+    moved = spark.sparkContext.broadcast(first)
     classes = cut_lineage(_prefixes(docs, width, percent, moved).join(reps, "set_id").drop("set_id"))
     release(spark)
     groups = _groups(classes)
     release(spark)
+    classes = classes.drop("prefix")
     links = cut_lineage(_verify(_meet_in_all_orders(_best_stars(groups), classes, percent), docs, width, percent))
     release(spark)
     comp = connected_components(links, "a", "b").withColumnRenamed("node", "rep")
 
-    # Cross-component pairs only; groups whose classes are one component are finished.
-    more = _verify(_meet_in_all_orders(_open_pairs(groups, comp, percent), classes, percent), docs, width, percent)
+    # Classes of large groups that the first stars left open are ordered anew, by the tokens of their whole sets.
+    left = cut_lineage(_open_groups(groups.where(F.col("g") > move_above), comp).select("rep").distinct())
+    small = groups.where(F.col("g") <= move_above).select("token", "rep", "n", F.lit(False).alias("own"), F.col("n").alias("f"))
+    sets = cut_lineage(_whole_sets(docs, left, width).join(left, "rep", "left_semi"))
+    second = spark.sparkContext.broadcast(_most_frequent(_all_tokens(sets), move_above, max_moved))
+    large = cut_lineage(_second_groups(sets, percent, second))
+    del sets
+    release(spark)
+    stars = _verify(_meet_in_all_orders(_best_stars(large), classes, percent), docs, width, percent)
+    links = cut_lineage(links.union(stars))
+    comp = cut_lineage(connected_components(links, "a", "b").withColumnRenamed("node", "rep"))
+    release(spark)
+
+    # Cross-component pairs only.  Two classes that share a token of a large group are both among
+    # the reordered ones; all others share enough tokens of small groups.
+    pairs = _open_pairs(small, comp, percent).union(_open_pairs(large, comp, percent)).distinct()
+    more = _verify(_meet_in_all_orders(pairs, classes, percent), docs, width, percent)
     links = cut_lineage(links.union(more))
-    del more, groups, classes
+    del more, stars, groups, small, large, classes, pairs
     release(spark)
     comp = connected_components(links, "a", "b").withColumnRenamed("node", "rep")
 

@@ -50,7 +50,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR 10 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 4 * word_chars
     OR 2 * length(regexp_replace(text, '[^!]', '', 'g')) > n_words
     OR 10 * len([i FOR i IN range(2, len(ws) + 1) IF ws[i] = ws[i - 1]]) > 3 * n_words
-    OR 10 * len([x FOR x IN ws IF regexp_matches(x, '[A-Za-z\x{{00C0}}-\x{{024F}}]')]) < 4 * n_words) AS kept
+    OR 10 * len([x FOR x IN ws IF regexp_matches(x, '\p{{L}}')]) < 4 * n_words) AS kept
 FROM b
 """,
 )

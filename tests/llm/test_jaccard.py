@@ -59,3 +59,54 @@ def test_repeated_rows_and_empty_table(spark):
     got = sorted(tuple(x) for x in similarity_components(df).collect())
     assert got == [(5, 2, 5), (5, 2, 5), (7, 2, 5), (9, 0, 9)]
     assert similarity_components(df.limit(0)).collect() == []
+
+
+def family(seed, with_base):
+    """One text copied many times with edits, so that copies lie on both sides of the threshold, and copies of copies."""
+    r = random.Random(seed)
+    vocab = [f"v{i}" for i in range(300)]
+    base = [r.choice(vocab) for _ in range(90)]
+    texts = [" ".join(base)] if with_base else []
+    for k in range(150):
+        copy = list(base)
+        for _ in range(r.randint(1, 7)):
+            copy[r.randrange(len(copy))] = r.choice(vocab)
+        if r.random() < 0.3:
+            del copy[: r.randint(0, 12)]
+        texts.append(" ".join(copy))
+        if k % 10 == 0:
+            for _ in range(4):
+                again = list(copy)
+                again[r.randrange(len(again))] = r.choice(vocab)
+                texts.append(" ".join(again))
+    return texts
+
+
+def test_family_on_both_sides_of_the_threshold(spark):
+    for seed, with_base in ((3, True), (4, False)):
+        rows = list(enumerate(family(seed, with_base) + corpus(seed)[:60]))
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        for width, percent, above in ((3, 90, 8), (5, 80, 24)):
+            got = sorted(tuple(x) for x in similarity_components(df, width=width, percent=percent, move_above=above).collect())
+            assert got == brute(rows, width, percent)
+
+
+def test_far_members_of_a_family_do_not_meet(spark):
+    from prepframe.llm import jaccard as J
+
+    rows = list(enumerate(family(5, True)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    met = []
+    real = J._open_pairs
+
+    def counted(*a):
+        out = real(*a).persist()
+        met.append(out.count())
+        return out
+
+    J._open_pairs = counted
+    try:
+        got = sorted(tuple(x) for x in similarity_components(df, move_above=8).collect())
+    finally:
+        J._open_pairs = real
+    assert got == brute(rows, 3, 90) and sum(met) < 0.1 * len(rows) ** 2 / 2
