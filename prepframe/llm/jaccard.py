@@ -12,7 +12,7 @@ of a single token have nothing in common):
    all documents, and the most frequent of them are moved behind all others.  Only the
    bounded list of moved tokens is sent to the tasks; any such list gives an exact filter.
 3. The further orders are other permutations of the hash.  Their prefixes travel with the
-   class as 16-bit hashes; a candidate from order 0 must have a common one under each of
+   class as 32-bit hashes; a candidate from order 0 must have a common one under each of
    them and sizes within the threshold before it is verified on the whole sets.
 4. Every class is first verified against one representative only, of the token groups that
    name the same one most often (a star).  Links found merge classes into components; groups
@@ -128,14 +128,14 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _other_prefixes(s: np.ndarray, percent: int) -> bytes:
-    """The prefixes under the further orders, 16 bits of each token's place, one after another."""
+    """The prefixes under the further orders, 32 bits of each token's place, one after another."""
     out = []
     with np.errstate(over="ignore"):
         p = prefix_length(len(s), percent)
         for k in ORDERS:
             o = _mix(s * np.uint64(k))
             low = np.partition(o, p - 1)[:p] if p < len(o) else o
-            out.append((low & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
+            out.append((low & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes())
     return b"".join(out)
 
 
@@ -211,7 +211,7 @@ def _meet_in_all_orders(pairs: DataFrame, classes: DataFrame, percent: int) -> D
     def fn(b: pa.RecordBatch) -> pa.RecordBatch | None:
         keep = []
         for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-            u, v = (np.frombuffer(z, np.uint16).reshape(len(ORDERS), -1) for z in (x, y))
+            u, v = (np.frombuffer(z, np.uint32).reshape(len(ORDERS), -1) for z in (x, y))
             if all(np.isin(u[k], v[k]).any() for k in range(len(ORDERS))):
                 keep.append(i)
         return b.select(["a", "b"]).take(pa.array(keep, pa.int64())) if keep else None
@@ -222,40 +222,82 @@ def _meet_in_all_orders(pairs: DataFrame, classes: DataFrame, percent: int) -> D
     return map_batches(sized.select("a", "b", "oa", "ob"), fn, "a long, b long")
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(rep, tokens) of the wanted classes, recomputed from the class's first document."""
+def _of_classes(docs: DataFrame, wanted: DataFrame, width: int, name: str, value) -> DataFrame:
+    """(rep, ``name``) of the wanted classes: ``value`` of the set of the class's first document."""
 
     def fn(b: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(b.column(1), width)
-        return pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "tokens"]
-        )
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array([value(s) for s in sets], pa.binary())], names=["rep", name])
 
     # The few others that pass the bitmap meet no pair in the join that follows.
     src = probably_in(docs, "doc_id", wanted).select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return map_batches(src, fn, "rep long, tokens binary").groupBy("rep").agg(F.first("tokens").alias("tokens"))
+    return map_batches(src, fn, f"rep long, {name} binary").groupBy("rep").agg(F.first(name).alias(name))
+
+
+def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(rep, tokens) of the wanted classes."""
+    return _of_classes(docs, wanted, width, "tokens", lambda s: s.tobytes())
+
+
+def histogram(s: np.ndarray) -> bytes:
+    """The size of a set and how many of its hashes fall into each of n/2 to n equal ranges (255 for more)."""
+    bits = max(1, len(s).bit_length() - 1)
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return len(s).to_bytes(8, "little") + np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def may_link(x: bytes, y: bytes, percent: int) -> bool:
+    """False only if the histograms prove the similarity to lie below the threshold.
+
+    The counts of equal ranges differ by no more than the symmetric difference of the sets."""
+    n, m = int.from_bytes(x[:8], "little"), int.from_bytes(y[:8], "little")
+    u, v = np.frombuffer(x, np.uint8, offset=8).astype(np.int64), np.frombuffer(y, np.uint8, offset=8).astype(np.int64)
+    if len(u) > len(v):
+        u = np.minimum(u.reshape(len(v), -1).sum(1), 255)
+    elif len(v) > len(u):
+        v = np.minimum(v.reshape(len(u), -1).sum(1), 255)
+    apart = int(np.abs(u - v).sum())
+    return (100 + percent) * (n + m - apart) >= 2 * percent * (n + m)
+
+
+def _joined(pairs: DataFrame, table: DataFrame, name: str) -> DataFrame:
+    """(a, b, x, y): the column of both classes beside every pair."""
+    left = table.select(F.col("rep").alias("a"), F.col(name).alias("x"))
+    right = table.select(F.col("rep").alias("b"), F.col(name).alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+
+
+def _both(pairs: DataFrame) -> DataFrame:
+    return cut_lineage(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct())
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Candidates (a, b) whose whole sets reach the threshold."""
+    """Candidates (a, b) whose whole sets reach the threshold.
 
-    def fn(b: pa.RecordBatch) -> pa.RecordBatch | None:
-        keep = []
-        for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-            u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            at = np.searchsorted(u, v)
-            both = int((u[np.minimum(at, len(u) - 1)] == v).sum())
-            if 100 * both >= percent * (len(u) + len(v) - both):
-                keep.append(i)
-        return b.select(["a", "b"]).take(pa.array(keep, pa.int64())) if keep else None
+    Histograms of the sets, an eighth of their size, travel with every pair first; whole sets
+    only with the pairs that these cannot exclude."""
+
+    def kept(test):
+        def fn(b: pa.RecordBatch) -> pa.RecordBatch | None:
+            keep = [i for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())) if test(x, y)]
+            return b.select(["a", "b"]).take(pa.array(keep, pa.int64())) if keep else None
+
+        return fn
+
+    def similar(x: bytes, y: bytes) -> bool:
+        u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        at = np.searchsorted(u, v)
+        both = int((u[np.minimum(at, len(u) - 1)] == v).sum())
+        return 100 * both >= percent * (len(u) + len(v) - both)
 
     pairs = cut_lineage(pairs)
     release(docs.sparkSession)
-    wanted = cut_lineage(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct())
-    sets = _whole_sets(docs, wanted, width)
-    left = sets.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("rep").alias("b"), F.col("tokens").alias("tb"))
-    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), fn, "a long, b long")
+    coarse = _of_classes(docs, _both(pairs), width, "counts", histogram)
+    near = map_batches(_joined(pairs, coarse, "counts"), kept(lambda x, y: may_link(x, y, percent)), "a long, b long")
+    near = cut_lineage(near)
+    release(docs.sparkSession)
+    sets = _whole_sets(docs, _both(near), width)
+    return map_batches(_joined(near, sets, "tokens"), kept(similar), "a long, b long")
 
 
 def _most_frequent(tokens: DataFrame, move_above: int, max_moved: int) -> np.ndarray:
