@@ -17,9 +17,9 @@ of a single token have nothing in common):
 4. Every class is first verified against one representative only, of the token groups that
    name the same one most often (a star).  Links found merge classes into components; groups
    whose classes are one component are done.
-5. Small groups left are enumerated; the classes of large ones are ordered anew: the tokens of their *whole* sets are
-   counted, and the frequent ones (again a bounded list) go behind all others.  A class with
-   f of them shares at most f with any class that shares no other token with it.  So a pair
+5. Classes with few partners of fitting size left in a group meet them there; the others are
+   ordered anew: the tokens of their *whole* sets are counted, and the frequent ones (again
+   a bounded list) go behind all others.  A class with f of them shares at most f with any class that shares no other token with it.  So a pair
    meets only in a token outside the list, or if both classes have at least as many listed
    tokens as the threshold asks of their sizes: members of a large family that differ in a
    few tokens of their own never meet.  A second star of each class, now the member of its
@@ -36,9 +36,11 @@ component if their text has words; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prepframe.llm.common import cut_lineage, map_batches, prepare, probably_in, release
@@ -320,11 +322,20 @@ def _best_stars(groups: DataFrame) -> DataFrame:
     return shared.groupBy("rep").agg(F.max_by("s", F.struct("k", -F.col("s"))).alias("a")).select("a", F.col("rep").alias("b"))
 
 
-def _open_groups(groups: DataFrame, comp: DataFrame) -> DataFrame:
-    """The groups, with ``comp``, that hold more than one component."""
+def _open_groups(groups: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """The postings, with ``comp`` and ``near``, that have a partner left to compare with.
+
+    Sizes that the threshold allows together lie in the same or in neighbouring classes of
+    size; ``near`` counts the members of the token's group in these classes, and a posting
+    stays if they belong to more than one component."""
+    step = math.log(100 / percent)
     named = groups.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    left = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("token")
-    return named.join(left, "token", "left_semi")
+    named = named.withColumn("size", F.floor(F.log("n") / step + 1e-9))
+    counts = named.groupBy("token", "size").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    # One row per token and class of size: a group of the window holds a few dozen rows.
+    w = Window.partitionBy("token").orderBy("size").rangeBetween(-1, 1)
+    counts = counts.select("token", "size", F.sum("c").over(w).alias("near"), F.min("lo").over(w).alias("lo"), F.max("hi").over(w).alias("hi"))
+    return named.join(counts.where("lo != hi").drop("lo", "hi"), ["token", "size"]).drop("size")
 
 
 def _all_tokens(sets: DataFrame) -> DataFrame:
@@ -363,19 +374,19 @@ def _second_groups(sets: DataFrame, percent: int, moved) -> DataFrame:
     return tokens.join(sizes.select("token", F.col("s.rep").alias("s")), "token")
 
 
-def _open_pairs(groups: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of different components that share enough prefix tokens, fit in size, and share a
-    token outside the list or have enough listed ones."""
-    rest = cut_lineage(_open_groups(groups, comp).select("token", "own", "rep", "n", "f", "comp"))
-    left = rest.select("token", "own", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("f").alias("fa"), F.col("comp").alias("ca"))
-    right = rest.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("f").alias("fb"), F.col("comp").alias("cb"))
+def _open_pairs(probes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components, one of them among ``probes``, that share enough prefix
+    tokens, fit in size, and share a token outside the list or have enough listed ones."""
+    left = probes.select("token", "own", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("f").alias("fa"), F.col("comp").alias("ca"))
+    right = groups.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("f").alias("fb"), F.col("comp").alias("cb"), F.col("probe").alias("too"))
     # |x and y| >= percent / (100 + percent) * (|x| + |y|) for a link
     enough = F.least("fa", "fb") * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
     met = left.join(right, "token").where(
-        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        & (F.col("own") | enough)
+        (F.col("ca") != F.col("cb")) & (~F.col("too") | (F.col("a") < F.col("b"))) & (F.col("own") | enough)
+        & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
     )
-    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"), F.max("own").alias("own")).where(F.col("own") | (F.col("k") >= SHARED)).select("a", "b")
+    met = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("k"), F.max("own").alias("own"))
+    return met.where(F.col("own") | (F.col("k") >= SHARED)).select("a", "b")
 
 
 def similarity_components(
@@ -402,10 +413,14 @@ def similarity_components(
     release(spark)
     comp = connected_components(links, "a", "b").withColumnRenamed("node", "rep")
 
-    # Classes of large groups that the first stars left open are ordered anew, by the tokens of their whole sets.
-    left = cut_lineage(_open_groups(groups.where(F.col("g") > move_above), comp).select("rep").distinct())
-    small = groups.where(F.col("g") <= move_above).select("token", "rep", "n", F.lit(False).alias("own"), F.col("n").alias("f"))
-    sets = cut_lineage(_whole_sets(docs, left, width).join(left, "rep", "left_semi"))
+    # Classes with many partners of fitting size left are ordered anew, by the tokens of their whole sets.
+    left = cut_lineage(_open_groups(groups.drop("g", "s"), comp, percent))
+    del groups
+    release(spark)
+    # A link shares SHARED tokens, all of them in groups left open.
+    many = left.groupBy("rep").agg(F.count(F.lit(1)).alias("k"), F.max(F.col("near") > move_above).alias("large"))
+    many = cut_lineage(many.where(F.col("large") & (F.col("k") >= SHARED)).select("rep"))
+    sets = cut_lineage(_whole_sets(docs, many, width).join(many, "rep", "left_semi"))
     second = spark.sparkContext.broadcast(_most_frequent(_all_tokens(sets), move_above, max_moved))
     large = cut_lineage(_second_groups(sets, percent, second))
     del sets
@@ -415,12 +430,16 @@ def similarity_components(
     comp = cut_lineage(connected_components(links, "a", "b").withColumnRenamed("node", "rep"))
     release(spark)
 
-    # Cross-component pairs only.  Two classes that share a token of a large group are both among
-    # the reordered ones; all others share enough tokens of small groups.
-    pairs = _open_pairs(small, comp, percent).union(_open_pairs(large, comp, percent)).distinct()
+    # Cross-component pairs only.  Two classes that share a token of which both have many partners
+    # are both among the reordered ones; all others meet as a partner of one that has few.
+    few = left.drop("comp").join(comp, "rep", "left").select(
+        "token", "rep", "n", F.lit(False).alias("own"), F.col("n").alias("f"), F.coalesce("comp", "rep").alias("comp"), (F.col("near") <= move_above).alias("probe")
+    )
+    rest = cut_lineage(_open_groups(large, comp, percent).withColumn("probe", F.lit(True)))
+    pairs = _open_pairs(few.where("probe"), few, percent).union(_open_pairs(rest, rest, percent)).distinct()
     more = _verify(_meet_in_all_orders(pairs, classes, percent), docs, width, percent)
     links = cut_lineage(links.union(more))
-    del more, stars, groups, small, large, classes, pairs
+    del more, stars, left, few, rest, large, classes, pairs
     release(spark)
     comp = connected_components(links, "a", "b").withColumnRenamed("node", "rep")
 
