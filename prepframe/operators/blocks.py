@@ -1,11 +1,9 @@
 """Distance work between two point tables as bounded blocks, without the driver.
 
-Points and references are cut into hash chunks of about ``chunk_rows`` rows per cell; every
-(point chunk, reference chunk) pair is one group of a cogrouped Arrow pass, so no task holds
-more than two chunks and a crowded cell is many tasks.  With a radius, cells come from a
-grid of that width over the two widest coordinates (a difference in one coordinate never
-exceeds the distance), references are handed to the neighbouring cells as well, and points
-meet by an equi-join on the cell.
+Points belong to the Voronoi cells of a few pivots (`Pivots`); a row meets only the cells
+that the triangle inequality leaves.  Inside a cell points and references are cut into hash
+chunks of about ``chunk_rows`` rows; every (point chunk, reference chunk) pair is one group
+of a cogrouped pass, so no task holds more than two chunks and a crowded cell is many tasks.
 """
 
 from __future__ import annotations
@@ -45,25 +43,90 @@ def matrix(v: pd.Series) -> np.ndarray:
     return np.vstack(v.to_numpy()).astype(np.float64)
 
 
-def widest(points: DataFrame) -> list[int]:
-    """The (at most two) coordinates of `_v` with the largest range, from one aggregate."""
-    d = points.select(F.max(F.size("_v"))).collect()[0][0]  # one row
-    if not d:
-        return []
-    span = points.agg(*[(F.max(F.get("_v", F.lit(k))) - F.min(F.get("_v", F.lit(k)))).alias(f"s{k}") for k in range(d)]).collect()[0]  # one row
-    return sorted(range(d), key=lambda k: -(span[f"s{k}"] or 0.0))[:2]
-
-
-def cells(points: DataFrame, axes: list[int], radius: float, neighbours: bool) -> DataFrame:
-    """Add `_cell`; with ``neighbours`` one row for the own and every neighbouring cell."""
-    if not axes or radius <= 0:
-        return points.withColumn("_cell", F.lit(0).cast("long"))
-    place = [F.floor(F.get("_v", F.lit(k)) / F.lit(float(radius))) for k in axes]
-    if not neighbours:
-        return points.withColumn("_cell", F.xxhash64(*place))
-    steps = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)] if len(axes) == 2 else [(i,) for i in (-1, 0, 1)]
-    near = F.array(*[F.xxhash64(*[p + o for p, o in zip(place, s)]) for s in steps])
-    return points.withColumn("_cell", F.explode(F.array_distinct(near)))
+# Pivots of a point table: at most so many, whatever its size.
+MAX_PIVOTS = 256
+# Room for rounding in bounds that follow from rounded distances.
+SLACK = 1e-9
+
+
+class Pivots:
+    """Voronoi cells of a few points of a table, with the radii of the cells.
+
+    Every point belongs to the cell of its nearest pivot.  By the triangle inequality a row
+    with distance D to the pivot of a cell has no point of that cell nearer than D - outer or
+    inner - D, nor, if another pivot lies at distance G from it and E from the cell's, nearer
+    than (D^2 - G^2) / (2 E)."""
+
+    def __init__(self, points: DataFrame, name: str = "_id", nearest: int = 0):
+        spark, rows = points.sparkSession, points.count()
+        self.rows = rows
+        wanted = min(MAX_PIVOTS, int(np.ceil(np.sqrt(rows))))
+        drawn = points.select("_v") if rows <= 4 * wanted else points.select("_v").sample(fraction=4 * wanted / rows, seed=23)
+        got = drawn.limit(wanted).collect()  # limit: at most MAX_PIVOTS rows
+        self.at = np.unique(np.array([r["_v"] for r in got], dtype=np.float64), axis=0) if got else np.zeros((0, 0))
+        self.between = np.sqrt(squared_distances(self.at, self.at))
+        self.nearest: list[np.ndarray] = []
+        if not len(self.at):
+            return
+        ship_package(spark)
+        cells = self.own(points).groupBy("_cell").agg(
+            F.max("_dp").alias("outer"), F.min("_dp").alias("inner"), F.count(F.lit(1)).alias("n"),
+        )
+        got = cells.collect()  # one row per pivot
+        self.outer, self.inner, self.size = (np.zeros(len(self.at)) for _ in range(3))
+        for r in got:
+            self.outer[r["_cell"]], self.inner[r["_cell"]], self.size[r["_cell"]] = r["outer"], r["inner"], r["n"]
+
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        return np.sqrt(squared_distances(x, self.at))
+
+    def own(self, df: DataFrame) -> DataFrame:
+        """Add ``_cell`` and ``_dp``, the distance to its pivot."""
+        cols = df.columns
+
+        def run(parts):
+            for part in parts:
+                if len(part):
+                    d = self.distances(matrix(part["_v"]))
+                    cell = d.argmin(1)
+                    yield part.assign(_cell=cell.astype("int64"), _dp=d[np.arange(len(d)), cell])[[*cols, "_cell", "_dp"]]
+
+        return df.mapInPandas(run, _with(df, "_cell long, _dp double"))
+
+    def lower(self, d: np.ndarray) -> np.ndarray:
+        """Least possible distances of rows (given theirs to the pivots) to the points of every cell."""
+        own = d.argmin(1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            plane = (d**2 - d[np.arange(len(d)), own, None] ** 2) / (2 * self.between[own])
+        plane = np.where(self.between[own] > 0, plane, 0.0)
+        low = np.maximum(np.maximum(d - self.outer, self.inner - d), plane)
+        return np.where(self.size > 0, low - SLACK * (1 + d + self.outer), np.inf)
+
+    def within(self, df: DataFrame, radius: float | str, skip_own: bool = False) -> DataFrame:
+        """Every row once for each cell that may hold a point within ``radius`` (a number or a
+        column) of it: adds ``_cell`` and ``_dp``, the distance to that cell's pivot."""
+        cols = df.columns
+
+        def run(parts):
+            for part in parts:
+                if not len(part):
+                    continue
+                d = self.distances(matrix(part["_v"]))
+                most = part[radius].to_numpy(float)[:, None] if isinstance(radius, str) else radius
+                reach = self.lower(d) <= most
+                if skip_own:
+                    reach[np.arange(len(d)), d.argmin(1)] = False
+                row, cell = np.nonzero(reach)
+                if len(row):
+                    yield part.iloc[row].assign(_cell=cell.astype("int64"), _dp=d[row, cell])[[*cols, "_cell", "_dp"]]
+
+        return df.mapInPandas(run, _with(df, "_cell long, _dp double"))
+
+
+def _with(df: DataFrame, more: str):
+    from pyspark.sql.types import StructType
+
+    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
 
 
 def block_pass(points: DataFrame, refs: DataFrame, kernel: Callable, schema: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:

@@ -1,6 +1,8 @@
 """Exact density clustering (DBSCAN, M5).
 
-Three distance passes in bounded blocks (see `blocks`), whatever the shape of the clusters:
+Three distance passes in bounded blocks (see `blocks`) over the Voronoi cells of a few pivots,
+in any number of dimensions: a point meets the references of its own cell and those that the
+triangle inequality lets within ``eps`` of it.
 
 1. neighbours within ``eps`` (self included) are counted per point -> core points;
 2. every block of core points reports its own connected pieces as stars (each point and
@@ -68,10 +70,13 @@ def dbscan(
     eps2 = float(eps) ** 2
     rows = df.select(F.col(id_col).cast("long").alias("_id"), B.vector(features).alias("_v"))
     points = cut_lineage(rows.where(B.complete(F.col("_v"))))
-    axes = B.widest(points)
+    pivots = B.Pivots(points)
 
     def grid(p: DataFrame, neighbours: bool) -> DataFrame:
-        return B.cells(p, axes, float(eps), neighbours)
+        """The cells of the points; for references all cells that may hold a point within eps."""
+        if not pivots.rows:
+            return p.withColumns({"_cell": F.lit(0).cast("long"), "_dp": F.lit(0.0)})
+        return pivots.within(p, float(eps)) if neighbours else pivots.own(p)
 
     refs = grid(points.withColumnRenamed("_id", "_rid"), True)
     counts = B.block_pass(grid(points, False), refs, _count(eps2), "_id long, _k long", chunk_rows).groupBy("_id").agg(F.sum("_k").alias("_k"))

@@ -1,13 +1,14 @@
-"""Exact k-nearest-neighbour classification.
+"""Exact k-nearest-neighbour classification (D42) by a pivot-partitioned join.
 
-Queries and labelled rows are cut into bounded chunks; every pair of chunks is one group of
-a cogrouped pass (see `blocks`) that keeps each query's k best rows of that chunk, and the k
-best of all chunks are ranked per query.  Nothing passes through the driver and no pair row
-is emitted.  Votes go to the most frequent label, ties to the smaller label; distance ties
-go to the smaller reference id.
+1. Labelled rows belong to the Voronoi cells of at most `blocks.MAX_PIVOTS` pivots.
+2. Every query meets its own cell first; the k-th best distance there bounds its radius.
+3. It is then sent only to the cells that the triangle inequality leaves within that radius,
+   and there compared only with rows whose distance to the pivot fits (a ring).
 
-The work is |queries| x |references| distance evaluations: an exact search cannot prune
-in high dimension.  Queries with a missing feature are kept with a null prediction.
+Both passes run in bounded blocks (see `blocks`) that keep each query's k best; nothing passes
+through the driver and no pair row is emitted.  ``knn_work`` says how many distances were
+computed.  Votes go to the most frequent label, ties to the smaller label; distance ties go
+to the smaller reference id.  Queries with a missing feature are kept with a null prediction.
 """
 
 from __future__ import annotations
@@ -19,39 +20,72 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from prepframe._session import cut_lineage
 from prepframe.operators import blocks as B
 
 
 def _best(k: int):
     def kernel(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values("_rid", kind="stable")
-        d2 = B.squared_distances(B.matrix(a["_v"]), B.matrix(b["_v"]))
+        dq, dp, r = a["_dp"].to_numpy(float)[:, None], b["_dp"].to_numpy(float)[None, :], a["_radius"].to_numpy(float)[:, None]
+        ring = np.abs(dq - dp) <= r + B.SLACK * (1 + dq + dp)
+        near = np.flatnonzero(ring.any(0))
+        b = b.iloc[near]
+        d2 = B.squared_distances(B.matrix(a["_v"]), B.matrix(b["_v"])) if len(near) else np.zeros((len(a), 0))
         first = np.argsort(d2, axis=1, kind="stable")[:, :k]  # ties by reference id
         take = first.ravel()
+        seen = np.zeros(first.shape, np.int64)
+        if first.shape[1]:
+            seen[:, 0] = len(near)
         return pd.DataFrame({
             "_id": np.repeat(a["_id"].to_numpy(), first.shape[1]), "_rid": b["_rid"].to_numpy()[take],
-            "dist2": np.take_along_axis(d2, first, 1).ravel(), "_lab": b["_lab"].to_numpy()[take],
+            "dist2": np.take_along_axis(d2, first, 1).ravel(), "_lab": b["_lab"].to_numpy()[take], "_seen": seen.ravel(),
         })
 
     return kernel
 
 
+def _candidates(train, test, features, label, k, train_id, test_id, chunk_rows) -> DataFrame:
+    """(_id, _rid, dist2, _lab, _seen): the best k of every block that a query meets."""
+    refs = train.select(F.col(train_id).cast("long").alias("_rid"), B.vector(features).alias("_v"), F.col(label).alias("_lab"))
+    refs = cut_lineage(refs.where(B.complete(F.col("_v")) & F.col("_lab").isNotNull()))
+    queries = test.select(F.col(test_id).cast("long").alias("_id"), B.vector(features).alias("_v")).where(B.complete(F.col("_v")))
+    kind = train.schema[label].dataType.simpleString()
+    schema = f"_id long, _rid long, dist2 double, _lab {kind}, _seen long"
+    pivots = B.Pivots(refs)
+    if not pivots.rows:
+        return train.sparkSession.createDataFrame([], schema)
+    refs = cut_lineage(pivots.own(refs))
+    unbounded = queries.withColumn("_radius", F.lit(float("inf")))
+    home = cut_lineage(B.block_pass(pivots.own(unbounded), refs, _best(k), schema, chunk_rows))
+    w = Window.partitionBy("_id").orderBy("dist2", "_rid")  # at most k rows of every block
+    kth = home.withColumn("r", F.row_number().over(w)).where(F.col("r") == k).select(F.col("_id").alias("_q"), F.sqrt("dist2").alias("_radius"))
+    bounded = queries.join(kth, F.col("_id") == F.col("_q"), "left").select("_id", "_v", F.coalesce("_radius", F.lit(float("inf"))).alias("_radius"))
+    return home.union(B.block_pass(pivots.within(bounded, "_radius", skip_own=True), refs, _best(k), schema, chunk_rows))
+
+
 def knn_neighbours(
     train: DataFrame, test: DataFrame, features: Sequence[str] | str, label: str, k: int,
     train_id: str, test_id: str, chunk_rows: int = B.CHUNK_ROWS,
 ) -> DataFrame:
     """``(test_id, rank, ref_id, dist2, label)`` for the k nearest labelled rows."""
-    refs = train.select(F.col(train_id).cast("long").alias("_rid"), B.vector(features).alias("_v"), F.col(label).alias("_lab"))
-    refs = refs.where(B.complete(F.col("_v")) & F.col("_lab").isNotNull())
-    queries = test.select(F.col(test_id).cast("long").alias("_id"), B.vector(features).alias("_v")).where(B.complete(F.col("_v")))
-    kind = train.schema[label].dataType.simpleString()
-    best = B.block_pass(B.cells(queries, [], 0.0, False), B.cells(refs, [], 0.0, False), _best(k), f"_id long, _rid long, dist2 double, _lab {kind}", chunk_rows)
-    # at most k rows per query and reference chunk
+    best = _candidates(train, test, features, label, k, train_id, test_id, chunk_rows)
+    # at most k rows per query and block
     w = Window.partitionBy("_id").orderBy("dist2", "_rid")
     top = best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return top.select(F.col("_id").alias(test_id), "rank", F.col("_rid").alias("ref_id"), "dist2", F.col("_lab").alias(label))
 
 
+def knn_work(
+    train: DataFrame, test: DataFrame, features: Sequence[str] | str, label: str, k: int, train_id: str, test_id: str,
+    chunk_rows: int = B.CHUNK_ROWS,
+) -> DataFrame:
+    """``(distances, all_pairs)``: distances computed between queries and labelled rows, and how many there are."""
+    seen = _candidates(train, test, features, label, k, train_id, test_id, chunk_rows).agg(F.coalesce(F.sum("_seen"), F.lit(0)).alias("distances"))
+    refs, queries = train.where(B.complete(B.vector(features)) & F.col(label).isNotNull()).count(), test.where(B.complete(B.vector(features))).count()
+    return seen.select("distances", F.lit(refs * queries).cast("long").alias("all_pairs"))
+
+
 def knn_classify(
     train: DataFrame, test: DataFrame, features: Sequence[str] | str, label: str, k: int = 5,
     train_id: str = "id", test_id: str | None = None, chunk_rows: int = B.CHUNK_ROWS,

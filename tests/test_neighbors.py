@@ -53,3 +53,49 @@ def test_far_from_the_origin_and_missing_features(spark):
     test = spark.createDataFrame([(10, 1e8 + 2.0, 0.0), (11, None, 0.0)], "id long, a double, b double")
     got = {r["id"]: r["prediction"] for r in knn_classify(train, test, ["a", "b"], "y", k=1).collect()}
     assert got == {10: "y", 11: None}
+
+
+def test_pivots_leave_out_most_distances(spark):
+    from prepframe.operators.neighbors import knn_neighbours, knn_work
+
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 10, size=(12, 24))
+    x = np.vstack([centres[i % 12] + rng.normal(0, 0.3, 24) for i in range(1200)] + [centres[0]] * 30)
+    rows = [(i, [float(v) for v in p], i % 3) for i, p in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, y int")
+    train, test = df.where("id % 5 != 0"), df.where("id % 5 = 0")
+    near = {}
+    for r in knn_neighbours(train, test, "v", "y", 4, "id", "id", chunk_rows=50).collect():
+        near.setdefault(r["id"], []).append((r["rank"], r["ref_id"]))
+    refs = [r for r in rows if r[0] % 5]
+    at = np.array([r[1] for r in refs])
+    for i, v, _ in rows[::5]:
+        d2 = ((at - np.array(v)) ** 2).sum(1)
+        want = sorted(range(len(refs)), key=lambda j: (round(d2[j], 9), refs[j][0]))[:4]
+        assert [j for _, j in sorted(near[i])] == [refs[j][0] for j in want]
+    work = knn_work(train, test, "v", "y", 4, "id", "id", chunk_rows=50).collect()[0]
+    assert work["distances"] < 0.25 * work["all_pairs"]
+    # fewer rows than k, and none
+    few = knn_classify(train.limit(2), test.limit(3), "v", "y", k=5, train_id="id").collect()
+    assert len(few) == 3 and all(r["prediction"] is not None for r in few)
+    none = knn_classify(train.limit(0), test.limit(3), "v", "y", k=5, train_id="id").collect()
+    assert len(none) == 3 and all(r["prediction"] is None for r in none)
+
+
+def test_dbscan_in_many_dimensions(spark):
+    rng = np.random.default_rng(4)
+    x = np.vstack([rng.normal(c * 5, 0.4, size=(60, 16)) for c in range(3)] + [rng.uniform(-40, 40, size=(10, 16))])
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, v array<double>")
+    got = {r["id"]: (r["cluster"], r["is_core"]) for r in dbscan(df, "id", "v", eps=2.2, min_points=5, chunk_rows=20).collect()}
+    close = ((x[:, None] - x[None]) ** 2).sum(2) <= 2.2**2
+    core = close.sum(1) >= 5
+    lab = np.where(core, np.arange(len(x)), -1)
+    while True:
+        new = np.array([min([lab[j] for j in np.flatnonzero(close[i] & core)] + [lab[i]]) if core[i] else -1 for i in range(len(x))])
+        if (new == lab).all():
+            break
+        lab = new
+    for i in range(len(x)):
+        edge = [lab[j] for j in np.flatnonzero(close[i] & core)]
+        assert got[i] == (lab[i] if core[i] else min(edge, default=-1), bool(core[i]))
+    assert dbscan(df.limit(0), "id", "v", eps=1.0).collect() == []
