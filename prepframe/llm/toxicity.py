@@ -45,6 +45,7 @@ LOOKS_LIKE = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i",
 }
 SWAP, DROP, FOLD = math.log(0.2), math.log(0.05), math.log(0.3)
+LONGEST = 32  # letters of a word inside a spaced run, with a gap after each
 NEAR = math.log(1000)  # segmentations of a spaced run at most so much less probable than the best one count
 
 EDGES = ".,;:?\"'’()[]{}<>#%&*~^=/\\-_"
@@ -52,7 +53,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _SIGN = "[" + re.escape("".join(c for c in LOOKS_LIKE if not c.isalnum())) + "]"
 # Three or more single (or repeated) letters or digits, white space or signs between them.
 _SPACED = re.compile(rf"(?<![^\W_])([^\W_])\1*[\W_]+([^\W_])\2*[\W_]+([^\W_])\3*(?![^\W_])(?:[\W_]+([^\W_])\4*(?![^\W_]))*(?:\s+{_SIGN}(?!\S))*")
-_SIGNS_BEFORE = re.compile(rf"(?:(?<!\S){_SIGN}\s+)+\Z")
+_SIGNS = frozenset(c for c in LOOKS_LIKE if not c.isalnum())
 _GAP = re.compile(r"\s+|[^\w\s]|_")
 _DOUBLED = re.compile(r"([^\W\d_])\1")
 _WRITTEN_OVER = re.compile(r"[^\W\d_][^\w\s'’,.;:]*[0-9@$!|+(<€£¡*._-]+[^\W\d_]|[0-9@$!|¡€£][^\W\d_]|[^\W\d_][0-9@$€£](?![@$€£])|([^\W\d_])\1")
@@ -155,7 +156,8 @@ def split_run(run: str, lm: LanguageModel) -> list[str]:
     """Words of all segmentations of a spaced run that come close to the most probable one.
 
     Forward and backward Viterbi over (place, last two letters) give the best score through
-    every word border; words are then spelt from the likely borders only.
+    every word border; words are then spelt from the likely borders only, each word once a
+    border, over at most 2 * LONGEST signs and gaps.  The time is linear in the run.
     """
     steps: list[tuple[list[tuple[str, float]], float | None]] = []  # letters and the cost of none; no letters: a gap
     last = ""
@@ -192,15 +194,17 @@ def split_run(run: str, lm: LanguageModel) -> list[str]:
         rest.append({s: max((cost + rest[-1][to] for to, _, cost in moves(step, s)), default=-math.inf) for s in states})
     rest.reverse()
     least = rest[0]["^^"] - NEAR
-    words = []
+    words: list[str] = []
     for start, states in enumerate(ahead[:-1]):
         # A word starts at the run's start and after a gap.
         if (start and steps[start - 1] != ([], None)) or states.get("^^", -math.inf) + rest[start].get("^^", -math.inf) < least:
             continue
         live, found = {"^^": (states["^^"], "")}, set()
-        for at in range(start, len(steps)):
+        for at in range(start, min(len(steps), start + 2 * LONGEST)):
             nxt_words: dict[str, tuple[float, str]] = {}
             for state, (score, word) in live.items():
+                if at > start and not word and steps[at] == ([], None):  # begins behind the gap
+                    continue
                 for to, x, cost in moves(steps[at], state):
                     if score + cost + rest[at + 1][to] < least:
                         continue
@@ -211,17 +215,30 @@ def split_run(run: str, lm: LanguageModel) -> list[str]:
             live = nxt_words
             if not live:
                 break
-        found.update(word for _, word in live.values() if word)
+        else:
+            if start + 2 * LONGEST >= len(steps):
+                found.update(word for _, word in live.values() if word)
         words += sorted(found)
     return words
 
 
+def signs_before(text: str, low: int, start: int) -> int:
+    """Where the single signs begin that stand right before ``start``, one by one, not before ``low``."""
+    at = start
+    while True:
+        j = at
+        while j > low and text[j - 1].isspace():
+            j -= 1
+        if j == at or j == low or text[j - 1] not in _SIGNS or (j > 1 and not text[j - 2].isspace()):
+            return at
+        at = j - 1
+
+
 def spaced_out(text: str, lm: LanguageModel | None = None) -> list[str]:
     """Words of the runs of three or more single letters; without a model each run in one piece."""
     runs, end = [], 0
     for m in _SPACED.finditer(text):
-        signs = _SIGNS_BEFORE.search(text, end, m.start()) if text[m.start() - 1 : m.start()].isspace() else None
-        run, end = text[signs.start() if signs else m.start() : m.end()], m.end()
+        run, end = text[signs_before(text, end, m.start()) : m.end()], m.end()
         if any(c.isspace() for c in run) and any(c.isalpha() for c in run):
             runs.append(run)
     if lm is None:

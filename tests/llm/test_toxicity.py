@@ -101,3 +101,21 @@ def test_held_out_accuracy_and_obfuscation(spark):
     assert got[1001]["predicted"] == got[1002]["predicted"] == got[1003]["predicted"] == 0
     assert all(0 <= x["score"] <= 1 for x in got.values())
     assert T.score_toxicity(docs.limit(0), labels, fold).collect() == []
+
+
+def test_long_runs_take_linear_time():
+    import time
+
+    words = ["blarg", "hello", "there", "world", "stone", "grand"]
+    counts = {}
+    for w in words * 50:
+        z = f"^^{w}$"
+        for i in range(len(z) - 2):
+            counts[z[i : i + 3]] = counts.get(z[i : i + 3], 0) + 1
+    lm = T.LanguageModel(counts)
+    for run in ("a " * 20_000, "! " * 10_000 + "a b c", "b l a r g " * 2000, "! ! ! x " * 5000):
+        began = time.process_time()
+        got = T.spaced_out(run, lm)
+        assert time.process_time() - began < 8 and len(got) < 30 * len(run)
+    assert "blarg" in T.spaced_out("b l a r g " * 500, lm)
+    assert "blarg" in T.spaced_out("you a b l a r g person", lm)
