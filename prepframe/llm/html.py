@@ -48,12 +48,15 @@ SKIP_WORDS = set(
     "consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
     "related recommended recommendations comment comments reply replies respond disqus pagination pager skip".split()
 )
+# Words that say how a box is built; beside a word of boilerplate they do not make it content.
+BUILT_WORDS = set("list area thread box section wrapper wrap bar block panel site user form container holder inner outer item items".split())
 # Elements whose start or end closes an open paragraph.
 CLOSES_P = set(
     "address article aside blockquote body details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html "
     "main menu nav ol p pre section table ul".split()
 )
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)|<[A-Za-z][^>]*>", re.S)
+_OPEN = re.compile(r"<(?:!--|[!?]|(/?)([A-Za-z][^\s/>]*)|/)")
+_MARK = re.compile(r"[>\"']")
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"[A-Za-z]+")
@@ -74,6 +77,82 @@ class Node:
     linked: int = 0  # of these, inside links
 
 
+def skip_word(word: str) -> bool:
+    """A word of boilerplate, alone or run together with a word of how a box is built."""
+    if word in SKIP_WORDS:
+        return True
+    return any(word.endswith(w) and word[: -len(w)] in SKIP_WORDS and len(word) - len(w) > 3 for w in ("list", "area", "box", "section", "bar", "wrapper"))
+
+
+def boilerplate(names: list[str]) -> bool:
+    """Whether a class or id speaks of nothing but boilerplate and its box."""
+    return any(map(skip_word, names)) and all(skip_word(n) or n in BUILT_WORDS for n in names)
+
+
+class Scanner:
+    """Tags and comments of a page in one forward pass.
+
+    A start tag ends at the first ``>`` outside quotes, or at the first one at all if there is
+    none.  What a search has not found is remembered, so that no later one looks again:
+    marks that do not come any more, and places outside quotes from which no ``>`` follows."""
+
+    def __init__(self, page: str, stop: int):
+        self.page, self.stop = page, stop
+        self.gone: dict[str, int] = {}  # from here on the mark does not occur
+        self.dead: set[int] = set()
+
+    def find(self, mark: str, at: int) -> int:
+        if at >= self.gone.get(mark, self.stop):
+            return -1
+        found = self.page.find(mark, at, self.stop)
+        if found < 0:
+            self.gone[mark] = at
+        return found
+
+    def tag_end(self, at: int) -> int:
+        """The place of the ``>`` that ends the tag whose attributes begin at ``at``, or -1."""
+        seen = []
+        while at not in self.dead and at < self.gone.get("any", self.stop):
+            seen.append(at)
+            m = _MARK.search(self.page, at, self.stop)
+            if not m:
+                self.gone["any"] = at
+                break
+            if m[0] == ">":
+                return m.start()
+            close = self.find(m[0], m.end())
+            if close < 0:
+                break
+            at = close + 1
+        self.dead.update(seen)
+        return -1
+
+    def tokens(self):
+        """(start, end, is an end tag, tag or None, attributes) of every token in page order."""
+        page, stop, at = self.page, self.stop, 0
+        while m := _OPEN.search(page, at, stop):
+            start, tag, attrs = m.start(), None, ""
+            if m[0] == "<!--":
+                close = self.find("-->", m.end())
+                at = stop if close < 0 else close + 3
+            elif not m[2]:
+                close = self.find(">", m.end())
+                at = stop if close < 0 else close + 1
+            else:
+                close = self.tag_end(m.end())
+                if close >= 0:
+                    tag, attrs, at = m[2].lower(), page[m.end() : close], close + 1
+                else:
+                    close = self.find(">", m.end())
+                    if close < 0 and not m[1]:  # no tag: text
+                        at = start + 1
+                        continue
+                    at = stop if close < 0 else close + 1
+            jump = yield start, at, bool(m[1]), tag, attrs
+            if jump is not None:
+                at = jump
+
+
 def parse(page: str) -> Node:
     """Tree of the page; subtrees skipped by tag or role keep no text, names are settled by ``settle``."""
     root = cur = Node("", "", False, None)
@@ -85,58 +164,80 @@ def parse(page: str) -> Node:
         if a < b and not cur.skip:
             cur.items.append(page[a:b])
 
-    while True:
-        m = _TOKEN.search(page, at, stop)
-        if not m:
-            text(at, stop)
-            return root
-        text(at, m.start())
-        at = m.end()
-        if not m[2]:
-            continue
-        tag = m[2].lower()
-        if m[1]:
-            if tag == "p" or tag not in VOID:
-                node = cur
-                while node is not root and node.tag != tag:
-                    # A block's end also ends what is left open inside; an inline end does not leave its block.
-                    if tag in INLINE and node.tag not in INLINE:
-                        node = root
-                        break
-                    node = node.parent
-                if node is not root:
-                    cur = node.parent
-            continue
+    opened: dict[str, int] = {}  # open elements by tag: an end tag without one costs no walk
+
+    def leave(node: Node) -> Node:
+        """Close everything inside ``node`` and itself."""
+        here = cur
+        while True:
+            opened[here.tag] -= 1
+            if here is node:
+                return node.parent
+            here = here.parent
+
+    def start_tag(tag: str, attributes: str, at: int) -> int:
+        """Open an element; where the text goes on."""
+        nonlocal cur
         if tag in CLOSES_P:
             node = cur
             while node.tag in INLINE:
                 node = node.parent
             if node.tag == "p":
-                cur = node.parent
+                cur = leave(node)
         elif tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
             node = cur
             while node.tag in INLINE or node.tag == "p":
                 node = node.parent
             if node.tag == tag:
-                cur = node.parent
-        attrs = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(m[3])} if m[3] else {}
+                cur = leave(node)
+        attrs = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attributes)} if attributes else {}
         names = [w.lower() for k in ("class", "id") for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", attrs.get(k, "")))]
         skip = cur.skip or tag in SKIP_TAGS or attrs.get("role", "").lower() in SKIP_ROLES
         named = 1 if tag == "form" else 0
-        if tag not in ("html", "body", "article", "main") and not SKIP_WORDS.isdisjoint(names):
-            named = 2 if SKIP_WORDS.issuperset(names) else 1
+        if tag not in ("html", "body", "article", "main") and any(map(skip_word, names)):
+            named = 2 if boilerplate(names) else 1
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at, stop)
-            at = close.end() if close else stop
-            continue
+            return close.end() if close else stop
         label = tag + "".join("." + w for w in sorted({w.lower() for w in _WORD.findall(attrs.get("class", ""))}))
         path = cur.path
         if tag not in INLINE and label not in ("html", "body", "div", "p", "br") and path.rpartition("/")[2] != label:
             path = f"{path}/{label}"
         node = Node(tag, path, skip, cur, named, (tag, *names) if named else ())
         cur.items.append(node)
-        if tag not in VOID and not (m[3] or "").rstrip().endswith("/"):
+        if tag not in VOID and not attributes.rstrip().endswith("/"):
+            opened[tag] = opened.get(tag, 0) + 1
             cur = node
+        return at
+
+    scan = Scanner(page, stop)
+    tokens = scan.tokens()
+    token = next(tokens, None)
+    while token:
+        start, end, closing, tag, attributes = token
+        text(at, start)
+        at, jump = end, None
+        if tag is None:
+            pass
+        elif closing:
+            if (tag == "p" or tag not in VOID) and opened.get(tag):
+                node = cur
+                while node is not root and node.tag != tag:
+                    # A block's end also ends what is left open inside; an inline end does not leave its block.
+                    if tag in INLINE and node.tag not in INLINE:
+                        node = root
+                        break
+                    node = node.parent
+                if node is not root:
+                    cur = leave(node)
+        else:
+            jump = at = start_tag(tag, attributes, at)
+        try:
+            token = tokens.send(jump)
+        except StopIteration:
+            token = None
+    text(at, stop)
+    return root
 
 
 MINOR = 0.3  # share of a page's unlinked text below which a container with a boilerplate word is skipped

@@ -1,3 +1,6 @@
+import pytest
+
+from prepframe.llm import html as H
 from prepframe.llm.html import best_path, extract, extract_pages
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{a:b}</style><script>var t="</p><article>no</article>";</script></head>
@@ -75,3 +78,31 @@ def test_title_and_lead_beside_the_body():
         assert extract(page, best_path(page)[0]) == want, inner
     page = f"<body><div class=post><div class=links><a href=/>Home</a> <a href=/x>X</a></div><div class=body><p>{LONG}</p></div></div></body>"
     assert best_path(page)[0].endswith("div.body")
+
+
+@pytest.mark.parametrize("name", ["comment-list", "comments-area", "user-comments", "disqus_thread", "site-footer", "cookie-bar", "newsletter-box", "commentlist"])
+def test_boxes_named_after_boilerplate_go_whatever_their_size(name):
+    article = "<h1>Title</h1>" + "".join(f"<p>Sentence {k} of the article itself.</p>" for k in range(9))
+    chatter = "".join(f"<p>Reader {k} says a lot about all this and more.</p>" for k in range(40))
+    want = "Title " + " ".join(f"Sentence {k} of the article itself." for k in range(9))
+    for page in (
+        f"<body><article>{article}</article><div class='{name}'>{chatter}</div></body>",
+        f"<body><article>{article}<div class='{name}'>{chatter}</div></article></body>",
+        f"<body><main>{article}<section id='{name}'>{chatter}</section></main></body>",
+    ):
+        assert extract(page, best_path(page)[0]) == want and extract(page, None) == want
+
+
+def test_time_is_linear_in_any_page():
+    import time
+
+    for page in ("<p>x</p>" + "<a href='" * 80_000, "a <b c " * 80_000, "<a 'x>' " * 80_000, "<div>" * 30_000 + "</p>" * 30_000, "<" * 200_000):
+        began = time.process_time()
+        H.parse(page)
+        assert time.process_time() - began < 5
+
+
+def test_tags_without_an_end():
+    assert H.parse("a <b c").items and not [x for x in H.parse("x <i 'y>z").items if not isinstance(x, str) and x.tag == "i"]
+    root = H.parse("<p title='a > b'>one</p><a 'x>two")
+    assert [x.tag for x in root.items if not isinstance(x, str)] == ["p"]
