@@ -1,14 +1,18 @@
 """Operator 1: format-preserving pseudonyms by keyed Feistel networks (DataFrame functions only).
 
-Emails, secrets after a name (password=..., token: ...), access keys, IBANs, card and other
-long numbers, social security numbers, phone numbers (national ones with signs between their
-digits, too), IPv4 addresses and dates are found by one regular expression, validated, and
-permuted within their format under a key:
+Emails, secrets after a name (password=..., token: ..., Bearer ...), vendor tokens, private-key
+blocks, access keys, IBANs, card and other long numbers, social security numbers, phone numbers
+(national ones with signs between their digits, too), IPv4 and IPv6 addresses and dates are
+found by one regular expression, validated, and permuted within their format under a key:
 
 * letters and digits move within their own class (digit, a-z, A-Z) through an eight-round
   Feistel network over the two halves of the value; signs between them stay in place;
 * a card number with a valid Luhn digit keeps its first digit and gets the right check digit;
+  another long number is walked through its network until its Luhn digit is wrong again and
+  it reads as no date or card, so the two kinds never share a pseudonym;
 * an IPv4 address is a network on its two 16-bit halves, so every result is a valid address;
+  one written with leading zeros keeps the widths of its octets and a leading zero;
+* the hexadecimal digits of an IPv6 address move among digits, a-f and A-F, its colons stay;
 * a valid date of 1900-2099 is a network on its day number, walked until it is back in
   1900-2099, so every result is a real date that is found again;
 * a secret is the whole value up to its closing quote or white space; without quotes after a
@@ -31,19 +35,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+WALK = 64  # steps of a cycle walk; each goes on for about one value in ten
 DAYS = (271, 270)  # days from 1900-01-01 on, as the product of two halves
 LAST_DAY = 73_048  # 2099-12-31
 DEFAULT_KEY = "change-this-key"
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
+# Letters beyond A-Z stay in place, the other characters of such an address are permuted.
+EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]{1,64}@(?:[\p{L}0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\p{L}0-9-])"
 ACCESS_KEY = r"(?<![A-Za-z0-9])A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9])"
-SECRET_NAME = r"(?<![A-Za-z])(?:[Pp]assword|PASSWORD|[Pp]asswd|[Pp]wd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API[_-]?KEY)[\"']?\s{0,8}[=:]\s{0,8}[\"']?"
+SECRET_NAME = (
+    r"(?<![A-Za-z])(?:[Pp]assword|PASSWORD|[Pp]asswort|PASSWORT|[Pp]asswd|[Pp]ass|PASS|[Pp]wd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API[_-]?KEY)"
+    r"(?:_[A-Za-z]{1,16}){0,3}[\"']?\s{0,8}[=:]\s{0,8}[\"']?"
+)
 # After the name: the rest of a quoted value, a value after =, a value after : that does not look like a word.
 SECRET_VALUE = (
     r"(?:(?<=\")[^\"\n](?:[^\n]*?[^\\\n])??(?=\")|(?<=')[^'\n](?:[^\n]*?[^\\\n])??(?='(?![A-Za-z0-9]))"
     r"|(?<=[=\"']|=\s{1,8})[^\s\"']{4,}|(?=[^\s\"']*[0-9]|[^\s\"']*[@#$%^&*+=~!?_][A-Za-z]|[^\s\"']*[a-z][A-Z])[^\s\"']{4,})"
 )
 SECRET = SECRET_NAME + SECRET_VALUE
+# What stands before a token without = or :, and is kept.
+TOKEN_NAME = r"(?<![A-Za-z0-9_-])(?:(?:[Bb]earer|BEARER)\s{1,4}|gh[opsru]_|github_pat_|glpat-|sk-|xox[abprs]-|AIza)"
+TOKEN = TOKEN_NAME + r"(?=[^\s0-9]*[0-9])[A-Za-z0-9._~+/=-]{16,}"
+KEY_NAME = r"-----BEGIN (?:[A-Z]{1,12} ){0,3}PRIVATE KEY-----"
+KEY_BLOCK = KEY_NAME + r"[A-Za-z0-9+/=\s]{16,}(?=-----END )"
 # Countries by the length of their IBAN.
 IBAN_LENGTH = {
     15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA",
@@ -56,6 +70,11 @@ IBAN = (
     + r")(?![0-9A-Za-z])"
 )
 DATE = r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}([-/.])(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12][0-9]|3[01])|(?:0[1-9]|[12][0-9]|3[01])([-/.])(?:0[1-9]|[12][0-9]|3[01])\2(?:19|20)[0-9]{2})(?![0-9]|[./-][0-9])"
+# Eight groups, or fewer around one ::, at least three of them and a digit among them.
+IPV6 = (
+    r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?=[0-9A-Fa-f]{1,4}:[0-9A-Fa-f:]*:[0-9A-Fa-f]+)(?!(?:[0-9A-Fa-f]*:){8})(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:]|\.[0-9])"
+)
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"
@@ -65,8 +84,9 @@ NATIONAL = (
     r"|[6-9][0-9]{2} [0-9]{3} [0-9]{3}|[6-9][0-9]{2}(?: [0-9]{2}){3}|[89][0-9] [0-9]{3} [0-9]{2} [0-9]{2})(?![0-9A-Za-z]|[ ./-][0-9])"
 )
 NUMBER = r"(?<![0-9A-Za-z.])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|\.[0-9])"
-ANY = "|".join((EMAIL, ACCESS_KEY, SECRET, IBAN, DATE, IPV4, SSN, PHONE, NATIONAL, NUMBER))
+ANY = "|".join((KEY_BLOCK, EMAIL, ACCESS_KEY, TOKEN, SECRET, IBAN, DATE, IPV6, IPV4, SSN, PHONE, NATIONAL, NUMBER))
 PLAIN = "[^0-9A-Za-z]"
+PADDED = r"(?:^|[.])0[0-9]"
 
 
 def _let(value: Column, body) -> Column:
@@ -82,8 +102,8 @@ def _digest(key: str, kind: str, r: Column, other: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), r.cast("string"), other), 512)
 
 
-def _shift(text: Column, digest: Column, sign: int) -> Column:
-    """Every letter or digit moved within its class by the digest's byte at its place."""
+def _shift(text: Column, digest: Column, sign: int, letters: int = 26) -> Column:
+    """Every letter (of the first ``letters``) or digit moved within its class by the digest's byte at its place."""
 
     def move(c: Column, i: Column) -> Column:
         code = F.ascii(c)
@@ -92,12 +112,12 @@ def _shift(text: Column, digest: Column, sign: int) -> Column:
         def within(low: int, size: int) -> Column:
             return F.chr((F.pmod(code - low + by, F.lit(size)) + low).cast("long"))
 
-        return F.when(code < 58, within(48, 10)).when(code < 91, within(65, 26)).otherwise(within(97, 26))
+        return F.when(code < 58, within(48, 10)).when(code < 91, within(65, letters)).otherwise(within(97, letters))
 
     return F.when(F.length(text) > 0, F.array_join(F.transform(F.split(text, ""), move), "")).otherwise(text)
 
 
-def permute_text(core: Column, key: str, kind: str, inverse: bool = False) -> Column:
+def permute_text(core: Column, key: str, kind: str, inverse: bool = False, letters: int = 26) -> Column:
     """Feistel network over the halves of a string of letters and digits."""
     half = F.ceil(F.length(core) / 2).cast("int")
     sign = -1 if inverse else 1
@@ -109,15 +129,15 @@ def permute_text(core: Column, key: str, kind: str, inverse: bool = False) -> Co
         return _let(
             _digest(key, kind, r, other),
             lambda d: F.struct(
-                F.when(odd, _shift(s["l"], d, sign)).otherwise(s["l"]).alias("l"),
-                F.when(odd, s["r"]).otherwise(_shift(s["r"], d, sign)).alias("r"),
+                F.when(odd, _shift(s["l"], d, sign, letters)).otherwise(s["l"]).alias("l"),
+                F.when(odd, s["r"]).otherwise(_shift(s["r"], d, sign, letters)).alias("r"),
             ),
         )
 
     return F.aggregate(_rounds(inverse), start, step, lambda s: F.concat(s["l"], s["r"]))
 
 
-def permute_pair(a: Column, b: Column, sizes: tuple[int, int], key: str, kind: str, inverse: bool = False) -> Column:
+def permute_pair(a: Column, b: Column, sizes: tuple, key: str, kind: str, inverse: bool = False) -> Column:
     """Feistel network on a pair of numbers below ``sizes``; a struct (a, b)."""
     sign = -1 if inverse else 1
     start = F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
@@ -161,18 +181,59 @@ def _card(digits: Column, key: str, inverse: bool) -> Column:
 
 
 def _number(value: Column, key: str, inverse: bool) -> Column:
+    def network(digits: Column) -> Column:
+        return permute_text(digits, key, "number", inverse)
+
+    def other_kind(digits: Column) -> Column:
+        # A card, or (where the signs stand as in a date) a text that begins with a date.
+        return (_luhn_sum(digits, False) % 10 == 0) | _fill(value, digits).rlike("^(?:" + DATE + ")")
+
+    def walked(first: Column) -> Column:
+        # A step stays among the other kinds for about one value in ten; each cycle leads back to the start.
+        steps = F.when(other_kind(first), F.sequence(F.lit(1), F.lit(WALK))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(steps, first, lambda d, _: F.when(other_kind(d), network(d)).otherwise(d))
+
     def permuted(digits: Column) -> Column:
-        return _fill(value, F.when(_luhn_sum(digits, False) % 10 == 0, _card(digits, key, inverse)).otherwise(permute_text(digits, key, "number", inverse)))
+        plain = _let(network(digits), walked)
+        return _fill(value, F.when(_luhn_sum(digits, False) % 10 == 0, _card(digits, key, inverse)).otherwise(plain))
 
     return _let(F.regexp_replace(value, "[^0-9]", ""), permuted)
 
 
 def _ipv4(value: Column, key: str, inverse: bool) -> Column:
+    """Addresses without leading zeros among themselves, others among those of their octets' widths."""
+
+    def octets(o: Column) -> list[Column]:
+        return [F.get(o, k).cast("int") for k in range(4)]
+
+    def halves(p: Column) -> list[Column]:
+        return [F.floor(p["a"] / p["s1"]), p["a"] % p["s1"], F.floor(p["b"] / p["s3"]), p["b"] % p["s3"]]
+
     def permuted(o: Column) -> Column:
-        part = [F.get(o, k).cast("int") for k in range(4)]
+        part = octets(o)
         pair = permute_pair(part[0] * 256 + part[1], part[2] * 256 + part[3], (65536, 65536), key, "ipv4", inverse)
         text = _let(pair, lambda p: F.concat_ws(".", *(F.floor(x / 256).cast("string") if hi else (x % 256).cast("string") for x in (p["a"], p["b"]) for hi in (True, False))))
-        return F.when(F.greatest(*part) < 256, text).otherwise(value)
+        return F.when(F.greatest(*part) < 256, F.when(value.rlike(PADDED), padded(o)).otherwise(text)).otherwise(value)
+
+    def padded(o: Column) -> Column:
+        width = [F.length(F.get(o, k)) for k in range(4)]
+        size = [F.when(w == 1, 10).when(w == 2, 100).otherwise(256).cast("long") for w in width]
+        part = octets(o)
+
+        def written(p: Column) -> Column:
+            return F.concat_ws(".", *(F.lpad(x.cast("string"), w, "0") for x, w in zip(halves(p), width)))
+
+        def network(p: Column) -> Column:
+            moved = permute_pair(p["a"], p["b"], (size[0] * size[1], size[2] * size[3]), key, "padded", inverse)
+            return _let(moved, lambda m: F.struct(m["a"].alias("a"), m["b"].alias("b"), size[1].alias("s1"), size[3].alias("s3")))
+
+        def walked(first: Column) -> Column:
+            # At least one image in ten has a leading zero again.
+            steps = F.when(~written(first).rlike(PADDED), F.sequence(F.lit(1), F.lit(8 * WALK))).otherwise(F.array().cast("array<int>"))
+            return F.aggregate(steps, first, lambda p, _: F.when(~written(p).rlike(PADDED), network(p)).otherwise(p), written)
+
+        start = F.struct((part[0] * size[1] + part[1]).alias("a"), (part[2] * size[3] + part[3]).alias("b"), size[1].alias("s1"), size[3].alias("s3"))
+        return _let(network(start), walked)
 
     return _let(F.split(value, "[.]"), permuted)
 
@@ -254,17 +315,22 @@ def pseudonym(value: Column, key: str, inverse: bool = False) -> Column:
     email = F.concat(plain(F.substring(value, F.lit(1), F.length(value) - F.length(last)), "email"), last)
     name = F.regexp_extract(value, "^(" + SECRET_NAME + ")", 1)
     secret = F.concat(name, plain(F.substring(value, F.length(name) + 1, F.length(value)), "secret"))
+    token = F.regexp_extract(value, "^(" + TOKEN_NAME + "|" + KEY_NAME + ")", 1)
+    bare = F.concat(token, plain(F.substring(value, F.length(token) + 1, F.length(value)), "secret"))
+    ipv6 = _fill(value, permute_text(F.regexp_replace(value, PLAIN, ""), key, "ipv6", inverse, 6))
     access = F.concat(F.substring(value, 1, 4), plain(F.substring(value, F.lit(5), F.length(value)), "access"))
     country = F.regexp_extract(value, r"^(\+[0-9]{1,3}(?=[ .(-]))", 1)
     phone = F.concat(country, plain(F.substring(value, F.length(country) + 1, F.length(value)), "phone"))
     kept = F.when(value.startswith("0"), 2).otherwise(1)  # what makes it a national number stays
     national = F.concat(F.substring(value, F.lit(1), kept), plain(F.substring(value, kept + 1, F.length(value)), "phone"))
     return (
-        F.when(value.rlike("^" + SECRET_NAME), secret)
+        F.when(value.rlike("^(?:" + KEY_BLOCK.split("(?=")[0] + "|" + TOKEN + ")$"), bare)
+        .when(value.rlike("^" + SECRET_NAME), secret)
         .when(value.contains("@"), email)
         .when(value.rlike("^" + ACCESS_KEY + "$"), access)
         .when(value.rlike("^" + IBAN + "$"), _iban(value, key, inverse))
         .when(value.rlike("^(?:" + DATE + ")$"), _date(value, key, inverse))
+        .when(value.rlike("^" + IPV6 + "$"), ipv6)
         .when(value.rlike("^" + IPV4 + "$"), _ipv4(value, key, inverse))
         .when(value.rlike("^" + SSN + "$"), plain(value, "ssn"))
         .when(value.rlike("^" + PHONE + "$"), phone)
