@@ -54,3 +54,20 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = Q.apply_cascade(df).where("kept")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_greedy_order_counts_what_is_left():
+    # Rule 1 rejects most rows but rule 0 rejects the same ones for less; rule 2 has rows of its own.
+    masks = {0b011: 60, 0b010: 5, 0b100: 20, 0: 100}
+    assert Q.greedy_order(masks, [1.0, 1.0, 1.0]) == [1, 2, 0]
+    assert Q.greedy_order(masks, [0.5, 1.0, 1.0]) == [0, 2, 1]
+    assert Q.greedy_order({}, [1.0, 0.5]) == [1, 0] and Q.greedy_order({0: 9}, []) == []
+
+
+def test_sample_is_drawn_from_all_partitions(spark):
+    df = spark.range(40_000).selectExpr("id AS doc_id", "'same text' AS text").repartition(8, "doc_id")
+    got = [r["doc_id"] for r in Q.sample_of(df, 2000).collect()]
+    assert 1700 < len(got) < 2300 and len({i // 10_000 for i in got}) == 4
+    assert Q.sample_of(df.limit(5), 2000).count() == 5 and Q.sample_of(df.limit(0), 2000).count() == 0
+    order = Q.plan_cascade(spark.createDataFrame([(t,) for t in TEXTS], "text string"))
+    assert sorted(r.name for r in order) == sorted(r.name for r in Q.RULES)
