@@ -310,8 +310,9 @@ def _most_frequent(tokens: DataFrame, move_above: int, max_moved: int) -> np.nda
 
 
 def _groups(classes: DataFrame) -> DataFrame:
-    """(token, rep, n, s, g) of the classes that share a prefix token; s is the group's first class, g its size."""
-    tokens = classes.select(F.explode("prefix").alias("token"), "rep", "n")
+    """(at, token, rep, n, s, g) of the classes that share a prefix token; ``at`` is its place in
+    the prefix, s the group's first class, g its size."""
+    tokens = classes.select(F.posexplode("prefix").alias("at", "token"), "rep", "n")
     sizes = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("g"), F.min("rep").alias("s")).where("g > 1").select("token", "s", "g")
     return cut_lineage(tokens.join(sizes, "token"))
 
@@ -349,40 +350,47 @@ def _all_tokens(sets: DataFrame) -> DataFrame:
 
 
 def _second_groups(sets: DataFrame, percent: int, moved) -> DataFrame:
-    """(token, own, rep, n, f, s) under the second order 0: ``own`` for tokens outside the
-    list, f listed tokens of the class; s is the group's class with the fewest others."""
+    """(token, at, own, rep, n, f, s) under the second order 0: ``at`` is the token's place in
+    the prefix, ``own`` says that it is outside the list, f listed tokens of the class; s is the
+    group's class with the fewest others."""
 
     def fn(b: pa.RecordBatch) -> pa.RecordBatch | None:
-        tokens, own, rep, n, f = [], [], [], [], []
+        tokens, at, own, rep, n, f = [], [], [], [], [], []
         for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             s = np.frombuffer(raw, np.uint64)
             prefix, free, listed = _one_prefix(s, moved.value, percent, True)
             tokens.append(prefix.view(np.int64))
-            own.append(np.arange(len(prefix)) < free)
+            at.append(np.arange(len(prefix), dtype=np.int32))
+            own.append(at[-1] < free)
             rep += [i] * len(prefix)
             n += [len(s)] * len(prefix)
             f += [listed] * len(prefix)
         if not tokens:
             return None
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(own)), pa.array(rep, pa.int64()), pa.array(n, pa.int64()), pa.array(f, pa.int64())],
-            names=["token", "own", "rep", "n", "f"],
+            [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(at)), pa.array(np.concatenate(own)), pa.array(rep, pa.int64()), pa.array(n, pa.int64()), pa.array(f, pa.int64())],
+            names=["token", "at", "own", "rep", "n", "f"],
         )
 
-    tokens = map_batches(sets.select("rep", "tokens"), fn, "token long, own boolean, rep long, n long, f long")
+    tokens = map_batches(sets.select("rep", "tokens"), fn, "token long, at int, own boolean, rep long, n long, f long")
     sizes = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("g"), F.min(F.struct(F.expr("n - f"), "rep")).alias("s")).where("g > 1")
     return tokens.join(sizes.select("token", F.col("s.rep").alias("s")), "token")
 
 
 def _open_pairs(probes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """(a, b) of different components, one of them among ``probes``, that share enough prefix
-    tokens, fit in size, and share a token outside the list or have enough listed ones."""
-    left = probes.select("token", "own", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("f").alias("fa"), F.col("comp").alias("ca"))
-    right = groups.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("f").alias("fb"), F.col("comp").alias("cb"), F.col("probe").alias("too"))
+    tokens, fit in size, and share a token outside the list or have enough listed ones.
+
+    A token counts only where the two sets can still share enough from its places on: beside the
+    token and what follows it they share at most one, if it is the first or second that they
+    share.  So the first SHARED of a pair that links always count."""
+    left = probes.select("token", "own", F.col("at").alias("ia"), F.col("rep").alias("a"), F.col("n").alias("na"), F.col("f").alias("fa"), F.col("comp").alias("ca"))
+    right = groups.select("token", F.col("at").alias("ib"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("f").alias("fb"), F.col("comp").alias("cb"), F.col("probe").alias("too"))
     # |x and y| >= percent / (100 + percent) * (|x| + |y|) for a link
     enough = F.least("fa", "fb") * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
+    reach = (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + SHARED - 1) * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
     met = left.join(right, "token").where(
-        (F.col("ca") != F.col("cb")) & (~F.col("too") | (F.col("a") < F.col("b"))) & (F.col("own") | enough)
+        reach & (F.col("ca") != F.col("cb")) & (~F.col("too") | (F.col("a") < F.col("b"))) & (F.col("own") | enough)
         & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
     )
     met = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("k"), F.max("own").alias("own"))
@@ -433,7 +441,7 @@ def similarity_components(
     # Cross-component pairs only.  Two classes that share a token of which both have many partners
     # are both among the reordered ones; all others meet as a partner of one that has few.
     few = left.drop("comp").join(comp, "rep", "left").select(
-        "token", "rep", "n", F.lit(False).alias("own"), F.col("n").alias("f"), F.coalesce("comp", "rep").alias("comp"), (F.col("near") <= move_above).alias("probe")
+        "token", "at", "rep", "n", F.lit(False).alias("own"), F.col("n").alias("f"), F.coalesce("comp", "rep").alias("comp"), (F.col("near") <= move_above).alias("probe")
     )
     rest = cut_lineage(_open_groups(large, comp, percent).withColumn("probe", F.lit(True)))
     pairs = _open_pairs(few.where("probe"), few, percent).union(_open_pairs(rest, rest, percent)).distinct()

@@ -130,3 +130,30 @@ def test_histograms_never_exclude_a_link():
             assert J.may_link(J.histogram(x), J.histogram(y), 90) or not link
             excluded += not J.may_link(J.histogram(x), J.histogram(y), 90)
     assert excluded > 300
+
+
+def test_first_shared_tokens_of_a_link_are_in_reach(spark):
+    """Every linked pair is named by the open pairs alone, also where its shared tokens stand late."""
+    import numpy as np
+
+    from prepframe.llm import jaccard as J
+
+    r = np.random.RandomState(2)
+    sets = []
+    for k in range(60):
+        s = np.unique(r.randint(0, 2**62, int(r.choice([1, 2, 5, 20, 60])), dtype=np.int64).astype(np.uint64))
+        sets += [s, np.unique(np.concatenate([s[r.rand(len(s)) < 0.95], r.randint(0, 2**62, len(s) // 12, dtype=np.int64).astype(np.uint64)]))]
+        sets.append(np.unique(np.concatenate([s[len(s) // 9 :], s[:1] + np.uint64(1)])))  # what they share stands behind what they don't
+    for percent in (80, 90):
+        rows, want = [], set()
+        for i, s in enumerate(sets):
+            prefix, free, listed = J._one_prefix(s, np.zeros(0, np.uint64), percent, True) if len(s) else (s, 0, 0)
+            rows += [(int(t), k, True, i, len(s), listed, i, True) for k, t in enumerate(prefix.astype(np.int64))]
+        for i, s in enumerate(sets):
+            for j in range(i):
+                both = len(np.intersect1d(s, sets[j]))
+                if both and 100 * both >= percent * (len(s) + len(sets[j]) - both):
+                    want.add((j, i))
+        groups = spark.createDataFrame(rows, "token long, at int, own boolean, rep long, n long, f long, comp long, probe boolean")
+        got = {tuple(x) for x in J._open_pairs(groups, groups, percent).collect()}
+        assert want and want <= got, want - got
