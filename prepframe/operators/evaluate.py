@@ -268,18 +268,23 @@ def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction"
 
 # ------------------------------------------------------------------ clustering
 
-MAX_CLUSTERS = 10_000
-# cluster sums inlined as literals at most; beyond, the Spark ML evaluator runs
-MAX_LITERAL_VALUES = 100_000
 
+def _silhouettes(x, own, sums, n, y):
+    """Silhouette of every row of ``x`` from the clusters' sizes, sums and sums of squares."""
+    import numpy as np
 
-def _silhouette_spark_ml(pts: DataFrame) -> DataFrame:
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    from pyspark.ml.functions import array_to_vector
-
-    v = pts.select(array_to_vector("_x").alias("_f"), F.col("_c").cast("double").alias("_c"))
-    value = ClusteringEvaluator(featuresCol="_f", predictionCol="_c", distanceMeasure="squaredEuclidean").evaluate(v)
-    return pts.sparkSession.createDataFrame([(float(value),)], "silhouette double")
+    part, out = max(1, 2_000_000 // len(n)), []
+    for at in range(0, len(x), part):
+        q, o = x[at : at + part], own[at : at + part]
+        rows = np.arange(len(q))
+        d = (q * q).sum(1)[:, None] + (y / n)[None] - (2.0 / n)[None] * (q @ sums.T)
+        a = d[rows, o] * n[o] / np.maximum(n[o] - 1, 1)
+        d[rows, o] = np.inf
+        b = d.min(1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            s = np.where(a < b, 1 - a / b, np.where(a > b, b / a - 1, 0.0))
+        out.append(np.where(n[o] > 1, s, 0.0))
+    return np.concatenate(out)
 
 
 def silhouette(df: DataFrame, features: Sequence[str] | str, prediction: str = "prediction") -> DataFrame:
@@ -287,11 +292,16 @@ def silhouette(df: DataFrame, features: Sequence[str] | str, prediction: str = "
     ``ClusteringEvaluator`` does: O(n * k) from per-cluster sums (E8).
 
     ``features`` is a list of numeric columns or the name of an array column.  The
-    per-cluster sums (k x d values, k = number of clusters) are collected and
-    injected as literal arrays; each row computes its k mean squared distances in one
-    higher-order expression.  Features are taken less their means, so large offsets do not
+    per-cluster sums (k x d values, k = number of clusters, as large as the model) are
+    broadcast as a matrix; every Arrow batch of features computes its rows' k mean squared
+    distances.  Features are taken less their means, so large offsets do not
     cancel; rows with a missing, NaN or infinite feature do not count.
     """
+    import numpy as np
+    import pyarrow as pa
+
+    from prepframe._session import ship_package
+
     if isinstance(features, str):
         vec = F.col(features).cast("array<double>")
     else:
@@ -302,44 +312,23 @@ def silhouette(df: DataFrame, features: Sequence[str] | str, prediction: str = "
     shift = F.array(*[F.lit(float(r["m"])) for r in means]).cast("array<double>")
     pts = pts.withColumn("_x", F.zip_with("_x", shift, lambda v, m: v - m))
     pts = pts.withColumn("_sq", F.aggregate("_x", F.lit(0.0), lambda a, v: a + v * v))
-    sizes = pts.groupBy("_c").agg(F.count(F.lit(1)).alias("n"), F.sum("_sq").alias("y")).limit(MAX_CLUSTERS + 1).collect()
-    dim_probe = pts.select(F.max(F.size("_x"))).collect()[0][0] or 0
+    sizes = pts.groupBy("_c").agg(F.count(F.lit(1)).alias("n"), F.sum("_sq").alias("y")).orderBy("_c").collect()  # k rows
     if len(sizes) < 2:  # silhouette needs two clusters
         return df.sparkSession.createDataFrame([(None,)], "silhouette double")
-    if len(sizes) > MAX_CLUSTERS or len(sizes) * dim_probe > MAX_LITERAL_VALUES:
-        # too many cluster sums to inline: Spark ML's evaluator broadcasts them instead
-        return _silhouette_spark_ml(pts)
-    # k x d sums, k bounded above
-    sums = pts.select("_c", F.posexplode("_x").alias("_j", "_xj")).groupBy("_c", "_j").agg(F.sum("_xj").alias("s")).collect()
-    ids = sorted(r["_c"] for r in sizes)
-    pos = {c: i for i, c in enumerate(ids)}
-    dim = 1 + max(r["_j"] for r in sums)
-    mat = [[0.0] * dim for _ in ids]
-    for r in sums:
-        mat[pos[r["_c"]]][r["_j"]] = float(r["s"])
-    n = [0] * len(ids)
-    y = [0.0] * len(ids)
-    for r in sizes:
-        n[pos[r["_c"]]], y[pos[r["_c"]]] = int(r["n"]), float(r["y"])
-    lit_arr = lambda xs: F.array(*[F.lit(float(v)) for v in xs])
-    centre_sums = F.array(*[lit_arr(row) for row in mat])
-    y_over_n, two_over_n = lit_arr([y[i] / n[i] for i in range(len(ids))]), lit_arr([2.0 / n[i] for i in range(len(ids))])
-    dots = F.transform(centre_sums, lambda c: F.aggregate(F.zip_with("_x", c, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v))
-    dist = F.zip_with(F.zip_with(dots, y_over_n, lambda d, yn: F.struct(d.alias("d"), yn.alias("yn"))), two_over_n,
-                      lambda st, tn: F.col("_sq") + st["yn"] - tn * st["d"])
-    own = F.array_position(F.array(*[F.lit(int(c)) for c in ids]), F.col("_c")).cast("int")  # 1-based
-    own_n = F.element_at(F.array(*[F.lit(v) for v in n]), own)
-    own_d = F.element_at(F.col("_dist"), own)
-    others = F.array_min(F.transform("_dist", lambda d, i: F.when(i + 1 == own, F.lit(float("inf"))).otherwise(d)))
-    scored = pts.select(dist.alias("_dist"), "_c").select(
-        own_n.alias("_on"), own_d.alias("_od"), others.alias("_b")
-    )
-    a = F.when(F.col("_on") > 1, F.col("_od") * F.col("_on") / (F.col("_on") - 1)).otherwise(F.lit(0.0))
-    b = F.col("_b")
-    s_ = (
-        F.when(F.col("_on") <= 1, F.lit(0.0))
-        .when(a < b, 1 - a / b)
-        .when(a > b, b / a - 1)
-        .otherwise(F.lit(0.0))
-    )
-    return scored.agg(F.avg(s_).alias("silhouette"))
+    found = pts.select("_c", F.posexplode("_x").alias("_j", "_xj")).groupBy("_c", "_j").agg(F.sum("_xj").alias("s")).collect()  # k x d rows
+    ids = np.array([r["_c"] for r in sizes], np.int64)
+    sums = np.zeros((len(ids), len(means)))
+    for r in found:
+        sums[np.searchsorted(ids, r["_c"]), r["_j"]] = r["s"]
+    n, y = (np.array([r[c] for r in sizes], np.float64) for c in ("n", "y"))
+    ship_package(df.sparkSession)
+    model = df.sparkSession.sparkContext.broadcast((ids, sums, n, y))
+
+    def run(batches):
+        ids, *rest = model.value
+        for b in batches:
+            if b.num_rows:
+                x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(_silhouettes(x, np.searchsorted(ids, b.column(1).to_numpy()), *rest))], names=["s"])
+
+    return pts.select("_x", "_c").mapInArrow(run, "s double").agg(F.avg("s").alias("silhouette"))

@@ -303,74 +303,59 @@ def centres_table(model: FittedModel, spark) -> DataFrame:
     return spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centres)], "cluster int, centre array<double>")
 
 
-MAX_LITERAL_VALUES = 100_000
-
+def assign_to_centres(df: DataFrame, features: Sequence[str] | str, centres: DataFrame, out: str = "prediction") -> DataFrame:
+    """Nearest centre from a centre TABLE ``(cluster, centre array<double>)``.
 
-def _assign_vectorised(df: DataFrame, x, rows, out: str) -> DataFrame:
-    """Many / wide centres: broadcast them once as a numpy matrix and take the argmin
-    per Arrow batch (``mapInPandas``), instead of inlining k x d literals.  Squared
-    differences are added up in the order of the features, as the literals do."""
+    The table is a model of k rows: it is broadcast once as a matrix, and every Arrow batch
+    takes the first minimum of its squared distances (ties -> smaller cluster id).  Only the
+    features are looked into; all other columns, of any type, pass as they are.  A row with a
+    missing, NaN or infinite feature, or with another number of features, has no cluster."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
     from pyspark.sql.types import IntegerType, StructField, StructType
 
     from prepframe._session import ship_package
 
     spark = df.sparkSession
     ship_package(spark)
-    ids = np.array([int(r["cluster"]) for r in rows], dtype=np.int64)
-    mat = np.array([r["centre"] for r in rows], dtype=np.float64)
-    bc = spark.sparkContext.broadcast((ids, mat))
+    rows = centres.orderBy("cluster").collect()  # k rows, the model
+    ids = np.array([int(r["cluster"]) for r in rows], dtype=np.int32)
+    dim = len(rows[0]["centre"]) if rows else 0
+    model = spark.sparkContext.broadcast((ids, np.array([r["centre"] for r in rows], dtype=np.float64).reshape(len(rows), dim)))
+    if isinstance(features, str):
+        x = F.col(features).cast("array<double>")
+    else:
+        x = F.array(*[F.col(c).cast("double") for c in features])
+    usable = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))) & (F.size(x) == dim) & F.lit(len(rows) > 0)
+    kept = df.drop(out)
 
     def run(batches):
-        cid, m = bc.value
-        part = max(1, 2_000_000 // len(m))  # rows whose distances are held at once
-        for pdf in batches:
-            res = pd.array([None] * len(pdf), dtype="Int32")
-            ok = pdf["_x"].notna().to_numpy()
+        cid, m = model.value
+        for b in batches:
+            held = b.column(b.num_columns - 1)
+            ok = held.is_valid().to_numpy(zero_copy_only=False)
+            best = np.zeros(b.num_rows, np.int32)
             if ok.any():
-                q = np.vstack(pdf.loc[ok, "_x"].to_numpy()).astype(np.float64)
-                best = []
-                for at in range(0, len(q), part):
-                    d2 = np.zeros((len(q[at : at + part]), len(m)))
-                    for j in range(m.shape[1]):
-                        d2 += (q[at : at + part, j, None] - m[None, :, j]) ** 2
-                    best.append(np.argmin(d2, axis=1))
-                res[ok] = cid[np.concatenate(best)].astype(np.int32)
-            yield pdf.drop(columns=["_x"]).assign(**{out: res})
-
-    # whole rows pass through the batch kernel: no join back, no row ids
-    schema = StructType(list(df.drop(out).schema.fields) + [StructField(out, IntegerType())]) if out in df.columns else \
-        StructType(list(df.schema.fields) + [StructField(out, IntegerType())])
-    return df.drop(out).withColumn("_x", x).mapInPandas(run, schema)
+                q = held.flatten().to_numpy(zero_copy_only=False).reshape(int(ok.sum()), m.shape[1])
+                best[ok] = cid[_nearest(q, m)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(best, pa.int32(), mask=~ok)], names=[*b.schema.names[:-1], out])
 
+    schema = StructType([*kept.schema.fields, StructField(out, IntegerType())])
+    return df.select(*(df[c] for c in kept.columns), F.when(usable, x).alias("_features_of_row")).mapInArrow(run, schema)
 
-def assign_to_centres(df: DataFrame, features: Sequence[str] | str, centres: DataFrame, out: str = "prediction") -> DataFrame:
-    """Nearest centre from a centre TABLE ``(cluster, centre array<double>)`` (M10).  The
-    table has k rows (a model parameter) and becomes one literal array of arrays; each
-    row computes its k squared distances in one higher-order expression and takes the
-    first minimum (ties -> smaller cluster id).  A row with a missing, NaN or infinite
-    feature has no cluster.  Above MAX_LITERAL_VALUES values the same distances are
-    computed per Arrow batch."""
-    rows = centres.orderBy("cluster").limit(MAX_CLASSES + 1).collect()  # k rows, bounded
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} centres")
-    if isinstance(features, str):
-        x = F.col(features).cast("array<double>")
-    else:
-        x = F.array(*[F.col(c).cast("double") for c in features])
-    usable = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
-    if rows:
-        usable = usable & (F.size(x) == len(rows[0]["centre"]))
-    x = F.when(usable, x)
-    if sum(len(r["centre"]) for r in rows) > MAX_LITERAL_VALUES:
-        return _assign_vectorised(df, x, rows, out)
-    cents = F.array(*[F.array(*[F.lit(float(v)) for v in r["centre"]]) for r in rows])
-    ids = F.array(*[F.lit(int(r["cluster"])) for r in rows])
-    d = F.transform(cents, lambda c: F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v))
-    return df.withColumn("_d", d).withColumn(
-        out, F.when(F.array_min("_d").isNotNull(), F.element_at(ids, F.array_position(F.col("_d"), F.array_min(F.col("_d"))).cast("int")))
-    ).drop("_d")
+
+def _nearest(q, m):
+    """Index of the first nearest row of ``m`` for every row of ``q``; about two million distances are held at once."""
+    import numpy as np
+
+    part, best = max(1, 2_000_000 // len(m)), []
+    for at in range(0, len(q), part):
+        rows = q[at : at + part]
+        d2 = np.zeros((len(rows), len(m)))
+        for j in range(m.shape[1]):  # differences, so that large offsets do not cancel
+            d2 += (rows[:, j, None] - m[None, :, j]) ** 2
+        best.append(np.argmin(d2, axis=1))
+    return np.concatenate(best)
 
 
 # ------------------------------------------------------------------ evaluation of a model

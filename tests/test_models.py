@@ -109,23 +109,39 @@ def test_svd_and_flda_shapes(spark):
     assert lda.components.shape == (3, 2)
 
 
-def test_wide_fallbacks_match_literal_paths(spark, blobs, monkeypatch):
+def test_nearest_centres_and_silhouette_match_spark_ml(spark, blobs):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
     from prepframe.operators import evaluate as E
 
     m = MO.fit_kmeans(blobs, ["x", "y"], K=3, seed=3)
-    cents = MO.centres_table(m, spark)
-    lit = {r["id"]: r["prediction"] for r in MO.assign_to_centres(blobs, ["x", "y"], cents).collect()}
-    monkeypatch.setattr(MO, "MAX_LITERAL_VALUES", 0)
-    vec = {r["id"]: r["prediction"] for r in MO.assign_to_centres(blobs, ["x", "y"], cents).collect()}
-    assert lit == vec
     scored = MO.assign_clusters(m, blobs)
+    ours = {r["id"]: r["prediction"] for r in MO.assign_to_centres(blobs, ["x", "y"], MO.centres_table(m, spark)).collect()}
+    assert ours == {r["id"]: r["prediction"] for r in scored.collect()}
     a = E.silhouette(scored, ["x", "y"]).collect()[0][0]
-    monkeypatch.setattr(E, "MAX_LITERAL_VALUES", 0)
-    b = E.silhouette(scored, ["x", "y"]).collect()[0][0]
-    assert a == pytest.approx(b, abs=1e-9)
+    v = scored.select(array_to_vector(F.array("x", "y")).alias("f"), F.col("prediction").cast("double").alias("p"))
+    assert a == pytest.approx(ClusteringEvaluator(featuresCol="f", predictionCol="p").evaluate(v), abs=1e-9)
+
+
+def test_many_centres_and_any_payload(spark):
+    """12,000 centres of 10 features, and columns that pandas could not hold."""
+    from pyspark.sql import functions as F
 
+    r = np.random.default_rng(8)
+    m, x = r.normal(0, 9, (12_000, 10)), r.normal(0, 9, (300, 10))
+    cents = spark.createDataFrame([(i * 2, [float(t) for t in c]) for i, c in enumerate(m)], "cluster int, centre array<double>")
+    df = spark.createDataFrame([(i, [float(t) for t in v]) for i, v in enumerate(x)], "id int, v array<double>").repartition(3)
+    df = df.select("id", "v", F.expr("timestamp'9999-12-31 23:59:59'").alias("end"), F.create_map(F.lit("k"), "id").alias("m"), F.lit("old").alias("prediction"))
+    got = {g["id"]: g for g in MO.assign_to_centres(df, "v", cents).withColumn("end", F.col("end").cast("string")).collect()}
+    best = ((x[:, None] - m[None]) ** 2).sum(2).argmin(1) * 2
+    assert all(got[i]["prediction"] == best[i] and got[i]["m"] == {"k": i} and got[i]["end"] == "9999-12-31 23:59:59" for i in range(300))
+    assert MO.assign_to_centres(df, "v", cents.limit(0)).where("prediction IS NOT NULL").count() == 0
+    assert MO.assign_to_centres(df.limit(0), "v", cents).collect() == []
 
-def test_both_forms_agree_on_offsets_and_missing_values(spark, monkeypatch):
+
+def test_offsets_and_missing_values(spark, monkeypatch):
     from prepframe.operators import evaluate as E
 
     nan, inf = float("nan"), float("inf")
@@ -135,15 +151,9 @@ def test_both_forms_agree_on_offsets_and_missing_values(spark, monkeypatch):
     cents = spark.createDataFrame([(i, [1e8 + i + 0.03, -1e8 + 0.04]) for i in range(3)], "cluster int, centre array<double>")
     full = df.where("id < 60")
 
-    def both():
-        got = {r["id"]: r["prediction"] for r in MO.assign_to_centres(df, "v", cents).collect()}
-        return got, E.silhouette(full.union(df.where("id IN (100, 101, 102, 103)")), "v", "c").collect()[0][0]
-
-    a, sa = both()
-    monkeypatch.setattr(MO, "MAX_LITERAL_VALUES", 0)
-    monkeypatch.setattr(E, "MAX_LITERAL_VALUES", 0)
-    b, sb = both()
-    assert a == b and all(a[i] == (i % 3 if i < 60 else None) for i in a)
+    a = {r["id"]: r["prediction"] for r in MO.assign_to_centres(df, "v", cents).collect()}
+    sa = E.silhouette(full.union(df.where("id IN (100, 101, 102, 103)")), "v", "c").collect()[0][0]
+    assert all(a[i] == (i % 3 if i < 60 else None) for i in a)
     x = np.array([r[1] for r in rows[:60]])
     lab = np.array([r[2] for r in rows[:60]])
     x = x - x.mean(0)
@@ -153,7 +163,7 @@ def test_both_forms_agree_on_offsets_and_missing_values(spark, monkeypatch):
         own = d[i][lab == lab[i]].sum() / ((lab == lab[i]).sum() - 1)
         other = min(d[i][lab == k].mean() for k in range(3) if k != lab[i])
         one.append((other - own) / max(own, other))
-    assert sa == pytest.approx(np.mean(one), abs=1e-6) and sb == pytest.approx(sa, abs=1e-9)
+    assert sa == pytest.approx(np.mean(one), abs=1e-6)
     r = np.random.default_rng(5)
     z = np.stack([1e8 + r.normal(0, 1.3, 300), -1e8 + r.normal(0, 0.5, 300)], 1)
     monkeypatch.setattr(FE, "MAX_SUM_COLUMNS", 1)
