@@ -1,9 +1,9 @@
 """Feature transforms, selection and importance.
 
-Linear projections (PCA, SVD, FLDA) are fitted from ONE distributed aggregate of
-first and second moments (d + d(d+1)/2 sums, d = number of feature columns), solved
-on the driver as a d x d eigenproblem, and applied as plain column expressions -
-no vectors, no Python UDF, whole-stage codegen end to end.
+Linear projections (PCA, SVD, FLDA) are fitted from the first and second moments of the
+d feature columns (one d x d matrix per task, merged row by row; the same for any d), solved
+on the driver as a d x d eigenproblem, and applied as plain column expressions - no vectors,
+no Python UDF.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,64 +20,68 @@ from prepframe._session import cut_lineage
 from prepframe.operators.ordering import exact_percentiles
 
 
-# classes whose moments are collected for FLDA (one row of d + d(d+1)/2 sums each)
+# classes whose sums are collected for FLDA (one row of d sums each)
 MAX_GROUPS = 10_000
 
+# The tasks' partial matrices are merged row by row, in this many groups first and then in one.
+MERGE_GROUPS = 64
 
-# Up to this many columns the d(d+1)/2 cross-product sums are one SQL aggregate;
-# wider inputs use Spark ML's RowMatrix-based Correlation + Summarizer.
-MAX_SUM_COLUMNS = 64
 
+def _gram(base: DataFrame, shift: np.ndarray) -> np.ndarray:
+    """Cross products over all rows of (the array less ``shift``, 1): (d + 1) x (d + 1).
 
-def _moments_wide(base: DataFrame, columns: Sequence[str]):
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Correlation, Summarizer
+    A task adds its Arrow batches to one matrix of its own, whatever the width; the rows of
+    these matrices are summed in two steps, so no merging task reads more than one row of
+    some of the tasks, and only the finished matrix reaches the driver."""
+    d = len(shift) + 1
+    groups = MERGE_GROUPS
+    schema = "part int, i int, v array<double>"
 
-    v = base.select(array_to_vector(F.array(*[F.col(c).cast("double") for c in columns])).alias("_f"))
-    summ = v.select(Summarizer.metrics("count", "mean", "variance").summary(F.col("_f")).alias("s")).collect()[0]["s"]
-    n = int(summ["count"])
-    mean = summ["mean"].toArray()
-    sd = np.sqrt(np.clip(summ["variance"].toArray(), 0, None))
-    corr = np.nan_to_num(Correlation.corr(v, "_f").collect()[0][0].toArray())
-    cov = corr * np.outer(sd, sd)
-    return (n, np.zeros(len(columns)), (n - 1) * cov), mean  # around the mean, as the sums are
+    def table(part, i, v) -> pa.RecordBatch:
+        columns = [pa.array(part, pa.int32()), pa.array(i, pa.int32()), pa.array(list(v), pa.list_(pa.float64()))]
+        return pa.RecordBatch.from_arrays(columns, names=["part", "i", "v"])
+
+    def run(batches):
+        total = np.zeros((d, d))
+        for b in batches:
+            x = np.ones((b.num_rows, d))
+            x[:, :-1] = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, d - 1) - shift
+            total += x.T @ x
+        if total[-1, -1]:
+            yield table([TaskContext.get().partitionId() % groups] * d, range(d), total)
+
+    def merge(rows: pa.Table) -> pa.Table:
+        v = rows["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, d)
+        return pa.Table.from_batches([table([rows["part"][0].as_py()], [rows["i"][0].as_py()], [v.sum(0)])])
+
+    parts = base.mapInArrow(run, schema)
+    rows = parts.groupBy("part", "i").applyInArrow(merge, schema).groupBy("i").applyInArrow(merge, schema)
+    out = np.zeros((d, d))
+    for r in rows.collect():  # d rows
+        out[r["i"]] = r["v"]
+    return out
 
 
 def _moments(df: DataFrame, columns: Sequence[str], group: str | None = None):
-    """Counts, sums and cross-product sums of ``columns`` less their overall means, and
-    those means (rows with any null skipped)."""
+    """``{class: (count, sums)}``, cross products over all classes, both of ``columns`` less
+    their overall means, and those means (rows with any null or NaN skipped)."""
     d = len(columns)
-    xs = [F.col(c).cast("double") for c in columns]
-    ok = None
-    for x in xs:
-        ok = x.isNotNull() & ~F.isnan(x) if ok is None else ok & x.isNotNull() & ~F.isnan(x)
-    base = df.where(ok)
-    if group is None and d > MAX_SUM_COLUMNS:
-        moments, shift = _moments_wide(base, columns)
-        return {None: moments}, shift
+    keys = [] if group is None else [F.col(group).alias("_g")]
+    base = df.select(*keys, *[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    xs = [F.col(f"_{i}") for i in range(d)]
+    # one test over an array: a conjunction of hundreds of terms nests too deeply
+    base = base.where(F.forall(F.array(*xs), lambda v: v.isNotNull() & ~F.isnan(v)))
     # sums of squares are taken around the overall mean, so large offsets do not cancel
     centre = base.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]).collect()[0]  # one row
     shift = np.array([centre[f"m{i}"] or 0.0 for i in range(d)])
-    xs = [x - F.lit(float(m)) for x, m in zip(xs, shift)]
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)]
-    aggs += [F.sum(xs[i] * xs[j]).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
-    if group:
-        grouped = base.groupBy(group).agg(*aggs).limit(MAX_GROUPS + 1).collect()
-        if len(grouped) > MAX_GROUPS:
-            raise ValueError(f"{group}: more than {MAX_GROUPS} classes")
-        rows = grouped
-    else:
-        rows = base.agg(*aggs).collect()
-    out = {}
-    for r in rows:
-        n = r["n"]
-        s = np.array([r[f"s{i}"] or 0.0 for i in range(d)])
-        p = np.zeros((d, d))
-        for i in range(d):
-            for j in range(i, d):
-                p[i, j] = p[j, i] = r[f"p{i}_{j}"] or 0.0
-        out[r[group] if group else None] = (n, s, p)
-    return out, shift
+    gram = _gram(base.select(F.array(*xs).alias("_x")), shift)
+    if group is None:
+        return {None: (int(gram[-1, -1]), gram[-1, :-1])}, gram[:-1, :-1], shift
+    sums = [F.sum(x - F.lit(float(m))).alias(f"s{i}") for i, (x, m) in enumerate(zip(xs, shift))]
+    rows = base.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), *sums).limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"{group}: more than {MAX_GROUPS} classes")
+    return {r[0]: (r[1], np.array(r[2:], float)) for r in rows}, gram[:-1, :-1], shift
 
 
 def _fix_signs(vecs: np.ndarray) -> np.ndarray:
@@ -89,10 +95,10 @@ def _fix_signs(vecs: np.ndarray) -> np.ndarray:
 def _project(df: DataFrame, columns, centre, vecs, prefix: str) -> DataFrame:
     exprs = {}
     for j in range(vecs.shape[1]):
-        e: Column = F.lit(0.0)
-        for i, c in enumerate(columns):
-            e = e + (F.col(c).cast("double") - F.lit(float(centre[i]))) * F.lit(float(vecs[i, j]))
-        exprs[f"{prefix}{j}"] = e
+        terms = [(F.col(c).cast("double") - F.lit(float(centre[i]))) * F.lit(float(vecs[i, j])) for i, c in enumerate(columns)]
+        while len(terms) > 1:  # a balanced sum: hundreds of terms in a row nest too deeply
+            terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+        exprs[f"{prefix}{j}"] = terms[0]
     return df.withColumns(exprs)
 
 
@@ -120,8 +126,8 @@ def fit_pca(df: DataFrame, columns: Sequence[str], k: int, scale: bool = False)
     d = len(columns)
     if not 1 <= k <= d:
         raise ValueError(f"k must be in 1..{d}")
-    stats, shift = _moments(df, columns)
-    n, s, p = stats[None]
+    stats, p, shift = _moments(df, columns)
+    n, s = stats[None]
     mean = shift + s / n
     cov = (p - np.outer(s, s) / n) / (n - 1)
     if scale:
@@ -148,8 +154,8 @@ def fit_svd(df: DataFrame, columns: Sequence[str], k: int) -> LinearProjection:
     d = len(columns)
     if not 1 <= k <= d:
         raise ValueError(f"k must be in 1..{d}")
-    stats, shift = _moments(df, columns)
-    n, s, p = stats[None]
+    stats, p, shift = _moments(df, columns)
+    n, s = stats[None]
     gram = p + np.outer(s, shift) + np.outer(shift, s) + n * np.outer(shift, shift)
     vals, vecs = np.linalg.eigh(gram)
     order = np.argsort(vals)[::-1][:k]
@@ -157,17 +163,17 @@ def fit_svd(df: DataFrame, columns: Sequence[str], k: int) -> LinearProjection:
 
 
 def fit_flda(df: DataFrame, columns: Sequence[str], label: str, k: int | None = None, ridge: float = 1e-9) -> LinearProjection:
-    """Fisher discriminant directions (D35): per-class sums and cross products in one
-    grouped aggregate, then ``Sw^-1 Sb`` on the driver.  At most classes - 1 directions."""
-    stats, shift = _moments(df, columns, group=label)
+    """Fisher discriminant directions (D35): per-class sums in one grouped aggregate, cross
+    products over all classes together, then ``Sw^-1 Sb`` on the driver.  At most classes - 1
+    directions."""
+    stats, sw, shift = _moments(df, columns, group=label)
     d = len(columns)
-    n_all = sum(v[0] for v in stats.values())
-    mean_all = sum(v[1] for v in stats.values()) / n_all
-    sw = np.zeros((d, d))
+    n_all = sum(n for n, _ in stats.values())
+    mean_all = sum(s for _, s in stats.values()) / n_all
     sb = np.zeros((d, d))
-    for n, s, p in stats.values():
+    for n, s in stats.values():
         m = s / n
-        sw += p - n * np.outer(m, m)
+        sw = sw - n * np.outer(m, m)
         diff = m - mean_all
         sb += n * np.outer(diff, diff)
     k = k or min(d, len(stats) - 1)

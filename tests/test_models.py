@@ -141,7 +141,7 @@ def test_many_centres_and_any_payload(spark):
     assert MO.assign_to_centres(df.limit(0), "v", cents).collect() == []
 
 
-def test_offsets_and_missing_values(spark, monkeypatch):
+def test_offsets_and_missing_values(spark):
     from prepframe.operators import evaluate as E
 
     nan, inf = float("nan"), float("inf")
@@ -166,18 +166,39 @@ def test_offsets_and_missing_values(spark, monkeypatch):
     assert sa == pytest.approx(np.mean(one), abs=1e-6)
     r = np.random.default_rng(5)
     z = np.stack([1e8 + r.normal(0, 1.3, 300), -1e8 + r.normal(0, 0.5, 300)], 1)
-    monkeypatch.setattr(FE, "MAX_SUM_COLUMNS", 1)
     vals = FE.fit_pca(spark.createDataFrame([tuple(map(float, t)) for t in z], "a double, b double"), ["a", "b"], 2).values
     assert np.allclose(sorted(vals), sorted(np.linalg.eigvalsh(np.cov((z - z.mean(0)).T))), rtol=1e-3)
 
 
-def test_wide_moments_path_matches(spark, monkeypatch):
+def test_moments_match_numpy(spark):
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     li = spark.read.parquet(f"{SF}/lineitem.parquet")
     a = FE.fit_pca(li, cols, 2)
-    monkeypatch.setattr(FE, "MAX_SUM_COLUMNS", 1)
-    b = FE.fit_pca(li, cols, 2)
-    assert np.allclose(a.components, b.components, atol=1e-6) and np.allclose(a.centre, b.centre)
+    x = li.select(*cols).toPandas().to_numpy(float)
+    vals, vecs = np.linalg.eigh(np.cov(x.T))
+    top = vecs[:, ::-1][:, :2]
+    assert np.allclose(np.abs(a.components), np.abs(top), atol=1e-6) and np.allclose(a.centre, x.mean(0))
+    assert np.allclose(a.values, vals[::-1][:2])
+
+
+def test_moments_of_500_columns_and_10_classes(spark):
+    r = np.random.default_rng(11)
+    names = [f"c{i}" for i in range(500)]
+    y = np.arange(1200) % 10
+    x = r.normal(0, 1, (1200, 500)) + 1e6
+    x[:, 3] += 5 * y
+    rows = [(int(k), v.tolist()) for k, v in zip(y, x)] + [(1, [None] + [0.0] * 499), (2, [float("nan")] + [0.0] * 499)]
+    df = spark.createDataFrame(rows, "y int, v array<double>").repartition(7)
+    df = df.select("y", *[F.col("v")[i].alias(n) for i, n in enumerate(names)])
+    stats, cross, shift = FE._moments(df, names, group="y")
+    assert len(stats) == 10 and all(n == 120 for n, _ in stats.values()) and np.allclose(shift, x.mean(0))
+    z = x - shift
+    assert np.allclose(cross, z.T @ z, atol=1e-4) and all(np.allclose(s, z[y == k].sum(0), atol=1e-4) for k, (_, s) in stats.items())
+    lda = FE.fit_flda(df, names[:80], "y", k=1)
+    assert np.argmax(np.abs(lda.components[:, 0])) == 3
+    got = lda.transform(df.where("c0 IS NOT NULL AND NOT isnan(c0)")).select("y", "lda_0").toPandas()
+    assert np.allclose(sorted(got["lda_0"]), sorted((x[:, :80] - lda.centre) @ lda.components[:, 0]), atol=1e-3)
+    assert np.allclose(FE._moments(df.where("y > 99"), names[:2])[1], 0)
 
 
 def test_moments_with_large_offsets(spark):
