@@ -10,7 +10,8 @@
 2. In Spark every page votes for its best path with its share of the text; votes are summed
    per host and path (partial aggregation), and the strongest path of each host wins.
 3. Every page is read again and its main text is taken from the containers on the host's
-   path; a page that has none of them falls back on its own best container.
+   path; a page that has none of them falls back on its own best container.  The paths are
+   brought to the pages: the html of a host never meets in one task.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
 joined in page order by one space.
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prepframe.llm.common import map_batches, prepare
+from prepframe.llm.common import cut_lineage, map_batches, prepare
 
 # Fixed values of HTML: elements without content, with raw content, and inline elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -399,6 +400,11 @@ def extract(page: str, path: str | None) -> str:
     return text
 
 
+# The hosts' paths are sent to every executor up to so many bytes; beyond, pages are salted.
+MAX_BROADCAST = 32 << 20
+SALTS = 64
+
+
 def host_of(url: str = "url"):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
@@ -419,14 +425,30 @@ def host_paths(pages: DataFrame) -> DataFrame:
     return sums.groupBy("host").agg(F.max(F.struct("votes", "path")).alias("best")).select("host", F.col("best.path").alias("path"))
 
 
-def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def with_host_paths(pages: DataFrame, paths: DataFrame, max_broadcast: int, salts: int = SALTS) -> DataFrame:
+    """``pages`` with the ``path`` of their host.
+
+    A table of paths of at most ``max_broadcast`` bytes goes to the pages, which stay where
+    they are.  A larger one is joined by host and salt, with a copy of each path per salt, so
+    that the pages of one host are spread over ``salts`` groups."""
+    size = paths.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 64)).collect()[0][0] or 0  # one row
+    if size <= max_broadcast:
+        return pages.join(F.broadcast(paths), "host", "left")
+    copies = paths.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    salted = pages.withColumn("_salt", F.pmod(F.xxhash64("html"), F.lit(salts)).cast("int"))
+    return salted.join(copies, ["host", "_salt"], "left").drop("_salt")
+
+
+def extract_pages(
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", max_broadcast: int = MAX_BROADCAST,
+) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     prepare(pages.sparkSession)
     src = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"),
         host_of(url_col).alias("host"),
     )
-    paths = host_paths(src)
+    paths = cut_lineage(host_paths(src))
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         texts = [extract(t, p) for t, p in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
@@ -434,6 +456,6 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
             [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"]
         )
 
-    joined = src.join(paths, "host", "left").select("page_id", "url", "html", "path")
+    joined = with_host_paths(src, paths, max_broadcast).select("page_id", "url", "html", "path")
     kind = dict(src.dtypes)["page_id"]
     return map_batches(joined, run, f"page_id {kind}, url string, text string, n_chars long")

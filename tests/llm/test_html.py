@@ -1,3 +1,6 @@
+import random
+from html.parser import HTMLParser
+
 import pytest
 
 from prepframe.llm import html as H
@@ -43,6 +46,15 @@ def test_host_consensus_overrules_a_page(spark):
     assert got[50]["text"] == "short main" and got[50]["n_chars"] == 10
     assert got[60]["text"] == "" and got[61]["text"] == "alone" and got[62]["n_chars"] == 0
     assert extract_pages(df.limit(0)).collect() == []
+    # Too many paths to broadcast: pages are salted, the rows are the same.
+    assert sorted(map(str, extract_pages(df, max_broadcast=-1).collect())) == sorted(map(str, extract_pages(df).collect()))
+
+
+def test_html_is_not_shuffled(spark):
+    df = spark.createDataFrame([(1, "http://a.org/", "<p>x</p>")], "page_id long, url string, html string")
+    plan = extract_pages(df)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert "SortMergeJoin" in extract_pages(df, max_broadcast=-1)._jdf.queryExecution().executedPlan().toString()
 
 
 LONG = "A sentence of the article itself, which is long enough. " * 12
@@ -106,3 +118,53 @@ def test_tags_without_an_end():
     assert H.parse("a <b c").items and not [x for x in H.parse("x <i 'y>z").items if not isinstance(x, str) and x.tag == "i"]
     root = H.parse("<p title='a > b'>one</p><a 'x>two")
     assert [x.tag for x in root.items if not isinstance(x, str)] == ["p"]
+
+
+class Walker(HTMLParser):
+    """Slow twin for well-formed pages: text of the one <article>, without what is boilerplate by tag or class."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.stack, self.blocks = [], [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.stack.append((tag, dict(attrs).get("class", "")))
+        if tag not in ("b", "a"):
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        assert self.stack.pop()[0] == tag
+        if tag not in ("b", "a"):
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        tags = [t for t, _ in self.stack]
+        if "article" in tags and not {"nav", "aside", "script", "footer"} & set(tags) and "comments" not in [c for _, c in self.stack]:
+            self.blocks[-1] += data
+
+    def text(self):
+        return " ".join(w for b in self.blocks if (w := " ".join(b.split())))
+
+
+def test_random_pages_against_a_slow_walker():
+    r = random.Random(5)
+
+    def words(n):
+        return " ".join(r.choice(["alpha", "b&amp;c", "d&#233;", "e  f", "g\n\th", "&lt;i&gt;", "<b>bold</b>", "x<a href='/q?a>b'>y</a>z"]) for _ in range(n))
+
+    for _ in range(200):
+        inner = []
+        for _ in range(r.randint(1, 7)):
+            kind = r.choice(["p", "h2", "div", "aside", "nav", "script", "comments", "list"])
+            if kind == "comments":
+                inner.append(f"<div class='comments'><p>{words(r.randint(1, 9))}</p></div>")
+            elif kind == "script":
+                inner.append("<script>if (a < b) c();</script>")
+            elif kind == "list":
+                inner.append(f"<ul><li>{words(3)}</li><li>{words(2)}</li></ul>")
+            else:
+                inner.append(f"<{kind}>{words(r.randint(1, 9))}</{kind}>")
+        page = f"<html><body><nav><a href='/'>Home</a></nav><article><p>{words(40)}</p>{''.join(inner)}</article><footer>{words(5)}</footer></body></html>"
+        slow = Walker()
+        slow.feed(page)
+        assert extract(page, "/article") == slow.text(), page
