@@ -99,3 +99,54 @@ def test_dbscan_in_many_dimensions(spark):
         edge = [lab[j] for j in np.flatnonzero(close[i] & core)]
         assert got[i] == (lab[i] if core[i] else min(edge, default=-1), bool(core[i]))
     assert dbscan(df.limit(0), "id", "v", eps=1.0).collect() == []
+
+
+def test_close_decides_like_differences():
+    from prepframe.operators import blocks as B
+
+    rng = np.random.default_rng(5)
+    x = 1e8 + rng.integers(0, 6, size=(200, 3)).astype(float)  # many distances are exactly the bound
+    x[3, 1], x[9, 0] = np.inf, -np.inf
+    with np.errstate(invalid="ignore"):
+        assert (B.close(x, x[50:], 9.0) == (B.squared_distances(x, x[50:]) <= 9.0)).all()
+    unit = rng.normal(size=(300, 64))
+    unit /= np.sqrt((unit**2).sum(1))[:, None]
+    d2 = B.squared_distances(unit, unit)
+    assert (B.close(unit, unit, d2[4, 7]) == (d2 <= d2[4, 7])).all()
+
+
+def test_rows_go_once_to_a_chunk_of_cells(spark):
+    # without clusters a row must meet nearly all cells: a copy per cell was too much to send
+    from pyspark.sql import functions as F
+
+    from prepframe.operators import blocks as B
+
+    x = np.random.default_rng(6).normal(size=(900, 48))
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    points = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "_id long, _v array<double>").cache()
+    pivots = B.Pivots(points, 300)
+    met = pivots.within(points, 1.3)
+    assert met.count() == 900
+    chunks = met.select(F.explode("_reach").alias("r")).select("r.chunk", F.size("r.cells").alias("n")).agg(F.count("*"), F.sum("n")).collect()[0]
+    assert chunks[0] <= 900 * 6 and chunks[1] > 900 * 20
+    dealt = pivots.dealt(points.withColumnRenamed("_id", "_rid"))
+    assert max(r["count"] for r in dealt.groupBy("_chunk").count().collect()) <= 300
+
+
+def test_neighbours_without_clusters_equal_brute_force(spark):
+    from prepframe.operators.neighbors import knn_neighbours
+
+    x = np.random.default_rng(8).normal(size=(700, 32))
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    x[100:140] = x[100]  # equal vectors: ties by id
+    df = spark.createDataFrame([(i, [float(v) for v in p], i % 4) for i, p in enumerate(x)], "id long, v array<double>, y int")
+    got = {}
+    for r in knn_neighbours(df.where("id % 5 != 0"), df.where("id % 5 = 0"), "v", "y", 6, "id", "id", chunk_rows=150).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["ref_id"], r["y"]))
+    refs = np.array([i for i in range(700) if i % 5])
+    for i in range(0, 700, 5):
+        d2 = np.zeros(len(refs))
+        for k in range(32):
+            d2 += (x[i, k] - x[refs, k]) ** 2
+        first = refs[np.lexsort((refs, d2))[:6]]
+        assert sorted(got[i]) == [(n + 1, j, j % 4) for n, j in enumerate(first)]
