@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prepframe._session import cut_lineage
-from prepframe.operators.ordering import exact_percentiles
+from prepframe.operators.ordering import exact_percentiles, join_groups
 
 
 # classes whose sums are collected for FLDA (one row of d sums each)
@@ -215,12 +215,7 @@ def flag_anomalies(df: DataFrame, bounds: DataFrame, columns: Sequence[str], gro
     g = list(group_by)
     wide = bounds.groupBy(*g).pivot("col", list(columns)).agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"))
     if g:
-        side = wide.select(*[F.col(c).alias(f"_g_{c}") for c in g], *[c for c in wide.columns if c not in g])
-        cond = None
-        for c in g:
-            e = F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-            cond = e if cond is None else cond & e
-        out = df.join(side, cond, "left").drop(*[f"_g_{c}" for c in g])
+        out = join_groups(df, wide, g, "left")
     else:
         r = wide.collect()[0].asDict()
         out = df.withColumns({f"{c}_lo": F.lit(r[f"{c}_lo"]) for c in columns}).withColumns({f"{c}_hi": F.lit(r[f"{c}_hi"]) for c in columns})

@@ -205,6 +205,8 @@ def ordered_totals(
         local = local.withColumn("_cum_" + c, F.sum(F.coalesce(F.col(c), F.lit(0))).over(run))
 
     totals = marked.groupBy("_b", *pcols).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias("_t_" + c) for c in sums])
+    if group_totals:
+        totals = cut_lineage(totals)  # read for the offsets and for the groups
     before = Window.partitionBy(*pcols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         F.col("_b").alias("_o_b"),
@@ -262,18 +264,36 @@ def _pick_percentiles(ranked, g, qs, names, n_col, below_cols=None, qi_col=None)
     return picked, picked.select(*out)
 
 
+# A table of groups goes to the rows up to so many groups; beyond, the rows are salted.
+GROUPS_SENT = 10_000
+SALTS = 64
+
+
+def join_groups(df: DataFrame, table: DataFrame, g: Sequence[str], how: str = "inner") -> DataFrame:
+    """Add a table's columns to the rows of their group (null-safe).
+
+    A small table goes to the rows, which stay where they are.  A larger one is joined by group
+    and salt, with a copy of each group per salt, so that the rows of one group are spread over
+    SALTS tasks."""
+    side = table.select(*[F.col(c).alias("_gk_" + c) for c in g], *[c for c in table.columns if c not in g])
+    cond = F.lit(True)
+    for c in g:
+        cond = cond & F.col(c).eqNullSafe(F.col("_gk_" + c))
+    if table.limit(GROUPS_SENT + 1).count() <= GROUPS_SENT:
+        return df.join(F.broadcast(side), cond, how).drop(*["_gk_" + c for c in g])
+    side = side.withColumn("_gk_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    out = salted.join(side, cond & (F.col("_salt") == F.col("_gk_salt")), how)
+    return out.drop("_salt", "_gk_salt", *["_gk_" + c for c in g])
+
+
 def _attach_group_table(df: DataFrame, table: DataFrame, g: list[str], how: str = "inner") -> DataFrame:
     """Add per-group columns: literals for the global case (one row), else a null-safe join."""
     if not g:
         row = table.collect()
         vals = row[0].asDict() if row else {}
         return df.withColumns({c: F.lit(v) for c, v in vals.items()})
-    side = table.select(*[F.col(c).alias("_gk_" + c) for c in g], *[c for c in table.columns if c not in g])
-    cond = None
-    for c in g:
-        e = F.col(c).eqNullSafe(F.col("_gk_" + c))
-        cond = e if cond is None else cond & e
-    return df.join(side, cond, how).drop(*["_gk_" + c for c in g])
+    return join_groups(df, table, g, how)
 
 
 def exact_percentiles(

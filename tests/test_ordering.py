@@ -157,3 +157,29 @@ def test_buckets_survive_a_hot_tuple(spark, hot):
     df = spark.range(44_000).select(F.when(F.col("id") % 3 == 0, F.lit(hot * 7919)).otherwise(F.col("id")).alias("k"))
     sizes = [r["count"] for r in df.groupBy(_bucket(df, [("k", True)], 16).alias("b")).count().collect()]
     assert len(sizes) >= 10 and sum(n > 4 * 44_000 / 16 for n in sizes) <= 1
+
+
+def test_rows_stay_where_they_are_when_groups_are_joined(spark, monkeypatch):
+    from prepframe.operators import ordering as O
+
+    df = spark.createDataFrame([(None if i % 5 == 0 else f"g{i % 3}", float(i)) for i in range(300)], "g string, v double")
+    table = df.groupBy("g").agg(F.sum("v").alias("s"))
+    want = sorted((str(r["g"]), r["v"], r["s"]) for r in df.join(table.withColumnRenamed("g", "k"), F.col("g").eqNullSafe(F.col("k"))).collect())
+    small = O.join_groups(df, table, ["g"])
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    monkeypatch.setattr(O, "GROUPS_SENT", 1)  # a larger table: by group and salt
+    large = O.join_groups(df, table, ["g"])
+    assert "_salt" in large._jdf.queryExecution().executedPlan().toString()
+    for out in (small, large):
+        assert sorted((str(r["g"]), r["v"], r["s"]) for r in out.collect()) == want
+
+
+def test_fences_send_no_rows_by_group(spark):
+    from prepframe.operators import features as FE
+
+    df = spark.createDataFrame([("a" if i % 4 else "b", float(i if i < 90 else 10_000)) for i in range(100)], "g string, v double")
+    bounds = FE.fit_anomaly_bounds(df, ["v"], "iqr", group_by=["g"])
+    out = FE.flag_anomalies(df, bounds, ["v"], group_by=["g"])
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r["g"]: r["n"] for r in out.where("v_outlier").groupBy("g").agg(F.count("*").alias("n")).collect()} == {"a": 8, "b": 2}
