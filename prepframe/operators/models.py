@@ -151,7 +151,8 @@ def _encode_label(df: DataFrame, label: str, labels: list, numeric: bool, out: s
     kind = df.schema[label].dataType
     schema = StructType([StructField("_lab", kind), StructField(out, DoubleType())])
     table = df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(labels)], schema)
-    return df.join(table, F.col(label) == F.col("_lab"), "left").drop("_lab")
+    # at most MAX_CLASSES rows, sent to the rows where they are: by label, a class would be one task
+    return df.join(F.broadcast(table), F.col(label) == F.col("_lab"), "left").drop("_lab")
 
 
 def fit(

@@ -288,3 +288,13 @@ def test_one_hot_vector_of_many_labels(spark):
     got = {r["s"]: r["s_vec"] for r in C.one_hot_vector(new, "s", codes, drop=False).collect()}
     assert got["v0"] == SparseVector(100_000, [0], [1.0]) and got["v99999"] == SparseVector(100_000, [99_999], [1.0])
     assert got["zz"] == got[None] == SparseVector(100_000, [], [])
+
+
+def test_labels_are_numbered_without_a_shuffle_by_class(spark):
+    from prepframe.operators import models as M
+
+    df = spark.createDataFrame([(float(i), ("low", "mid", None)[i % 3]) for i in range(60)], "x double, y string")
+    out = M._encode_label(df, "y", ["low", "mid"], False)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {(r["y"], r["_label_idx"]) for r in out.collect()} == {("low", 0.0), ("mid", 1.0), (None, None)}
