@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, NumericType, StructField, StructType
 
+from prepframe._session import cut_lineage
 from prepframe.operators import evaluate as E
 from prepframe.operators.split import HASH_SPACE, hash_bucket
 
@@ -33,6 +34,8 @@ from prepframe.operators.split import HASH_SPACE, hash_bucket
 #   k-means:           K, init, n_init, max_iter, tol
 KINDS = ("binary", "multiclass", "regression")
 MAX_CLASSES = 10_000
+# A task of a learner reads about so many rows at most, however few partitions the input has.
+ROWS_PER_TASK = 1_000_000
 
 
 def _classification(algo: str, params: dict, seed: int, multiclass: bool):
@@ -155,6 +158,18 @@ def _encode_label(df: DataFrame, label: str, labels: list, numeric: bool, out: s
     return df.join(F.broadcast(table), F.col(label) == F.col("_lab"), "left").drop("_lab")
 
 
+def _in_tasks(data: DataFrame) -> DataFrame:
+    """``data`` persisted (memory and disk; lost blocks are recomputed from lineage), dealt out anew
+    where it has more than ROWS_PER_TASK rows a partition."""
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = -(-data.count() // ROWS_PER_TASK)
+    if tasks <= data.rdd.getNumPartitions():
+        return data
+    numbered = cut_lineage(data.withColumn("_row", F.monotonically_increasing_id()))  # the numbers stay if a task is repeated
+    data.unpersist()
+    return numbered.repartition(tasks, "_row").drop("_row").persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit(
     df: DataFrame, features: Sequence[str], label: str, estimator, kind: str, weight: str | None = None
 ) -> FittedModel:
@@ -166,10 +181,9 @@ def fit(
     estimator.setFeaturesCol("_features")
     if hasattr(estimator, "setPredictionCol"):
         estimator.setPredictionCol("_pred")
-    # iterative learners scan the input many times: keep only the needed columns,
-    # computed once (memory and disk; lost blocks are recomputed from lineage)
+    # iterative learners scan the input many times: keep only the needed columns, computed once
     needed = list(dict.fromkeys(features + [label] + ([weight] if weight else [])))
-    data = data.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
+    data = _in_tasks(data.select(*needed))
     try:
         if kind == "regression":
             estimator.setLabelCol(label)

@@ -298,3 +298,19 @@ def test_labels_are_numbered_without_a_shuffle_by_class(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert {(r["y"], r["_label_idx"]) for r in out.collect()} == {("low", 0.0), ("mid", 1.0), (None, None)}
+
+
+def test_learners_read_bounded_partitions(spark, monkeypatch):
+    from prepframe.operators import models as M
+
+    df = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id % 7 AS DOUBLE) AS y").coalesce(1)
+    same = M._in_tasks(df)
+    assert same.rdd.getNumPartitions() == 1  # few rows stay as they are
+    same.unpersist()
+    monkeypatch.setattr(M, "ROWS_PER_TASK", 100)
+    dealt = M._in_tasks(df)
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 1000 and len(sizes) >= 8 and max(sizes) < 250
+    assert dealt.agg(F.sum("x")).collect()[0][0] == 499500.0
+    m = M.fit(df, ["x"], "y", M.make_estimator("regression", "linear_regression"), "regression")
+    assert M.score(m, df).where("prediction IS NOT NULL").count() == 1000
