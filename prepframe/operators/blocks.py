@@ -217,9 +217,25 @@ class Block:
     def __init__(self, a: pa.Table, b: pa.Table):
         self.a, self.b = a, b.sort_by([("_cell", "ascending"), ("_rid", "ascending")])
         self.x, self.y = matrix(a["_v"]), matrix(self.b["_v"])
+        self._bounds()
+
+    def _bounds(self) -> None:
         self.cells, self.starts = np.unique(self.b["_cell"].to_numpy(), return_index=True)
         self.ends = np.append(self.starts[1:], len(self.y))
 
+    def leave_copies(self, k: int) -> None:
+        """Keep the first ``k`` references of every vector: the others are as far and have larger ids."""
+        if not self.y.size:
+            return
+        bits = np.ascontiguousarray(self.y).view(np.dtype((np.void, self.y.itemsize * self.y.shape[1]))).ravel()
+        same = np.unique(bits, return_inverse=True)[1]
+        order = np.argsort(same, kind="stable")  # copies are of one cell, so by id
+        rank = np.arange(len(same)) - np.searchsorted(same[order], same[order])
+        kept = np.sort(order[rank < k])
+        if len(kept) < len(same):
+            self.b, self.y = self.b.take(kept), self.y[kept]
+            self._bounds()
+
     def tiles(self) -> Iterator[Iterator[tuple[np.ndarray, slice, int]]]:
         """For every TILE points their tiles: points, references and the cell of these."""
         for at in range(0, len(self.x), TILE):

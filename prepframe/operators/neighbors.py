@@ -26,6 +26,7 @@ from prepframe.operators import blocks as B
 
 def _best(k: int, pivots: np.ndarray):
     def kernel(block: B.Block) -> dict:
+        block.leave_copies(k)  # else all copies of a vector are candidates of every query
         n = len(block.x)
         ids, dp = B.integers(block.b["_rid"]), block.b["_dp"].to_numpy()
         # squared bounds of the k-th distance: they shrink as nearer rows are found

@@ -150,3 +150,38 @@ def test_neighbours_without_clusters_equal_brute_force(spark):
             d2 += (x[i, k] - x[refs, k]) ** 2
         first = refs[np.lexsort((refs, d2))[:6]]
         assert sorted(got[i]) == [(n + 1, j, j % 4) for n, j in enumerate(first)]
+
+
+def test_many_copies_of_a_vector_are_few_candidates():
+    # every pair of a tile was a candidate, held and sorted: here 83 MB
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from prepframe.operators import blocks as B
+    from prepframe.operators.neighbors import _best
+
+    rng = np.random.default_rng(9)
+    y = np.tile(rng.normal(size=8), (3000, 1))
+    y[::100] = rng.normal(size=(30, 8))
+    x = np.vstack([y[1:1200], rng.normal(size=(10, 8))])
+    rid = rng.permutation(3000)
+
+    def rows(v, **more):
+        return pa.table({"_v": pa.array(v.tolist(), pa.list_(pa.float64()))} | more)
+
+    at = np.zeros((1, 8))
+    a = rows(x, _id=pa.array(np.arange(len(x))), _radius=pa.array(np.full(len(x), np.inf)), _cells=pa.array([[0]] * len(x), pa.list_(pa.int32())))
+    dp = np.sqrt(B.squared_distances(y, at)[:, 0])
+    b = rows(y, _rid=pa.array(rid), _dp=pa.array(dp), _cell=pa.array(np.zeros(3000, np.int64)), _lab=pa.array(rid % 3))
+    tracemalloc.start()
+    out = _best(4, at)(B.Block(a, b))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = {}
+    for i, r, lab in zip(out["_id"].to_pylist(), out["_rid"].to_pylist(), out["_lab"].to_pylist()):
+        got.setdefault(i, []).append((r, lab))
+    for i in range(0, len(x), 7):
+        first = rid[np.lexsort((rid, B.squared_distances(x[i : i + 1], y)[0]))[:4]]
+        assert sorted(got[i]) == sorted((r, r % 3) for r in first)
+    assert sum(map(len, got.values())) == 4 * len(x) and most < 20e6, most
