@@ -162,8 +162,9 @@ def _in_tasks(data: DataFrame) -> DataFrame:
     """``data`` persisted (memory and disk; lost blocks are recomputed from lineage), dealt out anew
     where it has more than ROWS_PER_TASK rows a partition."""
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    tasks = -(-data.count() // ROWS_PER_TASK)
-    if tasks <= data.rdd.getNumPartitions():
+    held = data.select(F.spark_partition_id().alias("_part")).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("_part").alias("parts")).collect()[0]
+    tasks = -(-held["rows"] // ROWS_PER_TASK)
+    if tasks <= held["parts"]:
         return data
     numbered = cut_lineage(data.withColumn("_row", F.monotonically_increasing_id()))  # the numbers stay if a task is repeated
     data.unpersist()
