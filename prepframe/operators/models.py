@@ -7,7 +7,9 @@ Spark ML does the distributed work; this module fixes the plumbing:
 * ``prediction`` is decoded back to the original label with a built-in
   ``element_at`` over the label list (no IndexToString on the truth column);
 * class probabilities come out as ``p_<label>`` double columns via
-  ``vector_to_array`` (no per-row Python).
+  ``vector_to_array`` (no per-row Python);
+* classifiers by trees over few features learn from and score by cells (a bin of each
+  feature): a tree sees a row only through its bins, so rows are counted by cell and class.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,14 @@ KINDS = ("binary", "multiclass", "regression")
 MAX_CLASSES = 10_000
 # A task of a learner reads about so many rows at most, however few partitions the input has.
 ROWS_PER_TASK = 1_000_000
+# Classifiers by trees learn from counted cells where bins to the power of the features, times the
+# classes, is at most this; of so many rows Spark's learner looks at all for its thresholds.
+MAX_CELLS = 10_000
+# Parameters under which a row counts through its bins and class alone.
+CELL_PARAMS = {
+    "featuresCol", "labelCol", "predictionCol", "classifier", "parallelism", "seed", "impurity", "maxDepth", "maxBins", "numTrees", "maxIter", "stepSize",
+    "minInstancesPerNode",
+}
 
 
 def _classification(algo: str, params: dict, seed: int, multiclass: bool):
@@ -171,11 +181,157 @@ def _in_tasks(data: DataFrame) -> DataFrame:
     return numbered.repartition(tasks, "_row").drop("_row").persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _cell_bins(estimator, data: DataFrame, features: Sequence[str], n_classes: int) -> int:
+    """Bins per feature if ``estimator`` can learn from counted cells, else 0."""
+    from pyspark.ml import classification as C
+
+    tree = estimator.getClassifier() if isinstance(estimator, C.OneVsRest) else estimator
+    kinds = (C.DecisionTreeClassifier, C.GBTClassifier) if tree is not estimator else (C.DecisionTreeClassifier, C.GBTClassifier, C.RandomForestClassifier)
+    if not isinstance(tree, kinds) or not all(isinstance(data.schema[c].dataType, NumericType) for c in features):
+        return 0
+    given = {p.name for e in (estimator, tree) for p in e.params if e.isSet(p)}
+    if not given <= CELL_PARAMS or tree.getMinInstancesPerNode() > 1:  # counted in rows, and a cell is one row
+        return 0
+    return tree.getMaxBins() if n_classes * tree.getMaxBins() ** len(features) <= MAX_CELLS else 0
+
+
+def _thresholds(values: Sequence[float], bins: int) -> list[float]:
+    """At most ``bins`` - 1 thresholds (values up to one lie left of it) by the rule of Spark's tree
+    learners: between all distinct values if they are few enough, else about equally many apart."""
+    import numpy as np
+
+    distinct, counts = np.unique(np.asarray(values, dtype=np.float64), return_counts=True)
+    with np.errstate(invalid="ignore"):  # between both infinities
+        halves = distinct[:-1] / 2 + distinct[1:] / 2
+    middle = [float(m) if m < b else float(a) for a, b, m in zip(distinct, distinct[1:], halves)]
+    if len(middle) < bins:
+        return middle
+    out, seen, stride = [], counts[0], len(values) / bins
+    target = stride
+    for i, n in enumerate(counts[1:]):
+        if abs(seen - target) < abs(seen + n - target):
+            out.append(middle[i])
+            target += stride
+        seen += n
+    return out
+
+
+def _bucketizer(data: DataFrame, features: Sequence[str], bins: int):
+    """The features' bins, between 10,000 order statistics of all rows at equal steps (of fewer rows, each one)."""
+    import math
+
+    ranks = " ".join(str((i + 0.5) / 10_000) for i in range(10_000))
+    got = data.select(*[F.col(c).cast("double").alias(f"_x_{i}") for i, c in enumerate(features)]).agg(
+        *[F.expr(f"percentile_approx(_x_{i}, CAST(split('{ranks}', ' ') AS ARRAY<DOUBLE>), 10000)") for i in range(len(features))]
+    ).collect()[0]  # one row
+    splits = []
+    for values in got:
+        # a bin holds its lower end: the next double after a threshold; a feature of one value gets a split that no tree uses
+        inner = [math.nextafter(t, math.inf) for t in _thresholds(values or [], bins)]
+        splits.append([-math.inf, *([t for t in inner if t < math.inf] or [0.0]), math.inf])
+    return Bucketizer(splitsArray=splits, inputCols=list(features), outputCols=[f"_bin_{i}" for i in range(len(features))])
+
+
+def _fit_cells(data: DataFrame, features: Sequence[str], label: str, estimator, labels: list, numeric: bool, bins: int) -> PipelineModel:
+    """The pipeline (bins, assembler, model) of a classifier by trees, learnt from cells with their numbers of rows.
+
+    One tree and boosted trees find what they find over the rows, binned alike.  A forest's
+    bootstrap draws a row Poisson(1) times, so n equal rows Poisson(n) times: each cell's n is
+    drawn anew for each tree."""
+    import numpy as np
+    from pyspark.ml import classification as C
+
+    spark = data.sparkSession
+    whole = data.where(_complete(data, features))
+    bucketizer = _bucketizer(whole, features, bins)
+    names = bucketizer.getOutputCols()
+    at = _cell(names, bucketizer.getSplitsArray())
+    counted = bucketizer.transform(whole).groupBy(at.alias("_cell"), label).agg(F.count(F.lit(1)).alias("_n"))
+    got = _encode_label(counted, label, labels, numeric).select("_cell", "_label_idx", "_n").collect()  # at most MAX_CELLS rows
+    got = sorted((int(r["_cell"]), r["_label_idx"], float(r["_n"])) for r in got)
+    sizes = [len(s) - 1 for s in bucketizer.getSplitsArray()]
+    places = [[float(b) for b in np.unravel_index(c, sizes)] for c, _, _ in got]
+    draws, weights = [], ["_n"]
+    if isinstance(estimator, C.RandomForestClassifier):
+        rng, n = np.random.default_rng(estimator.getSeed() % 2**64), np.array([r[2] for r in got])
+        for _ in range(estimator.getNumTrees()):
+            drawn = rng.poisson(n).astype(float)
+            draws.append(drawn if drawn.any() else n)
+        weights = [f"_n_{t}" for t in range(len(draws))]
+    columns = draws or [[r[2] for r in got]]
+    schema = StructType([StructField(c, DoubleType()) for c in (*names, "_label_idx", *weights)])
+    table = spark.createDataFrame([(*p, r[1], *(float(w[i]) for w in columns)) for i, (p, r) in enumerate(zip(places, got))], schema)
+    # the number of classes goes with the column: a draw may miss a rare one
+    known = {"ml_attr": {"type": "nominal", "num_vals": len(labels)}}
+    assembler = VectorAssembler(inputCols=names, outputCol="_features")
+    cells = assembler.transform(table).withColumn("_label_idx", F.col("_label_idx").alias("_label_idx", metadata=known))
+    cells = cells.coalesce(1).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if not draws:
+            model = estimator.copy({estimator.weightCol: "_n"}).fit(cells)
+        else:
+            model = _forest(estimator, cells, weights, len(labels))
+    finally:
+        cells.unpersist()
+    return PipelineModel([bucketizer, assembler, model])
+
+
+def _forest(estimator, cells: DataFrame, weights: Sequence[str], n_classes: int):
+    """A forest of one tree per weight column; as in a forest fitted at once, a node of several trees looks at sqrt(features) of them."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    def one(t: int):
+        def job():
+            single = estimator.copy({
+                estimator.numTrees: 1, estimator.bootstrap: False, estimator.weightCol: weights[t], estimator.seed: estimator.getSeed() + t,
+                estimator.featureSubsetStrategy: "sqrt" if len(weights) > 1 else "all",
+            })
+            return single.fit(cells.where(F.col(weights[t]) > 0))
+
+        return job
+
+    trees = _concurrently(cells.sparkSession, [one(t) for t in range(len(weights))], POOLS)
+    sc = cells.sparkSession.sparkContext
+    kind = sc._jvm.org.apache.spark.ml.classification
+    held = sc._gateway.new_array(kind.DecisionTreeClassificationModel, len(trees))
+    for t, m in enumerate(trees):
+        held[t] = m._java_obj.trees()[0]
+    java = kind.RandomForestClassificationModel(estimator.uid, held, trees[0].numFeatures, n_classes)
+    return estimator._copyValues(RandomForestClassificationModel(java))
+
+
+def _cell(names: Sequence[str], splits: Sequence[Sequence[float]]) -> Column:
+    """Number of the cell of a row's bins, the last feature's bins next to each other."""
+    at = F.lit(0)
+    for name, s in zip(names, splits):
+        at = at * (len(s) - 1) + F.col(name).cast("int")
+    return at
+
+
+def _by_cells(pipeline: PipelineModel) -> bool:
+    """Whether the pipeline is one of :func:`_fit_cells`."""
+    first = pipeline.stages[0]
+    return isinstance(first, Bucketizer) and first.isSet(first.outputCols) and first.getOutputCols()[0] == "_bin_0"
+
+
+def _scored_cells(pipeline: PipelineModel, spark: SparkSession) -> DataFrame:
+    """``_cell`` and what the model gives for it, one row for each of its at most MAX_CELLS cells."""
+    names, splits = pipeline.stages[0].getOutputCols(), pipeline.stages[0].getSplitsArray()
+    sizes = [len(s) - 1 for s in splits]
+    n, bins = 1, []
+    for name, size in reversed(list(zip(names, sizes))):
+        bins.append(F.expr(f"CAST(id DIV {n} % {size} AS DOUBLE)").alias(name))
+        n *= size
+    grid = spark.range(0, n, 1, 1).select(F.col("id").cast("int").alias("_cell"), *bins)
+    return PipelineModel(pipeline.stages[1:]).transform(grid)
+
+
 def fit(
     df: DataFrame, features: Sequence[str], label: str, estimator, kind: str, weight: str | None = None
 ) -> FittedModel:
     """Train (M6).  Rows with a null label are dropped; ``binary`` requires exactly two
-    classes.  Returns a :class:`FittedModel`."""
+    classes.  Returns a :class:`FittedModel`.  Classifiers by trees over few features learn from
+    the rows counted by cell and class (MAX_CELLS), all others from the rows one by one."""
     features = list(features)
     data = df.where(F.col(label).isNotNull())
     assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="skip")
@@ -184,7 +340,9 @@ def fit(
         estimator.setPredictionCol("_pred")
     # iterative learners scan the input many times: keep only the needed columns, computed once
     needed = list(dict.fromkeys(features + [label] + ([weight] if weight else [])))
-    data = _in_tasks(data.select(*needed))
+    data = data.select(*needed)
+    countable = kind != "regression" and _cell_bins(estimator, data, features, 2) > 0
+    data = data.persist(StorageLevel.MEMORY_AND_DISK) if countable else _in_tasks(data)
     try:
         if kind == "regression":
             estimator.setLabelCol(label)
@@ -194,6 +352,11 @@ def fit(
         labels, numeric = _label_index(data, label)
         if kind == "binary" and len(labels) != 2:
             raise ValueError(f"binary classification needs exactly 2 label values, found {len(labels)}")
+        if countable:
+            if bins := _cell_bins(estimator, data, features, len(labels)):
+                estimator.setLabelCol("_label_idx")
+                return FittedModel(_fit_cells(data, features, label, estimator, labels, numeric, bins), features, kind, labels, numeric)
+            data = _in_tasks(data)
         data2 = _encode_label(data, label, labels, numeric)
         estimator.setLabelCol("_label_idx")
         model = Pipeline(stages=[assembler, estimator]).fit(data2)
@@ -233,30 +396,39 @@ def score(model: FittedModel, df: DataFrame, keep_probability: bool = True) -> D
 
     Every input row is kept: where a feature is missing (null or NaN) the prediction and
     the probabilities are null.  Margin models without probabilities (SVM) give ``margin``."""
-    feats = list(model.features)
+    feats, stages = list(model.features), model.pipeline.stages
     saved = {c: f"_in_{i}" for i, c in enumerate(feats)}
+    drop = {"_features", "_pred", "rawPrediction", "probability", "_ok", *saved.values()}
     filled = df.withColumn("_ok", _complete(df, feats)).withColumns({saved[c]: F.col(c) for c in feats})
     filled = filled.withColumns({c: F.when(F.col("_ok"), F.col(c).cast("double")).otherwise(0.0) for c in feats})
-    out = model.pipeline.transform(filled)
-    out = out.withColumns({c: F.col(saved[c]) for c in feats})
-    cols = set(out.columns)
+    if _by_cells(model.pipeline):  # the cells are scored once and sent to the rows; an incomplete row has none
+        cells = _scored_cells(model.pipeline, df.sparkSession)
+        given = _given(model, set(cells.columns), keep_probability)
+        cells = cells.select("_cell", *[x.alias(f"_out_{i}") for i, x in enumerate(given.values())])
+        names = stages[0].getOutputCols()
+        out = stages[0].transform(filled).withColumn("_cell", F.when(F.col("_ok"), _cell(names, stages[0].getSplitsArray())))
+        out = out.join(F.broadcast(cells), "_cell", "left")
+        new = {name: F.col(f"_out_{i}") for i, name in enumerate(given)}
+        drop |= {"_cell", *names, *cells.columns}
+    else:
+        out = model.pipeline.transform(filled)
+        new = {name: F.when(F.col("_ok"), x) for name, x in _given(model, set(out.columns), keep_probability).items()}
+    out = out.withColumns({c: F.col(saved[c]) for c in feats}).withColumns(new)
+    return out.select(*df.columns, *[c for c in out.columns if c not in df.columns and c not in drop])
 
-    def known(x: Column) -> Column:
-        return F.when(F.col("_ok"), x)
 
+def _given(model: FittedModel, columns: set[str], keep_probability: bool) -> dict[str, Column]:
+    """The columns that scoring adds, from the ``columns`` of the pipeline's output."""
     if model.kind == "regression":
-        out = out.withColumn("prediction", known(F.col("_pred")))
-    else:
-        lab = F.array(*[F.lit(v) for v in model.labels])
-        new = {"prediction": known(F.element_at(lab, F.col("_pred").cast("int") + 1))}
-        if keep_probability and "probability" in cols:
-            arr = vector_to_array(F.col("probability"))
-            new |= {name: known(arr[i]) for i, name in enumerate(prob_names(model.labels))}
-        elif keep_probability and "rawPrediction" in cols and model.kind == "binary":
-            new["margin"] = known(vector_to_array(F.col("rawPrediction"))[1])
-        out = out.withColumns(new)
-    drop = [c for c in ("_features", "_pred", "rawPrediction", "probability", "_ok", *saved.values()) if c in cols]
-    return out.drop(*drop).select(*df.columns, *[c for c in out.columns if c not in df.columns and c not in drop])
+        return {"prediction": F.col("_pred")}
+    lab = F.array(*[F.lit(v) for v in model.labels])
+    new = {"prediction": F.element_at(lab, F.col("_pred").cast("int") + 1)}
+    if keep_probability and "probability" in columns:
+        arr = vector_to_array(F.col("probability"))
+        new |= {name: arr[i] for i, name in enumerate(prob_names(model.labels))}
+    elif keep_probability and "rawPrediction" in columns and model.kind == "binary":
+        new["margin"] = vector_to_array(F.col("rawPrediction"))[1]
+    return new
 
 
 # ------------------------------------------------------------------ clustering

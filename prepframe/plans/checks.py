@@ -204,7 +204,7 @@ SELECT algo, n, classes, CAST(0 AS BIGINT) AS bad_probability, true AS learnt FR
 )
 def multiclass_invariants(spark, sf):
     # three classes cut out of one feature: trees learn them but for the rows at the bin borders
-    data = cut_lineage(load(spark, sf, "lineitem").select("l_quantity", "l_tax", F.expr(_SIZES).alias("size")))
+    data = load(spark, sf, "lineitem").select("l_quantity", "l_tax", F.expr(_SIZES).alias("size"))
     rows = None
     for algo, params in (("random_forest", dict(treeNum=5, maxDepth=4)), ("decision_tree", dict(maxDepth=4)), ("gbdt", dict(maxIter=3, maxDepth=3))):
         m = MO.fit(data, ["l_quantity", "l_tax"], "size", MO.make_estimator("multiclass", algo, **params), "multiclass")

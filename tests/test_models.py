@@ -314,3 +314,91 @@ def test_learners_read_bounded_partitions(spark, monkeypatch):
     assert dealt.agg(F.sum("x")).collect()[0][0] == 499500.0
     m = M.fit(df, ["x"], "y", M.make_estimator("regression", "linear_regression"), "regression")
     assert M.score(m, df).where("prediction IS NOT NULL").count() == 1000
+
+
+@pytest.fixture(scope="module")
+def grades(spark):
+    """Features of 20 and 9 values, one of them rare, nulls and NaN, three classes."""
+    rng = np.random.default_rng(21)
+    rows = [(i, float(rng.integers(1, 21)), float(rng.integers(0, 8)) / 100) for i in range(4000)]
+    rows = [(i, a, b, "low" if a + 40 * b < 7 else "mid" if a < 15 or rng.random() < 0.1 else "top") for i, a, b in rows]
+    rows += [(4000, 3.0, 9.0, "top"), (4001, None, 0.01, "mid"), (4002, 4.0, float("nan"), "low"), (4003, 5.0, 0.02, None)]
+    return spark.createDataFrame(rows, "id int, a double, b double, y string").repartition(5).cache()
+
+
+def _by_cells_and_rows(monkeypatch, df, kind, algo, **params):
+    out = []
+    for cells in (10_000, 0):
+        monkeypatch.setattr(MO, "MAX_CELLS", cells)
+        m = MO.fit(df, ["a", "b"], "y", MO.make_estimator(kind, algo, **params), kind)
+        out.append((m, {r["id"]: r for r in MO.score(m, df).collect()}))
+    assert len(out[0][0].pipeline.stages) == 3 and len(out[1][0].pipeline.stages) == 2
+    return out
+
+
+@pytest.mark.parametrize("kind,algo", [("multiclass", "decision_tree"), ("multiclass", "gbdt"), ("binary", "decision_tree"), ("binary", "gbdt")])
+def test_trees_over_cells_are_those_over_rows(grades, monkeypatch, kind, algo):
+    df = grades if kind == "multiclass" else grades.where("y <> 'mid' OR y IS NULL")
+    (_, a), (_, b) = _by_cells_and_rows(monkeypatch, df, kind, algo, maxDepth=4, **({"maxIter": 3} if algo == "gbdt" else {}))
+    assert a.keys() == b.keys() and next(iter(a.values())).asDict().keys() == next(iter(b.values())).asDict().keys()
+    for i, r in a.items():
+        for c, v in r.asDict().items():
+            assert v == pytest.approx(b[i][c], abs=1e-9, nan_ok=True) if isinstance(v, float) else v == b[i][c], (i, c)
+    assert a[4002]["prediction"] is None
+    assert a[4000]["prediction"] == "top"  # one row in 4,000 beyond all others has its threshold
+
+
+def test_forest_over_cells(spark, grades, monkeypatch, tmp_path):
+    (m, a), (_, b) = _by_cells_and_rows(monkeypatch, grades, "multiclass", "random_forest", treeNum=7, maxDepth=4)
+    assert np.mean([a[i]["prediction"] == b[i]["prediction"] for i in a]) > 0.97
+    names = ["p_low", "p_mid", "p_top"]
+    got, want = (np.array([[r[n] for n in names] for i, r in sorted(x.items()) if i not in (4001, 4002)]) for x in (a, b))
+    assert np.allclose(got.sum(1), 1) and np.abs(got - want).mean() < 0.03
+    forest = m.pipeline.stages[-1]
+    assert forest.getNumTrees == 7 and forest.numClasses == 3 and len({t.toDebugString for t in forest.trees}) > 1  # drawn anew for each tree
+    monkeypatch.setattr(MO, "MAX_CELLS", 10_000)
+    again = MO.fit(grades, ["a", "b"], "y", MO.make_estimator("multiclass", "random_forest", treeNum=7, maxDepth=4), "multiclass")
+    assert [t.toDebugString.split("\n", 1)[1] for t in again.pipeline.stages[-1].trees] == [t.toDebugString.split("\n", 1)[1] for t in forest.trees]
+    m.save(str(tmp_path / "m"))
+    back = {r["id"]: r for r in MO.score(MO.FittedModel.load(spark, str(tmp_path / "m")), grades).collect()}
+    assert all(back[i]["prediction"] == r["prediction"] and back[i]["p_top"] == r["p_top"] for i, r in a.items())
+    one = m.pipeline.transform(grades.where("id < 50")).collect()  # the pipeline itself gives what the cells give
+    assert all(m.labels[int(r["_pred"])] == a[r["id"]]["prediction"] for r in one)
+
+
+@pytest.mark.parametrize("algo,params", [("decision_tree", {}), ("random_forest", {"treeNum": 3}), ("gbdt", {"maxIter": 2, "maxDepth": 2})])
+def test_learners_of_few_features_get_cells_not_rows(spark, monkeypatch, algo, params):
+    from pyspark.ml import classification as C
+
+    rng = np.random.default_rng(4)
+    x = rng.lognormal(0, 2, (30_000, 2))
+    df = spark.createDataFrame(x.tolist(), "a double, b double").withColumn("y", F.when(F.col("a") < 0.5, "p").when(F.col("b") < 2, "q").otherwise("r"))
+    df, seen = df.cache(), []
+    for k in (C.DecisionTreeClassifier, C.RandomForestClassifier, C.GBTClassifier):
+        real = k._fit
+        monkeypatch.setattr(k, "_fit", lambda self, d, real=real: (seen.append(d.count()), real(self, d))[1])
+    m = MO.fit(df, ["a", "b"], "y", MO.make_estimator("multiclass", algo, **params), "multiclass")
+    assert seen and max(seen) <= 3 * 32 * 32
+    s = MO.score(m, df)
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert s.where("prediction = y").count() > 0.97 * 30_000 and s.count() == 30_000
+
+
+def test_thresholds_and_what_keeps_its_rows(spark, blobs):
+    assert MO._thresholds([], 32) == MO._thresholds([5.0] * 9, 32) == []
+    assert MO._thresholds([1.0, 3.0, 3.0, 7.0], 4) == [2.0, 5.0]
+    even = MO._thresholds([float(i) for i in range(10_000)], 32)
+    assert len(even) == 31 and np.allclose(np.diff(even), 312.5, atol=1)
+    heavy = MO._thresholds([0.0] * 9000 + [float(i) for i in range(1, 1001)], 32)
+    assert heavy[0] == 0.5 and len(heavy) <= 31
+    near = np.nextafter(1.0, 2.0)
+    assert MO._thresholds([1.0, near, float("inf")], 32) == [1.0, near] and MO._thresholds([-float("inf"), float("inf")], 32) == [-float("inf")]
+    bins = [MO._cell_bins(MO.make_estimator(kind, algo, **p), blobs, f, n) for kind, algo, p, f, n in (
+        ("binary", "random_forest", {}, ["x", "y"], 2), ("multiclass", "gbdt", {}, ["x", "y"], 9), ("multiclass", "gbdt", {}, ["x", "y"], 10),
+        ("binary", "decision_tree", {}, ["x", "y", "id"], 2), ("binary", "random_forest", {"minSamplesLeaf": 2}, ["x"], 2), ("multiclass", "svm", {}, ["x"], 3),
+        ("binary", "logistic_regression", {}, ["x"], 2), ("binary", "decision_tree", {}, ["label"], 2))]
+    assert bins == [32, 32, 0, 0, 0, 0, 0, 0]
+    flat = blobs.withColumn("x", F.lit(2.0))  # a feature of one value
+    m = MO.fit(flat, ["x", "y"], "label", MO.make_estimator("binary", "decision_tree"), "binary")
+    assert MO.score(m, flat).where("prediction = label").count() == 120
